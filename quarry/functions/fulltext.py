@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from quarry import config
 from quarry.functions.text import WORD_RE
+from quarry.functions.util import let
 
 MAXPOS = config.MAX_POSITION
 MAXNUM = config.MAX_POSITIONS_PER_LEXEME
@@ -49,7 +50,7 @@ def apply_dictionary(w: Column, dictionary: str = "simple") -> Column:
 
 def py_dictionary(w: str, dictionary: str = "simple") -> str:
     if dictionary == "light" and re.fullmatch(r"[a-z]+", w):
-        return re.sub(_LIGHT_STEM_RE.replace("$1", ""), r"\1", w)
+        return re.sub(_LIGHT_STEM_RE, r"\1", w)
     return w
 
 
@@ -94,19 +95,27 @@ def lexeme_entries(tsv: Column, lexeme: str) -> Column:
     with the text-vector limits: distinct positions, at most 256, and after a
     position of 16383 nothing more is added."""
     mine = F.filter(tsv, lambda e: e.lexeme == F.lit(lexeme))
-    a = F.slice(F.array_distinct(F.transform(F.filter(mine, lambda e: e.weight == "A"),
-                                             lambda e: e.pos)), 1, MAXNUM)
-    b = F.array_distinct(F.transform(F.filter(mine, lambda e: e.weight == "B"), lambda e: e.pos))
-    room = F.lit(MAXNUM) - F.size(a)
-    a_full = (F.size(a) > 0) & (F.try_element_at(a, F.lit(-1)) == MAXPOS)
-    b_cut = F.array_position(b, MAXPOS)  # 0 when absent
-    b_take = F.when(b_cut > 0, F.least(b_cut, room)).otherwise(room)
-    b_kept = F.when(a_full | (room <= 0), F.array().cast("array<int>")) \
-        .otherwise(F.slice(b, 1, F.greatest(b_take, F.lit(0)).cast("int")))
+
+    def parts(m):
+        a = F.slice(F.array_distinct(F.transform(F.filter(m.mine, lambda e: e.weight == "A"),
+                                                 lambda e: e.pos)), 1, MAXNUM)
+        b = F.array_distinct(F.transform(F.filter(m.mine, lambda e: e.weight == "B"),
+                                         lambda e: e.pos))
+        return let({"a": a, "b": b}, assemble)
+
+    def assemble(t):
+        a, b = t.a, t.b
+        room = F.lit(MAXNUM) - F.size(a)
+        a_full = F.coalesce(F.try_element_at(a, F.lit(-1)) == MAXPOS, F.lit(False))
+        b_cut = F.array_position(b, MAXPOS)  # 0 when absent
+        b_take = F.when(b_cut > 0, F.least(b_cut, room)).otherwise(room)
+        b_kept = F.when(a_full | (room <= 0), F.array().cast("array<int>")) \
+            .otherwise(F.slice(b, F.lit(1), F.greatest(b_take, F.lit(0)).cast("int")))
+        return F.concat(F.transform(a, ent(W_A)), F.transform(b_kept, ent(W_B)))
 
     def ent(w):
         return lambda p: F.struct(p.alias("pos"), F.lit(w).alias("w"))
-    return F.concat(F.transform(a, ent(W_A)), F.transform(b_kept, ent(W_B)))
+    return let({"mine": mine}, parts)
 
 
 # --------------------------------------------------------------------------
@@ -241,15 +250,12 @@ def _match(node: Node, ents: dict[str, Column]) -> Column:
     if node.op == "not":
         return ~_match(node.kids[0], ents)
     if node.op == "phrase":
-        first = _positions(ents[node.kids[0].lexeme])
-        rest = [_positions(ents[k.lexeme]) for k in node.kids[1:]]
-
-        def at(p):
-            c = F.lit(True)
-            for off, r in enumerate(rest, start=1):
-                c = c & F.array_contains(r, p + off)
-            return c
-        return F.exists(first, at)
+        # positions p of the first lexeme with lexeme k at p + k, by shifting
+        # and intersecting: linear, no nested lambda
+        cur = _positions(ents[node.kids[0].lexeme])
+        for k in node.kids[1:]:
+            cur = F.array_intersect(F.transform(cur, lambda p: p + 1), _positions(ents[k.lexeme]))
+        return F.size(cur) > 0
     raise ValueError(node.op)
 
 
@@ -259,7 +265,7 @@ def _word_distance(g: Column) -> Column:
 
 
 def _rank_and(lexs: list[str], ents: dict[str, Column]) -> Column:
-    log_prod = None
+    prod_all = None
     n_pairs = None
     for i in range(len(lexs)):
         for k in range(i):
@@ -274,9 +280,9 @@ def _rank_and(lexs: list[str], ents: dict[str, Column]) -> Column:
                 return F.size(F.filter(ek, lambda q: q.pos != p.pos))
             prod = F.aggregate(ei, F.lit(1.0), lambda acc, p: acc * inner_prod(p))
             cnt = F.aggregate(ei, F.lit(0), lambda acc, p: acc + inner_cnt(p))
-            log_prod = prod if log_prod is None else log_prod * prod
+            prod_all = prod if prod_all is None else prod_all * prod
             n_pairs = cnt if n_pairs is None else n_pairs + cnt
-    return F.when(n_pairs > 0, F.lit(1.0) - log_prod).otherwise(F.lit(1e-20))
+    return F.when(n_pairs > 0, F.lit(1.0) - prod_all).otherwise(F.lit(1e-20))
 
 
 def _rank_or(lexs: list[str], ents: dict[str, Column]) -> Column:
@@ -293,20 +299,38 @@ def _rank_or(lexs: list[str], ents: dict[str, Column]) -> Column:
     return total / F.lit(float(len(lexs)))
 
 
+def _compiled(q: TextQuery, tsv: Column) -> Column:
+    """``struct(match, rank)``; every lexeme's positions computed once per row."""
+    lexs = q.distinct_lexemes()
+    names = {x: f"e{k}" for k, x in enumerate(lexs)}
+
+    def body(s):
+        ents = {x: s[names[x]] for x in lexs}
+        match = _match(q.tree, ents)
+        if q.tree.op in ("and", "phrase") and len(lexs) >= 2:
+            rank = _rank_and(lexs, ents)
+        else:
+            rank = _rank_or(lexs, ents)
+        rank = F.when(rank < 0, F.lit(1e-20)).otherwise(rank)
+        return F.struct(match.alias("match"), rank.alias("rank"))
+
+    def bind(t):
+        return let({names[x]: lexeme_entries(t.tsv, x) for x in lexs}, body)
+    return let({"tsv": tsv}, bind)
+
+
 def compile_query(q: TextQuery, tsv: Column) -> tuple[Column, Column]:
     """(``tsv @@ q``, ``ts_rank(tsv, q)``) with default weights and no
-    normalisation. A query without lexemes matches nothing."""
+    normalisation. A query without lexemes matches nothing. Both columns come
+    from one struct; bind it once (``match_rank``) when using both."""
+    mr = match_rank(q, tsv)
+    return mr.match, mr.rank
+
+
+def match_rank(q: TextQuery, tsv: Column) -> Column:
     if q.tree is None:
-        return F.lit(False), F.lit(0.0)
-    lexs = q.distinct_lexemes()
-    ents = {x: lexeme_entries(tsv, x) for x in lexs}
-    match = _match(q.tree, ents)
-    if q.tree.op in ("and", "phrase") and len(lexs) >= 2:
-        rank = _rank_and(lexs, ents)
-    else:
-        rank = _rank_or(lexs, ents)
-    rank = F.when(rank < 0, F.lit(1e-20)).otherwise(rank)
-    return match, rank
+        return F.struct(F.lit(False).alias("match"), F.lit(0.0).alias("rank"))
+    return _compiled(q, tsv)
 
 
 # --------------------------------------------------------------------------
@@ -341,10 +365,10 @@ def lexical_score(q_text: str | None, tsv: Column, content: Column,
     tq = text_query(q_text, dictionary)
     if tq is None:
         return F.lit(0.0)
-    match, rank = compile_query(tq, tsv)
-    return F.coalesce(F.when(match, rank)
-                      .when(ilike_contains(content, q_text), F.lit(1.0))
-                      .otherwise(F.lit(0.0)), F.lit(0.0))
+    return let({"mr": match_rank(tq, tsv)}, lambda s: F.coalesce(
+        F.when(s.mr.match, s.mr.rank)
+         .when(ilike_contains(content, q_text), F.lit(1.0))
+         .otherwise(F.lit(0.0)), F.lit(0.0)))
 
 
 def word_distance_py(g: int) -> float:

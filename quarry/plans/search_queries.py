@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quarry import config
 from quarry.functions import fulltext as ft
 from quarry.functions import jsonb
+from quarry.functions.util import spread
 from quarry.operators import search as S
 from quarry.plans.oracle_fulltext import (dist_sql, entries_ctes, lexical_sql, match_sql, q,
                                           rank_ctes, search_sql)
@@ -150,11 +151,12 @@ def _doc_text_sql(tq_text: str, phrase: bool = False, with_rank: bool = True) ->
 
 
 def _doc_text(spark, sf, tq, with_rank=True):
-    d = spark.read.parquet(f"{sf}/documents.parquet")
-    tsv = ft.text_vector(F.col("text"))
-    match, rank = ft.compile_query(tq, tsv)
-    cols = [F.col("doc_id")] + ([F.round(rank, 6).alias("rank")] if with_rank else [])
-    return d.where(match).select(*cols)
+    d = spread(spark.read.parquet(f"{sf}/documents.parquet"))
+    mr = ft.match_rank(tq, ft.text_vector(F.col("text")))
+    # one evaluation per row: a generator is not pushed below or duplicated
+    hits = d.select("doc_id", F.inline(F.filter(F.array(mr), lambda x: x.match)))
+    cols = [F.col("doc_id")] + ([F.round("rank", 6).alias("rank")] if with_rank else [])
+    return hits.select(*cols)
 
 
 @register("ts_rank", _doc_text_sql("at by"))
