@@ -1,3 +1,4 @@
 """Imports every module that registers queries."""
 
 from quarry.plans import search_queries  # noqa: F401
+from quarry.plans import chunk_queries  # noqa: F401
