@@ -47,7 +47,7 @@ def _contains(v: Column, f: Any) -> Column:
         cond = _type(v).startswith("ARRAY")
         arr = F.variant_get(v, "$", "array<variant>")
         for e in f:
-            cond = cond & F.exists(arr, lambda y, e=e: F.coalesce(_contains(y, e), F.lit(False)))
+            cond = cond & F.exists(arr, _element_test(e))
         return cond
     if f is None:
         return F.is_variant_null(v)
@@ -60,6 +60,10 @@ def _contains(v: Column, f: Any) -> Column:
     raise TypeError(f"not a JSON value: {f!r}")
 
 
+def _element_test(e: Any):
+    return lambda y: F.coalesce(_contains(y, e), F.lit(False))
+
+
 def json_contains(meta: Column, filt: dict | str | None) -> Column:
     """M4: ``meta @> filt``. The filter is a driver literal compiled into a
     Column tree (no UDF); ``{}`` or None matches every object."""
@@ -106,5 +110,6 @@ def jsonb_text(meta: Column) -> Column:
         F.when(a.key.cast("binary") < b.key.cast("binary"), -1)
          .when(a.key.cast("binary") > b.key.cast("binary"), 1).otherwise(0)))
     body = F.array_join(F.transform(ents, lambda e: F.concat(
-        F.to_json(F.array(e.key)), F.lit(": "), F.to_json(e.value))), ", ")
+        F.regexp_replace(F.to_json(F.array(e.key)), r"^\[|\]$", ""), F.lit(": "),
+        F.to_json(e.value))), ", ")
     return F.coalesce(F.concat(F.lit("{"), body, F.lit("}")), F.lit(""))
