@@ -3,3 +3,4 @@
 from quarry.plans import search_queries  # noqa: F401
 from quarry.plans import chunk_queries  # noqa: F401
 from quarry.plans import metadata_queries  # noqa: F401
+from quarry.plans import source_queries  # noqa: F401

@@ -50,3 +50,34 @@ def query_vector(spark: SparkSession, sf_dir: str, vec_id: int = 0) -> list[floa
 
 def query_vector_sql(vec_id: int = 0) -> str:
     return f"(SELECT embedding::DOUBLE[] FROM embeddings WHERE vec_id = {vec_id})"
+
+
+# Paths of the documents as if they were files in a folder tree: one folder
+# per document below its source; the name from language and size (so equal
+# names occur in different folders); French documents already in an archive
+# folder; short ones with a type that is not accepted; Spanish names with a
+# blank before the extension.
+PATH_ROOT = "/data"
+
+
+def doc_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = table(spark, sf_dir, "documents")
+    ext = (F.when(F.col("n_chars") < 300, F.lit(".txt"))
+            .when(F.col("lang") == "en", F.lit(".pdf"))
+            .when(F.col("lang") == "de", F.lit(".PDF"))
+            .when(F.col("lang") == "es", F.lit(" .docx"))
+            .otherwise(F.lit(".png")))
+    folder = F.concat(F.lit(PATH_ROOT + "/"), F.col("source"),
+                      F.when(F.col("lang") == "fr", F.lit("/Processado")).otherwise(F.lit("")),
+                      F.lit("/d"), F.col("doc_id").cast("string"))
+    name = F.concat(F.col("lang"), F.lit("_"), F.floor(F.col("n_chars") / 1000).cast("string"), ext)
+    return d.select("doc_id", F.concat(folder, F.lit("/"), name).alias("path"))
+
+
+DOC_PATHS_SQL = f"""
+SELECT doc_id,
+       '{PATH_ROOT}/' || source || CASE WHEN lang = 'fr' THEN '/Processado' ELSE '' END
+       || '/d' || CAST(doc_id AS VARCHAR) || '/' || lang || '_' || CAST(floor(n_chars / 1000) AS BIGINT)
+       || CASE WHEN n_chars < 300 THEN '.txt' WHEN lang = 'en' THEN '.pdf' WHEN lang = 'de' THEN '.PDF'
+               WHEN lang = 'es' THEN ' .docx' ELSE '.png' END AS path
+FROM documents"""
