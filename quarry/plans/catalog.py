@@ -5,3 +5,4 @@ from quarry.plans import chunk_queries  # noqa: F401
 from quarry.plans import metadata_queries  # noqa: F401
 from quarry.plans import source_queries  # noqa: F401
 from quarry.plans import vector_queries  # noqa: F401
+from quarry.plans import ranking_queries  # noqa: F401

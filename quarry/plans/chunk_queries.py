@@ -103,10 +103,14 @@ def token_windows(spark, sf):
                      .alias("w_idx", "content"))
 
 
-def _chunks_sql(max_tokens: int, ratio: float) -> str:
+def chunks_ctes(max_tokens: int, ratio: float, where: str = "TRUE") -> str:
+    """``WITH RECURSIVE ...`` ending in CTE ``chunks(doc_id, chunk_index,
+    content)`` over the documents passing ``where``; callers add CTEs and
+    the final SELECT."""
     overlap = int(max_tokens * ratio)
     m = max_tokens
-    return "WITH RECURSIVE " + FILTERED_SQL + f""",
+    filtered = FILTERED_SQL.replace("FROM documents),\nf1", f"FROM documents WHERE {where}),\nf1")
+    return "WITH RECURSIVE " + filtered + f""",
 pn AS (SELECT doc_id, pos, para, len(regexp_extract_all(para, {TOKEN_SQL})) AS ntok FROM f1),
 rec AS (
   SELECT doc_id, pos, 0 AS g, CASE WHEN ntok > {m} THEN 0 ELSE ntok END AS cur, ntok <= {m} AS open
@@ -123,10 +127,13 @@ grp AS (SELECT rec.doc_id, rec.g, string_agg(pn.para, chr(10) || chr(10) ORDER B
         FROM rec JOIN pn ON pn.doc_id = rec.doc_id AND pn.pos = rec.pos GROUP BY rec.doc_id, rec.g),
 lg AS (SELECT doc_id, g, para FROM grp WHERE mx > {m}),""" + _windows_sql("lg", m, overlap) + f""",
 allc AS (SELECT doc_id, g, 0 AS w_idx, txt AS content FROM grp WHERE mx <= {m}
-         UNION ALL SELECT doc_id, g, w_idx, content FROM w3)
-SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g, w_idx) - 1 AS chunk_index,
-       replace(content, chr(0), '') AS content
-FROM allc"""
+         UNION ALL SELECT doc_id, g, w_idx, content FROM w3),
+chunks AS (SELECT doc_id, row_number() OVER (PARTITION BY doc_id ORDER BY g, w_idx) - 1 AS chunk_index,
+                  replace(content, chr(0), '') AS content FROM allc)"""
+
+
+def _chunks_sql(max_tokens: int, ratio: float) -> str:
+    return chunks_ctes(max_tokens, ratio) + "\nSELECT doc_id, chunk_index, content FROM chunks"
 
 
 @register("pack_paragraphs", _chunks_sql(512, 0.25))

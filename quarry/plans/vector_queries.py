@@ -15,22 +15,23 @@ from quarry.sources.testdata import query_vector, query_vector_sql
 DIM = 64
 
 
-def hash_embed_sql(table: str, key: str, text: str, dim: int = DIM, extra_keys: str = "") -> str:
-    """``key, emb_e6`` of the hashed bag-of-words vector of ``text``."""
+def hash_embed_sql(table: str, key: str, text: str, dim: int = DIM, extra_keys: str = "",
+                   prefix: str = "he") -> str:
+    """CTE ``{prefix}(key..., v, emb_e6)``: the hashed bag-of-words vector."""
     keys = key + (", " + extra_keys if extra_keys else "")
     kj = " AND ".join(f"b.{k.strip()} = g.{k.strip()}" for k in keys.split(","))
     kn = " AND ".join(f"n.{k.strip()} = g.{k.strip()}" for k in keys.split(","))
     return f"""
-he_t AS (SELECT {keys}, unnest(regexp_extract_all(lower(coalesce({text}, '')), '{WORD_RE}')) AS w FROM {table}),
-he_b AS (SELECT {keys}, ('0x' || substr(md5(w), 1, 8))::BIGINT % {dim} AS bucket, count(*) AS c
-         FROM he_t GROUP BY ALL),
-he_n AS (SELECT {keys}, sqrt(sum(c * c)) AS nrm FROM he_b GROUP BY ALL),
-he_g AS (SELECT {keys}, r.i FROM {table} CROSS JOIN range({dim}) AS r(i)),
-he_v AS (SELECT g.*, coalesce(b.c, 0) / coalesce(n.nrm, 1) AS x
-         FROM he_g g LEFT JOIN he_b b ON {kj} AND b.bucket = g.i LEFT JOIN he_n n ON {kn}),
-he AS (SELECT {keys}, list(x::FLOAT ORDER BY i) AS v,
+{prefix}_t AS (SELECT {keys}, unnest(regexp_extract_all(lower(coalesce({text}, '')), '{WORD_RE}')) AS w FROM {table}),
+{prefix}_b AS (SELECT {keys}, ('0x' || substr(md5(w), 1, 8))::BIGINT % {dim} AS bucket, count(*) AS c
+         FROM {prefix}_t GROUP BY ALL),
+{prefix}_n AS (SELECT {keys}, sqrt(sum(c * c)) AS nrm FROM {prefix}_b GROUP BY ALL),
+{prefix}_g AS (SELECT {keys}, r.i FROM {table} CROSS JOIN range({dim}) AS r(i)),
+{prefix}_v AS (SELECT g.*, coalesce(b.c, 0) / coalesce(n.nrm, 1) AS x
+         FROM {prefix}_g g LEFT JOIN {prefix}_b b ON {kj} AND b.bucket = g.i LEFT JOIN {prefix}_n n ON {kn}),
+{prefix} AS (SELECT {keys}, list(x::FLOAT ORDER BY i) AS v,
               string_agg(CAST(round(x::FLOAT::DOUBLE * 1000000) AS BIGINT)::VARCHAR, ',' ORDER BY i) AS emb_e6
-       FROM he_v GROUP BY ALL)"""
+       FROM {prefix}_v GROUP BY ALL)"""
 
 
 def e6_sql(v: str) -> str:
