@@ -40,24 +40,26 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
                                                   T.StructField("_lrn", T.LongType())])
 
     def local(batches):
+        import numpy as np
         from pyspark import TaskContext
         pid = TaskContext.get().partitionId()
         prev_key, prev_n = None, 0
         for pdf in batches:
             if pdf.empty:
                 continue
-            if group_cols:
-                k = pd.Series(list(zip(*[pdf[c] for c in group_cols])), index=pdf.index)
-            else:
-                k = pd.Series([()] * len(pdf), index=pdf.index)
-            change = k.ne(k.shift())
-            change.iloc[0] = k.iloc[0] != prev_key
-            run = change.cumsum()
-            lrn = run.groupby(run).cumcount() + 1
-            if not change.iloc[0]:
-                lrn[run == run.iloc[0]] += prev_n
-            prev_key = k.iloc[-1]
-            prev_n = int(lrn.iloc[-1])
+            change = np.zeros(len(pdf), dtype=bool)
+            for c in group_cols:
+                v = pdf[c]
+                same = v.eq(v.shift()) | (v.isna() & v.shift().isna())
+                change |= ~same.to_numpy()
+            first = tuple(pdf[c].iloc[0] for c in group_cols)
+            change[0] = prev_key is None or first != prev_key
+            run = pd.Series(np.cumsum(change), index=pdf.index)
+            lrn = run.groupby(run).cumcount().to_numpy() + 1
+            if not change[0]:
+                lrn[run.to_numpy() == run.iloc[0]] += prev_n
+            prev_key = tuple(pdf[c].iloc[-1] for c in group_cols)
+            prev_n = int(lrn[-1])
             yield pdf.assign(_pid=pid, _lrn=lrn.astype("int64"))
 
     numbered = ranged.mapInPandas(local, schema)

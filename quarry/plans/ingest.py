@@ -19,6 +19,7 @@ from quarry.functions import fulltext as ft
 from quarry.functions import jsonb
 from quarry.operators import chunking as ch
 from quarry.operators import embedding as emb
+from quarry.operators import expansion
 from quarry.operators.numbering import number_within
 from quarry.sources import html
 
@@ -62,10 +63,11 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
             max_tokens: int = config.MAX_TOKENS, overlap_ratio: float = config.WINDOW_OVERLAP_RATIO,
             min_chars: int = config.MIN_PARAGRAPH_CHARS, token_count=None,
             first_id: int = 1, dictionary: str = "simple", drop_failed: bool = True,
-            query_col: str | None = None) -> IngestResult:
-    """F3/F4 as a plan over all documents at once."""
+            query_col: str | None = None, synonyms: DataFrame | None = None) -> IngestResult:
+    """F3/F4 as a plan over all documents at once. With ``query_col`` the
+    file's query and its expansion (T12, T13) go into every chunk's metadata."""
     base = base_meta if base_meta is not None else F.lit("{}")
-    gated = docs.select(F.col(parent_col).alias("parent"), F.col(text_col).alias("_text"),
+    gated = docs.select(F.col(parent_col).cast("string").alias("parent"), F.col(text_col).alias("_text"),
                         base.alias("_meta"),
                         *( [F.col(query_col).alias("_query")] if query_col else []),
                         html.text_gate(F.col(text_col)).alias("_gate"))
@@ -76,9 +78,13 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
                                     min_chars=min_chars, **kw)
     extra = {"__parent": F.col("parent"), "__chunk_index": F.col("chunk_index")}
     if query_col:
-        # The query and its expansion go into every chunk's metadata
+        qs = ok.select("parent", "_query").where(F.length("_query") > 0)
+        if synonyms is not None:
+            exp = expansion.expand_queries(qs, "parent", "_query", synonyms, out="_query_expanded")
+        else:
+            exp = qs.withColumn("_query_expanded", F.concat(F.col("_query"), F.lit(" ")))
+        chunks = chunks.join(exp.select("parent", "_query_expanded"), "parent", "left")
         extra = {"__query": F.col("_query"), "__query_expanded": F.col("_query_expanded"), **extra}
-        chunks = chunks.withColumn("_query_expanded", F.col("_query"))
     meta = jsonb.merge_metadata(F.col("_meta"), extra)
     with_meta = chunks.withColumn("metadata", meta)
     embedded = emb.embed(with_meta, "content", dim, embedder)
@@ -125,7 +131,8 @@ def ledger(spark: SparkSession, table_path: str, status_path: str) -> DataFrame:
 
 def new_inputs(batch: DataFrame, done: DataFrame, key: str = "parent") -> DataFrame:
     """inputs not handled by an earlier run."""
-    return batch.join(done.select(F.col(key)), key, "left_anti")
+    d = done.select(F.col(key).cast("string").alias("_done"))
+    return batch.join(d, batch[key].cast("string") == d["_done"], "left_anti")
 
 
 def run(spark: SparkSession, docs: DataFrame, table_path: str, status_path: str,
