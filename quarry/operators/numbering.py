@@ -5,7 +5,8 @@ group to one task; a group holding a third of all rows would then run in one
 task. Here the rows are range-partitioned on ``(g, o)`` (sampled bounds split
 a hot group over many tasks), numbered inside each sorted partition, and the
 counts of the groups that continue from one partition into the next are
-carried forward. Only one row per partition reaches the driver.
+carried forward. Only one row per partition reaches the driver. The numbered
+rows are checkpointed once, so offsets and rows always agree.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.session import cut_lineage
+
 
 def _key_tuple(row, cols):
     return tuple(row[c] for c in cols)
@@ -62,7 +65,11 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
             prev_n = int(lrn[-1])
             yield pdf.assign(_pid=pid, _lrn=lrn.astype("int64"))
 
-    numbered = ranged.mapInPandas(local, schema)
+    # Materialised once (reliable checkpoint in the shared folder): the range
+    # bounds come from sampling, and a recomputation after a shuffle could
+    # sample other bounds, so both the offsets and the rows must come from
+    # the same copy. This also cuts the lineage against executor loss.
+    numbered = cut_lineage(ranged.mapInPandas(local, schema))
     # First and last group of every partition (one row per partition).
     firsts = numbered.where(F.col("_lrn") >= 1).groupBy("_pid").agg(
         F.min(F.struct(*keys)).alias("first"), F.max(F.struct(*keys, "_lrn")).alias("last"))
