@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from quarry.functions.util import spread
 from quarry.plans import ingest
 
 
@@ -41,9 +42,9 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType, table_path
     def batch(df: DataFrame, batch_id: int) -> None:
         if batch_id in _done_batches(spark, status_path):
             return
-        docs = df
+        docs = spread(df)
         try:
-            docs = ingest.new_inputs(df.withColumnRenamed(parent_col, "parent"),
+            docs = ingest.new_inputs(docs.withColumnRenamed(parent_col, "parent"),
                                      ingest.ledger(spark, table_path, status_path)) \
                 .withColumnRenamed("parent", parent_col)
         except Exception:  # noqa: BLE001 - first batch, no table yet
