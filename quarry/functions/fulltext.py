@@ -94,8 +94,12 @@ def lexeme_entries(tsv: Column, lexeme: str) -> Column:
     """Positions of one lexeme as ``ARRAY<STRUCT<pos INT, w DOUBLE>>``, ascending,
     with the text-vector limits: distinct positions, at most 256, and after a
     position of 16383 nothing more is added."""
-    mine = F.filter(tsv, lambda e: e.lexeme == F.lit(lexeme))
+    return limit_entries(F.filter(tsv, lambda e: e.lexeme == F.lit(lexeme)))
 
+
+def limit_entries(mine: Column) -> Column:
+    """The occurrences of one lexeme (``pos``, ``weight``; ascending) as
+    ``ARRAY<STRUCT<pos INT, w DOUBLE>>`` with the text-vector limits."""
     def parts(m):
         a = F.slice(F.array_distinct(F.transform(F.filter(m.mine, lambda e: e.weight == "A"),
                                                  lambda e: e.pos)), 1, MAXNUM)
@@ -374,3 +378,103 @@ def lexical_score(q_text: str | None, tsv: Column, content: Column,
 def word_distance_py(g: int) -> float:
     """Reference value of the distance weight, for tests."""
     return 1e-30 if g > 100 else 1.0 / (1.005 + 0.05 * math.exp(g / 1.5 - 2))
+
+
+# --------------------------------------------------------------------------
+# Queries as data (Q9): one plan for any number of different text queries
+# --------------------------------------------------------------------------
+PARSED_QUERY_TYPE = ("struct<lexemes: array<string>, groups: array<array<struct<neg: boolean, "
+                     "phrase: boolean, lexemes: array<string>>>>, use_and: boolean, pattern: string>")
+
+
+def _operands(node: Node) -> list[dict]:
+    if node.op == "and":
+        out: list[dict] = []
+        for k in node.kids:
+            out.extend(_operands(k))
+        return out
+    neg = node.op == "not"
+    inner = node.kids[0] if neg else node
+    if inner.op == "lex":
+        return [{"neg": neg, "phrase": True, "lexemes": [inner.lexeme]}]
+    if inner.op == "phrase":
+        return [{"neg": neg, "phrase": True, "lexemes": [k.lexeme for k in inner.kids]}]
+    if inner.op == "and":
+        return [{"neg": neg, "phrase": False, "lexemes": inner.lexemes()}]
+    raise ValueError(inner.op)
+
+
+def parsed_query(text: str | None, dictionary: str = "simple") -> dict | None:
+    """A text query as a value of ``PARSED_QUERY_TYPE``: its distinct lexemes,
+    its or-groups of (negated) phrase / and operands, the rank it uses, and
+    its substring pattern. ``None`` for a NULL query."""
+    tq = text_query(text, dictionary)
+    if tq is None:
+        return None
+    lexs = tq.distinct_lexemes()
+    groups: list[list[dict]] = []
+    if tq.tree is not None:
+        ors = tq.tree.kids if tq.tree.op == "or" else [tq.tree]
+        groups = [_operands(g) for g in ors]
+    use_and = tq.tree is not None and tq.tree.op in ("and", "phrase") and len(lexs) >= 2
+    return {"lexemes": lexs, "groups": groups, "use_and": use_and, "pattern": like_pattern(text)}
+
+
+def _pair_stats(ei: Column, ek: Column, init: Column) -> Column:
+    """Fold the position pairs of two lexemes into ``struct(prod, cnt)``."""
+    def step(a, p, q):
+        same = p.pos == q.pos
+        f = F.lit(1.0) - F.sqrt(p.w * q.w * _word_distance(F.abs(p.pos - q.pos)))
+        return F.struct((a.prod * F.when(same, F.lit(1.0)).otherwise(f)).alias("prod"),
+                        (a.cnt + F.when(same, F.lit(0)).otherwise(F.lit(1))).alias("cnt"))
+    return F.aggregate(ei, init, lambda acc, p: F.aggregate(ek, acc, lambda a, q: step(a, p, q)))
+
+
+def rank_and_data(ents: Column) -> Column:
+    """``_rank_and`` over ``ARRAY<ARRAY<STRUCT<pos, w>>>`` (one per lexeme)."""
+    n = F.size(ents)
+    zero = F.struct(F.lit(1.0).alias("prod"), F.lit(0).alias("cnt"))
+    idx = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: i >= 2)
+    st = F.aggregate(idx, zero, lambda acc, i: F.aggregate(
+        F.sequence(F.lit(1), i - 1), acc,
+        lambda a, k: _pair_stats(F.element_at(ents, i), F.element_at(ents, k), a)))
+    return F.when(st.cnt > 0, F.lit(1.0) - st.prod).otherwise(F.lit(1e-20))
+
+
+def rank_or_data(ents: Column) -> Column:
+    """``_rank_or`` over ``ARRAY<ARRAY<STRUCT<pos, w>>>``."""
+    def one(e):
+        ws = F.transform(e, lambda t: t.w)
+        wmax = F.array_max(ws)
+        jm = F.array_position(ws, wmax)
+        s = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(e), F.lit(1))), F.lit(0.0),
+                        lambda acc, j: acc + F.coalesce(F.try_element_at(ws, j), F.lit(0.0)) / (j * j))
+        return F.when(F.size(e) > 0, (wmax + s - wmax / (jm * jm)) / ZETA2).otherwise(F.lit(0.0))
+    total = F.aggregate(ents, F.lit(0.0), lambda acc, e: acc + one(e))
+    return total / F.greatest(F.size(ents), F.lit(1)).cast("double")
+
+
+def match_data(pq: Column, ents: Column) -> Column:
+    """``tsv @@ q`` for a parsed query ``pq`` and its lexemes' positions
+    ``ents`` (aligned with ``pq.lexemes``)."""
+    def of(x):
+        return F.element_at(ents, F.array_position(pq.lexemes, x).cast("int"))
+
+    def operand(o):
+        first = _positions(of(F.element_at(o.lexemes, 1)))
+        rest = F.slice(o.lexemes, 2, F.greatest(F.size(o.lexemes) - 1, F.lit(0)))
+        chain = F.aggregate(rest, first, lambda cur, x: F.array_intersect(
+            F.transform(cur, lambda p: p + 1), _positions(of(x))))
+        m = F.when(o.phrase, F.size(chain) > 0).otherwise(
+            F.forall(o.lexemes, lambda x: F.size(of(x)) > 0))
+        return F.when(o.neg, ~m).otherwise(m)
+    return F.exists(pq.groups, lambda g: F.forall(g, operand))
+
+
+def lexical_score_data(pq: Column, ents: Column, content: Column) -> Column:
+    """Q4 for a per-row parsed query: 0 for a NULL query."""
+    rank = F.when(pq.use_and, rank_and_data(ents)).otherwise(rank_or_data(ents))
+    rank = F.when(rank < 0, F.lit(1e-20)).otherwise(rank)
+    hit = F.ilike(content, pq.pattern, F.lit("\\"))
+    return F.when(pq.isNull(), F.lit(0.0)).otherwise(F.coalesce(
+        F.when(match_data(pq, ents), rank).when(hit, F.lit(1.0)).otherwise(F.lit(0.0)), F.lit(0.0)))

@@ -31,9 +31,11 @@ MAX_QUERY_BLOCK = 4096          # query vectors per broadcast block
 MAX_QUERY_BYTES = 64 << 20       # and at most this many bytes of them
 
 
-def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str):
+def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
+                max_dist: float | None = None):
     """Per task: the best ``k`` (distance, id) of every query over the task's
-    rows, kept across Arrow batches; yields at most ``queries x k`` rows."""
+    rows, kept across Arrow batches; yields at most ``queries x k`` rows. With
+    ``max_dist``, rows farther than it (and NaN distances) are left out."""
     def run(batches):
         qids, qmat = bq.value
         qn = np.linalg.norm(qmat, axis=1)
@@ -50,6 +52,8 @@ def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str):
                     d = np.where(den == 0, np.inf, 1.0 - dots / den)   # NaN sorts last
             else:
                 d = -dots
+            if max_dist is not None:
+                d = np.where(d <= max_dist, d, np.inf)
             allid = np.broadcast_to(ids, d.shape)
             if best_d is not None:
                 d = np.concatenate([best_d, d], axis=1)
@@ -61,42 +65,71 @@ def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str):
             return
         kk = best_d.shape[1]
         dist = best_d.reshape(-1)
-        yield pd.DataFrame({"qid": np.repeat(qids, kk), "id": best_i.reshape(-1),
+        out = pd.DataFrame({"qid": np.repeat(qids, kk), "id": best_i.reshape(-1),
                             "dist": np.where(np.isinf(dist), np.nan, dist)})
+        yield out if max_dist is None else out[~np.isinf(dist)]
     return run
 
 
-def batch_knn(table: DataFrame, queries: DataFrame, k: int, qid_col: str = "qid",
-              qvec_col: str = "embedding", id_col: str = "id", vec_col: str = "embedding",
-              metric: str = "cosine") -> DataFrame:
-    """Q9: for every query, its ``k`` nearest rows by (distance, id):
-    ``qid, id, dist, rank``. The query set is size-checked before it is
-    collected and broadcast, one block of at most ``MAX_QUERY_BLOCK`` at a
-    time; each block is one more pass over the table."""
-    spark = table.sparkSession
-    st = queries.agg(F.count("*").alias("n"), F.max(F.size(qvec_col)).alias("d")).collect()[0]
+def collect_queries(queries: DataFrame, cols: Sequence[str], qvec_col: str = "embedding",
+                    max_bytes: int = MAX_QUERY_BYTES) -> list:
+    """The query rows on the driver, after checking that the vectors (and any
+    text columns) fit ``max_bytes``; the query set is what gets broadcast."""
+    extra = [c for c in cols if c != qvec_col and dict(queries.dtypes)[c] == "string"]
+    st = queries.agg(F.count("*").alias("n"), F.max(F.size(qvec_col)).alias("d"),
+                     *[F.sum(F.coalesce(F.length(c), F.lit(0))).alias(f"_b{i}")
+                       for i, c in enumerate(extra)]).collect()[0]
     n, d = int(st["n"]), int(st["d"] or 0)
-    if n * d * 8 > MAX_QUERY_BYTES:
-        raise ValueError(f"{n} query vectors of {d} exceed {MAX_QUERY_BYTES} bytes; "
+    size = n * d * 8 + sum(int(st[f"_b{i}"] or 0) * 4 for i in range(len(extra)))
+    if size > max_bytes:
+        raise ValueError(f"{n} queries ({size} bytes) exceed {max_bytes} bytes; "
                          "run them in several calls")
-    if n == 0:
-        return spark.createDataFrame([], "qid long, id long, dist double, rank int")
-    qrows = queries.select(qid_col, qvec_col).collect()
+    return queries.select(*cols).collect() if n else []
+
+
+def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
+                   vec_col: str = "embedding", metric: str = "cosine",
+                   max_dist: float | None = None) -> DataFrame:
+    """``qid, id, dist``: the best ``k`` rows of every task for every query of
+    ``qrows`` (``(qid, vector)`` pairs on the driver); one pass over the table
+    per block of ``MAX_QUERY_BLOCK`` queries."""
+    spark = table.sparkSession
     parts = []
     for s in range(0, len(qrows), MAX_QUERY_BLOCK):
         block = qrows[s:s + MAX_QUERY_BLOCK]
         qids = np.array([int(r[0]) for r in block], dtype=np.int64)
         qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in block])
         bq = spark.sparkContext.broadcast((qids, qmat))
-        fn = _topk_block(bq, int(k), metric, id_col, vec_col)
+        fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
         parts.append(table.select(id_col, vec_col).mapInPandas(fn, "qid long, id long, dist double"))
+    if not parts:
+        return spark.createDataFrame([], "qid long, id long, dist double")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
+    # Arrow turns NaN (a zero vector's cosine) into NULL; NaN again, sorted last
+    return cand.withColumn("dist", F.coalesce(F.col("dist"), F.lit(float("nan"))))
+
+
+def top_per_query(cand: DataFrame, k: int) -> DataFrame:
+    """The final ``k`` of each query from the per-task candidates (at most
+    ``k x tasks`` rows per query, so no query group can grow with the data)."""
     w = Window.partitionBy("qid").orderBy(F.col("dist").asc_nulls_last(), F.col("id"))
     return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= int(k))
 
 
+def batch_knn(table: DataFrame, queries: DataFrame, k: int, qid_col: str = "qid",
+              qvec_col: str = "embedding", id_col: str = "id", vec_col: str = "embedding",
+              metric: str = "cosine", max_dist: float | None = None) -> DataFrame:
+    """Q9: for every query, its ``k`` nearest rows by (distance, id):
+    ``qid, id, dist, rank``. The query set is size-checked before it is
+    collected and broadcast, one block of at most ``MAX_QUERY_BLOCK`` at a
+    time; each block is one more pass over the table."""
+    qrows = collect_queries(queries, [qid_col, qvec_col], qvec_col)
+    cand = knn_candidates(table, qrows, k, id_col, vec_col, metric, max_dist)
+    return top_per_query(cand, k)
+
+
 # --- IVF ---------------------------------------------------------------------
 def ivf_build(vectors: DataFrame, path: str, lists: int = config.IVF_LISTS, id_col: str = "id",
               vec_col: str = "embedding", seed: int = 7, max_iter: int = 20):
