@@ -269,38 +269,11 @@ def _word_distance(g: Column) -> Column:
 
 
 def _rank_and(lexs: list[str], ents: dict[str, Column]) -> Column:
-    prod_all = None
-    n_pairs = None
-    for i in range(len(lexs)):
-        for k in range(i):
-            ei, ek = ents[lexs[i]], ents[lexs[k]]
-
-            def inner_prod(p, ek=ek):
-                return F.aggregate(ek, F.lit(1.0), lambda acc, q: acc * F.when(
-                    p.pos == q.pos, F.lit(1.0)).otherwise(
-                    F.lit(1.0) - F.sqrt(p.w * q.w * _word_distance(F.abs(p.pos - q.pos)))))
-
-            def inner_cnt(p, ek=ek):
-                return F.size(F.filter(ek, lambda q: q.pos != p.pos))
-            prod = F.aggregate(ei, F.lit(1.0), lambda acc, p: acc * inner_prod(p))
-            cnt = F.aggregate(ei, F.lit(0), lambda acc, p: acc + inner_cnt(p))
-            prod_all = prod if prod_all is None else prod_all * prod
-            n_pairs = cnt if n_pairs is None else n_pairs + cnt
-    return F.when(n_pairs > 0, F.lit(1.0) - prod_all).otherwise(F.lit(1e-20))
+    return rank_and_data(F.array(*[ents[x] for x in lexs]))
 
 
 def _rank_or(lexs: list[str], ents: dict[str, Column]) -> Column:
-    total = F.lit(0.0)
-    for x in lexs:
-        e = ents[x]
-        ws = F.transform(e, lambda t: t.w)
-        wmax = F.array_max(ws)
-        jm = F.array_position(ws, wmax)  # 1-based, first of the largest
-        s = F.aggregate(F.sequence(F.lit(1), F.greatest(F.size(e), F.lit(1))), F.lit(0.0),
-                        lambda acc, j: acc + F.coalesce(F.try_element_at(ws, j), F.lit(0.0)) / (j * j))
-        r = (wmax + s - wmax / (jm * jm)) / ZETA2
-        total = total + F.when(F.size(e) > 0, r).otherwise(F.lit(0.0))
-    return total / F.lit(float(len(lexs)))
+    return rank_or_data(F.array(*[ents[x] for x in lexs]))
 
 
 def _compiled(q: TextQuery, tsv: Column) -> Column:
@@ -420,25 +393,35 @@ def parsed_query(text: str | None, dictionary: str = "simple") -> dict | None:
     return {"lexemes": lexs, "groups": groups, "use_and": use_and, "pattern": like_pattern(text)}
 
 
-def _pair_stats(ei: Column, ek: Column, init: Column) -> Column:
-    """Fold the position pairs of two lexemes into ``struct(prod, cnt)``."""
-    def step(a, p, q):
-        same = p.pos == q.pos
-        f = F.lit(1.0) - F.sqrt(p.w * q.w * _word_distance(F.abs(p.pos - q.pos)))
-        return F.struct((a.prod * F.when(same, F.lit(1.0)).otherwise(f)).alias("prod"),
-                        (a.cnt + F.when(same, F.lit(0)).otherwise(F.lit(1))).alias("cnt"))
-    return F.aggregate(ei, init, lambda acc, p: F.aggregate(ek, acc, lambda a, q: step(a, p, q)))
-
-
 def rank_and_data(ents: Column) -> Column:
-    """``_rank_and`` over ``ARRAY<ARRAY<STRUCT<pos, w>>>`` (one per lexeme)."""
-    n = F.size(ents)
-    zero = F.struct(F.lit(1.0).alias("prod"), F.lit(0).alias("cnt"))
-    idx = F.filter(F.sequence(F.lit(1), F.greatest(n, F.lit(1))), lambda i: i >= 2)
-    st = F.aggregate(idx, zero, lambda acc, i: F.aggregate(
-        F.sequence(F.lit(1), i - 1), acc,
-        lambda a, k: _pair_stats(F.element_at(ents, i), F.element_at(ents, k), a)))
-    return F.when(st.cnt > 0, F.lit(1.0) - st.prod).otherwise(F.lit(1e-20))
+    """``_rank_and`` over ``ARRAY<ARRAY<STRUCT<pos, w>>>`` (one per lexeme).
+
+    The entries are flattened in lexeme order, each carrying the index where
+    the next lexeme's entries start; one fold then visits every pair of
+    entries of different lexemes exactly once, with scalar accumulators."""
+    sizes = F.transform(ents, lambda e: F.size(e))
+    starts = F.transform(sizes, lambda _s, i: F.aggregate(
+        F.slice(sizes, 1, i + 1), F.lit(0), lambda a, x: a + x) + 1)
+
+    def flat_of(b):
+        return F.flatten(F.transform(ents, lambda e, li: F.transform(e, lambda t: F.struct(
+            t.pos.alias("pos"), t.w.alias("w"), F.element_at(b.starts, li + 1).alias("nxt")))))
+
+    def body(b):
+        flat = b.flat
+        n = F.size(flat)
+
+        def later(p):
+            return F.slice(flat, p.nxt, F.greatest(n - p.nxt + 1, F.lit(0)))
+
+        def factor(p, q):
+            return F.when(p.pos == q.pos, F.lit(1.0)).otherwise(
+                F.lit(1.0) - F.sqrt(p.w * q.w * _word_distance(F.abs(p.pos - q.pos))))
+        prod = F.aggregate(flat, F.lit(1.0), lambda acc, p: acc * F.aggregate(
+            later(p), F.lit(1.0), lambda a, q: a * factor(p, q)))
+        any_pair = F.exists(flat, lambda p: F.exists(later(p), lambda q: q.pos != p.pos))
+        return F.when(any_pair, F.lit(1.0) - prod).otherwise(F.lit(1e-20))
+    return let({"starts": starts}, lambda b0: let({"flat": flat_of(b0)}, body))
 
 
 def rank_or_data(ents: Column) -> Column:

@@ -44,11 +44,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
     On a cluster this setting names durable shared storage and is used as is.
     Only when it is unset (tests, a laptop) do we create a scratch folder and
     register it, so that ``DataFrame.checkpoint()`` works."""
-    d = spark.conf.get(CHECKPOINT_KEY, None) or spark.sparkContext.getCheckpointDir()
+    sc = spark.sparkContext
+    d = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not d:
+        # the setting is fixed once the context runs; register the folder
+        # with the context only
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, d)
-    sc = spark.sparkContext
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(d)
     return d.rstrip("/")

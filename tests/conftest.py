@@ -16,8 +16,8 @@ def spark():
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="quarry-test-ckpt-"))
+    from quarry.session import checkpoint_dir
+    checkpoint_dir(s)  # the configured folder; a scratch one only where unset
     yield s
 
 
