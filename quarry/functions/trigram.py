@@ -8,7 +8,7 @@ set of distinct grams of all words. Similarity = shared / all grams.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry import config
@@ -58,3 +58,31 @@ def similarity_to(a: Column, literal: str) -> Column:
 def fuzzy_match(a: Column, literal: str, threshold: float = config.TRIGRAM_THRESHOLD) -> Column:
     """The ``%`` test: similarity at least the threshold."""
     return similarity_to(a, literal) >= F.lit(float(threshold))
+
+
+MAX_LOOKUP_ROWS = 1_000_000     # lookup terms broadcast to every task
+MAX_LOOKUP_GRAMS = 20_000_000   # and their (term, gram) rows
+
+
+def fuzzy_join(table: DataFrame, key: str, col: str, lookup: DataFrame, term: str,
+               threshold: float = config.TRIGRAM_THRESHOLD) -> DataFrame:
+    """Rows of ``table`` whose ``col`` is similar (>= threshold) to a term of
+    ``lookup``: ``key, term, sim``. The join form of the trigram index: grams
+    of both sides are exploded and equi-joined on the gram, shared grams are
+    counted per pair (partial aggregation before the shuffle), and the
+    similarity is ``shared / (|A| + |B| - shared)``. Only pairs that share a
+    gram are formed, at most one per lookup term for a row; the lookup side is
+    broadcast after its size is checked, otherwise both sides shuffle on the
+    gram and AQE splits hot grams."""
+    terms = lookup.select(F.col(term).alias("term")).where(F.col("term").isNotNull()).distinct()
+    tg = terms.select("term", grams(F.col("term")).alias("g"))
+    tg = tg.select("term", F.size("g").alias("nb"), F.explode("g").alias("gram"))
+    st = tg.agg(F.countDistinct("term").alias("t"), F.count("*").alias("n")).collect()[0]
+    if int(st["t"]) <= MAX_LOOKUP_ROWS and int(st["n"]) <= MAX_LOOKUP_GRAMS:
+        tg = F.broadcast(tg)
+    rows = table.select(F.col(key).alias("_k"), grams(F.col(col)).alias("g"))
+    rg = rows.select("_k", F.size("g").alias("na"), F.explode("g").alias("gram"))
+    shared = rg.join(tg, "gram").groupBy("_k", "term", "na", "nb").agg(F.count("*").alias("s"))
+    sim = F.col("s") / (F.col("na") + F.col("nb") - F.col("s"))
+    return shared.select(F.col("_k").alias(key), "term", sim.alias("sim")) \
+                 .where(F.col("sim") >= F.lit(float(threshold)))

@@ -89,3 +89,18 @@ def trigram_pairs(spark, sf):
     p = spark.read.parquet(f"{sf}/part.parquet")
     return p.select("p_partkey", F.round(tg.similarity_to(F.col("p_name"), "blue gear"), 6).alias("sim_a"),
                     F.round(tg.similarity(F.col("p_name"), F.col("p_type")), 6).alias("sim_b"))
+
+
+@register("trigram_join", f"""
+WITH pg AS (SELECT p_partkey, {_grams_sql('p_name')} AS a FROM part),
+tt AS (SELECT DISTINCT p_type AS term FROM part WHERE p_type IS NOT NULL),
+tg AS (SELECT term, {_grams_sql('term')} AS b FROM tt),
+s AS (SELECT p_partkey, term, CASE WHEN len(list_distinct(list_concat(a, b))) = 0 THEN 0.0
+             ELSE len(list_intersect(a, b)) / len(list_distinct(list_concat(a, b))) END AS sim FROM pg, tg)
+SELECT p_partkey, term, round(sim, 6) AS sim FROM s WHERE sim >= 0.08""")
+def trigram_join(spark, sf):
+    """L12 join form: part names similar to any part type (the lookup is
+    derived from the table and size-checked before it is broadcast)."""
+    p = spark.read.parquet(f"{sf}/part.parquet")
+    j = tg.fuzzy_join(p, "p_partkey", "p_name", p, "p_type")
+    return j.select("p_partkey", "term", F.round("sim", 6).alias("sim"))
