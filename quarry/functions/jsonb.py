@@ -85,9 +85,10 @@ def json_has_key(meta: Column, key: str) -> Column:
     return F.coalesce(F.array_contains(F.json_object_keys(meta), key), F.lit(False))
 
 
-def merge_metadata(base: Column, extra: dict[str, Column]) -> Column:
+def merge_metadata(base: Column, extra: dict[str, Column], optional: tuple[str, ...] = ()) -> Column:
     """M1 + M2: all keys of the JSON object ``base``, then ``extra``'s keys,
     the later ones winning; serialised back to a JSON string (non-ASCII kept).
+    Keys named in ``optional`` are left out where their value is NULL.
 
     ``map_concat`` refuses duplicate keys, so clashing keys are filtered out
     of the base first."""
@@ -96,6 +97,8 @@ def merge_metadata(base: Column, extra: dict[str, Column]) -> Column:
                    F.create_map().cast("map<string,variant>"))
     kept = F.map_filter(m, lambda k, v: ~k.isin(*names))
     add = F.create_map(*[x for n in names for x in (F.lit(n), extra[n].cast("variant"))])
+    if optional:
+        add = F.map_filter(add, lambda k, v: v.isNotNull() | ~k.isin(*optional))
     return F.to_json(F.map_concat(kept, add))
 
 

@@ -85,7 +85,8 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
             exp = qs.withColumn("_query_expanded", F.concat(F.col("_query"), F.lit(" ")))
         chunks = chunks.join(exp.select("parent", "_query_expanded"), "parent", "left")
         extra = {"__query": F.col("_query"), "__query_expanded": F.col("_query_expanded"), **extra}
-    meta = jsonb.merge_metadata(F.col("_meta"), extra)
+    # __query only where the file has one, its expansion only where non-empty
+    meta = jsonb.merge_metadata(F.col("_meta"), extra, optional=("__query", "__query_expanded"))
     with_meta = chunks.withColumn("metadata", meta)
     embedded = emb.embed(with_meta, "content", dim, embedder)
     if drop_failed:

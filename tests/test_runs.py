@@ -55,3 +55,24 @@ def test_entry_and_registry(spark):
     assert set(sql) <= set(qs) and len(qs) >= 80
     assert set(qs) - set(sql) == {"ivf_probe", "lsh_knn"}
     assert os.path.isdir(SF)
+
+
+def test_query_expansion_in_every_chunk(spark):
+    """The file's query and its expansion are in the metadata of every
+    chunk of that file; files without a query get neither key."""
+    import json
+    d = docs(spark).withColumn("q", F.when(F.col("parent") == "b.pdf", F.lit("Paragraph filter"))
+                                     .otherwise(F.lit(None)))
+    syn = spark.createDataFrame([("paragraph", 1, 1, "passage"), ("paragraph", 1, 2, "para_graph"),
+                                 ("filter", 1, 1, "sieve")],
+                                "token string, synset_rank int, lemma_rank int, lemma string")
+    res = ingest.prepare(d, "parent", "text", dim=8, max_tokens=40, query_col="q", synonyms=syn)
+    rows = res.chunks.select("parent", "chunk_index", "metadata").collect()
+    b = [json.loads(r.metadata) for r in rows if r.parent == "b.pdf"]
+    assert len(b) > 1
+    assert all(m["__query"] == "Paragraph filter" for m in b)
+    assert all(m["__query_expanded"] == "Paragraph filter para graph passage sieve" for m in b)
+    assert all(m["__parent"] == "b.pdf" for m in b)
+    assert sorted(m["__chunk_index"] for m in b) == list(range(len(b)))
+    others = [json.loads(r.metadata) for r in rows if r.parent != "b.pdf"]
+    assert all("__query" not in m for m in others)
