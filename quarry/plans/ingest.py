@@ -37,7 +37,8 @@ CHUNK_SCHEMA = T.StructType([
     T.StructField("created_at", T.TimestampType(), True),
     T.StructField("dim", T.IntegerType(), False),
 ])
-STATUS_SCHEMA = "parent string, status string, n_chunks long"
+# One row per input and run; ``run_max_id`` is the largest id the run assigned.
+STATUS_SCHEMA = "parent string, status string, n_chunks long, run_max_id long"
 
 
 @dataclass
@@ -46,16 +47,45 @@ class IngestResult:
     statuses: DataFrame
 
 
-def max_id(spark: SparkSession, table_path: str | None) -> int:
-    """Largest id so far (0 for a new table): ids stay unique across
-    dimensions, like one shared sequence."""
-    if not table_path:
-        return 0
+def _read(spark: SparkSession, path: str | None, schema: T.StructType | None = None) -> DataFrame | None:
+    """A table, or None if nothing was written yet. The small status table
+    merges the schemas of its files; the chunk table has a fixed one."""
+    if not path:
+        return None
     try:
-        r = spark.read.parquet(table_path).agg(F.max("id")).collect()[0][0]
-    except Exception:  # noqa: BLE001 - no table yet
+        if schema is not None:
+            return spark.read.schema(schema).parquet(path)
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    except Exception:  # noqa: BLE001 - nothing written yet
+        return None
+
+
+def recorded_max_id(spark: SparkSession, status_path: str | None) -> int:
+    """The largest id recorded by a finished run (0 if none)."""
+    st = _read(spark, status_path)
+    if st is None or "run_max_id" not in st.columns:
         return 0
-    return int(r or 0)
+    return int(st.agg(F.max("run_max_id")).collect()[0][0] or 0)
+
+
+def _unrecorded(spark: SparkSession, table_path: str | None, base: int) -> DataFrame | None:
+    """Chunk rows above the recorded mark: those of a run that stopped after
+    writing its chunks but before its status rows. Ids grow run by run and
+    each file holds a contiguous id range, so the pushed ``id > base`` skips
+    every file of the earlier runs by its min/max statistics: the chunk
+    table is never scanned whole."""
+    t = _read(spark, table_path, CHUNK_SCHEMA)
+    return None if t is None else t.where(F.col("id") > F.lit(int(base)))
+
+
+def max_id(spark: SparkSession, table_path: str | None, status_path: str | None = None) -> int:
+    """Largest id so far (0 for a new table): ids stay unique across
+    dimensions, like one shared sequence."""
+    base = recorded_max_id(spark, status_path)
+    t = _unrecorded(spark, table_path, base)
+    if t is None:
+        return base
+    return max(base, int(t.agg(F.max("id")).collect()[0][0] or 0))
 
 
 def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column | None = None,
@@ -119,15 +149,21 @@ def read_chunks(spark: SparkSession, table_path: str, dim: int | None = None) ->
 
 
 def ledger(spark: SparkSession, table_path: str, status_path: str) -> DataFrame:
-    """every parent already handled: those with chunks, and those that
-    were rejected or produced no chunk (from the status table)."""
-    parents = spark.read.parquet(table_path).select("parent")
-    try:
-        st = spark.read.parquet(status_path).select("parent")
-        parents = parents.unionByName(st)
-    except Exception:  # noqa: BLE001 - no status table yet
-        pass
-    return parents.distinct()
+    """every parent already handled: those in the status table (stored,
+    rejected or without chunks) and those of chunks above the recorded mark."""
+    parts = []
+    st = _read(spark, status_path)
+    if st is not None:
+        parts.append(st.select("parent"))
+    t = _unrecorded(spark, table_path, recorded_max_id(spark, status_path))
+    if t is not None:
+        parts.append(t.select("parent"))
+    if not parts:
+        return spark.createDataFrame([], "parent string")
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.distinct()
 
 
 def new_inputs(batch: DataFrame, done: DataFrame, key: str = "parent") -> DataFrame:
@@ -136,17 +172,28 @@ def new_inputs(batch: DataFrame, done: DataFrame, key: str = "parent") -> DataFr
     return batch.join(d, batch[key].cast("string") == d["_done"], "left_anti")
 
 
+def record_run(spark: SparkSession, statuses: DataFrame, table_path: str, first_id: int,
+               status_path: str, **cols: Column) -> None:
+    """Append the run's status rows with the largest id it wrote (read back
+    from this run's files only)."""
+    t = _unrecorded(spark, table_path, int(first_id) - 1)
+    top = None if t is None else t.agg(F.max("id")).collect()[0][0]
+    run_max = max(int(first_id) - 1, int(top or 0))
+    out = statuses.withColumn("run_max_id", F.lit(run_max).cast("long"))
+    for k, c in cols.items():
+        out = out.withColumn(k, c)
+    out.write.mode("append").parquet(status_path)
+
+
 def run(spark: SparkSession, docs: DataFrame, table_path: str, status_path: str,
         parent_col: str = "parent", text_col: str = "text", **kw) -> IngestResult:
     """ingest everything new in ``docs`` and append it. Re-running with the
     same input adds nothing."""
-    try:
-        done = ledger(spark, table_path, status_path)
-        docs = new_inputs(docs.withColumnRenamed(parent_col, "parent"), done).withColumnRenamed(
-            "parent", parent_col)
-    except Exception:  # noqa: BLE001 - first run, no table yet
-        pass
-    res = prepare(docs, parent_col, text_col, first_id=max_id(spark, table_path) + 1, **kw)
+    done = ledger(spark, table_path, status_path)
+    docs = new_inputs(docs.withColumnRenamed(parent_col, "parent"), done).withColumnRenamed(
+        "parent", parent_col)
+    first = max_id(spark, table_path, status_path) + 1
+    res = prepare(docs, parent_col, text_col, first_id=first, **kw)
     write_chunks(res.chunks, table_path)
-    res.statuses.write.mode("append").parquet(status_path)
+    record_run(spark, res.statuses, table_path, first, status_path)
     return IngestResult(read_chunks(spark, table_path), spark.read.parquet(status_path))

@@ -20,12 +20,13 @@ from quarry.functions.util import spread
 from quarry.plans import ingest
 
 
-def _done_batches(spark: SparkSession, status_path: str) -> set[int]:
-    try:
-        rows = spark.read.parquet(status_path).select("batch_id").distinct().collect()
-    except Exception:  # noqa: BLE001 - nothing written yet
-        return set()
-    return {int(r[0]) for r in rows if r[0] is not None}
+def _batch_done(spark: SparkSession, status_path: str, batch_id: int) -> bool:
+    """Whether a retried micro-batch was already stored (one pruned lookup,
+    not the set of all batch ids on the driver)."""
+    st = ingest._read(spark, status_path)
+    if st is None or "batch_id" not in st.columns:
+        return False
+    return st.where(F.col("batch_id") == F.lit(int(batch_id))).limit(1).count() > 0
 
 
 def start(spark: SparkSession, source_dir: str, schema: T.StructType, table_path: str,
@@ -40,20 +41,16 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType, table_path
     stream = reader.load(source_dir)
 
     def batch(df: DataFrame, batch_id: int) -> None:
-        if batch_id in _done_batches(spark, status_path):
+        if _batch_done(spark, status_path, batch_id):
             return
-        docs = spread(df)
-        try:
-            docs = ingest.new_inputs(docs.withColumnRenamed(parent_col, "parent"),
-                                     ingest.ledger(spark, table_path, status_path)) \
-                .withColumnRenamed("parent", parent_col)
-        except Exception:  # noqa: BLE001 - first batch, no table yet
-            pass
-        res = ingest.prepare(docs, parent_col, text_col,
-                             first_id=ingest.max_id(spark, table_path) + 1, **prepare_kw)
+        done = ingest.ledger(spark, table_path, status_path)
+        docs = ingest.new_inputs(spread(df).withColumnRenamed(parent_col, "parent"), done) \
+            .withColumnRenamed("parent", parent_col)
+        first = ingest.max_id(spark, table_path, status_path) + 1
+        res = ingest.prepare(docs, parent_col, text_col, first_id=first, **prepare_kw)
         ingest.write_chunks(res.chunks, table_path)
-        res.statuses.withColumn("batch_id", F.lit(int(batch_id))) \
-            .write.mode("append").parquet(status_path)
+        ingest.record_run(spark, res.statuses, table_path, first, status_path,
+                          batch_id=F.lit(int(batch_id)).cast("long"))
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")

@@ -76,3 +76,26 @@ def test_query_expansion_in_every_chunk(spark):
     assert sorted(m["__chunk_index"] for m in b) == list(range(len(b)))
     others = [json.loads(r.metadata) for r in rows if r.parent != "b.pdf"]
     assert all("__query" not in m for m in others)
+
+
+def test_rerun_after_stop_between_writes(spark, scratch):
+    """A run that wrote its chunks but not its status rows: the next run sees
+    those parents through the chunks above the recorded mark, adds nothing
+    for them, and continues the ids after them."""
+    t, s = scratch + "/chunks", scratch + "/status"
+    first = ingest.run(spark, docs(spark).where(F.col("parent") == "c.pdf"), t, s, dim=8, max_tokens=40)
+    n0 = first.chunks.count()
+    mark = ingest.recorded_max_id(spark, s)
+    assert mark == n0
+    res = ingest.prepare(docs(spark).where(F.col("parent") == "b.pdf"), "parent", "text", dim=8,
+                         max_tokens=40, first_id=mark + 1)
+    ingest.write_chunks(res.chunks, t)          # ...and stop before the status rows
+    n1 = ingest.read_chunks(spark, t).count()
+    assert n1 > n0 and ingest.max_id(spark, t, s) == n1
+    again = ingest.run(spark, docs(spark), t, s, dim=8, max_tokens=40)
+    rows = again.chunks.collect()
+    assert sum(r.parent == "b.pdf" for r in rows) == n1 - n0        # b.pdf not added twice
+    ids = sorted(r.id for r in rows)
+    assert ids == list(range(1, len(ids) + 1))
+    plan = ingest._unrecorded(spark, t, mark)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(id," in plan                                 # pushed into the scan
