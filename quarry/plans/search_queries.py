@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quarry import config
 from quarry.functions import fulltext as ft
 from quarry.functions import jsonb
-from quarry.functions.util import spread
+from quarry.functions.util import let, spread
 from quarry.operators import search as S
 from quarry.plans.oracle_fulltext import (dist_sql, entries_ctes, lexical_sql, match_sql, q,
                                           rank_ctes, search_sql)
@@ -190,12 +190,14 @@ SELECT doc_id, count(*) AS n_words, count(DISTINCT w) AS n_lexemes, min(w) AS fi
 FROM (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\\p{L}\\p{N}]+')) AS w FROM documents)
 GROUP BY doc_id""")
 def tokenize(spark, sf):
-    d = spark.read.parquet(f"{sf}/documents.parquet")
-    w = d.select("doc_id", F.explode(ft.words(F.col("text"))).alias("w"))
-    return w.groupBy("doc_id").agg(F.count("*").alias("n_words"),
-                                   F.count_distinct("w").alias("n_lexemes"),
-                                   F.min("w").alias("first_lexeme"),
-                                   F.max("w").alias("last_lexeme"))
+    """L1 per document. ``doc_id`` is the table's key, so the statistics are
+    array functions inside each row: no word is exploded or shuffled.
+    Documents without a word have no row, as in the grouped form."""
+    d = spread(spark.read.parquet(f"{sf}/documents.parquet"))
+    stats = let({"w": ft.words(F.col("text"))}, lambda s: F.struct(
+        F.size(s.w).alias("n_words"), F.size(F.array_distinct(s.w)).alias("n_lexemes"),
+        F.array_min(s.w).alias("first_lexeme"), F.array_max(s.w).alias("last_lexeme")))
+    return d.select("doc_id", stats.alias("s")).select("doc_id", "s.*").where(F.col("n_words") > 0)
 
 
 @register("tsv_full", f"""
