@@ -33,41 +33,48 @@ MAX_QUERY_BYTES = 64 << 20       # and at most this many bytes of them
 
 def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
                 max_dist: float | None = None):
-    """Per task: the best ``k`` (distance, id) of every query over the task's
-    rows, kept across Arrow batches; yields at most ``queries x k`` rows. With
-    ``max_dist``, rows farther than it (and NaN distances) are left out."""
+    """Per task: the best ``k`` rows of every query over the task's rows, kept
+    across Arrow batches; yields at most ``queries x k`` rows. Rows sort by
+    (tier, distance, id) with tier 0 for a number, 1 for NaN (a zero vector's
+    cosine), 2 for a NULL vector: Spark's ascending order with NULL last.
+    With ``max_dist``, only tier-0 rows within it are kept."""
     def run(batches):
         qids, qmat = bq.value
         qn = np.linalg.norm(qmat, axis=1)
-        best_d = best_i = None
+        best = None
         for pdf in batches:
             if pdf.empty:
                 continue
-            m = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
+            vecs = pdf[vec_col].to_numpy()
             ids = pdf[id_col].to_numpy().astype(np.int64)
+            null = np.fromiter((v is None for v in vecs), dtype=bool, count=len(vecs))
+            m = np.zeros((len(vecs), qmat.shape[1]))
+            if (~null).any():
+                m[~null] = np.stack(vecs[~null]).astype(np.float64)
             dots = qmat @ m.T                              # (queries, rows)
             if metric == "cosine":
                 den = qn[:, None] * np.linalg.norm(m, axis=1)[None, :]
                 with np.errstate(divide="ignore", invalid="ignore"):
-                    d = np.where(den == 0, np.inf, 1.0 - dots / den)   # NaN sorts last
+                    d = 1.0 - dots / den
+                tier = np.where(den == 0, 1, 0)
             else:
                 d = -dots
+                tier = np.zeros(d.shape, dtype=np.int64)
+            tier = np.where(null[None, :], 2, tier)
+            d = np.where(tier == 0, d, 0.0)
             if max_dist is not None:
-                d = np.where(d <= max_dist, d, np.inf)
-            allid = np.broadcast_to(ids, d.shape)
-            if best_d is not None:
-                d = np.concatenate([best_d, d], axis=1)
-                allid = np.concatenate([best_i, allid], axis=1)
-            idx = np.lexsort((allid, d), axis=-1)[:, :min(k, d.shape[1])]
-            best_d = np.take_along_axis(d, idx, axis=1)
-            best_i = np.take_along_axis(allid, idx, axis=1)
-        if best_d is None:
+                tier = np.where((tier == 0) & (d <= max_dist), 0, 3)
+            cur = (tier, d, np.broadcast_to(ids, d.shape))
+            if best is not None:
+                cur = tuple(np.concatenate([b, c], axis=1) for b, c in zip(best, cur))
+            idx = np.lexsort((cur[2], cur[1], cur[0]), axis=-1)[:, :min(k, cur[0].shape[1])]
+            best = tuple(np.take_along_axis(a, idx, axis=1) for a in cur)
+        if best is None:
             return
-        kk = best_d.shape[1]
-        dist = best_d.reshape(-1)
-        out = pd.DataFrame({"qid": np.repeat(qids, kk), "id": best_i.reshape(-1),
-                            "dist": np.where(np.isinf(dist), np.nan, dist)})
-        yield out if max_dist is None else out[~np.isinf(dist)]
+        tier, d, i = (a.reshape(-1) for a in best)
+        out = pd.DataFrame({"qid": np.repeat(qids, best[0].shape[1]), "id": i,
+                            "dist": np.where(tier == 0, d, np.nan), "tier": tier.astype(np.int32)})
+        yield out[out["tier"] < 3]
     return run
 
 
@@ -101,14 +108,17 @@ def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
         qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in block])
         bq = spark.sparkContext.broadcast((qids, qmat))
         fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
-        parts.append(table.select(id_col, vec_col).mapInPandas(fn, "qid long, id long, dist double"))
+        parts.append(table.select(id_col, vec_col).mapInPandas(
+            fn, "qid long, id long, dist double, tier int"))
     if not parts:
         return spark.createDataFrame([], "qid long, id long, dist double")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
-    # Arrow turns NaN (a zero vector's cosine) into NULL; NaN again, sorted last
-    return cand.withColumn("dist", F.coalesce(F.col("dist"), F.lit(float("nan"))))
+    # Arrow turns NaN into NULL; the tier says which one it was
+    dist = F.when(F.col("tier") == 1, F.lit(float("nan"))).when(F.col("tier") == 2, F.lit(None)) \
+            .otherwise(F.col("dist"))
+    return cand.select("qid", "id", dist.cast("double").alias("dist"))
 
 
 def top_per_query(cand: DataFrame, k: int) -> DataFrame:

@@ -64,7 +64,8 @@ def vector_pool(chunks: DataFrame, query_embedding: Sequence[float], pool_size:
     scored = base.select("id", distance(metric, F.col("embedding"), query_embedding).alias("dist"))
     if max_dist is not None:
         scored = scored.where(F.col("dist") <= F.lit(float(max_dist)))
-    return scored.orderBy(F.col("dist").asc(), F.col("id").asc()).limit(int(pool_size))
+    # ascending puts NULL last (a NULL vector never takes a pool place first)
+    return scored.orderBy(F.col("dist").asc_nulls_last(), F.col("id").asc()).limit(int(pool_size))
 
 
 def _fetch_pool(chunks: DataFrame, pool: DataFrame, late: bool) -> DataFrame:
@@ -74,8 +75,9 @@ def _fetch_pool(chunks: DataFrame, pool: DataFrame, late: bool) -> DataFrame:
     rows = pool.collect()  # at most k*m rows, checked by the caller
     if not rows:
         return spark.createDataFrame([], "id long, dist double").join(chunks, "id")
-    pool_df = spark.createDataFrame([(int(r["id"]), float(r["dist"])) for r in rows],
-                                    "id long, dist double")
+    pool_df = spark.createDataFrame(
+        [(int(r["id"]), None if r["dist"] is None else float(r["dist"])) for r in rows],
+        "id long, dist double")
     fetched = chunks.where(F.col("id").isin([int(r["id"]) for r in rows]))
     return fetched.join(F.broadcast(pool_df), "id")
 

@@ -103,3 +103,13 @@ def test_mixed_dimensions_refused(spark):
                                "qid long, embedding array<float>, text string")
     with pytest.raises(ValueError):
         BS.batch_search(chunks(spark), qs, dims=(2, 3))
+
+
+def test_null_and_zero_vectors_order_like_single(spark):
+    rows = ROWS + [(8, "null vector at by", '{"lang": "en"}', None)]
+    df = spark.createDataFrame(rows, "id long, content string, metadata string, embedding array<float>")
+    kw = dict(match_count=8, pool_multiplier=1, min_score=-5.0)
+    got = BS.batch_search(df, queries(spark), dims=(2,), **kw)
+    for qid, v, text in QUERIES:
+        one = S.match_hybrid(df, f32(v), text, dims=(2,), **kw)
+        _same(_rows(got.where(got.qid == qid)), _rows(one))

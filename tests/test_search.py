@@ -107,3 +107,11 @@ def test_lsh_recall(spark):
     got = {r.id for r in ann.lsh_knn(t, v[0].tolist(), 10, bucket_length=2.0).collect()}
     exact = {r.id for r in S.vector_pool(t, v[0].tolist(), 10).collect()}
     assert 0 in got and len(got & exact) >= 5
+
+
+def test_null_vector_sorts_last_in_pool(spark):
+    rows = ROWS + [(9, "null vector", '{"lang": "en"}', None)]
+    df = spark.createDataFrame(rows, "id long, content string, metadata string, embedding array<float>")
+    pool = S.vector_pool(df, [1.0, 0.0], 6).collect()
+    assert [r.id for r in pool] == [1, 2, 3, 4, 5, 9]
+    assert [r.id for r in S.vector_pool(df, [1.0, 0.0], 5).collect()] == [1, 2, 3, 4, 5]
