@@ -142,13 +142,24 @@ def batch_knn(table: DataFrame, queries: DataFrame, k: int, qid_col: str = "qid"
 
 # --- IVF ---------------------------------------------------------------------
 def ivf_build(vectors: DataFrame, path: str, lists: int = config.IVF_LISTS, id_col: str = "id",
-              vec_col: str = "embedding", seed: int = 7, max_iter: int = 20):
-    """Q10 build: k-means (cosine) on the vectors, rows written partitioned by
-    ``list_id``. Returns the centroids (lists x dim, small)."""
+              vec_col: str = "embedding", seed: int = 7, max_iter: int = 20,
+              train_per_list: int | None = 50):
+    """Q10 build: k-means (cosine) centroids, then every row written
+    partitioned by its nearest list (``list_id``). The centroids are trained
+    on a seeded sample of about ``train_per_list`` rows per list, as an
+    IVF index build samples its training rows; ``None`` trains on all rows.
+    Every row is assigned and written either way. Returns the centroids
+    (lists x dim, small)."""
     feats = vectors.select(id_col, vec_col, array_to_vector(vec_col).alias("_f"))
+    train = feats
+    if train_per_list:
+        n = feats.count()
+        want = int(lists) * int(train_per_list)
+        if n > want:
+            train = feats.sample(fraction=min(1.0, 1.2 * want / n), seed=seed)
     km = KMeans(k=int(lists), featuresCol="_f", predictionCol="list_id", seed=seed,
                 maxIter=max_iter, distanceMeasure="cosine")
-    model = km.fit(feats)
+    model = km.fit(train)
     model.transform(feats).select(id_col, vec_col, "list_id") \
         .write.mode("overwrite").partitionBy("list_id").parquet(path)
     return [np.asarray(c, dtype=np.float64) for c in model.clusterCenters()]
