@@ -67,11 +67,15 @@ def _element_test(e: Any):
 def json_contains(meta: Column, filt: dict | str | None) -> Column:
     """M4: ``meta @> filt``. The filter is a driver literal compiled into a
     Column tree (no UDF); ``{}`` or None matches every object."""
+    return json_contains_variant(F.try_parse_json(meta), filt)
+
+
+def json_contains_variant(v: Column, filt: dict | str | None) -> Column:
+    """M4 on metadata already stored as VARIANT (no parse per row)."""
     if isinstance(filt, str):
         filt = json.loads(filt)
     if filt is None:
         filt = {}
-    v = F.try_parse_json(meta)
     return F.coalesce(_contains(v, filt), F.lit(False))
 
 

@@ -1,7 +1,7 @@
 """Many-query search and approximate indexes (Q9-Q11).
 
-Batch search multiplies Arrow batches of table vectors by the query matrix
-in numpy and keeps the best candidates per query inside each task, so only
+Batch search multiplies Arrow batches of table vectors (read as one matrix
+per batch, ``vector_scan``) by the query matrix in numpy and keeps the best candidates per query inside each task, so only
 ``queries x k x tasks`` rows are shuffled; no pair table is ever built. The
 query matrix is broadcast after a size check; more queries than one block
 holds run as several passes.
@@ -16,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
 from pyspark.ml.functions import array_to_vector
@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from quarry import config
 from quarry.operators import search as S
+from quarry.operators import vector_scan
 
 MAX_QUERY_BLOCK = 4096          # query vectors per broadcast block
 MAX_QUERY_BYTES = 64 << 20       # and at most this many bytes of them
@@ -34,47 +35,40 @@ MAX_QUERY_BYTES = 64 << 20       # and at most this many bytes of them
 def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
                 max_dist: float | None = None):
     """Per task: the best ``k`` rows of every query over the task's rows, kept
-    across Arrow batches; yields at most ``queries x k`` rows. Rows sort by
-    (tier, distance, id) with tier 0 for a number, 1 for NaN (a zero vector's
-    cosine), 2 for a NULL vector: Spark's ascending order with NULL last.
-    With ``max_dist``, only tier-0 rows within it are kept."""
+    across Arrow batches; yields at most ``queries x k`` rows. The batch's
+    vectors are read as one matrix (``vector_scan.vector_matrix``). Rows sort
+    by (tier, distance, id) with tier 0 for a number, 1 for NaN (a zero
+    vector's cosine), 2 for a NULL distance (a NULL vector or one of another
+    length): Spark's ascending order with NULL last. With ``max_dist``, only
+    tier-0 rows within it are kept."""
     def run(batches):
         qids, qmat = bq.value
-        qn = np.linalg.norm(qmat, axis=1)
         best = None
-        for pdf in batches:
-            if pdf.empty:
+        for b in batches:
+            if b.num_rows == 0:
                 continue
-            vecs = pdf[vec_col].to_numpy()
-            ids = pdf[id_col].to_numpy().astype(np.int64)
-            null = np.fromiter((v is None for v in vecs), dtype=bool, count=len(vecs))
-            m = np.zeros((len(vecs), qmat.shape[1]))
-            if (~null).any():
-                m[~null] = np.stack(vecs[~null]).astype(np.float64)
-            dots = qmat @ m.T                              # (queries, rows)
-            if metric == "cosine":
-                den = qn[:, None] * np.linalg.norm(m, axis=1)[None, :]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    d = 1.0 - dots / den
-                tier = np.where(den == 0, 1, 0)
-            else:
-                d = -dots
-                tier = np.zeros(d.shape, dtype=np.int64)
-            tier = np.where(null[None, :], 2, tier)
+            m, valid = vector_scan.vector_matrix(b.column(b.schema.get_field_index(vec_col)),
+                                                 qmat.shape[1])
+            ids = b.column(b.schema.get_field_index(id_col)).to_numpy(zero_copy_only=False) \
+                .astype(np.int64)
+            d, zero = vector_scan.distance_block(m, qmat, metric)
+            tier = np.where(~valid[None, :], 2, np.where(zero, 1, 0))
             d = np.where(tier == 0, d, 0.0)
             if max_dist is not None:
                 tier = np.where((tier == 0) & (d <= max_dist), 0, 3)
             cur = (tier, d, np.broadcast_to(ids, d.shape))
             if best is not None:
-                cur = tuple(np.concatenate([b, c], axis=1) for b, c in zip(best, cur))
+                cur = tuple(np.concatenate([x, c], axis=1) for x, c in zip(best, cur))
             idx = np.lexsort((cur[2], cur[1], cur[0]), axis=-1)[:, :min(k, cur[0].shape[1])]
             best = tuple(np.take_along_axis(a, idx, axis=1) for a in cur)
         if best is None:
             return
         tier, d, i = (a.reshape(-1) for a in best)
-        out = pd.DataFrame({"qid": np.repeat(qids, best[0].shape[1]), "id": i,
-                            "dist": np.where(tier == 0, d, np.nan), "tier": tier.astype(np.int32)})
-        yield out[out["tier"] < 3]
+        keep = tier < 3
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat(qids, best[0].shape[1])[keep]), pa.array(i[keep]),
+             pa.array(np.where(tier == 0, d, np.nan)[keep]), pa.array(tier[keep].astype(np.int32))],
+            ["qid", "id", "dist", "tier"])
     return run
 
 
@@ -108,7 +102,7 @@ def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
         qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in block])
         bq = spark.sparkContext.broadcast((qids, qmat))
         fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
-        parts.append(table.select(id_col, vec_col).mapInPandas(
+        parts.append(table.select(id_col, vec_col).mapInArrow(
             fn, "qid long, id long, dist double, tier int"))
     if not parts:
         return spark.createDataFrame([], "qid long, id long, dist double")

@@ -26,6 +26,7 @@ from quarry import config
 from quarry.functions import fulltext as ft
 from quarry.functions import jsonb
 from quarry.functions import vectors as vec
+from quarry.operators import vector_scan
 
 RESULT_SCHEMA = T.StructType([
     T.StructField("id", T.LongType()),
@@ -55,13 +56,18 @@ def distance(metric: str, emb: Column, q: Sequence[float]) -> Column:
 
 def vector_pool(chunks: DataFrame, query_embedding: Sequence[float], pool_size: int,
                 filter: dict | str | None = None, metric: str = "cosine",
-                max_dist: float | None = None) -> DataFrame:
+                max_dist: float | None = None, impl: str = "auto") -> DataFrame:
     """Q1 / Q2: ``id, dist`` of the first ``pool_size`` rows passing the
-    filter (and the distance floor), by distance then id."""
+    filter (and the distance floor), by distance then id. ``impl``: the
+    distance as a native expression or through Arrow (``vector_scan``);
+    ``auto`` takes Arrow from 256 dimensions up."""
     base = chunks
     if filter:
         base = base.where(jsonb.json_contains(F.col("metadata"), filter))
-    scored = base.select("id", distance(metric, F.col("embedding"), query_embedding).alias("dist"))
+    if vector_scan.choose(impl, len(query_embedding)) == "arrow":
+        scored = vector_scan.distances(base, query_embedding, metric)
+    else:
+        scored = base.select("id", distance(metric, F.col("embedding"), query_embedding).alias("dist"))
     if max_dist is not None:
         scored = scored.where(F.col("dist") <= F.lit(float(max_dist)))
     # ascending puts NULL last (a NULL vector never takes a pool place first)
@@ -88,7 +94,7 @@ def search(chunks: DataFrame, query_embedding: Sequence[float], query_text: str
            min_score: float = config.HYBRID_MIN_SCORE,
            pool_multiplier: int = config.POOL_MULTIPLIER, *, metric: str = "cosine",
            min_cos_sim: float | None = None, dims: Sequence[int] = config.SUPPORTED_DIMS,
-           dictionary: str = "simple", late: bool = True) -> DataFrame:
+           dictionary: str = "simple", late: bool = True, impl: str = "auto") -> DataFrame:
     """Shared body of Q7 and Q8. Returns ``id, content, metadata, score``."""
     dim = route_dimension(query_embedding, dims)
     if "dim" in chunks.columns:
@@ -97,7 +103,7 @@ def search(chunks: DataFrame, query_embedding: Sequence[float], query_text: str
     if pool_size > MAX_POOL:
         raise ValueError(f"pool of {pool_size} rows exceeds {MAX_POOL}")
     max_dist = None if min_cos_sim is None else 1.0 - float(min_cos_sim)
-    pool = vector_pool(chunks, query_embedding, pool_size, filter, metric, max_dist)
+    pool = vector_pool(chunks, query_embedding, pool_size, filter, metric, max_dist, impl)
     rows = _fetch_pool(chunks, pool, late)
     tsv = F.col("tsv") if "tsv" in chunks.columns else \
         ft.text_vector(F.col("content"), jsonb.jsonb_text(F.col("metadata")), dictionary)

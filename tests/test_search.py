@@ -115,3 +115,22 @@ def test_null_vector_sorts_last_in_pool(spark):
     pool = S.vector_pool(df, [1.0, 0.0], 6).collect()
     assert [r.id for r in pool] == [1, 2, 3, 4, 5, 9]
     assert [r.id for r in S.vector_pool(df, [1.0, 0.0], 5).collect()] == [1, 2, 3, 4, 5]
+
+
+def test_arrow_and_native_pools_agree(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, "t", "{}", [float(x) for x in rng.normal(size=300).astype(np.float32)]) for i in range(60)]
+    rows += [(60, "t", "{}", [0.0] * 300), (61, "t", "{}", None), (62, "t", "{}", [1.0] * 7),
+             (63, "t", "{}", rows[5][3])]                       # a tie with row 5
+    df = spark.createDataFrame(rows, "id long, content string, metadata string, embedding array<float>")
+    q = [float(x) for x in rng.normal(size=300)]
+    for metric in ("cosine", "inner"):
+        for md in (None, 0.9):
+            a = S.vector_pool(df, q, 64, metric=metric, max_dist=md, impl="arrow").collect()
+            n = S.vector_pool(df, q, 64, metric=metric, max_dist=md, impl="native").collect()
+            assert [r.id for r in a] == [r.id for r in n]
+            for x, y in zip(a, n):
+                assert (x.dist is None and y.dist is None) or (math.isnan(x.dist) and math.isnan(y.dist)) \
+                    or abs(x.dist - y.dist) < 1e-9
+    plan = S.vector_pool(df, q, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan and "MapInArrow" in plan
