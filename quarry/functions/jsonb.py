@@ -70,6 +70,15 @@ def json_contains(meta: Column, filt: dict | str | None) -> Column:
     return json_contains_variant(F.try_parse_json(meta), filt)
 
 
+def metadata_filter(df, filt: dict | str | None) -> Column:
+    """M4 over a chunk table: the stored VARIANT ``meta_v`` where there is
+    one, the JSON text ``metadata`` parsed otherwise."""
+    if "meta_v" in df.columns:
+        return json_contains_variant(
+            F.coalesce(F.col("meta_v"), F.try_parse_json(F.col("metadata"))), filt)
+    return json_contains(F.col("metadata"), filt)
+
+
 def json_contains_variant(v: Column, filt: dict | str | None) -> Column:
     """M4 on metadata already stored as VARIANT (no parse per row)."""
     if isinstance(filt, str):

@@ -95,7 +95,7 @@ def batch_search(chunks: DataFrame, queries: DataFrame, match_count: int = confi
     if "dim" in chunks.columns:
         chunks = chunks.where(F.col("dim") == F.lit(dim))
     pool_size = int(match_count) * int(pool_multiplier)
-    base = chunks.where(jsonb.json_contains(F.col("metadata"), filter)) if filter else chunks
+    base = chunks.where(jsonb.metadata_filter(chunks, filter)) if filter else chunks
     max_dist = None if min_cos_sim is None else 1.0 - float(min_cos_sim)
     cand = ann.knn_candidates(base, [(r[0], r[1]) for r in qrows], pool_size, "id", "embedding",
                               metric, max_dist)

@@ -63,7 +63,7 @@ def vector_pool(chunks: DataFrame, query_embedding: Sequence[float], pool_size:
     ``auto`` takes Arrow from 256 dimensions up."""
     base = chunks
     if filter:
-        base = base.where(jsonb.json_contains(F.col("metadata"), filter))
+        base = base.where(jsonb.metadata_filter(base, filter))
     if vector_scan.choose(impl, len(query_embedding)) == "arrow":
         scored = vector_scan.distances(base, query_embedding, metric)
     else:

@@ -30,6 +30,8 @@ CHUNK_SCHEMA = T.StructType([
     T.StructField("chunk_index", T.IntegerType(), False),
     T.StructField("content", T.StringType(), False),
     T.StructField("metadata", T.StringType(), False),
+    # the metadata parsed once at ingest: filters read it without parsing
+    T.StructField("meta_v", T.VariantType(), True),
     T.StructField("embedding", T.ArrayType(T.FloatType()), False),
     T.StructField("tsv", T.ArrayType(T.StructType([
         T.StructField("lexeme", T.StringType()), T.StructField("pos", T.IntegerType()),
@@ -126,7 +128,7 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
     out = numbered.select(
         (F.col("_rn") + F.lit(int(first_id) - 1)).cast("long").alias("id"),
         "parent", F.col("chunk_index").cast("int").alias("chunk_index"), "content", "metadata",
-        "embedding", tsv.alias("tsv"), F.current_timestamp().alias("created_at"),
+        F.try_parse_json("metadata").alias("meta_v"), "embedding", tsv.alias("tsv"), F.current_timestamp().alias("created_at"),
         F.lit(int(dim)).alias("dim"))
     counts = chunks.groupBy("parent").agg(F.count("*").alias("n_chunks"))
     statuses = (gated.select("parent", F.when(F.col("_gate") == "ok", F.lit("processed"))

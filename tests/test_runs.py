@@ -99,3 +99,20 @@ def test_rerun_after_stop_between_writes(spark, scratch):
     assert ids == list(range(1, len(ids) + 1))
     plan = ingest._unrecorded(spark, t, mark)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(id," in plan                                 # pushed into the scan
+
+
+def test_stored_variant_metadata_filters_like_text(spark, scratch):
+    """The chunk table keeps the metadata parsed (``meta_v``); a filtered
+    search over it equals the search over the JSON text alone."""
+    from quarry.operators import search as S
+    t, s = scratch + "/chunks", scratch + "/status"
+    d = docs(spark).withColumn("meta", F.when(F.col("parent") == "b.pdf", F.lit('{"lang": "en", "n": 1}'))
+                               .otherwise(F.lit('{"lang": "de"}')))
+    res = ingest.run(spark, d, t, s, dim=8, max_tokens=40, base_meta=F.col("meta"))
+    chunks = ingest.read_chunks(spark, t, 8)
+    assert chunks.where(F.col("meta_v").isNull()).count() == 0
+    q = [1.0] * 8
+    with_v = S.vector_pool(chunks, q, 50, {"lang": "en", "n": 1}).collect()
+    text_only = S.vector_pool(chunks.drop("meta_v"), q, 50, {"lang": "en", "n": 1}).collect()
+    assert [r.id for r in with_v] == [r.id for r in text_only] and len(with_v) > 0
+    assert res.statuses.count() == 3
