@@ -124,7 +124,10 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
     if drop_failed:
         embedded = embedded.where(~F.col("embed_failed"))
     tsv = ft.text_vector(F.col("content"), jsonb.jsonb_text(F.col("metadata")), dictionary)
-    numbered = number_within(embedded, [], [F.col("parent"), F.col("chunk_index")], out="_rn")
+    # only what the table needs is numbered (and so checkpointed): the
+    # optimizer cannot prune columns through the checkpoint
+    kept = embedded.select("parent", "chunk_index", "content", "metadata", "embedding")
+    numbered = number_within(kept, [], [F.col("parent"), F.col("chunk_index")], out="_rn")
     out = numbered.select(
         (F.col("_rn") + F.lit(int(first_id) - 1)).cast("long").alias("id"),
         "parent", F.col("chunk_index").cast("int").alias("chunk_index"), "content", "metadata",
