@@ -9,7 +9,7 @@ from quarry.functions import fulltext as ft
 from quarry.functions import jsonb
 from quarry.functions.util import let, spread
 from quarry.operators import search as S
-from quarry.plans.oracle_fulltext import (dist_sql, entries_ctes, lexical_sql, match_sql, q,
+from quarry.plans.oracle_fulltext import (dist_sql, entries_ctes, match_sql, q,
                                           rank_ctes, search_sql)
 from quarry.plans.registry import register
 from quarry.sources.testdata import (DOC_CHUNKS_SQL, doc_chunks, query_vector,

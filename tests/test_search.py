@@ -4,7 +4,6 @@ import math
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from quarry.operators import ann
 from quarry.operators import search as S
