@@ -20,6 +20,17 @@ from quarry.functions.util import let
 TokenCounter = Callable[[Column], Column]
 
 
+def token_limit(model=None, tokenizer=None, default: int = config.MAX_TOKENS) -> int:
+    """The chunk size of a plug-in model, decided once on the driver:
+    the model's ``max_seq_length``, else its tokenizer's
+    ``model_max_length``, else ``default``."""
+    n = getattr(model, "max_seq_length", None) if model is not None else None
+    if not n:
+        tok = tokenizer if tokenizer is not None else getattr(model, "tokenizer", None)
+        n = getattr(tok, "model_max_length", None) if tok is not None else None
+    return int(n) if n else int(default)
+
+
 def group_ids(ntoks: Column, max_tokens: int) -> Column:
     """T8's decisions: group number of each paragraph. A paragraph joins the
     open group while the group's count plus its own stays within the limit;

@@ -111,3 +111,11 @@ def test_char_windows(spark):
     t = "abcdefghij" * 5
     got = spark.createDataFrame([(t,)], "t string").select(ch.char_windows(F.col("t"), 20, 5)).first()[0]
     assert got[0] == t[:20] and got[1] == t[15:35] and got[-1].endswith(t[-1])
+
+
+def test_token_limit():
+    from types import SimpleNamespace as NS
+    assert ch.token_limit(NS(max_seq_length=384)) == 384
+    assert ch.token_limit(NS(max_seq_length=None, tokenizer=NS(model_max_length=512))) == 512
+    assert ch.token_limit(None, NS(model_max_length=128)) == 128
+    assert ch.token_limit(NS()) == ch.config.MAX_TOKENS
