@@ -95,20 +95,25 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
             max_tokens: int = config.MAX_TOKENS, overlap_ratio: float = config.WINDOW_OVERLAP_RATIO,
             min_chars: int = config.MIN_PARAGRAPH_CHARS, token_count=None,
             first_id: int = 1, dictionary: str = "simple", drop_failed: bool = True,
-            query_col: str | None = None, synonyms: DataFrame | None = None) -> IngestResult:
+            query_col: str | None = None, synonyms: DataFrame | None = None,
+            name_col: str | None = None) -> IngestResult:
     """F3/F4 as a plan over all documents at once. With ``query_col`` the
     file's query and its expansion (T12, T13) go into every chunk's metadata."""
     base = base_meta if base_meta is not None else F.lit("{}")
     gated = docs.select(F.col(parent_col).cast("string").alias("parent"), F.col(text_col).alias("_text"),
                         base.alias("_meta"),
                         *( [F.col(query_col).alias("_query")] if query_col else []),
+                        *( [F.col(name_col).alias("_name")] if name_col else []),
                         html.text_gate(F.col(text_col)).alias("_gate"))
     ok = gated.where(F.col("_gate") == "ok")
     kw = {} if token_count is None else {"token_count": token_count}
-    chunks = ch.hierarchical_chunks(ok, "_text", ["parent", "_meta"] + (["_query"] if query_col else []),
+    keys = ["parent", "_meta"] + (["_query"] if query_col else []) + (["_name"] if name_col else [])
+    chunks = ch.hierarchical_chunks(ok, "_text", keys,
                                     sep=sep, max_tokens=max_tokens, overlap_ratio=overlap_ratio,
                                     min_chars=min_chars, **kw)
-    extra = {"__parent": F.col("parent"), "__chunk_index": F.col("chunk_index")}
+    # __parent: the file's original name where given (name_col), else the key
+    extra = {"__parent": F.col("_name") if name_col else F.col("parent"),
+             "__chunk_index": F.col("chunk_index")}
     if query_col:
         qs = ok.select("parent", "_query").where(F.length("_query") > 0)
         if synonyms is not None:

@@ -94,3 +94,22 @@ def archive_names(df: DataFrame, archive_dir: str, path_col: str = "path") -> Da
         F.concat(stem, F.lit("_"), (F.col("_rn") - 1).cast("string"), ext))
     return n.withColumn("target", F.concat(F.lit(archive_dir.rstrip("/") + "/"), name)) \
             .drop("_base", "_rn")
+
+
+def file_documents(files: DataFrame, root: str, decode, done: DataFrame | None = None) -> DataFrame:
+    """F3's front over ``binaryFile`` rows (``path, content``): S1 (accepted
+    types, the archive subtree skipped), S3 (the cleaned path is the
+    document key ``parent``), inputs already handled (``done``, a ``parent``
+    column) left out before any decoding, then S7 through the user's
+    ``decode(bytes, path) -> text`` hook, once per file inside the task; a
+    failing file has no text, so the gate marks it ``error``. ``name`` is the
+    original base name, M1's ``__parent``."""
+    from quarry.sources.html import binary_extractor
+    q = files.select(F.regexp_replace("path", r"^file:(//)?", "").alias("path"), "content")
+    rows = inventory(q, root).withColumn("parent", normalize_name(F.col("path")))
+    if done is not None:
+        rows = rows.join(done.select("parent"), "parent", "left_anti")
+    text = binary_extractor(rows, decode)
+    return text.select(normalize_name(F.col("path")).alias("parent"), "text",
+                       base_name(F.col("path")).alias("name"))
+

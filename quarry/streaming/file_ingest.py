@@ -11,6 +11,8 @@ retried batch is not appended twice.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,11 +31,27 @@ def _batch_done(spark: SparkSession, status_path: str, batch_id: int) -> bool:
     return st.where(F.col("batch_id") == F.lit(int(batch_id))).limit(1).count() > 0
 
 
-def start(spark: SparkSession, source_dir: str, schema: T.StructType, table_path: str,
+BINARY_FILE_SCHEMA = T.StructType([
+    T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
+    T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
+
+
+def start(spark: SparkSession, source_dir: str, schema: T.StructType | None, table_path: str,
           status_path: str, checkpoint: str, parent_col: str, text_col: str,
           fmt: str = "parquet", glob: str | None = None, available_now: bool = True,
-          max_files_per_trigger: int | None = None, **prepare_kw) -> StreamingQuery:
+          max_files_per_trigger: int | None = None,
+          extract: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
+          **prepare_kw) -> StreamingQuery:
+    """Ingest the files of ``source_dir`` as they arrive. Rows are documents
+    (``parent_col``, ``text_col``), or, with ``extract(batch, done)``, turned
+    into documents per micro-batch (raw files: ``fmt="binaryFile"`` and
+    ``sources.files.file_documents``; ``done`` is the ledger, so handled
+    files are left out before decoding)."""
+    if schema is None and fmt == "binaryFile":
+        schema = BINARY_FILE_SCHEMA
     reader = spark.readStream.format(fmt).schema(schema)
+    if fmt == "binaryFile":
+        reader = reader.option("recursiveFileLookup", "true")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if max_files_per_trigger:
@@ -44,7 +62,10 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType, table_path
         if _batch_done(spark, status_path, batch_id):
             return
         done = ingest.ledger(spark, table_path, status_path)
-        docs = ingest.new_inputs(spread(df).withColumnRenamed(parent_col, "parent"), done) \
+        docs = spread(df)
+        if extract is not None:
+            docs = extract(docs, done)
+        docs = ingest.new_inputs(docs.withColumnRenamed(parent_col, "parent"), done) \
             .withColumnRenamed("parent", parent_col)
         first = ingest.max_id(spark, table_path, status_path) + 1
         res = ingest.prepare(docs, parent_col, text_col, first_id=first, **prepare_kw)

@@ -116,3 +116,45 @@ def test_stored_variant_metadata_filters_like_text(spark, scratch):
     text_only = S.vector_pool(chunks.drop("meta_v"), q, 50, {"lang": "en", "n": 1}).collect()
     assert [r.id for r in with_v] == [r.id for r in text_only] and len(with_v) > 0
     assert res.statuses.count() == 3
+
+
+def test_folder_of_files_stream(spark, scratch):
+    """F1/F3/F4 over raw files: accepted types only, the archive folder
+    skipped, names cleaned, a failing or short file marked 'error', equal
+    base names in two folders both kept; a re-run adds nothing and a new
+    file is picked up alone."""
+    import json
+    from quarry.sources import files
+    root = scratch + "/in"
+    long_text = ("A long enough paragraph of plain text for the gate and the chunker. " * 3 + "\n") * 2
+    put = {"a/one.pdf": long_text, "a/two .PDF": long_text.upper(), "b/one.pdf": long_text + "b",
+           "Processado/old.pdf": long_text, "c/short.pdf": "too short", "c/notes.txt": long_text}
+    for rel, text in put.items():
+        os.makedirs(os.path.dirname(f"{root}/{rel}"), exist_ok=True)
+        with open(f"{root}/{rel}", "w") as fh:
+            fh.write(text)
+    with open(f"{root}/c/bad.pdf", "wb") as fh:
+        fh.write(b"\xff\xfe not utf-8 " * 20)
+    t, s, ck = scratch + "/chunks", scratch + "/status", scratch + "/ck"
+
+    def run():
+        file_ingest.run_once(spark, root, None, t, s, ck, fmt="binaryFile", parent_col="parent",
+                             text_col="text", name_col="name", dim=8, max_tokens=40,
+                             extract=lambda df, done: files.file_documents(
+                                 df, root, lambda b, p: b.decode("utf-8"), done))
+    run()
+    st = {r.parent.split("/in/")[1]: r.status for r in spark.read.parquet(s).collect()}
+    assert st == {"a/one.pdf": "processed", "a/two.PDF": "processed", "b/one.pdf": "processed",
+                  "c/short.pdf": "error", "c/bad.pdf": "error"}
+    rows = ingest.read_chunks(spark, t).collect()
+    names = {r.parent.split("/in/")[1]: json.loads(r.metadata)["__parent"] for r in rows}
+    assert names == {"a/one.pdf": "one.pdf", "a/two.PDF": "two .PDF", "b/one.pdf": "one.pdf"}
+    n = len(rows)
+    run()
+    assert ingest.read_chunks(spark, t).count() == n
+    with open(f"{root}/b/three.pdf", "w") as fh:
+        fh.write(long_text)
+    run()
+    after = ingest.read_chunks(spark, t).collect()
+    assert {r.parent.split("/in/")[1] for r in after} - set(names) == {"b/three.pdf"}
+    assert sorted(r.id for r in after) == list(range(1, len(after) + 1))
