@@ -148,7 +148,10 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
 
 def write_chunks(chunks: DataFrame, table_path: str) -> None:
     """Append, partitioned by dimension. The job commit protocol makes
-    the append all-or-nothing per job."""
+    the append all-or-nothing per job. Rows built elsewhere get their parsed
+    metadata (``meta_v``) here, so every written table has it."""
+    if "meta_v" not in chunks.columns:
+        chunks = chunks.withColumn("meta_v", F.try_parse_json(F.col("metadata")))
     chunks.write.mode("append").partitionBy("dim").parquet(table_path)
 
 
