@@ -12,9 +12,12 @@ from quarry.functions import vectors as vec
 from quarry.functions.text import WORD_RE
 from quarry.functions.util import spread
 from quarry.operators import chunking as ch
+from quarry.operators import embedding as emb
 from quarry.operators import metrics as M
+from quarry.operators import search as S
 from quarry.plans import ingest
 from quarry.plans.chunk_queries import WS_SQL, chunks_ctes
+from quarry.plans.oracle_fulltext import search_sql
 from quarry.plans.registry import register
 from quarry.plans.vector_queries import DIM, hash_embed_sql
 from quarry.session import scratch_path
@@ -157,3 +160,28 @@ def stream_ingest(spark, sf):
                              glob="documents.parquet", **kw)
     t = ingest.read_chunks(spark, table)
     return t.groupBy(F.col("parent").cast("bigint").alias("doc_id")).agg(F.count("*").alias("n_chunks"))
+
+
+# Q7 on ingest's own output: the written chunk table (stored text vectors and
+# VARIANT metadata) searched with a hashed query vector and a JSON filter.
+_INGESTED_CHUNKS_SQL = _INGEST_SQL.split("\nSELECT row_number()")[0] + """
+SELECT row_number() OVER (ORDER BY cm.parent, cm.chunk_index) AS id, cm.content, cm.metadata,
+       hc.v AS embedding
+FROM cm JOIN hc ON hc.doc_id = cm.doc_id AND hc.chunk_index = cm.chunk_index"""
+_BENCH_QV_SQL = ("(WITH " + hash_embed_sql("benchmark", "item_id", "text", prefix="hq")
+                 + "\nSELECT v::DOUBLE[] FROM hq WHERE item_id = 0)")
+
+
+@register("search_ingested", search_sql(_INGESTED_CHUNKS_SQL, _BENCH_QV_SQL, "at by",
+                                        filter_json='{"lang": "en"}'))
+def search_ingested(spark, sf):
+    """S11 -> S12 -> Q7: ingest the documents, then the filtered hybrid search
+    over the written table, the way a deployment runs it."""
+    table, status = scratch_path(spark, "chunks"), scratch_path(spark, "status")
+    ingest.run(spark, _docs_for_ingest(spark, sf), table, status, parent_col="parent",
+               text_col="text", base_meta=F.col("meta"), dim=DIM, sep="\n")
+    b = spark.read.parquet(f"{sf}/benchmark.parquet").where(F.col("item_id") == 0)
+    qv = [float(x) for x in emb.embed(b, "text", DIM).select("embedding").collect()[0][0]]
+    out = S.match_hybrid(ingest.read_chunks(spark, table, DIM), qv, "at by",
+                         filter={"lang": "en"}, dims=(DIM,))
+    return out.select("id", "content", "metadata", F.round("score", 6).alias("score"))
