@@ -1,10 +1,10 @@
 """Many-query search and approximate indexes (Q9-Q11).
 
 Batch search multiplies Arrow batches of table vectors (read as one matrix
-per batch, ``vector_scan``) by the query matrix in numpy and keeps the best candidates per query inside each task, so only
+per batch, ``vector_scan``) by the query matrix in numpy, a block of queries
+at a time, and keeps the best candidates per query inside each task, so only
 ``queries x k x tasks`` rows are shuffled; no pair table is ever built. The
-query matrix is broadcast after a size check; more queries than one block
-holds run as several passes.
+query set is broadcast once after a size check, and the table is read once.
 
 IVF: MLlib k-means assigns every vector to a list; the table is written
 partitioned by list, and a search reads only the partitions of the nearest
@@ -28,22 +28,36 @@ from quarry import config
 from quarry.operators import search as S
 from quarry.operators import vector_scan
 
-MAX_QUERY_BLOCK = 4096          # query vectors per broadcast block
-MAX_QUERY_BYTES = 64 << 20       # and at most this many bytes of them
+MAX_QUERY_BYTES = 64 << 20       # the query set broadcast to every task
 
 
 def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
-                max_dist: float | None = None):
+                max_dist: float | None = None, block: int = 1024):
     """Per task: the best ``k`` rows of every query over the task's rows, kept
-    across Arrow batches; yields at most ``queries x k`` rows. The batch's
-    vectors are read as one matrix (``vector_scan.vector_matrix``). Rows sort
-    by (tier, distance, id) with tier 0 for a number, 1 for NaN (a zero
-    vector's cosine), 2 for a NULL distance (a NULL vector or one of another
-    length): Spark's ascending order with NULL last. With ``max_dist``, only
-    tier-0 rows within it are kept."""
+    across Arrow batches; yields at most ``queries x k`` rows. Each batch's
+    vectors are read as one matrix (``vector_scan.vector_matrix``) and
+    multiplied by the broadcast queries ``block`` at a time, so the product
+    stays small however many queries there are, and the table is read once.
+    Rows sort by (tier, distance, id) with tier 0 for a number, 1 for NaN (a
+    zero vector's cosine), 2 for a NULL distance (a NULL vector or one of
+    another length): Spark's ascending order with NULL last. With
+    ``max_dist``, only tier-0 rows within it are kept."""
+    def merge(best, m, valid, ids, qmat):
+        d, zero = vector_scan.distance_block(m, qmat, metric)
+        tier = np.where(~valid[None, :], 2, np.where(zero, 1, 0))
+        d = np.where(tier == 0, d, 0.0)
+        if max_dist is not None:
+            tier = np.where((tier == 0) & (d <= max_dist), 0, 3)
+        cur = (tier, d, np.broadcast_to(ids, d.shape))
+        if best is not None:
+            cur = tuple(np.concatenate([x, c], axis=1) for x, c in zip(best, cur))
+        idx = np.lexsort((cur[2], cur[1], cur[0]), axis=-1)[:, :min(k, cur[0].shape[1])]
+        return tuple(np.take_along_axis(a, idx, axis=1) for a in cur)
+
     def run(batches):
         qids, qmat = bq.value
-        best = None
+        starts = range(0, len(qids), block)
+        best = [None] * len(starts)
         for b in batches:
             if b.num_rows == 0:
                 continue
@@ -51,24 +65,17 @@ def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
                                                  qmat.shape[1])
             ids = b.column(b.schema.get_field_index(id_col)).to_numpy(zero_copy_only=False) \
                 .astype(np.int64)
-            d, zero = vector_scan.distance_block(m, qmat, metric)
-            tier = np.where(~valid[None, :], 2, np.where(zero, 1, 0))
-            d = np.where(tier == 0, d, 0.0)
-            if max_dist is not None:
-                tier = np.where((tier == 0) & (d <= max_dist), 0, 3)
-            cur = (tier, d, np.broadcast_to(ids, d.shape))
-            if best is not None:
-                cur = tuple(np.concatenate([x, c], axis=1) for x, c in zip(best, cur))
-            idx = np.lexsort((cur[2], cur[1], cur[0]), axis=-1)[:, :min(k, cur[0].shape[1])]
-            best = tuple(np.take_along_axis(a, idx, axis=1) for a in cur)
-        if best is None:
-            return
-        tier, d, i = (a.reshape(-1) for a in best)
-        keep = tier < 3
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.repeat(qids, best[0].shape[1])[keep]), pa.array(i[keep]),
-             pa.array(np.where(tier == 0, d, np.nan)[keep]), pa.array(tier[keep].astype(np.int32))],
-            ["qid", "id", "dist", "tier"])
+            for n, s0 in enumerate(starts):
+                best[n] = merge(best[n], m, valid, ids, qmat[s0:s0 + block])
+        for n, s0 in enumerate(starts):
+            if best[n] is None:
+                continue
+            tier, d, i = (a.reshape(-1) for a in best[n])
+            keep = tier < 3
+            q = np.repeat(qids[s0:s0 + block], best[n][0].shape[1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(q[keep]), pa.array(i[keep]), pa.array(np.where(tier == 0, d, np.nan)[keep]),
+                 pa.array(tier[keep].astype(np.int32))], ["qid", "id", "dist", "tier"])
     return run
 
 
@@ -92,23 +99,16 @@ def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
                    vec_col: str = "embedding", metric: str = "cosine",
                    max_dist: float | None = None) -> DataFrame:
     """``qid, id, dist``: the best ``k`` rows of every task for every query of
-    ``qrows`` (``(qid, vector)`` pairs on the driver); one pass over the table
-    per block of ``MAX_QUERY_BLOCK`` queries."""
+    ``qrows`` (``(qid, vector)`` pairs on the driver, already size-checked):
+    one broadcast, one pass over the table."""
     spark = table.sparkSession
-    parts = []
-    for s in range(0, len(qrows), MAX_QUERY_BLOCK):
-        block = qrows[s:s + MAX_QUERY_BLOCK]
-        qids = np.array([int(r[0]) for r in block], dtype=np.int64)
-        qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in block])
-        bq = spark.sparkContext.broadcast((qids, qmat))
-        fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
-        parts.append(table.select(id_col, vec_col).mapInArrow(
-            fn, "qid long, id long, dist double, tier int"))
-    if not parts:
+    if not qrows:
         return spark.createDataFrame([], "qid long, id long, dist double")
-    cand = parts[0]
-    for p in parts[1:]:
-        cand = cand.unionByName(p)
+    qids = np.array([int(r[0]) for r in qrows], dtype=np.int64)
+    qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in qrows])
+    bq = spark.sparkContext.broadcast((qids, qmat))
+    fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
+    cand = table.select(id_col, vec_col).mapInArrow(fn, "qid long, id long, dist double, tier int")
     # Arrow turns NaN into NULL; the tier says which one it was
     dist = F.when(F.col("tier") == 1, F.lit(float("nan"))).when(F.col("tier") == 2, F.lit(None)) \
             .otherwise(F.col("dist"))
@@ -127,8 +127,7 @@ def batch_knn(table: DataFrame, queries: DataFrame, k: int, qid_col: str = "qid"
               metric: str = "cosine", max_dist: float | None = None) -> DataFrame:
     """Q9: for every query, its ``k`` nearest rows by (distance, id):
     ``qid, id, dist, rank``. The query set is size-checked before it is
-    collected and broadcast, one block of at most ``MAX_QUERY_BLOCK`` at a
-    time; each block is one more pass over the table."""
+    collected and broadcast; the table is read once whatever its size."""
     qrows = collect_queries(queries, [qid_col, qvec_col], qvec_col)
     cand = knn_candidates(table, qrows, k, id_col, vec_col, metric, max_dist)
     return top_per_query(cand, k)

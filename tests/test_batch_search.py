@@ -113,3 +113,26 @@ def test_null_and_zero_vectors_order_like_single(spark):
     for qid, v, text in QUERIES:
         one = S.match_hybrid(df, f32(v), text, dims=(2,), **kw)
         _same(_rows(got.where(got.qid == qid)), _rows(one))
+
+
+def test_many_query_blocks_one_pass(spark):
+    """More queries than one product block: same answer as brute force, and
+    one scan of the table in the plan."""
+    import numpy as np
+    from quarry.operators import ann
+    rng = np.random.default_rng(5)
+    vecs = rng.normal(size=(300, 4)).astype(np.float32)
+    qs = rng.normal(size=(2500, 4))
+    t = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(vecs)],
+                              "id long, embedding array<float>")
+    q = spark.createDataFrame([(i, [float(x) for x in v]) for i, v in enumerate(qs)],
+                              "qid long, embedding array<float>")
+    got = {(r.qid, r.rank): r.id for r in ann.batch_knn(t, q, 3).collect()}
+    v64 = vecs.astype(np.float64)
+    d = 1 - (qs @ v64.T) / (np.linalg.norm(qs, axis=1)[:, None] * np.linalg.norm(v64, axis=1)[None, :])
+    for qi in range(0, 2500, 97):
+        order = sorted(range(300), key=lambda j: (d[qi, j], j))[:3]
+        assert [got[(qi, r)] for r in (1, 2, 3)] == order
+    qrows = ann.collect_queries(q, ["qid", "embedding"])
+    plan = ann.knn_candidates(t, qrows, 3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan ExistingRDD") + plan.count("Scan parquet") == 1
