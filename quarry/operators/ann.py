@@ -97,10 +97,17 @@ def collect_queries(queries: DataFrame, cols: Sequence[str], qvec_col: str = "em
 
 def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
                    vec_col: str = "embedding", metric: str = "cosine",
-                   max_dist: float | None = None) -> DataFrame:
+                   max_dist: float | None = None, scan_tasks: int | None = None) -> DataFrame:
     """``qid, id, dist``: the best ``k`` rows of every task for every query of
     ``qrows`` (``(qid, vector)`` pairs on the driver, already size-checked):
-    one broadcast, one pass over the table."""
+    one broadcast, one pass over the table.
+
+    Every task sends ``queries x k`` candidates to the shuffle, so the scan
+    runs as one wave of ``scan_tasks`` tasks (default: twice the cluster's
+    cores; ``coalesce``, no shuffle): each streams through more files, with
+    the same small state, and the candidate count stops growing with the
+    table (100 TB in 200,000 splits would otherwise shuffle 10^10 rows for
+    1,000 queries of k = 50)."""
     spark = table.sparkSession
     if not qrows:
         return spark.createDataFrame([], "qid long, id long, dist double")
@@ -108,7 +115,11 @@ def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
     qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in qrows])
     bq = spark.sparkContext.broadcast((qids, qmat))
     fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
-    cand = table.select(id_col, vec_col).mapInArrow(fn, "qid long, id long, dist double, tier int")
+    src = table.select(id_col, vec_col)
+    n = scan_tasks or 2 * spark.sparkContext.defaultParallelism
+    if src.rdd.getNumPartitions() > n:
+        src = src.coalesce(n)
+    cand = src.mapInArrow(fn, "qid long, id long, dist double, tier int")
     # Arrow turns NaN into NULL; the tier says which one it was
     dist = F.when(F.col("tier") == 1, F.lit(float("nan"))).when(F.col("tier") == 2, F.lit(None)) \
             .otherwise(F.col("dist"))

@@ -136,3 +136,18 @@ def test_many_query_blocks_one_pass(spark):
     qrows = ann.collect_queries(q, ["qid", "embedding"])
     plan = ann.knn_candidates(t, qrows, 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") + plan.count("Scan parquet") == 1
+
+
+def test_candidate_scan_is_one_wave(spark):
+    """Past ``scan_tasks`` splits the vector scan is coalesced (no shuffle),
+    so the candidates do not grow with the number of splits; same answer."""
+    from quarry.operators import ann
+    t = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(200)],
+                              "id long, embedding array<float>").repartition(12)
+    qrows = [(1, [1.0, 0.0]), (2, [0.0, 1.0])]
+    few = ann.knn_candidates(t, qrows, 4, scan_tasks=3)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "Coalesce 3" in plan
+    assert few.count() <= 2 * 4 * 3
+    best = lambda df: sorted((r.qid, r.id) for r in ann.top_per_query(df, 4).collect())
+    assert best(few) == best(ann.knn_candidates(t, qrows, 4, scan_tasks=100))
