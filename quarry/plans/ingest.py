@@ -179,10 +179,22 @@ def ledger(spark: SparkSession, table_path: str, status_path: str) -> DataFrame:
     return out.distinct()
 
 
+MAX_BROADCAST_KEYS = 1_000_000   # input keys broadcast to narrow the ledger
+
+
 def new_inputs(batch: DataFrame, done: DataFrame, key: str = "parent") -> DataFrame:
-    """inputs not handled by an earlier run."""
+    """inputs not handled by an earlier run. The ledger holds every input
+    ever handled, so it is first narrowed to this batch's keys (broadcast,
+    after a count) with no shuffle of the ledger; the anti-join is then
+    against that small set. A batch with more keys than the bound takes the
+    plain shuffled anti-join."""
+    k = F.col(key).cast("string")
     d = done.select(F.col(key).cast("string").alias("_done"))
-    return batch.join(d, batch[key].cast("string") == d["_done"], "left_anti")
+    keys = batch.select(k.alias("_k")).distinct()
+    if keys.count() <= MAX_BROADCAST_KEYS:
+        d = d.join(F.broadcast(keys), F.col("_done") == F.col("_k"), "left_semi")
+        return batch.join(F.broadcast(d), k == d["_done"], "left_anti")
+    return batch.join(d, k == d["_done"], "left_anti")
 
 
 def record_run(spark: SparkSession, statuses: DataFrame, table_path: str, first_id: int,

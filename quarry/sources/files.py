@@ -104,11 +104,12 @@ def file_documents(files: DataFrame, root: str, decode, done: DataFrame | None =
     ``decode(bytes, path) -> text`` hook, once per file inside the task; a
     failing file has no text, so the gate marks it ``error``. ``name`` is the
     original base name, M1's ``__parent``."""
+    from quarry.plans.ingest import new_inputs
     from quarry.sources.html import binary_extractor
     q = files.select(F.regexp_replace("path", r"^file:(//)?", "").alias("path"), "content")
     rows = inventory(q, root).withColumn("parent", normalize_name(F.col("path")))
     if done is not None:
-        rows = rows.join(done.select("parent"), "parent", "left_anti")
+        rows = new_inputs(rows, done)
     text = binary_extractor(rows, decode)
     return text.select(normalize_name(F.col("path")).alias("parent"), "text",
                        base_name(F.col("path")).alias("name"))

@@ -158,3 +158,14 @@ def test_folder_of_files_stream(spark, scratch):
     after = ingest.read_chunks(spark, t).collect()
     assert {r.parent.split("/in/")[1] for r in after} - set(names) == {"b/three.pdf"}
     assert sorted(r.id for r in after) == list(range(1, len(after) + 1))
+
+
+def test_ledger_is_narrowed_not_shuffled(spark):
+    """the ledger is semi-joined with the broadcast batch keys, so it is
+    never the shuffled side of the anti-join."""
+    done = spark.range(5000).select(F.col("id").cast("string").alias("parent"))
+    batch = spark.createDataFrame([("7", "x"), ("new", "y")], "parent string, text string")
+    out = ingest.new_inputs(batch, done)
+    assert [r.parent for r in out.collect()] == ["new"]
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
