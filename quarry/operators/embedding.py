@@ -90,13 +90,18 @@ def registry_frame(spark, registry=MODEL_REGISTRY) -> DataFrame:
     return spark.createDataFrame(list(registry), "key string, model string, dim int")
 
 
+MAX_REGISTRY_ROWS = 100_000
+
+
 def resolve_models(requests: DataFrame, registry: DataFrame, default_model: str,
                    model_col: str = "model") -> DataFrame:
     """V9: absent model -> default; known model -> its dimension, status
     'ok'; unknown -> status 'rejected'. The registry is a configuration table
-    of a handful of rows, broadcast."""
+    of a handful of rows: broadcast once its size is checked."""
     req = requests.withColumn(model_col, F.coalesce(F.col(model_col), F.lit(default_model)))
-    reg = F.broadcast(registry.select(F.col("model").alias("_m"), "dim"))
+    reg = registry.select(F.col("model").alias("_m"), "dim")
+    if reg.count() <= MAX_REGISTRY_ROWS:
+        reg = F.broadcast(reg)
     j = req.join(reg, req[model_col] == reg["_m"], "left")
     return j.withColumn("status", F.when(F.col("_m").isNull(), F.lit("rejected"))
                         .otherwise(F.lit("ok"))).drop("_m")
