@@ -115,10 +115,7 @@ def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
     qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in qrows])
     bq = spark.sparkContext.broadcast((qids, qmat))
     fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
-    src = table.select(id_col, vec_col)
-    n = scan_tasks or 2 * spark.sparkContext.defaultParallelism
-    if src.rdd.getNumPartitions() > n:
-        src = src.coalesce(n)
+    src = vector_scan.one_wave(table.select(id_col, vec_col), scan_tasks)
     cand = src.mapInArrow(fn, "qid long, id long, dist double, tier int")
     # Arrow turns NaN into NULL; the tier says which one it was
     dist = F.when(F.col("tier") == 1, F.lit(float("nan"))).when(F.col("tier") == 2, F.lit(None)) \

@@ -68,9 +68,20 @@ def distance_block(m: np.ndarray, qmat: np.ndarray, metric: str) -> tuple[np.nda
     raise ValueError(metric)
 
 
+def one_wave(df: DataFrame, scan_tasks: int | None = None) -> DataFrame:
+    """The scan as one wave of ``scan_tasks`` tasks (default: twice the
+    cluster's cores) when it has more splits: ``coalesce``, no shuffle. A
+    per-task top-k then sends ``k x scan_tasks`` rows to the final merge,
+    not ``k`` per file split."""
+    n = scan_tasks or 2 * df.sparkSession.sparkContext.defaultParallelism
+    return df.coalesce(n) if df.rdd.getNumPartitions() > n else df
+
+
 def distances(df: DataFrame, query: Sequence[float], metric: str = "cosine", id_col: str = "id",
-              vec_col: str = "embedding", out: str = "dist") -> DataFrame:
-    """``id, dist`` for every row of ``df`` against one query vector."""
+              vec_col: str = "embedding", out: str = "dist",
+              scan_tasks: int | None = None) -> DataFrame:
+    """``id, dist`` for every row of ``df`` against one query vector, the
+    scan run as one wave (``one_wave``)."""
     qmat = np.asarray(query, dtype=np.float64)[None, :]
     dim = qmat.shape[1]
 
@@ -82,4 +93,5 @@ def distances(df: DataFrame, query: Sequence[float], metric: str = "cosine", id_
                 [_column(b, id_col), pa.array(d[0], type=pa.float64(), mask=~valid)], [id_col, out])
 
     id_type = dict(df.dtypes)[id_col]
-    return df.select(id_col, vec_col).mapInArrow(run, f"{id_col} {id_type}, {out} double")
+    src = one_wave(df.select(id_col, vec_col), scan_tasks)
+    return src.mapInArrow(run, f"{id_col} {id_type}, {out} double")

@@ -133,3 +133,16 @@ def test_arrow_and_native_pools_agree(spark):
                     or abs(x.dist - y.dist) < 1e-9
     plan = S.vector_pool(df, q, 5)._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan and "MapInArrow" in plan
+
+
+def test_arrow_pool_scans_in_one_wave(spark):
+    rng = np.random.default_rng(8)
+    rows = [(i, "t", "{}", [float(x) for x in rng.normal(size=256).astype(np.float32)]) for i in range(120)]
+    df = spark.createDataFrame(rows, "id long, content string, metadata string, embedding array<float>") \
+        .repartition(40)
+    q = [float(x) for x in rng.normal(size=256)]
+    pool = S.vector_pool(df, q, 10, impl="arrow")
+    plan = pool._jdf.queryExecution().executedPlan().toString()
+    n = 2 * spark.sparkContext.defaultParallelism
+    assert f"Coalesce {n}" in plan
+    assert [r.id for r in pool.collect()] == [r.id for r in S.vector_pool(df, q, 10, impl="native").collect()]
