@@ -20,6 +20,8 @@ MAX_POSITION = 16383
 MAX_POSITIONS_PER_LEXEME = 256
 # Latency histogram bounds (seconds), +Inf is added on top.
 LATENCY_BUCKETS = (0.01, 0.05, 0.1, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0)
+# Metadata keys with an index of their own (copied to real columns).
+HOT_META_KEYS = ("title", "author", "type", "__parent")
 # Trigram similarity threshold.
 TRIGRAM_THRESHOLD = 0.08
 # Search defaults: k, pool multiplier, weights, minimum scores.

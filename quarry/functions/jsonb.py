@@ -14,6 +14,8 @@ from typing import Any
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry import config
+
 _NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
@@ -70,13 +72,34 @@ def json_contains(meta: Column, filt: dict | str | None) -> Column:
     return json_contains_variant(F.try_parse_json(meta), filt)
 
 
+def hot_keys(v: Column, keys=config.HOT_META_KEYS) -> Column:
+    """The string values of the indexed metadata keys as a struct of real
+    columns (NULL where the key is absent or not a string): Parquet can
+    push an equality on them, which it cannot do on a JSON path."""
+    def one(k):
+        node = F.variant_get(v, _key_path(k), "variant")
+        return F.when(F.schema_of_variant(node) == "STRING",
+                      F.variant_get(node, "$", "string")).alias(k)
+    return F.struct(*[one(k) for k in keys])
+
+
 def metadata_filter(df, filt: dict | str | None) -> Column:
     """M4 over a chunk table: the stored VARIANT ``meta_v`` where there is
-    one, the JSON text ``metadata`` parsed otherwise."""
+    one, the JSON text ``metadata`` parsed otherwise. A string value on an
+    indexed key also becomes an equality on ``meta_hot`` (pushed to the
+    scan, a necessary condition of containment)."""
+    if isinstance(filt, str):
+        filt = json.loads(filt)
     if "meta_v" in df.columns:
-        return json_contains_variant(
+        cond = json_contains_variant(
             F.coalesce(F.col("meta_v"), F.try_parse_json(F.col("metadata"))), filt)
-    return json_contains(F.col("metadata"), filt)
+    else:
+        cond = json_contains(F.col("metadata"), filt)
+    if "meta_hot" in df.columns and isinstance(filt, dict):
+        for k, val in filt.items():
+            if k in config.HOT_META_KEYS and isinstance(val, str):
+                cond = (F.col("meta_hot").getField(k) == F.lit(val)) & cond
+    return cond
 
 
 def json_contains_variant(v: Column, filt: dict | str | None) -> Column:

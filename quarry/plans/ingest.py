@@ -32,6 +32,9 @@ CHUNK_SCHEMA = T.StructType([
     T.StructField("metadata", T.StringType(), False),
     # the metadata parsed once at ingest: filters read it without parsing
     T.StructField("meta_v", T.VariantType(), True),
+    # the indexed keys as real columns: equalities on them reach the scan
+    T.StructField("meta_hot", T.StructType([T.StructField(k, T.StringType())
+                                            for k in config.HOT_META_KEYS]), True),
     T.StructField("embedding", T.ArrayType(T.FloatType()), False),
     T.StructField("tsv", T.ArrayType(T.StructType([
         T.StructField("lexeme", T.StringType()), T.StructField("pos", T.IntegerType()),
@@ -136,7 +139,8 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
     out = numbered.select(
         (F.col("_rn") + F.lit(int(first_id) - 1)).cast("long").alias("id"),
         "parent", F.col("chunk_index").cast("int").alias("chunk_index"), "content", "metadata",
-        F.try_parse_json("metadata").alias("meta_v"), "embedding", tsv.alias("tsv"), F.current_timestamp().alias("created_at"),
+        F.try_parse_json("metadata").alias("meta_v"),
+        jsonb.hot_keys(F.try_parse_json("metadata")).alias("meta_hot"), "embedding", tsv.alias("tsv"), F.current_timestamp().alias("created_at"),
         F.lit(int(dim)).alias("dim"))
     counts = chunks.groupBy("parent").agg(F.count("*").alias("n_chunks"))
     statuses = (gated.select("parent", F.when(F.col("_gate") == "ok", F.lit("processed"))
@@ -152,6 +156,8 @@ def write_chunks(chunks: DataFrame, table_path: str) -> None:
     metadata (``meta_v``) here, so every written table has it."""
     if "meta_v" not in chunks.columns:
         chunks = chunks.withColumn("meta_v", F.try_parse_json(F.col("metadata")))
+    if "meta_hot" not in chunks.columns:
+        chunks = chunks.withColumn("meta_hot", jsonb.hot_keys(F.col("meta_v")))
     chunks.write.mode("append").partitionBy("dim").parquet(table_path)
 
 

@@ -169,3 +169,21 @@ def test_ledger_is_narrowed_not_shuffled(spark):
     assert [r.parent for r in out.collect()] == ["new"]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_hot_metadata_key_reaches_the_scan(spark, scratch):
+    """A filter on an indexed key (``__parent``) is also an equality on the
+    ``meta_hot`` column, pushed to the Parquet scan; same rows as the
+    containment test alone."""
+    from quarry.operators import search as S
+    t, s = scratch + "/chunks", scratch + "/status"
+    ingest.run(spark, docs(spark), t, s, dim=8, max_tokens=40)
+    chunks = ingest.read_chunks(spark, t, 8)
+    filt = {"__parent": "b.pdf"}
+    pool = S.vector_pool(chunks, [1.0] * 8, 50, filt)
+    plan = pool._jdf.queryExecution().executedPlan().toString()
+    assert "meta_hot.__parent" in plan.split("PushedFilters")[1].split("]")[0]
+    plain = S.vector_pool(chunks.drop("meta_hot", "meta_v"), [1.0] * 8, 50, filt).collect()
+    got = pool.collect()
+    assert [r.id for r in got] == [r.id for r in plain] and len(got) > 0
+    assert {r.parent for r in chunks.where(chunks.id.isin([r.id for r in got])).collect()} == {"b.pdf"}
