@@ -69,9 +69,15 @@ def vector_pool(chunks: DataFrame, query_embedding: Sequence[float], pool_size:
     else:
         scored = base.select("id", distance(metric, F.col("embedding"), query_embedding).alias("dist"))
     if max_dist is not None:
-        scored = scored.where(F.col("dist") <= F.lit(float(max_dist)))
+        # The floor as a NULL distance, not a filter: Catalyst would push a
+        # filter below the projection with the distance inlined, computing
+        # it twice. NULLs sort last, so the first rows are the first rows
+        # within the floor; the NULLs are dropped after the limit.
+        scored = scored.select("id", F.when(F.col("dist") <= F.lit(float(max_dist)),
+                                            F.col("dist")).alias("dist"))
     # ascending puts NULL last (a NULL vector never takes a pool place first)
-    return scored.orderBy(F.col("dist").asc_nulls_last(), F.col("id").asc()).limit(int(pool_size))
+    top = scored.orderBy(F.col("dist").asc_nulls_last(), F.col("id").asc()).limit(int(pool_size))
+    return top if max_dist is None else top.where(F.col("dist").isNotNull())
 
 
 def _fetch_pool(chunks: DataFrame, pool: DataFrame, late: bool) -> DataFrame:
