@@ -146,3 +146,16 @@ def test_arrow_pool_scans_in_one_wave(spark):
     n = 2 * spark.sparkContext.defaultParallelism
     assert f"Coalesce {n}" in plan
     assert [r.id for r in pool.collect()] == [r.id for r in S.vector_pool(df, q, 10, impl="native").collect()]
+
+
+def test_arrow_pool_filters_before_python(spark):
+    """The metadata filter runs in the JVM below MapInArrow: only rows that
+    pass it are handed to Python."""
+    rng = np.random.default_rng(9)
+    rows = [(i, "t", '{"lang": "%s"}' % ("en" if i % 3 else "de"),
+             [float(x) for x in rng.normal(size=256).astype(np.float32)]) for i in range(30)]
+    df = spark.createDataFrame(rows, "id long, content string, metadata string, embedding array<float>")
+    pool = S.vector_pool(df, [1.0] * 256, 50, {"lang": "de"}, impl="arrow")
+    plan = pool._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("MapInArrow") < plan.index("Filter")     # the filter is below (printed later)
+    assert sorted(r.id for r in pool.collect()) == [i for i in range(30) if i % 3 == 0]
