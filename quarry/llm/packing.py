@@ -74,7 +74,7 @@ class Encoder:
             if p in older:
                 known[p] = older[p]
                 continue
-            mark = p[-1:] if p[-1:] in (".", ",") and p[-2:-1].isalpha() else ""
+            mark = p[-1:] if p[-1:] in (".", ",") and p[-2:-1].lower().isalpha() else ""
             bare = p[:-1] if mark else p
             # up to U+00FF lower case is one character for one and nothing composes
             bare = bare.lower() if bare and max(bare) < "\u0100" else bare
