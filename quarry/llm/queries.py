@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate as dc
+from quarry.llm import linededup as ld
 from quarry.llm import packing
+from quarry.llm import simhash as sh
 from quarry.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -71,3 +73,64 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's tokens, in sequences of at most 4096."""
     return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+@register("op8_simhash")
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's fingerprint and group."""
+    found = sh.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", sh.fp_hex(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+# Every pair of distinct lines that agree in their first or last word (one edit
+# cannot change both) is compared word by word, from the definition.
+_OP9_SQL = """
+WITH l AS (
+  SELECT doc_id, i - 1 AS no, string_split(text, chr(10))[i] AS line
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i
+        FROM documents)),
+o AS (SELECT *, row_number() OVER (PARTITION BY line ORDER BY doc_id, no) AS rn
+      FROM l WHERE trim(line, ' ' || chr(9) || chr(13)) <> ''),
+f AS (SELECT doc_id, no, w, len(w) AS n, w[1] AS head, w[len(w)] AS tail
+      FROM (SELECT doc_id, no, string_split(line, ' ') AS w FROM o WHERE rn = 1)),
+p AS (SELECT a.doc_id, a.no, a.w AS aw, b.w AS bw, a.n AS an, b.n AS bn
+      FROM f a JOIN f b ON a.head = b.head AND abs(a.n - b.n) <= 1
+      WHERE greatest(a.n, b.n) >= 5 AND (b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.no < a.no)
+      UNION
+      SELECT a.doc_id, a.no, a.w, b.w, a.n, b.n
+      FROM f a JOIN f b ON a.tail = b.tail AND abs(a.n - b.n) <= 1
+      WHERE greatest(a.n, b.n) >= 5 AND (b.doc_id < a.doc_id OR b.doc_id = a.doc_id AND b.no < a.no)),
+near AS (
+  SELECT DISTINCT doc_id, no FROM p
+  WHERE CASE WHEN an = bn
+             THEN len(list_filter(range(1, an + 1), lambda i: aw[i] <> bw[i])) <= 1
+             WHEN an < bn
+             THEN len(list_filter(range(1, bn + 1), lambda i:
+                  list_concat(list_slice(bw, 1, i - 1), list_slice(bw, i + 1, bn)) = aw)) > 0
+             ELSE len(list_filter(range(1, an + 1), lambda i:
+                  list_concat(list_slice(aw, 1, i - 1), list_slice(aw, i + 1, an)) = bw)) > 0 END),
+gone AS (SELECT doc_id, no, 0 AS near FROM o WHERE rn > 1
+         UNION ALL SELECT doc_id, no, 1 FROM near),
+t AS (SELECT doc_id, string_agg(l.line, chr(10) ORDER BY l.no) AS kept
+      FROM l ANTI JOIN gone USING (doc_id, no) GROUP BY doc_id),
+g AS (SELECT doc_id, sum(1 - near) AS n_exact, sum(near) AS n_near,
+             string_agg(CAST(no AS VARCHAR), ',' ORDER BY no) AS gone FROM gone GROUP BY doc_id)
+SELECT d.doc_id, len(string_split(d.text, chr(10)))::BIGINT AS n_lines,
+       coalesce(g.n_exact, 0)::BIGINT AS n_exact, coalesce(g.n_near, 0)::BIGINT AS n_near,
+       coalesce(g.gone, '') AS gone, sha256(coalesce(t.kept, '')) AS kept_sha256
+FROM documents d LEFT JOIN g USING (doc_id) LEFT JOIN t USING (doc_id)"""
+
+
+@register("op9_line_dedup", _OP9_SQL)
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines of every document go, and a digest of the text that stays."""
+    found, name = ld.line_report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    gone, near = F.col(name["gone"]), F.coalesce(F.col(name["near"]), F.lit(0))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1)))
+    text = F.coalesce(ld.kept_text(gone, F.col("text")), F.lit(""))
+    return found.select(
+        "doc_id", n_lines.cast("long").alias("n_lines"),
+        (F.coalesce(F.size(gone), F.lit(0)) - near).cast("long").alias("n_exact"),
+        near.cast("long").alias("n_near"),
+        F.coalesce(F.array_join(gone.cast("array<string>"), ","), F.lit("")).alias("gone"),
+        F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
