@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontaminate as dc
+from quarry.llm import langid
 from quarry.llm import linededup as ld
 from quarry.llm import packing
+from quarry.llm import quality
 from quarry.llm import simhash as sh
+from quarry.llm.common import in_fold
 from quarry.session import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +137,22 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         near.cast("long").alias("n_near"),
         F.coalesce(F.array_join(gone.cast("array<string>"), ","), F.lit("")).alias("gone"),
         F.sha2(text.cast("binary"), 256).alias("kept_sha256"))
+
+
+@register("op2_quality_crf")
+def op2_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; learned from labels outside fold 1 of 3."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").where(~in_fold("doc_id", 3, 1))
+    scored = quality.score(docs, quality.train(docs, labels), keep_text=False)
+    return scored.select("doc_id", in_fold("doc_id", 3, 1).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@register("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learned from those outside fold 2 of 4."""
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~in_fold("doc_id", 4, 2)))
+    found = langid.identify(docs.select("doc_id", "text"), model, keep_text=False)
+    return found.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
