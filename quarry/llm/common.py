@@ -16,6 +16,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` (narrow, read from files) marked for broadcast if it has at most
+    ``rows`` rows; a larger one is left for a shuffled join."""
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from quarry.llm import decontaminate as dc
 from quarry.llm import langid
 from quarry.llm import linededup as ld
-from quarry.llm import packing
+from quarry.llm import packing, pii
 from quarry.llm import quality
 from quarry.llm import simhash as sh
 from quarry.llm.common import in_fold
@@ -156,3 +156,13 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = langid.train(docs.where(~in_fold("doc_id", 4, 2)))
     found = langid.identify(docs.select("doc_id", "text"), model, keep_text=False)
     return found.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+@register("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    found = pii.find(table(spark, sf_dir, "documents"))
+    counts = [pii.count(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS]
+    return found.select("doc_id", *counts,
+                        F.sha2(pii.names(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+                        pii.names(F.col("spans")).alias("spans"))
