@@ -8,11 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.llm import ann
 from quarry.llm import decontaminate as dc
 from quarry.llm import langid
 from quarry.llm import linededup as ld
 from quarry.llm import packing, pii
-from quarry.llm import quality
+from quarry.llm import quality, sharding
 from quarry.llm import simhash as sh
 from quarry.llm.common import in_fold
 from quarry.session import table
@@ -166,3 +167,30 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *counts,
                         F.sha2(pii.names(F.col("base")).cast("binary"), 256).alias("base_sha256"),
                         pii.names(F.col("spans")).alias("spans"))
+
+
+_OP5_SQL = """
+WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+p AS (SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.e, c.e) AS score
+      FROM v q JOIN v c ON c.vec_id <> q.vec_id AND len(c.e) = len(q.e)
+      WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+WHERE rank <= 5"""
+
+
+@register("op5_block_neighbours", _OP5_SQL)
+def op5_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 nearest of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return ann.nearest(vectors, vectors.where("vec_id % 50 = 0"), 5)
+
+
+@register("op6_stratified_shards")
+def op6_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 40 shards of equal counts and equal mixture."""
+    placed = sharding.shard(table(spark, sf_dir, "documents"), 40)
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
