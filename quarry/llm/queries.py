@@ -15,6 +15,7 @@ from quarry.llm import linededup as ld
 from quarry.llm import packing, pii
 from quarry.llm import quality, sharding
 from quarry.llm import simhash as sh
+from quarry.llm import warc
 from quarry.llm.common import in_fold
 from quarry.session import table
 
@@ -194,3 +195,25 @@ def op6_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.shard(table(spark, sf_dir, "documents"), 40)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
                          F.lit(None).cast("int").alias("grown_shard"))
+
+
+_OP3_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, octet_length(encode(html)) AS payload_bytes, sha1(html) AS hex,
+             max(page_id) OVER (PARTITION BY html) AS newest FROM p)
+SELECT page_id, payload_bytes::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 8), lambda i:
+         array_to_string(list_transform(range(0, 4), lambda k:
+           'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[
+             ((('0x' || hex[5 * i + 1:5 * i + 5])::BIGINT >> (15 - 5 * k)) & 31) + 1]), '')), '')
+         AS payload_digest,
+       CASE WHEN page_id = newest THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = newest THEN NULL ELSE newest END AS refers_to
+FROM d"""
+
+
+@register("op3_warc_index", _OP3_SQL)
+def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page, archived, found through the index and read back."""
+    return warc.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
