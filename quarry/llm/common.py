@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quarry.session import scratch_path
 
@@ -16,13 +17,30 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 16 << 20
 
 
-def bounded(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """``df`` (narrow, read from files) marked for broadcast if it has at most
-    ``rows`` rows; a larger one is left for a shuffled join."""
-    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+def _bytes(kind: T.DataType, col: Column) -> Column:
+    """About what a value takes in memory."""
+    if isinstance(kind, (T.StringType, T.BinaryType)):
+        return F.octet_length(col) + 8
+    if isinstance(kind, T.StructType):
+        return sum((_bytes(f.dataType, col[f.name]) for f in kind.fields), F.lit(8))
+    if isinstance(kind, T.ArrayType):
+        if isinstance(kind.elementType, (T.StringType, T.BinaryType, T.StructType, T.ArrayType)):
+            return F.aggregate(col, F.lit(16).cast("long"), lambda acc, x: acc + F.coalesce(
+                _bytes(kind.elementType, x), F.lit(8)))
+        return 16 + 8 * F.size(col)
+    return F.lit(8)
+
+
+def bounded(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` (read from files) marked for broadcast if its rows take at most
+    ``most`` bytes; a larger one is left to a shuffled join."""
+    width = sum((F.coalesce(_bytes(f.dataType, F.col(f.name)), F.lit(8)) for f in df.schema.fields),
+                F.lit(16))
+    size = df.agg(F.sum(width.cast("long"))).first()[0] or 0
+    return F.broadcast(df) if size <= most else df
 
 
 def text_or_empty(col: str = "text") -> Column:

@@ -16,8 +16,8 @@ each with the earliest line of its key (and of the place of its deletion),
 which is enough to know whether an earlier neighbour exists. Each such pair is
 verified on the words. Keys carry 61 bits and the variant's length.
 
-Only DataFrame functions are used. A side is broadcast only after it was
-counted and has at most ``BROADCAST_ROWS`` rows; larger ones are shuffled.
+Only DataFrame functions are used. A side is broadcast only after its size was
+measured (see ``bounded``); larger ones are shuffled.
 
 Defined cases: a null text has no lines and stays null; an empty text is one
 blank line; rows equal in doc_id and text are one document written twice and
@@ -29,10 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.util import let
-from quarry.llm.common import free_name, materialise
+from quarry.llm.common import bounded, free_name, materialise
 
 MIN_WORDS = 5
-BROADCAST_ROWS = 1_000_000
 _P = (1 << 61) - 1
 
 
@@ -44,11 +43,6 @@ def _words(line: Column) -> Column:
     return F.split(line, " ", -1)
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """``df`` (read from files), to be broadcast if its size allows it."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
-
-
 def _lines(docs: DataFrame) -> DataFrame:
     """doc_id, dk (hash of the text), no, line of all lines that aren't blank."""
     return (docs.where("text IS NOT NULL")
@@ -145,7 +139,7 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
     firsts = materialise(lines.groupBy("h1", "h2").agg(
         F.min(place).alias("first"), F.count("*").alias("n"), F.first("ends").alias("ends")),
         "first-lines")
-    again = _bounded(materialise(firsts.where("n > 1").select("h1", "h2", "first"), "repeated"))
+    again = bounded(materialise(firsts.where("n > 1").select("h1", "h2", "first"), "repeated"))
     exact = (lines.select("doc_id", "dk", "no", "h1", "h2").join(again, ["h1", "h2"])
              .where(place != F.col("first"))
              .select("doc_id", "dk", "no", F.lit(False).alias("near")))
@@ -156,12 +150,12 @@ def repeated_lines(docs: DataFrame) -> DataFrame:
 def _near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     """First occurrences that have an earlier line within one edit."""
     ends = firsts.select("first", F.explode("ends").alias("end"))
-    shared = _bounded(materialise(ends.groupBy("end").count().where("count > 1").select("end"),
+    shared = bounded(materialise(ends.groupBy("end").count().where("count > 1").select("end"),
                                   "shared-ends"))
     some = materialise(ends.join(shared, "end").select("first").distinct(), "candidates")
     place = F.struct("doc_id", "dk", "no")
     lines = _lines(docs).select(place.alias("first"), "line")
-    cand = materialise(lines.join(_bounded(some), "first").dropDuplicates(["first"]),
+    cand = materialise(lines.join(bounded(some), "first").dropDuplicates(["first"]),
                        "candidate-lines")
     words = F.col("words")
     variants = materialise(
@@ -176,7 +170,7 @@ def _near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
               .agg(F.min(F.when(F.col("pos") < 0, F.col("least"))).alias("whole"),
                    F.min("least").alias("any"), F.sum("n").alias("n"))
               .where("n > 1").drop("n"))
-    groups = _bounded(materialise(same_place.join(by_key, ["key", "len"]).drop("n"), "variant-keys"))
+    groups = bounded(materialise(same_place.join(by_key, ["key", "len"]).drop("n"), "variant-keys"))
     partners = F.when(F.col("pos") < 0, F.array("any")).otherwise(F.array("least", "whole"))
     pairs = (variants.join(groups, ["key", "len", "pos"])
              .select("first", F.explode(partners).alias("other"))
@@ -197,7 +191,7 @@ def line_report(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
         F.count_distinct(F.when(F.col("near"), F.col("no"))).alias(near)), "gone-lines")
     keyed = docs.withColumn(dk, F.xxhash64("text"))
     per_doc = per_doc.withColumnRenamed("_id", dk + "i").withColumnRenamed("dk", dk + "k")
-    joined = keyed.join(_bounded(per_doc), keyed["doc_id"].eqNullSafe(per_doc[dk + "i"])
+    joined = keyed.join(bounded(per_doc), keyed["doc_id"].eqNullSafe(per_doc[dk + "i"])
                         & (keyed[dk] == per_doc[dk + "k"]), "left")
     return joined.drop(dk, dk + "i", dk + "k"), {"gone": gone, "near": near}
 
