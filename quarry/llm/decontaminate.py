@@ -235,16 +235,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW,
     found, name = scan(docs, benchmark, n, True, max_broadcast_bytes)
     if remove == "documents":
         return found.where(F.size(name["runs"]) == 0).select(*docs.columns)
+    columns, hit = docs.columns, name["runs"]
 
     def cut(batches):
         for b in batches:
             texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
-            runs = b.column(b.schema.get_field_index(name["runs"])).to_pylist()
+            runs = b.column(b.schema.get_field_index(hit)).to_pylist()
             new = [t if not r else cut_words(t, list(zip(r[::2], r[1::2]))).encode()
                    for t, r in zip(texts, runs)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new, pa.binary()).cast(pa.string()) if c == "text"
-                 else b.column(b.schema.get_field_index(c)) for c in docs.columns],
-                names=docs.columns)
+                 else b.column(b.schema.get_field_index(c)) for c in columns],
+                names=columns)
 
     return found.mapInArrow(cut, docs.schema)

@@ -38,9 +38,9 @@ from quarry.llm.components import components
 SHINGLE_WORDS = 3
 BITS = 2
 SEED = 42
-BLOCK_ROWS = 32_768
+BLOCK_ROWS = 2_048
 FAN_OUT = 16
-_CHUNK = 2_048
+_CHUNK = 4_096
 
 
 def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
