@@ -14,10 +14,8 @@ ARCHIVE_DIR = "Processado"
 RECORD_VERSION = "2.16.105"
 # Embedding dimensions with a chunk-table partition of their own.
 SUPPORTED_DIMS = (384, 768, 1024, 1536)
-# Text-rank weights for D, C, B, A and the text-vector limits.
+# Text-rank weights for D, C, B, A.
 RANK_WEIGHTS = {"D": 0.1, "C": 0.2, "B": 0.4, "A": 1.0}
-MAX_POSITION = 16383
-MAX_POSITIONS_PER_LEXEME = 256
 # Latency histogram bounds (seconds), +Inf is added on top.
 LATENCY_BUCKETS = (0.01, 0.05, 0.1, 0.5, 1.0, 2.5, 5.0, 10.0, 30.0, 60.0)
 # Metadata keys with an index of their own (copied to real columns).

@@ -1,10 +1,10 @@
 """Full-text search as column expressions.
 
 A text vector is ``ARRAY<STRUCT<lexeme STRING, pos INT, weight STRING>>``: one
-entry per word occurrence, positions from 1, clamped to 16383; content words
-get weight A, metadata words weight B with positions shifted past the
-content's last position. Limits of 256 positions per lexeme are applied when
-a lexeme's positions are read.
+entry per word occurrence, positions from 1; content words get weight A,
+metadata words weight B with positions shifted past the content's last
+position. Every occurrence counts; the position limits of some text-vector
+stores are arguments, off by default.
 
 A text query (websearch or phrase syntax) is parsed on the driver into a
 small tree of literals and compiled into a predicate (``@@``) and a rank
@@ -24,8 +24,6 @@ from quarry import config
 from quarry.functions.text import WORD_RE
 from quarry.functions.util import let
 
-MAXPOS = config.MAX_POSITION
-MAXNUM = config.MAX_POSITIONS_PER_LEXEME
 W_A = config.RANK_WEIGHTS["A"]
 W_B = config.RANK_WEIGHTS["B"]
 ZETA2 = 1.64493406685  # FIXED: normaliser of the occurrence sum (pi^2/6)
@@ -69,57 +67,47 @@ def py_words(text: str, dictionary: str = "simple") -> list[str]:
 # --------------------------------------------------------------------------
 # Text vectors
 # --------------------------------------------------------------------------
-def _weighted(ws: Column, weight: str, shift: Column | None) -> Column:
+def _weighted(ws: Column, weight: str, shift: Column | None, max_pos: int | None) -> Column:
     def entry(w, i):
         p = i + 1 if shift is None else i + 1 + shift
-        return F.struct(w.alias("lexeme"), F.least(p, F.lit(MAXPOS)).cast("int").alias("pos"),
+        p = p if max_pos is None else F.least(p, F.lit(int(max_pos)))
+        return F.struct(w.alias("lexeme"), p.cast("int").alias("pos"),
                         F.lit(weight).alias("weight"))
     return F.transform(ws, entry)
 
 
 def text_vector(content: Column, meta_text: Column | None = None,
-                dictionary: str = "simple") -> Column:
+                dictionary: str = "simple", max_pos: int | None = None) -> Column:
     """A(content) || B(metadata text). The B positions are shifted by the
-    largest A position (L4)."""
+    largest A position (L4). ``max_pos`` clamps positions."""
     a_words = words(content, dictionary)
-    a = _weighted(a_words, "A", None)
+    a = _weighted(a_words, "A", None, max_pos)
     if meta_text is None:
         return a
-    maxpos = F.least(F.size(a_words), F.lit(MAXPOS))
-    b = _weighted(words(meta_text, dictionary), "B", maxpos)
+    last = F.size(a_words) if max_pos is None else F.least(F.size(a_words), F.lit(int(max_pos)))
+    b = _weighted(words(meta_text, dictionary), "B", last, max_pos)
     return F.concat(a, b)
 
 
 def lexeme_entries(tsv: Column, lexeme: str) -> Column:
-    """Positions of one lexeme as ``ARRAY<STRUCT<pos INT, w DOUBLE>>``, ascending,
-    with the text-vector limits: distinct positions, at most 256, and after a
-    position of 16383 nothing more is added."""
+    """Distinct positions of one lexeme as ``ARRAY<STRUCT<pos INT, w DOUBLE>>``,
+    ascending."""
     return limit_entries(F.filter(tsv, lambda e: e.lexeme == F.lit(lexeme)))
 
 
-def limit_entries(mine: Column) -> Column:
+def limit_entries(mine: Column, max_num: int | None = None) -> Column:
     """The occurrences of one lexeme (``pos``, ``weight``; ascending) as
-    ``ARRAY<STRUCT<pos INT, w DOUBLE>>`` with the text-vector limits."""
-    def parts(m):
-        a = F.slice(F.array_distinct(F.transform(F.filter(m.mine, lambda e: e.weight == "A"),
-                                                 lambda e: e.pos)), 1, MAXNUM)
-        b = F.array_distinct(F.transform(F.filter(m.mine, lambda e: e.weight == "B"),
-                                         lambda e: e.pos))
-        return let({"a": a, "b": b}, assemble)
-
-    def assemble(t):
-        a, b = t.a, t.b
-        room = F.lit(MAXNUM) - F.size(a)
-        a_full = F.coalesce(F.try_element_at(a, F.lit(-1)) == MAXPOS, F.lit(False))
-        b_cut = F.array_position(b, MAXPOS)  # 0 when absent
-        b_take = F.when(b_cut > 0, F.least(b_cut, room)).otherwise(room)
-        b_kept = F.when(a_full | (room <= 0), F.array().cast("array<int>")) \
-            .otherwise(F.slice(b, F.lit(1), F.greatest(b_take, F.lit(0)).cast("int")))
-        return F.concat(F.transform(a, ent(W_A)), F.transform(b_kept, ent(W_B)))
-
-    def ent(w):
-        return lambda p: F.struct(p.alias("pos"), F.lit(w).alias("w"))
-    return let({"mine": mine}, parts)
+    ``ARRAY<STRUCT<pos INT, w DOUBLE>>`` with distinct positions per weight, the
+    first ``max_num`` of them if given."""
+    def of(m, weight, w):
+        ps = F.array_distinct(F.transform(F.filter(m.mine, lambda e: e.weight == weight),
+                                          lambda e: e.pos))
+        return F.transform(ps, lambda p: F.struct(p.alias("pos"), F.lit(w).alias("w")))
+
+    def both(m):
+        out = F.concat(of(m, "A", W_A), of(m, "B", W_B))
+        return out if max_num is None else F.slice(out, 1, int(max_num))
+    return let({"mine": mine}, both)
 
 
 # --------------------------------------------------------------------------
@@ -176,7 +164,8 @@ def phrase_query(text: str, dictionary: str = "simple") -> TextQuery:
 
 
 def websearch_query(text: str, dictionary: str = "simple") -> TextQuery:
-    """``websearch_to_tsquery``: bare words AND-ed, ``"..."`` a phrase, ``or``
+    """``websearch_to_tsquery``: bare words AND-ed (a word of several parts is
+    their phrase), ``"..."`` a phrase, ``or``
     between operands an alternation (AND binds tighter), ``-`` a negation."""
     items: list = []          # Node or "or"
     i, n = 0, len(text)
@@ -206,7 +195,7 @@ def websearch_query(text: str, dictionary: str = "simple") -> TextQuery:
             if not neg and word.lower() == "or":
                 items.append("or")
                 continue
-            node = _conj([Node("lex", w) for w in py_words(word, dictionary)], "and")
+            node = _phrase_of(py_words(word, dictionary))  # a-b: its parts in a row
         if node is not None:
             items.append(Node("not", kids=[node]) if neg else node)
     # or-groups of and-ed operands; stray or's are dropped

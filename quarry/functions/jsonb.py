@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from decimal import Decimal
 from typing import Any
 
 from pyspark.sql import Column
@@ -17,17 +18,24 @@ from pyspark.sql import functions as F
 from quarry import config
 
 _NUMERIC = ("TINYINT", "SMALLINT", "INT", "BIGINT", "FLOAT", "DOUBLE")
+_INTEGRAL = ("TINYINT", "SMALLINT", "INT", "BIGINT")
 _IDENT = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
 
 
 def _key_path(key: str) -> str:
     if _IDENT.match(key):
         return f"$.{key}"
-    if "'" in key:
-        raise ValueError(f"unsupported key in filter: {key!r}")
     return f"$['{key}']"
 
 
+def _child(v: Column, key: str) -> Column:
+    """The member ``key`` of an object; NULL if absent. A key that a path cannot
+    spell is read from the object as a map."""
+    if _IDENT.match(key) or not re.search(r"['\"\\\]]", key):
+        return F.variant_get(v, _key_path(key), "variant")
+    return F.try_element_at(F.try_variant_get(v, "$", "map<string,variant>"), F.lit(key))
+
+
 def _type(v: Column) -> Column:
     return F.schema_of_variant(v)
 
@@ -42,7 +50,7 @@ def _contains(v: Column, f: Any) -> Column:
     if isinstance(f, dict):
         cond = _type(v).startswith("OBJECT")
         for k, sub in f.items():
-            child = F.variant_get(v, _key_path(k), "variant")
+            child = _child(v, k)
             cond = cond & child.isNotNull() & _contains(child, sub)
         return cond
     if isinstance(f, list):
@@ -55,6 +63,12 @@ def _contains(v: Column, f: Any) -> Column:
         return F.is_variant_null(v)
     if isinstance(f, bool):
         return (_type(v) == "BOOLEAN") & (F.variant_get(v, "$", "boolean") == F.lit(f))
+    if isinstance(f, int) and abs(f) < 10 ** 38:
+        # whole numbers are compared as such: a double cannot tell them apart from 2**53 on
+        whole = _type(v).isin(*_INTEGRAL) | _type(v).rlike(r"^DECIMAL\(\d+,0\)$")
+        exact = F.variant_get(v, "$", "decimal(38,0)") == F.lit(Decimal(f)).cast("decimal(38,0)")
+        return _is_number(v) & F.when(whole, exact).otherwise(
+            F.variant_get(v, "$", "double") == F.lit(float(f)))
     if isinstance(f, (int, float)):
         return _is_number(v) & (F.variant_get(v, "$", "double") == F.lit(float(f)))
     if isinstance(f, str):
@@ -98,7 +112,9 @@ def metadata_filter(df, filt: dict | str | None) -> Column:
     if "meta_hot" in df.columns and isinstance(filt, dict):
         for k, val in filt.items():
             if k in config.HOT_META_KEYS and isinstance(val, str):
-                cond = (F.col("meta_hot").getField(k) == F.lit(val)) & cond
+                hot = F.col("meta_hot").getField(k)
+                # NULL also in rows written without the column
+                cond = ((hot == F.lit(val)) | hot.isNull()) & cond
     return cond
 
 

@@ -3,8 +3,8 @@
 Batch search multiplies Arrow batches of table vectors (read as one matrix
 per batch, ``vector_scan``) by the query matrix in numpy, a block of queries
 at a time, and keeps the best candidates per query inside each task, so only
-``queries x k x tasks`` rows are shuffled; no pair table is ever built. The
-query set is broadcast once after a size check, and the table is read once.
+``queries x k x tasks`` rows are shuffled; no pair table is ever built. Query
+sets are broadcast in blocks of a fixed size, one pass over the table each.
 
 IVF: MLlib k-means assigns every vector to a list; the table is written
 partitioned by list, and a search reads only the partitions of the nearest
@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry import config
+from quarry.functions import vectors as vec
 from quarry.operators import search as S
 from quarry.operators import vector_scan
 
@@ -79,35 +80,30 @@ def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
     return run
 
 
-def collect_queries(queries: DataFrame, cols: Sequence[str], qvec_col: str = "embedding",
-                    max_bytes: int = MAX_QUERY_BYTES) -> list:
-    """The query rows on the driver, after checking that the vectors (and any
-    text columns) fit ``max_bytes``; the query set is what gets broadcast."""
+def query_blocks(queries: DataFrame, cols: Sequence[str], qid_col: str, qvec_col: str = "embedding",
+                 max_bytes: int = MAX_QUERY_BYTES):
+    """The query rows on the driver, one block of about ``max_bytes`` (vectors
+    and text columns) at a time: a block is what gets broadcast. A query set
+    of any size is served by as many blocks as it takes."""
     extra = [c for c in cols if c != qvec_col and dict(queries.dtypes)[c] == "string"]
-    st = queries.agg(F.count("*").alias("n"), F.max(F.size(qvec_col)).alias("d"),
-                     *[F.sum(F.coalesce(F.length(c), F.lit(0))).alias(f"_b{i}")
-                       for i, c in enumerate(extra)]).collect()[0]
-    n, d = int(st["n"]), int(st["d"] or 0)
-    size = n * d * 8 + sum(int(st[f"_b{i}"] or 0) * 4 for i in range(len(extra)))
-    if size > max_bytes:
-        raise ValueError(f"{n} queries ({size} bytes) exceed {max_bytes} bytes; "
-                         "run them in several calls")
-    return queries.select(*cols).collect() if n else []
+    width = 8 * F.coalesce(F.size(qvec_col), F.lit(0)) + sum(
+        (F.coalesce(F.octet_length(c), F.lit(0)) for c in extra), F.lit(16))
+    size = int(queries.agg(F.sum(width.cast("long"))).collect()[0][0] or 0)
+    n = max(1, -(-size // int(max_bytes)))
+    for b in range(n):
+        part = queries if n == 1 else queries.where(F.pmod(F.xxhash64(qid_col), F.lit(n)) == b)
+        rows = part.select(*cols).collect() if size else []
+        if rows:
+            yield rows
 
 
 def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
                    vec_col: str = "embedding", metric: str = "cosine",
-                   max_dist: float | None = None, scan_tasks: int | None = None) -> DataFrame:
+                   max_dist: float | None = None) -> DataFrame:
     """``qid, id, dist``: the best ``k`` rows of every task for every query of
-    ``qrows`` (``(qid, vector)`` pairs on the driver, already size-checked):
-    one broadcast, one pass over the table.
-
-    Every task sends ``queries x k`` candidates to the shuffle, so the scan
-    runs as one wave of ``scan_tasks`` tasks (default: twice the cluster's
-    cores; ``coalesce``, no shuffle): each streams through more files, with
-    the same small state, and the candidate count stops growing with the
-    table (100 TB in 200,000 splits would otherwise shuffle 10^10 rows for
-    1,000 queries of k = 50)."""
+    ``qrows`` (``(qid, vector)`` pairs on the driver, one block): one broadcast,
+    one pass over the table, whose splits stay as they are, so a lost task
+    repeats one split. ``top_per_query`` merges the candidates as a tree."""
     spark = table.sparkSession
     if not qrows:
         return spark.createDataFrame([], "qid long, id long, dist double")
@@ -115,54 +111,62 @@ def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
     qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in qrows])
     bq = spark.sparkContext.broadcast((qids, qmat))
     fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
-    src = vector_scan.one_wave(table.select(id_col, vec_col), scan_tasks)
-    cand = src.mapInArrow(fn, "qid long, id long, dist double, tier int")
+    cand = table.select(id_col, vec_col).mapInArrow(fn, "qid long, id long, dist double, tier int")
     # Arrow turns NaN into NULL; the tier says which one it was
     dist = F.when(F.col("tier") == 1, F.lit(float("nan"))).when(F.col("tier") == 2, F.lit(None)) \
             .otherwise(F.col("dist"))
     return cand.select("qid", "id", dist.cast("double").alias("dist"))
 
 
+MERGE_FAN = 64  # groups of a query's candidates in the first merge
+
+
 def top_per_query(cand: DataFrame, k: int) -> DataFrame:
-    """The final ``k`` of each query from the per-task candidates (at most
-    ``k x tasks`` rows per query, so no query group can grow with the data)."""
-    w = Window.partitionBy("qid").orderBy(F.col("dist").asc_nulls_last(), F.col("id"))
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= int(k))
+    """The final ``k`` of each query from the per-task candidates, merged in two
+    steps: a query's candidates are dealt over ``MERGE_FAN`` groups by id, each
+    keeps its ``k``, and those are merged. No task sees all of a query's
+    ``k x tasks`` candidates."""
+    order = [F.col("dist").asc_nulls_last(), F.col("id")]
+    dealt = cand.withColumn("_g", F.pmod(F.xxhash64("id"), F.lit(MERGE_FAN)))
+    first = Window.partitionBy("qid", "_g").orderBy(*order)
+    part = dealt.withColumn("_r", F.row_number().over(first)).where(F.col("_r") <= int(k))
+    last = Window.partitionBy("qid").orderBy(*order)
+    return (part.drop("_g", "_r").withColumn("rank", F.row_number().over(last))
+            .where(F.col("rank") <= int(k)))
 
 
 def batch_knn(table: DataFrame, queries: DataFrame, k: int, qid_col: str = "qid",
               qvec_col: str = "embedding", id_col: str = "id", vec_col: str = "embedding",
-              metric: str = "cosine", max_dist: float | None = None) -> DataFrame:
+              metric: str = "cosine", max_dist: float | None = None,
+              max_query_bytes: int = MAX_QUERY_BYTES) -> DataFrame:
     """Q9: for every query, its ``k`` nearest rows by (distance, id):
-    ``qid, id, dist, rank``. The query set is size-checked before it is
-    collected and broadcast; the table is read once whatever its size."""
-    qrows = collect_queries(queries, [qid_col, qvec_col], qvec_col)
-    cand = knn_candidates(table, qrows, k, id_col, vec_col, metric, max_dist)
+    ``qid, id, dist, rank``. Queries go in blocks of ``max_query_bytes``, one
+    pass over the table each."""
+    cand = None
+    for qrows in query_blocks(queries, [qid_col, qvec_col], qid_col, qvec_col, max_query_bytes):
+        part = knn_candidates(table, qrows, k, id_col, vec_col, metric, max_dist)
+        cand = part if cand is None else cand.unionByName(part)
+    if cand is None:
+        cand = knn_candidates(table, [], k)
     return top_per_query(cand, k)
 
 
 # --- IVF ---------------------------------------------------------------------
 def ivf_build(vectors: DataFrame, path: str, lists: int = config.IVF_LISTS, id_col: str = "id",
               vec_col: str = "embedding", seed: int = 7, max_iter: int = 20,
-              train_per_list: int | None = 50):
-    """Q10 build: k-means (cosine) centroids, then every row written
-    partitioned by its nearest list (``list_id``). The centroids are trained
-    on a seeded sample of about ``train_per_list`` rows per list, as an
-    IVF index build samples its training rows; ``None`` trains on all rows.
-    Every row is assigned and written either way. Returns the centroids
-    (lists x dim, small)."""
+              files_per_list: int = 8):
+    """Q10 build: k-means (cosine) centroids over all rows, then every row
+    written partitioned by its nearest list (``list_id``), a list in at most
+    ``files_per_list`` files: rows are dealt by (list, salt), so a list that
+    holds a third of the rows is still written by several tasks. Returns the
+    centroids (lists x dim, small)."""
     feats = vectors.select(id_col, vec_col, array_to_vector(vec_col).alias("_f"))
-    train = feats
-    if train_per_list:
-        n = feats.count()
-        want = int(lists) * int(train_per_list)
-        if n > want:
-            train = feats.sample(fraction=min(1.0, 1.2 * want / n), seed=seed)
     km = KMeans(k=int(lists), featuresCol="_f", predictionCol="list_id", seed=seed,
                 maxIter=max_iter, distanceMeasure="cosine")
-    model = km.fit(train)
+    model = km.fit(feats)
+    salt = F.pmod(F.xxhash64(id_col), F.lit(int(files_per_list)))
     model.transform(feats).select(id_col, vec_col, "list_id") \
-        .write.mode("overwrite").partitionBy("list_id").parquet(path)
+        .repartition("list_id", salt).write.mode("overwrite").partitionBy("list_id").parquet(path)
     return [np.asarray(c, dtype=np.float64) for c in model.clusterCenters()]
 
 
@@ -184,11 +188,13 @@ def ivf_search(spark: SparkSession, path: str, centroids: Sequence[np.ndarray],
 def lsh_knn(vectors: DataFrame, query: Sequence[float], k: int, id_col: str = "id",
             vec_col: str = "embedding", bucket_length: float = 0.5, tables: int = 8,
             seed: int = 7) -> DataFrame:
-    """Q11: MLlib random-projection LSH; on unit vectors the Euclidean order
-    equals the cosine order. Approximate: checked by recall, not equality."""
-    feats = vectors.select(id_col, array_to_vector(vec_col).alias("_f"))
+    """Q11: MLlib random-projection LSH over vectors scaled to unit length, where
+    the Euclidean order equals the cosine order. Approximate: checked by recall, not equality."""
+    unit = vec.l2_normalize(F.col(vec_col))
+    feats = vectors.select(id_col, array_to_vector(unit).alias("_f"))
     lsh = BucketedRandomProjectionLSH(inputCol="_f", outputCol="_h", bucketLength=bucket_length,
                                       numHashTables=tables, seed=seed)
     model = lsh.fit(feats)
-    key = Vectors.dense([float(x) for x in query])
+    q = np.asarray(query, dtype=np.float64)
+    key = Vectors.dense((q / (np.linalg.norm(q) or 1.0)).tolist())
     return model.approxNearestNeighbors(feats, key, int(k), distCol="l2").select(id_col, "l2")

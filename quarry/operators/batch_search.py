@@ -2,15 +2,14 @@
 
 Every query has its own vector and its own text. Plan:
 
-1. The query set (vectors and texts) is size-checked and collected once; the
-   texts are parsed on the driver into data (``PARSED_QUERY_TYPE``), as the
+1. The query set (vectors and texts) is taken in blocks of a fixed size; a
+   block is collected, its texts are parsed on the driver into data (``PARSED_QUERY_TYPE``), as the
    single search parses its one literal.
 2. Pool: one pass over the table per block of queries (``ann.knn_candidates``,
    an Arrow matrix product with a per-task top-(k*m)); the final k*m per
    query is a window over at most ``k*m x tasks`` rows per query.
-3. The pool (``queries x k*m`` rows, checked) comes back as ids; content and
-   metadata are read only for those ids (pushed ``IN`` filter). Past
-   ``MAX_POOL`` rows the pool is checkpointed and joined instead.
+3. The pool (``queries x k*m`` rows) is checkpointed and joined to the table by
+   id; no id list reaches the driver.
 4. Text: the words of the pool rows are exploded and equi-joined with the
    (broadcast, size-checked) query lexemes, so the work is linear in the
    pool's text; the match and ``ts_rank`` are then column expressions over
@@ -28,7 +27,7 @@ from quarry import config
 from quarry.functions import fulltext as ft
 from quarry.functions import jsonb
 from quarry.operators import ann
-from quarry.operators.search import MAX_POOL, route_dimension
+from quarry.operators.search import route_dimension
 from quarry.session import cut_lineage
 
 _ENTS = "array<struct<pos: int, w: double>>"
@@ -39,21 +38,9 @@ def _parsed_frame(spark, qrows, dictionary: str) -> DataFrame:
     return spark.createDataFrame(data, f"qid long, pq {ft.PARSED_QUERY_TYPE}")
 
 
-def _pool_rows(spark, cand: DataFrame, pool_size: int, n_queries: int) -> DataFrame:
-    pool = ann.top_per_query(cand, pool_size).select("qid", "id", "dist")
-    if n_queries * pool_size <= MAX_POOL:
-        rows = pool.collect()
-        return spark.createDataFrame([(int(r[0]), int(r[1]), None if r[2] is None else float(r[2]))
-                                      for r in rows], "qid long, id long, dist double")
-    return cut_lineage(pool)
-
-
-def _fetch(chunks: DataFrame, pool: DataFrame, n_rows: int) -> DataFrame:
+def _fetch(chunks: DataFrame, pool: DataFrame) -> DataFrame:
+    """The pool's rows; the join's side and strategy follow the sizes at run time."""
     cols = [c for c in ("id", "content", "metadata", "tsv") if c in chunks.columns]
-    if n_rows <= MAX_POOL:
-        ids = [int(r[0]) for r in pool.select("id").distinct().collect()]
-        fetched = chunks.where(F.col("id").isin(ids)).select(*cols)
-        return F.broadcast(pool).join(fetched, "id")
     return pool.join(chunks.select(*cols), "id")
 
 
@@ -78,16 +65,29 @@ def batch_search(chunks: DataFrame, queries: DataFrame, match_count: int = confi
                  pool_multiplier: int = config.POOL_MULTIPLIER, *, metric: str = "cosine",
                  min_cos_sim: float | None = None, qid_col: str = "qid",
                  qvec_col: str = "embedding", qtext_col: str = "text",
-                 dims=config.SUPPORTED_DIMS, dictionary: str = "simple") -> DataFrame:
+                 dims=config.SUPPORTED_DIMS, dictionary: str = "simple",
+                 max_query_bytes: int = ann.MAX_QUERY_BYTES) -> DataFrame:
     """Q7 (``metric="cosine"``) or Q8 (``metric="inner"``, ``min_cos_sim``)
     for every row of ``queries`` (``qid, embedding, text``). Returns ``qid, id,
     content, metadata, score, rank`` with at most ``match_count`` rows per
     query."""
     spark = chunks.sparkSession
-    qrows = ann.collect_queries(queries, [qid_col, qvec_col, qtext_col], qvec_col)
-    if not qrows:
+    out = None
+    for qrows in ann.query_blocks(queries, [qid_col, qvec_col, qtext_col], qid_col, qvec_col,
+                                  max_query_bytes):
+        part = _search_block(chunks, qrows, match_count, filter, weight_vec, weight_lex, min_score,
+                             pool_multiplier, metric, min_cos_sim, dims, dictionary)
+        out = part if out is None else out.unionByName(part)
+    if out is None:
         return spark.createDataFrame(
             [], "qid long, id long, content string, metadata string, score double, rank int")
+    return out
+
+
+def _search_block(chunks, qrows, match_count, filter, weight_vec, weight_lex, min_score,
+                  pool_multiplier, metric, min_cos_sim, dims, dictionary) -> DataFrame:
+    """One block of queries, its rows on the driver."""
+    spark = chunks.sparkSession
     sizes = {len(r[1]) for r in qrows}
     if len(sizes) != 1:
         raise ValueError(f"one vector size per batch, got {sorted(sizes)}")
@@ -99,8 +99,8 @@ def batch_search(chunks: DataFrame, queries: DataFrame, match_count: int = confi
     max_dist = None if min_cos_sim is None else 1.0 - float(min_cos_sim)
     cand = ann.knn_candidates(base, [(r[0], r[1]) for r in qrows], pool_size, "id", "embedding",
                               metric, max_dist)
-    pool = _pool_rows(spark, cand, pool_size, len(qrows))
-    rows = _fetch(chunks, pool, len(qrows) * pool_size)
+    pool = cut_lineage(ann.top_per_query(cand, pool_size).select("qid", "id", "dist"))
+    rows = _fetch(chunks, pool)
 
     parsed = _parsed_frame(spark, qrows, dictionary)
     qlex = parsed.select("qid", F.explode("pq.lexemes").alias("lexeme"))

@@ -4,7 +4,7 @@ An embedder is a function ``Column(text) -> Column(ARRAY<FLOAT>)``. The
 built-in one hashes words into ``dim`` buckets (the bucket of a word is the
 first 32 bits of its MD5, modulo ``dim``) and L2-normalises the counts: the
 word split and the hashing are native; the bucket counting is one
-``np.bincount`` per row in an Arrow batch. A model plug-in is an iterator
+``np.bincount`` per Arrow batch. A model plug-in is an iterator
 pandas UDF that loads the model once per Python worker and encodes whole
 Arrow batches.
 """
@@ -34,12 +34,14 @@ def word_buckets(text: Column, dim: int) -> Column:
 def _bincount_udf(dim: int):
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def counts(buckets: pd.Series) -> pd.Series:
-        out = []
-        for b in buckets:
-            c = np.bincount(np.asarray(b, dtype=np.int64), minlength=dim).astype(np.float64)
-            n = np.sqrt((c * c).sum())
-            out.append((c / n if n > 0 else c).astype(np.float32))
-        return pd.Series(out)
+        if buckets.empty:
+            return pd.Series([], dtype=object)
+        n = buckets.map(len).to_numpy()
+        row = np.repeat(np.arange(len(n), dtype=np.int64), n)
+        flat = np.concatenate(buckets.to_numpy()).astype(np.int64)
+        c = np.bincount(row * dim + flat, minlength=len(n) * dim).reshape(len(n), dim)
+        norm = np.sqrt((c * c).sum(axis=1, keepdims=True).astype(np.float64))
+        return pd.Series(list((c / np.where(norm > 0, norm, 1)).astype(np.float32)))
     return counts
 
 
@@ -51,17 +53,25 @@ def hash_embedder(dim: int) -> Embedder:
 
 def model_embedder(load: Callable[[], Callable[[list[str]], np.ndarray]], dim: int) -> Embedder:
     """V1 plug-in: ``load()`` returns ``encode(list[str]) -> ndarray[n, d]``;
-    it runs once per Python worker. A batch that fails to encode yields NULLs,
-    which ``zero_fallback`` turns into zero vectors flagged as failed (V3)."""
+    it runs once per Python worker. A batch that fails is encoded text by text;
+    only a text that fails by itself yields NULL, which ``zero_fallback`` turns
+    into a zero vector flagged as failed (V3)."""
     @F.pandas_udf(T.ArrayType(T.FloatType()))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         model = load()
+
+        def one(text):
+            try:
+                return np.asarray(model([text]), dtype=np.float32)[0]
+            except Exception:  # noqa: BLE001 - a text that cannot be encoded
+                return None
+
         for texts in batches:
+            texts = texts.fillna("").tolist()
             try:
-                m = np.asarray(model(texts.fillna("").tolist()), dtype=np.float32)
-                yield pd.Series(list(m))
-            except Exception:  # noqa: BLE001 - a failed batch becomes NULL vectors
-                yield pd.Series([None] * len(texts))
+                yield pd.Series(list(np.asarray(model(texts), dtype=np.float32)))
+            except Exception:  # noqa: BLE001 - some text of the batch fails: find which
+                yield pd.Series([one(t) for t in texts])
     return lambda text: vec.fit_dim(encode(text), dim)
 
 

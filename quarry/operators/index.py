@@ -15,20 +15,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import fulltext as ft
+from quarry.functions.util import let
 
 
 def postings(docs: DataFrame, key: str, text_col: str, dictionary: str = "simple") -> DataFrame:
-    """``lexeme, key, n, positions`` with positions from 1 (capped at 16383)."""
+    """``lexeme, key, n, positions`` with all positions, from 1."""
     occ = docs.select(key, F.posexplode(ft.words(F.col(text_col), dictionary)).alias("i", "lexeme"))
-    occ = occ.withColumn("pos", F.least(F.col("i") + 1, F.lit(ft.MAXPOS)).cast("int"))
+    occ = occ.withColumn("pos", F.col("i") + 1)
     # (lexeme, doc) groups: a document's own occurrences, partially aggregated
     return occ.groupBy("lexeme", key).agg(F.count("*").alias("n"),
                                           F.array_sort(F.collect_list("pos")).alias("positions"))
 
 
 def write_index(post: DataFrame, path: str, key: str, num_partitions: int | None = None) -> None:
-    n = num_partitions or post.sparkSession.sparkContext.defaultParallelism
-    (post.repartitionByRange(n, "lexeme", key).sortWithinPartitions("lexeme", key)
+    """Sorted by lexeme; the number of files follows the session's shuffle
+    partitions and, at run time, the size of the data."""
+    ranged = post.repartitionByRange(num_partitions, "lexeme", key) if num_partitions else \
+        post.repartitionByRange("lexeme", key)
+    (ranged.sortWithinPartitions("lexeme", key)
          .write.mode("overwrite").parquet(path))
 
 
@@ -37,8 +41,12 @@ def lookup(spark: SparkSession, path: str, lexemes: Sequence[str]) -> DataFrame:
 
 
 def doc_freq(docs: DataFrame, key: str, text_col: str, dictionary: str = "simple") -> DataFrame:
-    """Documents and occurrences per lexeme: distinct (lexeme, doc) first,
-    then partial counts per lexeme, so a hot lexeme is summed in pieces."""
-    occ = docs.select(key, F.explode(ft.words(F.col(text_col), dictionary)).alias("lexeme"))
-    per_doc = occ.groupBy("lexeme", key).agg(F.count("*").alias("n"))
-    return per_doc.groupBy("lexeme").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_occ"))
+    """Documents and occurrences per lexeme. ``key`` is the table's key, so a
+    document's distinct words are found inside its row; one shuffle of partial
+    sums per lexeme follows."""
+    ws = let({"w": ft.words(F.col(text_col), dictionary)}, lambda s: F.concat(
+        F.transform(s.w, lambda w: F.struct(w.alias("lexeme"), F.lit(0).alias("doc"), F.lit(1).alias("occ"))),
+        F.transform(F.array_distinct(s.w), lambda w: F.struct(
+            w.alias("lexeme"), F.lit(1).alias("doc"), F.lit(0).alias("occ")))))
+    return docs.select(F.inline(ws)).groupBy("lexeme").agg(
+        F.sum("doc").alias("n_docs"), F.sum("occ").alias("n_occ"))

@@ -7,9 +7,10 @@ Plan shape, per call:
    ``orderBy(dist, id).limit(k*m)``: Spark runs this as TakeOrderedAndProject,
    a per-task top-(k*m) then one merge of k*m rows per task; the only data
    that crosses tasks.
-2. The k*m pool ids (bounded by k*m, checked) are fetched back with a pushed
-   ``id IN (...)`` filter, so ``content`` and the text vector are read only for
-   the pool, not for the whole table (late materialisation).
+2. Pool rows are fetched back by id. Up to ``MAX_POOL`` ids are pushed to the
+   scan as an OR of equalities (an ``IN`` of more than ten values would prune by
+   its least and greatest value only), so row groups without any of them are
+   skipped; a larger pool is joined.
 3. Lexical score, combined score, threshold and the final top-k run on those
    k*m rows.
 """
@@ -35,7 +36,7 @@ RESULT_SCHEMA = T.StructType([
     T.StructField("score", T.DoubleType()),
 ])
 
-MAX_POOL = 100_000  # k*m rows are brought back to the driver as ids only
+MAX_POOL = 1_000  # ids that are pushed to the scan as literals; larger pools are joined
 
 
 def route_dimension(query_embedding: Sequence[float], dims: Sequence[int]) -> int:
@@ -56,15 +57,14 @@ def distance(metric: str, emb: Column, q: Sequence[float]) -> Column:
 
 def vector_pool(chunks: DataFrame, query_embedding: Sequence[float], pool_size: int,
                 filter: dict | str | None = None, metric: str = "cosine",
-                max_dist: float | None = None, impl: str = "auto") -> DataFrame:
+                max_dist: float | None = None, impl: str = "arrow") -> DataFrame:
     """Q1 / Q2: ``id, dist`` of the first ``pool_size`` rows passing the
     filter (and the distance floor), by distance then id. ``impl``: the
-    distance as a native expression or through Arrow (``vector_scan``);
-    ``auto`` takes Arrow from 256 dimensions up."""
+    distance through Arrow (``vector_scan``) or as a native expression."""
     base = chunks
     if filter:
         base = base.where(jsonb.metadata_filter(base, filter))
-    if vector_scan.choose(impl, len(query_embedding)) == "arrow":
+    if vector_scan.choose(impl) == "arrow":
         scored = vector_scan.distances(base, query_embedding, metric)
     else:
         scored = base.select("id", distance(metric, F.col("embedding"), query_embedding).alias("dist"))
@@ -80,17 +80,26 @@ def vector_pool(chunks: DataFrame, query_embedding: Sequence[float], pool_size:
     return top if max_dist is None else top.where(F.col("dist").isNotNull())
 
 
+def id_in(ids: Sequence[int], col: str = "id") -> Column:
+    """``col`` is one of ``ids``, as a balanced OR of ``IN`` lists short enough
+    for the scan to test each value against a row group's statistics."""
+    parts = [F.col(col).isin(list(ids[i:i + 10])) for i in range(0, len(ids), 10)]
+    while len(parts) > 1:
+        parts = [a | b for a, b in zip(parts[::2], parts[1::2])] + parts[len(parts) // 2 * 2:]
+    return parts[0]
+
+
 def _fetch_pool(chunks: DataFrame, pool: DataFrame, late: bool) -> DataFrame:
     spark = chunks.sparkSession
     if not late:
-        return chunks.join(F.broadcast(pool), "id")
+        return chunks.join(pool, "id")
     rows = pool.collect()  # at most k*m rows, checked by the caller
     if not rows:
         return spark.createDataFrame([], "id long, dist double").join(chunks, "id")
     pool_df = spark.createDataFrame(
         [(int(r["id"]), None if r["dist"] is None else float(r["dist"])) for r in rows],
         "id long, dist double")
-    fetched = chunks.where(F.col("id").isin([int(r["id"]) for r in rows]))
+    fetched = chunks.where(id_in([int(r["id"]) for r in rows]))
     return fetched.join(F.broadcast(pool_df), "id")
 
 
@@ -100,17 +109,15 @@ def search(chunks: DataFrame, query_embedding: Sequence[float], query_text: str
            min_score: float = config.HYBRID_MIN_SCORE,
            pool_multiplier: int = config.POOL_MULTIPLIER, *, metric: str = "cosine",
            min_cos_sim: float | None = None, dims: Sequence[int] = config.SUPPORTED_DIMS,
-           dictionary: str = "simple", late: bool = True, impl: str = "auto") -> DataFrame:
+           dictionary: str = "simple", late: bool = True, impl: str = "arrow") -> DataFrame:
     """Shared body of Q7 and Q8. Returns ``id, content, metadata, score``."""
     dim = route_dimension(query_embedding, dims)
     if "dim" in chunks.columns:
         chunks = chunks.where(F.col("dim") == F.lit(dim))
     pool_size = int(match_count) * int(pool_multiplier)
-    if pool_size > MAX_POOL:
-        raise ValueError(f"pool of {pool_size} rows exceeds {MAX_POOL}")
     max_dist = None if min_cos_sim is None else 1.0 - float(min_cos_sim)
     pool = vector_pool(chunks, query_embedding, pool_size, filter, metric, max_dist, impl)
-    rows = _fetch_pool(chunks, pool, late)
+    rows = _fetch_pool(chunks, pool, late and pool_size <= MAX_POOL)
     tsv = F.col("tsv") if "tsv" in chunks.columns else \
         ft.text_vector(F.col("content"), jsonb.jsonb_text(F.col("metadata")), dictionary)
     sim = F.lit(1.0) - F.col("dist")

@@ -6,8 +6,8 @@ with no per-row conversion, and numpy multiplies it by the query vector (or
 the broadcast query matrix). Measured at 1536 dimensions (60,000 rows,
 ``local[8]``, top-50 by cosine): 0.74 s here against 2.76 s for the native
 ``aggregate(zip_with)`` expression, which Spark evaluates interpreted, per
-element. Below ``ARROW_MIN_DIM`` the native expression is used and no
-Python worker is involved.
+element. The same path serves every dimension; ``impl="native"`` asks for
+the expression instead, with no Python worker.
 
 A NULL vector, or one whose length is not the table's dimension, gets a
 NULL distance, as the native ``zip_with`` form gives it.
@@ -22,12 +22,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-ARROW_MIN_DIM = 256
 
-
-def choose(impl: str, dim: int) -> str:
-    if impl == "auto":
-        return "arrow" if dim >= ARROW_MIN_DIM else "native"
+def choose(impl: str) -> str:
     if impl not in ("arrow", "native"):
         raise ValueError(f"unknown distance implementation {impl!r}")
     return impl
@@ -68,20 +64,9 @@ def distance_block(m: np.ndarray, qmat: np.ndarray, metric: str) -> tuple[np.nda
     raise ValueError(metric)
 
 
-def one_wave(df: DataFrame, scan_tasks: int | None = None) -> DataFrame:
-    """The scan as one wave of ``scan_tasks`` tasks (default: twice the
-    cluster's cores) when it has more splits: ``coalesce``, no shuffle. A
-    per-task top-k then sends ``k x scan_tasks`` rows to the final merge,
-    not ``k`` per file split."""
-    n = scan_tasks or 2 * df.sparkSession.sparkContext.defaultParallelism
-    return df.coalesce(n) if df.rdd.getNumPartitions() > n else df
-
-
 def distances(df: DataFrame, query: Sequence[float], metric: str = "cosine", id_col: str = "id",
-              vec_col: str = "embedding", out: str = "dist",
-              scan_tasks: int | None = None) -> DataFrame:
-    """``id, dist`` for every row of ``df`` against one query vector, the
-    scan run as one wave (``one_wave``)."""
+              vec_col: str = "embedding", out: str = "dist") -> DataFrame:
+    """``id, dist`` for every row of ``df`` against one query vector."""
     qmat = np.asarray(query, dtype=np.float64)[None, :]
     dim = qmat.shape[1]
 
@@ -93,5 +78,4 @@ def distances(df: DataFrame, query: Sequence[float], metric: str = "cosine", id_
                 [_column(b, id_col), pa.array(d[0], type=pa.float64(), mask=~valid)], [id_col, out])
 
     id_type = dict(df.dtypes)[id_col]
-    src = one_wave(df.select(id_col, vec_col), scan_tasks)
-    return src.mapInArrow(run, f"{id_col} {id_type}, {out} double")
+    return df.select(id_col, vec_col).mapInArrow(run, f"{id_col} {id_type}, {out} double")

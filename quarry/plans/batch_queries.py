@@ -27,8 +27,6 @@ from quarry.plans.registry import register
 from quarry.plans.vector_queries import DIM, hash_embed_sql
 from quarry.sources.testdata import PARENT_SQL, parent_name
 
-MAXPOS = config.MAX_POSITION
-MAXNUM = config.MAX_POSITIONS_PER_LEXEME
 W_A = config.RANK_WEIGHTS["A"]
 W_B = config.RANK_WEIGHTS["B"]
 POOL = config.MATCH_COUNT * config.POOL_MULTIPLIER
@@ -59,24 +57,20 @@ qinfo AS (SELECT qid, count(DISTINCT gi) = 1 AND count(DISTINCT lexeme) >= 2 AS
                  count(DISTINCT lexeme) AS nlex FROM qgl GROUP BY qid),
 ta AS (SELECT qid, id, unnest(l) AS lexeme, generate_subscripts(l, 1) AS i
        FROM (SELECT qid, id, {_words('content')} AS l FROM pool)),
-mx AS (SELECT qid, id, least(len({_words('content')}), {MAXPOS}) AS maxpos FROM pool),
-ea0 AS (SELECT DISTINCT ta.qid, ta.id, ta.lexeme, least(ta.i, {MAXPOS}) AS pos
+mx AS (SELECT qid, id, len({_words('content')}) AS maxpos FROM pool),
+ea0 AS (SELECT DISTINCT ta.qid, ta.id, ta.lexeme, ta.i AS pos
         FROM ta JOIN qlex ON qlex.qid = ta.qid AND qlex.lexeme = ta.lexeme),
 ea1 AS (SELECT *, row_number() OVER (PARTITION BY qid, id, lexeme ORDER BY pos) AS j FROM ea0),
-eak AS (SELECT qid, id, lexeme, pos, j FROM ea1 WHERE j <= {MAXNUM}),
+eak AS (SELECT qid, id, lexeme, pos, j FROM ea1),
 astat AS (SELECT qid, id, lexeme, count(*) AS na, max(pos) AS lasta FROM eak GROUP BY qid, id, lexeme),
 tb AS (SELECT qid, id, unnest(l) AS lexeme, generate_subscripts(l, 1) AS i
        FROM (SELECT qid, id, {_words('metadata')} AS l FROM pool)),
-eb0 AS (SELECT DISTINCT tb.qid, tb.id, tb.lexeme, least(tb.i + mx.maxpos, {MAXPOS}) AS pos
+eb0 AS (SELECT DISTINCT tb.qid, tb.id, tb.lexeme, tb.i + mx.maxpos AS pos
         FROM tb JOIN mx ON tb.qid = mx.qid AND tb.id = mx.id
                 JOIN qlex ON qlex.qid = tb.qid AND qlex.lexeme = tb.lexeme),
 eb1 AS (SELECT *, row_number() OVER (PARTITION BY qid, id, lexeme ORDER BY pos) AS jb FROM eb0),
-ebcut AS (SELECT qid, id, lexeme, min(jb) AS jcut FROM eb1 WHERE pos = {MAXPOS} GROUP BY qid, id, lexeme),
 ebk AS (SELECT eb1.qid, eb1.id, eb1.lexeme, eb1.pos, coalesce(a.na, 0) + eb1.jb AS j
-        FROM eb1 LEFT JOIN astat a ON a.qid = eb1.qid AND a.id = eb1.id AND a.lexeme = eb1.lexeme
-                 LEFT JOIN ebcut c ON c.qid = eb1.qid AND c.id = eb1.id AND c.lexeme = eb1.lexeme
-        WHERE coalesce(a.na, 0) + eb1.jb <= {MAXNUM} AND coalesce(a.lasta, 0) <> {MAXPOS}
-          AND eb1.jb <= coalesce(c.jcut, 1000000000)),
+        FROM eb1 LEFT JOIN astat a ON a.qid = eb1.qid AND a.id = eb1.id AND a.lexeme = eb1.lexeme),
 ent AS (SELECT qid, id, lexeme, pos, {W_A} AS w, j FROM eak
         UNION ALL SELECT qid, id, lexeme, pos, {W_B} AS w, j FROM ebk),
 present AS (SELECT DISTINCT qid, id, lexeme FROM ent),

@@ -22,7 +22,7 @@ _OCC_SQL = f"""occ AS (SELECT doc_id, unnest(l) AS lexeme, generate_subscripts(l
 
 
 @register("inverted_index", f"""WITH {_OCC_SQL}
-SELECT lexeme, doc_id, count(*) AS n, min(least(pos, 16383)) AS first_pos FROM occ
+SELECT lexeme, doc_id, count(*) AS n, min(pos) AS first_pos FROM occ
 WHERE lexeme IN ({', '.join(q(x) for x in LOOKUP)}) GROUP BY lexeme, doc_id""")
 def inverted_index(spark, sf):
     d = spread(spark.read.parquet(f"{sf}/documents.parquet"))

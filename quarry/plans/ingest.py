@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +22,7 @@ from quarry.operators import chunking as ch
 from quarry.operators import embedding as emb
 from quarry.operators import expansion
 from quarry.operators.numbering import number_within
+from quarry.session import cut_lineage
 from quarry.sources import html
 
 # One schema for every dimension; the dimension is the partition column.
@@ -40,10 +42,12 @@ CHUNK_SCHEMA = T.StructType([
         T.StructField("lexeme", T.StringType()), T.StructField("pos", T.IntegerType()),
         T.StructField("weight", T.StringType())])), True),
     T.StructField("created_at", T.TimestampType(), True),
+    # the text could not be embedded: a zero vector stands for it
+    T.StructField("embed_failed", T.BooleanType(), True),
     T.StructField("dim", T.IntegerType(), False),
 ])
 # One row per input and run; ``run_max_id`` is the largest id the run assigned.
-STATUS_SCHEMA = "parent string, status string, n_chunks long, run_max_id long"
+STATUS_SCHEMA = "parent string, status string, n_chunks long, n_failed long, run_max_id long"
 
 
 @dataclass
@@ -57,12 +61,24 @@ def _read(spark: SparkSession, path: str | None, schema: T.StructType | None = N
     merges the schemas of its files; the chunk table has a fixed one."""
     if not path:
         return None
-    try:
-        if schema is not None:
-            return spark.read.schema(schema).parquet(path)
-        return spark.read.option("mergeSchema", "true").parquet(path)
-    except Exception:  # noqa: BLE001 - nothing written yet
+    if not _has_files(spark, path):
         return None
+    if schema is not None:
+        return spark.read.schema(schema).parquet(path)
+    return spark.read.option("mergeSchema", "true").parquet(path)
+
+
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """Something was written below ``path``. Only a missing or empty folder
+    says no; any other trouble (permission, network, a damaged file) raises."""
+    try:
+        spark.read.option("recursiveFileLookup", "true").option(
+            "pathGlobFilter", "*.parquet").parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return False
+        raise
+    return True
 
 
 def recorded_max_id(spark: SparkSession, status_path: str | None) -> int:
@@ -97,11 +113,13 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
             dim: int = 384, embedder=None, sep: str = config.PARAGRAPH_SEPARATOR,
             max_tokens: int = config.MAX_TOKENS, overlap_ratio: float = config.WINDOW_OVERLAP_RATIO,
             min_chars: int = config.MIN_PARAGRAPH_CHARS, token_count=None,
-            first_id: int = 1, dictionary: str = "simple", drop_failed: bool = True,
+            first_id: int = 1, dictionary: str = "simple", drop_failed: bool = False,
             query_col: str | None = None, synonyms: DataFrame | None = None,
             name_col: str | None = None) -> IngestResult:
     """F3/F4 as a plan over all documents at once. With ``query_col`` the
-    file's query and its expansion (T12, T13) go into every chunk's metadata."""
+    file's query and its expansion (T12, T13) go into every chunk's metadata.
+    A chunk whose text cannot be embedded keeps its row, with a zero vector and
+    ``embed_failed``, and its file's status counts it (``n_failed``)."""
     base = base_meta if base_meta is not None else F.lit("{}")
     gated = docs.select(F.col(parent_col).cast("string").alias("parent"), F.col(text_col).alias("_text"),
                         base.alias("_meta"),
@@ -134,19 +152,22 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
     tsv = ft.text_vector(F.col("content"), jsonb.jsonb_text(F.col("metadata")), dictionary)
     # only what the table needs is numbered (and so checkpointed): the
     # optimizer cannot prune columns through the checkpoint
-    kept = embedded.select("parent", "chunk_index", "content", "metadata", "embedding")
+    kept = embedded.select("parent", "chunk_index", "content", "metadata", "embedding", "embed_failed")
     numbered = number_within(kept, [], [F.col("parent"), F.col("chunk_index")], out="_rn")
     out = numbered.select(
         (F.col("_rn") + F.lit(int(first_id) - 1)).cast("long").alias("id"),
         "parent", F.col("chunk_index").cast("int").alias("chunk_index"), "content", "metadata",
         F.try_parse_json("metadata").alias("meta_v"),
         jsonb.hot_keys(F.try_parse_json("metadata")).alias("meta_hot"), "embedding", tsv.alias("tsv"), F.current_timestamp().alias("created_at"),
-        F.lit(int(dim)).alias("dim"))
-    counts = chunks.groupBy("parent").agg(F.count("*").alias("n_chunks"))
+        "embed_failed", F.lit(int(dim)).alias("dim"))
+    # counted from the numbered rows, which are checkpointed: nothing is embedded again
+    counts = numbered.groupBy("parent").agg(
+        F.count("*").alias("n_chunks"), F.count_if("embed_failed").alias("n_failed"))
     statuses = (gated.select("parent", F.when(F.col("_gate") == "ok", F.lit("processed"))
                              .otherwise(F.lit("error")).alias("status"))
                 .join(counts, "parent", "left")
-                .select("parent", "status", F.coalesce("n_chunks", F.lit(0)).cast("long").alias("n_chunks")))
+                .select("parent", "status", *[F.coalesce(c, F.lit(0)).cast("long").alias(c)
+                                              for c in ("n_chunks", "n_failed")]))
     return IngestResult(out, statuses)
 
 
@@ -158,6 +179,8 @@ def write_chunks(chunks: DataFrame, table_path: str) -> None:
         chunks = chunks.withColumn("meta_v", F.try_parse_json(F.col("metadata")))
     if "meta_hot" not in chunks.columns:
         chunks = chunks.withColumn("meta_hot", jsonb.hot_keys(F.col("meta_v")))
+    if "embed_failed" not in chunks.columns:
+        chunks = chunks.withColumn("embed_failed", F.lit(False))
     chunks.write.mode("append").partitionBy("dim").parquet(table_path)
 
 
@@ -203,6 +226,18 @@ def new_inputs(batch: DataFrame, done: DataFrame, key: str = "parent") -> DataFr
     return batch.join(d, k == d["_done"], "left_anti")
 
 
+def recovered(spark: SparkSession, table_path: str, status_path: str) -> DataFrame | None:
+    """Status rows of inputs whose chunks were stored by a run that stopped
+    before it wrote its status rows. They go with the next run's own: once the
+    recorded mark passes their ids, the ledger still knows them."""
+    t = _unrecorded(spark, table_path, recorded_max_id(spark, status_path))
+    if t is None:
+        return None
+    rows = t.groupBy("parent").agg(F.count("*").alias("n_chunks"),
+                                   F.count_if("embed_failed").alias("n_failed"))
+    return rows.select("parent", F.lit("processed").alias("status"), "n_chunks", "n_failed")
+
+
 def record_run(spark: SparkSession, statuses: DataFrame, table_path: str, first_id: int,
                status_path: str, **cols: Column) -> None:
     """Append the run's status rows with the largest id it wrote (read back
@@ -221,10 +256,13 @@ def run(spark: SparkSession, docs: DataFrame, table_path: str, status_path: str,
     """ingest everything new in ``docs`` and append it. Re-running with the
     same input adds nothing."""
     done = ledger(spark, table_path, status_path)
+    stopped = recovered(spark, table_path, status_path)
+    stopped = None if stopped is None else cut_lineage(stopped)
     docs = new_inputs(docs.withColumnRenamed(parent_col, "parent"), done).withColumnRenamed(
         "parent", parent_col)
     first = max_id(spark, table_path, status_path) + 1
     res = prepare(docs, parent_col, text_col, first_id=first, **kw)
     write_chunks(res.chunks, table_path)
-    record_run(spark, res.statuses, table_path, first, status_path)
+    statuses = res.statuses if stopped is None else res.statuses.unionByName(stopped)
+    record_run(spark, statuses, table_path, first, status_path)
     return IngestResult(read_chunks(spark, table_path), spark.read.parquet(status_path))

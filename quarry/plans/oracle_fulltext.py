@@ -11,8 +11,6 @@ from quarry import config
 from quarry.functions import fulltext as ft
 from quarry.functions.text import WORD_RE
 
-MAXPOS = config.MAX_POSITION
-MAXNUM = config.MAX_POSITIONS_PER_LEXEME
 
 
 def q(s: str) -> str:
@@ -34,24 +32,20 @@ def entries_ctes(src: str, lexs: list[str], content: str = "content",
         meta_part = f""",
 tb AS (SELECT id, unnest(l) AS lexeme, generate_subscripts(l, 1) AS i
        FROM (SELECT id, regexp_extract_all(lower(coalesce({meta}, '')), '{WORD_RE}') AS l FROM {src})),
-eb0 AS (SELECT DISTINCT tb.id, tb.lexeme, least(tb.i + mx.maxpos, {MAXPOS}) AS pos
+eb0 AS (SELECT DISTINCT tb.id, tb.lexeme, tb.i + mx.maxpos AS pos
         FROM tb JOIN mx ON tb.id = mx.id WHERE tb.lexeme IN ({inl})),
 eb1 AS (SELECT *, row_number() OVER (PARTITION BY id, lexeme ORDER BY pos) AS jb FROM eb0),
-ebcut AS (SELECT id, lexeme, min(jb) AS jcut FROM eb1 WHERE pos = {MAXPOS} GROUP BY id, lexeme),
 ebk AS (SELECT eb1.id, eb1.lexeme, eb1.pos, coalesce(a.na, 0) + eb1.jb AS j
-        FROM eb1 LEFT JOIN astat a ON a.id = eb1.id AND a.lexeme = eb1.lexeme
-                 LEFT JOIN ebcut c ON c.id = eb1.id AND c.lexeme = eb1.lexeme
-        WHERE coalesce(a.na, 0) + eb1.jb <= {MAXNUM} AND coalesce(a.lasta, 0) <> {MAXPOS}
-          AND eb1.jb <= coalesce(c.jcut, 1000000000))"""
+        FROM eb1 LEFT JOIN astat a ON a.id = eb1.id AND a.lexeme = eb1.lexeme)"""
     b_union = f"\n    UNION ALL SELECT id, lexeme, pos, {config.RANK_WEIGHTS['B']} AS w, j FROM ebk" \
         if meta is not None else ""
     return f"""
 ta AS (SELECT id, unnest(l) AS lexeme, generate_subscripts(l, 1) AS i
        FROM (SELECT id, regexp_extract_all(lower(coalesce({content}, '')), '{WORD_RE}') AS l FROM {src})),
-mx AS (SELECT id, least(len(regexp_extract_all(lower(coalesce({content}, '')), '{WORD_RE}')), {MAXPOS}) AS maxpos FROM {src}),
-ea0 AS (SELECT DISTINCT id, lexeme, least(i, {MAXPOS}) AS pos FROM ta WHERE lexeme IN ({inl})),
+mx AS (SELECT id, len(regexp_extract_all(lower(coalesce({content}, '')), '{WORD_RE}')) AS maxpos FROM {src}),
+ea0 AS (SELECT DISTINCT id, lexeme, i AS pos FROM ta WHERE lexeme IN ({inl})),
 ea1 AS (SELECT *, row_number() OVER (PARTITION BY id, lexeme ORDER BY pos) AS j FROM ea0),
-eak AS (SELECT id, lexeme, pos, j FROM ea1 WHERE j <= {MAXNUM}),
+eak AS (SELECT id, lexeme, pos, j FROM ea1),
 astat AS (SELECT id, lexeme, count(*) AS na, max(pos) AS lasta FROM eak GROUP BY id, lexeme){meta_part},
 ent AS (SELECT id, lexeme, pos, {config.RANK_WEIGHTS['A']} AS w, j FROM eak{b_union}),
 lists AS (SELECT id{''.join(f", coalesce(list(pos ORDER BY pos) FILTER (WHERE lexeme = {q(x)}), []) AS p_{k}" for k, x in enumerate(lexs))}

@@ -162,6 +162,24 @@ def stream_ingest(spark, sf):
     return t.groupBy(F.col("parent").cast("bigint").alias("doc_id")).agg(F.count("*").alias("n_chunks"))
 
 
+@register("recovered_ingest", chunks_ctes(256, 0.25, where=GATE_SQL)
+          + "\nSELECT doc_id, count(*) AS n_chunks FROM chunks GROUP BY doc_id")
+def recovered_ingest(spark, sf):
+    """a run that stops between its chunks and its status rows, then two
+    whole runs over all documents (rejects among them): nothing is missing,
+    nothing is stored twice."""
+    table, status = scratch_path(spark, "chunks"), scratch_path(spark, "status")
+    d = spread(spark.read.parquet(f"{sf}/documents.parquet")).select(
+        F.col("doc_id").cast("string").alias("parent"), "text")
+    kw = dict(dim=DIM, sep="\n")
+    stopped = ingest.prepare(d.where("cast(parent AS bigint) % 3 = 0"), "parent", "text", **kw)
+    ingest.write_chunks(stopped.chunks, table)
+    for _ in range(2):
+        ingest.run(spark, d, table, status, **kw)
+    return (ingest.read_chunks(spark, table).groupBy(F.col("parent").cast("bigint").alias("doc_id"))
+            .agg(F.count("*").alias("n_chunks")))
+
+
 # Q7 on ingest's own output: the written chunk table (stored text vectors and
 # VARIANT metadata) searched with a hashed query vector and a JSON filter.
 _INGESTED_CHUNKS_SQL = _INGEST_SQL.split("\nSELECT row_number()")[0] + """

@@ -205,7 +205,7 @@ WITH c AS ({DOC_CHUNKS_SQL}),
 a AS (SELECT id, l FROM (SELECT id, regexp_extract_all(lower(content), '[\\p{{L}}\\p{{N}}]+') AS l FROM c)),
 b AS (SELECT id, regexp_extract_all(lower(metadata), '[\\p{{L}}\\p{{N}}]+') AS l FROM c)
 SELECT a.id, len(a.l) + len(b.l) AS n_entries, len(b.l) AS n_b,
-       least(len(a.l) + len(b.l), {config.MAX_POSITION}) AS last_pos,
+       len(a.l) + len(b.l) AS last_pos,
        b.l[1] AS first_b, b.l[-1] AS last_b
 FROM a JOIN b ON a.id = b.id""")
 def tsv_full(spark, sf):

@@ -107,7 +107,7 @@ def title_sql(expr: str) -> str:
 
 
 def article_sql(expr: str) -> str:
-    return text_sql(f"regexp_extract({expr}, {q(html.ARTICLE_RE)}, 1)")
+    return text_sql(f"array_to_string(regexp_extract_all({expr}, {q(html.ARTICLE_RE)}, 1), chr(10))")
 
 
 def _pages(spark, sf):

@@ -47,6 +47,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get(CHECKPOINT_KEY, None) or sc.getCheckpointDir()
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         # the setting is fixed once the context runs; register the folder
         # with the context only
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")

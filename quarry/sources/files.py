@@ -82,18 +82,43 @@ def route(path: Column, strategy: str) -> Column:
              .otherwise(F.lit(strategy)))
 
 
-def archive_names(df: DataFrame, archive_dir: str, path_col: str = "path") -> DataFrame:
-    """Target path in the archive folder; equal base names get ``_1``,
-    ``_2``, ... before the extension in path order. Numbered without sending
-    a whole base-name group to one task."""
-    b = base_name(F.col(path_col))
-    x = df.withColumn("_base", b)
+def archive_names(df: DataFrame, archive_dir: str, path_col: str = "path",
+                  existing: DataFrame | None = None) -> DataFrame:
+    """Target path in the archive folder. The first file of a base name, in
+    path order, keeps it unless the archive (``existing``: column ``name``) has
+    it; the others get the least free ``_1``, ``_2``, ... before the extension.
+    A number is free if neither the archive nor any base name here spells it,
+    so no two targets are equal. Numbered without sending a whole base-name
+    group to one task: the j-th file without a name takes its place in the
+    common order of such files and of the taken numbers, each less the number
+    of taken ones before it."""
+    x = df.withColumn("_base", base_name(F.col(path_col)))
     n = number_within(x, ["_base"], [F.col(path_col)], out="_rn")
+    if existing is None:
+        old = df.sparkSession.createDataFrame([], "_old string")
+    else:
+        old = existing.select(F.col("name").alias("_old")).distinct()
+    n = n.join(old, F.col("_base") == F.col("_old"), "left")
+    j = F.col("_rn") - F.when(F.col("_old").isNull(), 1).otherwise(0)  # 0: keeps its name
+    n = n.withColumn("_j", j).drop("_rn", "_old")
+    # taken numbers: names that are a stem, an underscore and a number
+    stem, ext = split_ext(F.col("_name"))
+    names = n.select(F.col("_base").alias("_name")).unionByName(old.withColumnRenamed("_old", "_name"))
+    taken = names.distinct().select(F.regexp_extract(stem, r"^(.*)_([1-9][0-9]{0,17})$", 1).alias("_s"),
+                                    F.regexp_extract(stem, r"^(.*)_([1-9][0-9]{0,17})$", 2).alias("_k"),
+                                    ext.alias("_e")).where("_k <> ''")
+    taken = taken.select(F.concat("_s", "_e").alias("_base"), F.col("_k").cast("long").alias("_k"))
+    taken = number_within(taken, ["_base"], [F.col("_k")], out="_i")
+    order = taken.select("_base", (F.col("_k") - F.col("_i") + 1).alias("_j"), F.lit(0).alias("_new"))
+    need = n.where("_j > 0").select("_base", "_j").withColumn("_new", F.lit(1))
+    place = number_within(order.unionByName(need), ["_base"], [F.col("_j"), F.col("_new")], out="_k")
+    place = place.where("_new = 1").select(F.col("_base").alias("_b"), F.col("_j").alias("_jj"), "_k")
+    n = n.join(place, (F.col("_base") == F.col("_b")) & (F.col("_j") == F.col("_jj")), "left")
     stem, ext = split_ext(F.col("_base"))
-    name = F.when(F.col("_rn") == 1, F.col("_base")).otherwise(
-        F.concat(stem, F.lit("_"), (F.col("_rn") - 1).cast("string"), ext))
+    name = F.when(F.col("_j") == 0, F.col("_base")).otherwise(
+        F.concat(stem, F.lit("_"), F.col("_k").cast("string"), ext))
     return n.withColumn("target", F.concat(F.lit(archive_dir.rstrip("/") + "/"), name)) \
-            .drop("_base", "_rn")
+            .drop("_base", "_j", "_b", "_jj", "_k")
 
 
 def file_documents(files: DataFrame, root: str, decode, done: DataFrame | None = None) -> DataFrame:

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 
 from quarry import config
 from quarry.functions import text as tx
+from quarry.functions.util import let
+from quarry.session import cut_lineage
 
 # Patterns shared with the SQL oracle (Java regex and RE2 agree on these).
 SCRIPT_RE = r"(?is)<script\b.*?</script>"
@@ -84,7 +86,8 @@ def title(html: Column) -> Column:
 
 
 def article_text(html: Column) -> Column:
-    return html_to_text(F.regexp_extract(html, ARTICLE_RE, 1))
+    """The texts of all articles of a page, in order."""
+    return html_to_text(F.array_join(F.regexp_extract_all(html, F.lit(ARTICLE_RE), 1), "\n"))
 
 
 # Strategy registry, name -> extractor over the raw page.
@@ -112,27 +115,37 @@ def cascade(primary: Column, fallbacks: list[Column], last: Column,
     = the extractor failed); else the last resort unconditionally; if that
     failed too, the primary's own result. ``coalesce`` and ``when`` evaluate
     lazily, so a later extractor only runs for rows still without a winner."""
+    def winner(c: Column, i: int) -> Column:
+        return let({"c": c}, lambda s: F.when(passes(s.c, threshold), F.struct(
+            s.c.alias("text"), F.lit(i).alias("idx"))))
+
     cands = [primary] + list(fallbacks)
-    text = F.coalesce(*[F.when(passes(c, threshold), c) for c in cands], last, primary)
-    branches = F.when(passes(cands[0], threshold), F.lit(0))
-    for i, c in enumerate(cands[1:], start=1):
-        branches = branches.when(passes(c, threshold), F.lit(i))
-    idx = branches.when(last.isNotNull(), F.lit(len(cands))).otherwise(F.lit(-1))
-    return text, idx
+    resort = let({"c": last}, lambda s: F.when(s.c.isNotNull(), F.struct(
+        s.c.alias("text"), F.lit(len(cands)).alias("idx"))))
+    won = F.coalesce(*[winner(c, i) for i, c in enumerate(cands)], resort,
+                     F.struct(primary.alias("text"), F.lit(-1).alias("idx")))
+    return won["text"], won["idx"]
 
 
 def staged_cascade(df: DataFrame, key: str, extractors: list[Callable[[DataFrame], DataFrame]],
                    threshold: int = config.OCR_THRESHOLD) -> DataFrame:
     """S6 for costly extractors: stage n runs only on rows without a winner
-    from stages before it (each extractor maps ``df`` to ``key, text``)."""
-    done = None
-    todo = df
+    from stages before it (each extractor maps ``df`` to ``key, text``), and
+    once: its rows are checkpointed. A row that no stage passes keeps the last
+    stage's text, or the first stage's where that failed (stage -1)."""
+    done, first, out, todo = None, None, None, df
     for i, ex in enumerate(extractors):
-        out = ex(todo).withColumn("stage", F.lit(i))
+        out = cut_lineage(ex(todo).withColumn("stage", F.lit(i)))
+        first = out if first is None else first
         won = out.where(passes(F.col("text"), threshold))
         done = won if done is None else done.unionByName(won)
         todo = todo.join(won.select(key), key, "left_anti")
-    return done
+    primary = first.select(key, F.col("text").alias("_primary"))
+    rest = out.where(~passes(F.col("text"), threshold)).join(primary, key, "left")
+    failed = F.col("text").isNull()
+    return done.unionByName(rest.select(
+        key, F.when(failed, F.col("_primary")).otherwise(F.col("text")).alias("text"),
+        F.when(failed, F.lit(-1)).otherwise(F.col("stage")).alias("stage")))
 
 
 def needs_ocr(direct_text: Column, threshold: int = config.OCR_THRESHOLD) -> Column:

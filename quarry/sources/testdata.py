@@ -1,8 +1,8 @@
 """The driver's tables and the views derived from them.
 
 ``doc_chunks`` is the chunk table of the search queries: one chunk per
-document, its vector from ``embeddings`` (``doc_id = vec_id``), metadata the
-JSON of ``lang, source, __parent``.
+document, its vector from ``embeddings`` (``vec_id`` = ``doc_id`` modulo their
+number), metadata the JSON of ``lang, source, __parent``.
 """
 
 from __future__ import annotations
@@ -25,7 +25,8 @@ def doc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "embeddings")
     parent = parent_name(F.col("doc_id"))
     meta = F.to_json(F.struct(F.col("lang"), F.col("source"), parent.alias("__parent")))
-    return (d.join(e, d.doc_id == e.vec_id)
+    n = max(e.count(), 1)  # documents beyond the stored vectors take them over in turn
+    return (d.join(e, F.pmod(d.doc_id, F.lit(n)) == e.vec_id)
              .select(F.col("doc_id").alias("id"), parent.alias("parent"),
                      F.lit(0).alias("chunk_index"), F.col("text").alias("content"),
                      meta.alias("metadata"), F.col("embedding")))
@@ -35,7 +36,7 @@ DOC_CHUNKS_SQL = f"""
 SELECT d.doc_id AS id, {PARENT_SQL} AS parent, 0 AS chunk_index, d.text AS content,
        json_object('lang', d.lang, 'source', d.source, '__parent', {PARENT_SQL})::VARCHAR AS metadata,
        e.embedding AS embedding
-FROM documents d JOIN embeddings e ON d.doc_id = e.vec_id
+FROM documents d JOIN embeddings e ON d.doc_id % (SELECT count(*) FROM embeddings) = e.vec_id
 """
 
 

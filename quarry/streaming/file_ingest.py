@@ -20,6 +20,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from quarry.functions.util import spread
 from quarry.plans import ingest
+from quarry.session import cut_lineage
 
 
 def _batch_done(spark: SparkSession, status_path: str, batch_id: int) -> bool:
@@ -67,10 +68,13 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType | None, tab
             docs = extract(docs, done)
         docs = ingest.new_inputs(docs.withColumnRenamed(parent_col, "parent"), done) \
             .withColumnRenamed("parent", parent_col)
+        stopped = ingest.recovered(spark, table_path, status_path)
+        stopped = None if stopped is None else cut_lineage(stopped)
         first = ingest.max_id(spark, table_path, status_path) + 1
         res = ingest.prepare(docs, parent_col, text_col, first_id=first, **prepare_kw)
         ingest.write_chunks(res.chunks, table_path)
-        ingest.record_run(spark, res.statuses, table_path, first, status_path,
+        statuses = res.statuses if stopped is None else res.statuses.unionByName(stopped)
+        ingest.record_run(spark, statuses, table_path, first, status_path,
                           batch_id=F.lit(int(batch_id)).cast("long"))
 
     w = stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)

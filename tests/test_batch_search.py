@@ -133,21 +133,30 @@ def test_many_query_blocks_one_pass(spark):
     for qi in range(0, 2500, 97):
         order = sorted(range(300), key=lambda j: (d[qi, j], j))[:3]
         assert [got[(qi, r)] for r in (1, 2, 3)] == order
-    qrows = ann.collect_queries(q, ["qid", "embedding"])
+    qrows = next(ann.query_blocks(q, ["qid", "embedding"], "qid"))
     plan = ann.knn_candidates(t, qrows, 3)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan ExistingRDD") + plan.count("Scan parquet") == 1
 
 
-def test_candidate_scan_is_one_wave(spark):
-    """Past ``scan_tasks`` splits the vector scan is coalesced (no shuffle),
-    so the candidates do not grow with the number of splits; same answer."""
+def test_query_blocks_and_merge_tree(spark):
+    """Any number of query blocks, and the two-step merge: same answer."""
     from quarry.operators import ann
     t = spark.createDataFrame([(i, [float(i % 7), 1.0]) for i in range(200)],
                               "id long, embedding array<float>").repartition(12)
-    qrows = [(1, [1.0, 0.0]), (2, [0.0, 1.0])]
-    few = ann.knn_candidates(t, qrows, 4, scan_tasks=3)
-    plan = few._jdf.queryExecution().executedPlan().toString()
-    assert "Coalesce 3" in plan
-    assert few.count() <= 2 * 4 * 3
-    best = lambda df: sorted((r.qid, r.id) for r in ann.top_per_query(df, 4).collect())
-    assert best(few) == best(ann.knn_candidates(t, qrows, 4, scan_tasks=100))
+    q = spark.createDataFrame([(i, [float(i % 5), 2.0]) for i in range(20)],
+                              "qid long, embedding array<float>")
+    one = sorted(map(tuple, ann.batch_knn(t, q, 4).collect()))
+    many = sorted(map(tuple, ann.batch_knn(t, q, 4, max_query_bytes=100).collect()))
+    assert one == many and len(one) == 80
+    assert len(list(ann.query_blocks(q, ["qid", "embedding"], "qid", max_bytes=100))) > 3
+
+
+def test_batch_search_in_blocks(spark):
+    from quarry.operators import batch_search as B
+    t = spark.createDataFrame([(i, f"w{i % 3} x", "{}", [float(i % 7), 1.0]) for i in range(40)],
+                              "id long, content string, metadata string, embedding array<float>")
+    q = spark.createDataFrame([(i, [float(i), 2.0], f"w{i % 3}") for i in range(6)],
+                              "qid long, embedding array<float>, text string")
+    one = sorted(map(tuple, B.batch_search(t, q, dims=(2,)).collect()))
+    assert one == sorted(map(tuple, B.batch_search(t, q, dims=(2,), max_query_bytes=40).collect()))
+    assert len(one) == 30

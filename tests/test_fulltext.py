@@ -25,7 +25,8 @@ def show(n):
     ("-", None),
     ("", None),
     ("Ação!", "ação"),
-    ("x-y", ("and", ["x", "y"])),
+    ("x-y", ("phrase", ["x", "y"])),          # a word of several parts is their phrase
+    ("pg_class -a/b", ("and", [("phrase", ["pg", "class"]), ("not", [("phrase", ["a", "b"])])])),
 ])
 def test_websearch_parse(q, want):
     assert show(ft.websearch_query(q).tree) == want
@@ -105,11 +106,16 @@ def test_metadata_weight_and_shift(spark):
         ("a", 1, "A"), ("b", 2, "A"), ("k", 3, "B"), ("a", 4, "B")]
 
 
-def test_position_cap(spark):
-    text = " ".join(["w"] * 300)
+def test_position_limits_are_off_unless_asked_for(spark):
+    text = " ".join(["w"] * 20_000)
     df = spark.createDataFrame([(text,)], "t string")
-    e = df.select(ft.lexeme_entries(ft.text_vector(F.col("t")), "w").alias("e")).first()[0]
+    tsv = ft.text_vector(F.col("t"))
+    e = df.select(ft.lexeme_entries(tsv, "w").alias("e")).first()[0]
+    assert len(e) == 20_000 and e[-1].pos == 20_000
+    e = df.select(ft.limit_entries(tsv, 256).alias("e")).first()[0]
     assert len(e) == 256 and e[-1].pos == 256
+    last = df.select(F.element_at(ft.text_vector(F.col("t"), max_pos=100), -1).pos.alias("p")).first()[0]
+    assert last == 100
 
 
 def test_lexical_score_cases(spark):

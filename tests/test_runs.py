@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.plans import ingest
@@ -53,7 +54,8 @@ def test_entry_and_registry(spark):
     assert 0 < df.count() <= 5
     qs, sql = E.queries(), E.oracle_sql()
     assert set(sql) <= set(qs) and len(qs) >= 80
-    assert set(qs) - set(sql) == {"ivf_probe", "lsh_knn"}
+    from quarry.plans.registry import ORACLES, QUERIES
+    assert set(QUERIES) <= set(qs) and set(QUERIES) - set(ORACLES) == {"ivf_probe", "lsh_knn"}
     assert os.path.isdir(SF)
 
 
@@ -101,6 +103,54 @@ def test_rerun_after_stop_between_writes(spark, scratch):
     assert "GreaterThan(id," in plan                                 # pushed into the scan
 
 
+def test_stopped_run_stays_known_after_two_more(spark, scratch):
+    """The recovering run records the stopped run's inputs, so a third run,
+    after the mark has passed their ids, does not take them again."""
+    t, s = scratch + "/chunks", scratch + "/status"
+    d = docs(spark).unionByName(spark.createDataFrame([("short.pdf", "too short")], "parent string, text string"),
+                                allowMissingColumns=True)
+    res = ingest.prepare(d.where("parent = 'b.pdf'"), "parent", "text", dim=8, max_tokens=40)
+    ingest.write_chunks(res.chunks, t)                               # ...and stop
+    counts = []
+    for _ in range(3):
+        out = ingest.run(spark, d, t, s, dim=8, max_tokens=40)
+        counts.append((out.chunks.count(), out.statuses.count(), out.statuses.select("parent").distinct().count()))
+    assert counts[0] == counts[1] == counts[2] and counts[0][1] == counts[0][2] == d.count()
+    row = out.statuses.where("parent = 'b.pdf'").first()
+    assert row.status == "processed" and row.n_chunks == out.chunks.where("parent = 'b.pdf'").count()
+
+
+def test_only_a_missing_table_counts_as_none(spark, scratch):
+    import os
+    assert ingest._read(spark, scratch + "/absent") is None
+    os.makedirs(scratch + "/bad")
+    with open(scratch + "/bad/part-0.parquet", "w") as f:
+        f.write("not parquet")
+    with pytest.raises(Exception):
+        ingest._read(spark, scratch + "/bad")
+
+
+def test_one_failing_text_costs_one_vector(spark, scratch):
+    import numpy as np
+    from quarry.operators import embedding as emb
+
+    def load():
+        def encode(texts):
+            if any("POISON" in x for x in texts):
+                raise ValueError("cannot encode")
+            return np.ones((len(texts), 4), dtype=np.float32)
+        return encode
+
+    long = "A paragraph that is long enough to be kept as one chunk of its own, with words. "
+    d = spark.createDataFrame([(f"p{i}.pdf", long * 3 + ("POISON " if i == 3 else "")) for i in range(6)],
+                              "parent string, text string").coalesce(1)
+    out = ingest.run(spark, d, scratch + "/c", scratch + "/s", dim=4, embedder=emb.model_embedder(load, 4))
+    rows = out.chunks.collect()
+    assert len(rows) == 6 and [r.parent for r in rows if r.embed_failed] == ["p3.pdf"]
+    assert all(list(r.embedding) == [0.0 if r.embed_failed else 1.0] * 4 for r in rows)
+    assert {r.parent: r.n_failed for r in out.statuses.collect()} == {f"p{i}.pdf": int(i == 3) for i in range(6)}
+
+
 def test_stored_variant_metadata_filters_like_text(spark, scratch):
     """The chunk table keeps the metadata parsed (``meta_v``); a filtered
     search over it equals the search over the JSON text alone."""

@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import ann
 from quarry.operators import search as S
@@ -135,19 +136,38 @@ def test_arrow_and_native_pools_agree(spark):
     assert "TakeOrderedAndProject" in plan and "MapInArrow" in plan
 
 
-def test_arrow_pool_scans_in_one_wave(spark):
+def test_arrow_pool_keeps_the_splits(spark):
     rng = np.random.default_rng(8)
     rows = [(i, "t", "{}", [float(x) for x in rng.normal(size=256).astype(np.float32)]) for i in range(120)]
     df = spark.createDataFrame(rows, "id long, content string, metadata string, embedding array<float>") \
         .repartition(40)
     q = [float(x) for x in rng.normal(size=256)]
-    pool = S.vector_pool(df, q, 10, impl="arrow")
+    pool = S.vector_pool(df, q, 10)
     plan = pool._jdf.queryExecution().executedPlan().toString()
-    n = 2 * spark.sparkContext.defaultParallelism
-    assert f"Coalesce {n}" in plan
+    assert "Coalesce" not in plan and "MapInArrow" in plan
     assert [r.id for r in pool.collect()] == [r.id for r in S.vector_pool(df, q, 10, impl="native").collect()]
 
 
+def test_pool_ids_are_few_values_per_pushed_list(spark, scratch):
+    """Every value of the pool's id test can prune a row group."""
+    spark.range(1000).select("id", F.lit("t").alias("content")).write.parquet(scratch + "/t")
+    ids = list(range(0, 1000, 20))
+    df = spark.read.parquet(scratch + "/t").where(S.id_in(ids))
+    assert sorted(r.id for r in df.collect()) == ids
+    pushed = df._jdf.queryExecution().executedPlan().toString().split("PushedFilters: ")[1]
+    assert pushed.startswith("[Or(") and "In(id" in pushed
+
+
+def test_pool_of_any_size(spark, monkeypatch):
+    """A pool too large to push its ids is joined: same rows."""
+    rows = [(i, f"word{i} common", "{}", [float(i), 1.0]) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, content string, metadata string, embedding array<float>")
+    kw = dict(query_text="common", match_count=8, dims=(2,))
+    want = S.match_hybrid(df, [3.0, 1.0], **kw).collect()
+    monkeypatch.setattr(S, "MAX_POOL", 10)
+    assert S.match_hybrid(df, [3.0, 1.0], **kw).collect() == want and len(want) == 8
+
+
 def test_arrow_pool_filters_before_python(spark):
     """The metadata filter runs in the JVM below MapInArrow: only rows that
     pass it are handed to Python."""

@@ -67,3 +67,31 @@ def test_html_extract(spark):
     assert "var x" not in r.t and "One <two>" in r.t and "T & U" in r.t
     assert "# Head" in r.m and "- i1" in r.m
     assert r.i.title == "T & U" and r.i.lang == "pt" and r.i.numpages == 1
+
+
+def test_archive_names_never_collide(spark):
+    paths = ["/r/a/x.pdf", "/r/b/x.pdf", "/r/c/x_1.pdf", "/r/d/x_1.pdf", "/r/e/x.pdf", "/r/f/y", "/r/g/y",
+             "/r/h/x_3.pdf", "/r/i/x.pdf", "/r/j/x_07.pdf"]
+    df = spark.createDataFrame([(p,) for p in paths], "path string")
+    got = {r.path: r.target[3:] for r in files.archive_names(df, "/r").collect()}
+    assert got == {"/r/a/x.pdf": "x.pdf", "/r/b/x.pdf": "x_2.pdf", "/r/c/x_1.pdf": "x_1.pdf",
+                   "/r/d/x_1.pdf": "x_1_1.pdf", "/r/e/x.pdf": "x_4.pdf", "/r/f/y": "y", "/r/g/y": "y_1",
+                   "/r/h/x_3.pdf": "x_3.pdf", "/r/i/x.pdf": "x_5.pdf", "/r/j/x_07.pdf": "x_07.pdf"}
+    old = spark.createDataFrame([("x.pdf",), ("x_2.pdf",), ("y_2",), ("z",)], "name string")
+    again = [r.target[3:] for r in files.archive_names(df, "/r", existing=old).collect()]
+    assert len(set(again)) == len(paths) and not {"x.pdf", "x_2.pdf", "y_2", "z"} & set(again)
+    assert {"x_4.pdf", "x_5.pdf", "x_6.pdf", "x_7.pdf", "y", "y_1"} <= set(again)
+
+
+def test_all_articles_and_the_last_resort(spark):
+    from quarry.sources import html as H
+    page = "<article><p>one</p></article><div>skip</div><article>two</article>"
+    df = spark.createDataFrame([(1, page), (2, "none"), (3, None)], "k int, html string")
+    got = [r.t for r in df.select(H.article_text(F.col("html")).alias("t")).collect()]
+    assert got[0].split() == ["one", "two"] and got[1] == ""
+    fail = lambda d: d.select("k", F.lit(None).cast("string").alias("text"))
+    first = lambda d: d.select("k", F.concat(F.lit("p"), F.col("k")).alias("text"))
+    out = {r.k: (r.text, r.stage) for r in H.staged_cascade(df, "k", [first, fail]).collect()}
+    assert out == {1: ("p1", -1), 2: ("p2", -1), 3: ("p3", -1)}
+    out = {r.k: (r.text, r.stage) for r in H.staged_cascade(df, "k", [fail, first]).collect()}
+    assert out == {1: ("p1", 1), 2: ("p2", 1), 3: ("p3", 1)}

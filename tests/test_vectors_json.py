@@ -83,3 +83,25 @@ def test_jsonb_key_order(spark):
     t = spark.createDataFrame([('{"bbb": 1, "a": "x", "cc": [1]}',)], "m string").select(
         jsonb.jsonb_text(F.col("m"))).first()[0]
     assert t.index('"a"') < t.index('"cc"') < t.index('"bbb"')
+
+
+def test_containment_of_large_integers_and_any_key(spark):
+    from quarry.functions import jsonb
+    rows = [(1, '{"id": 9007199254740993}'), (2, '{"id": 9007199254740992}'), (3, '{"id": 9007199254740992.0}'),
+            (4, '{"it\'s": "x", "a\\"b": {"c]": 1}}'), (5, '{"n": 1.5, "m": 2}'), (6, "not json")]
+    df = spark.createDataFrame(rows, "k int, m string")
+
+    def hits(f):
+        return sorted(r.k for r in df.where(jsonb.json_contains(F.col("m"), f)).collect())
+    assert hits({"id": 9007199254740993}) == [1]
+    assert hits({"id": 9007199254740992}) == [2, 3]
+    assert hits({"it's": "x"}) == [4] and hits({"it's": "y"}) == []
+    assert hits({'a"b': {"c]": 1}}) == [4]
+    assert hits({"n": 1.5}) == [5] and hits({"m": 2}) == [5] and hits({"n": 1}) == []
+
+
+def test_rows_without_hot_keys_are_found(spark):
+    from quarry.functions import jsonb
+    rows = [(1, '{"title": "a"}', None), (2, '{"title": "a"}', ("a",)), (3, '{"title": "b"}', ("b",))]
+    df = spark.createDataFrame(rows, "k int, metadata string, meta_hot struct<title:string>")
+    assert sorted(r.k for r in df.where(jsonb.metadata_filter(df, {"title": "a"})).collect()) == [1, 2]
