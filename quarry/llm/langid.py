@@ -26,12 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quarry.llm.common import materialise
+
 SAMPLE_DOCS = 1_500
-MODEL_ROWS = 200_000
+MODEL_ROWS = 150_000
 MAX_GRAM = 5
 SMOOTHING = 0.1
 UNKNOWN = "und"
-_KNOWN_WORDS = 500_000
+_KNOWN_WORDS = 400_000
 _WORD = re.compile(r"[^\W\d_]+")
 
 
@@ -45,20 +47,23 @@ def grams_of(word: str, n: int) -> list[str]:
 
 
 class Model:
-    """Log frequencies per language of words and n-grams."""
+    """Log frequencies per language: tables with a row per word and per n-gram,
+    and the rows' numbers."""
 
-    def __init__(self, languages: list[str], words: dict, grams: dict):
+    def __init__(self, languages: list[str], words: dict[str, int], word_table: np.ndarray,
+                 grams: dict[str, int], gram_table: np.ndarray):
         self.languages = languages
-        self.words, self.grams = words, grams  # to arrays, one number per language
+        self.words, self.word_table = words, word_table
+        self.grams, self.gram_table = grams, gram_table
 
     def vector(self, word: str) -> np.ndarray:
         known = self.words.get(word)
         if known is not None:
-            return known
+            return self.word_table[known]
         for n in range(MAX_GRAM, 0, -1):
             held = [g for g in map(self.grams.get, grams_of(word, n)) if g is not None]
             if held:
-                return np.mean(held, axis=0)
+                return self.gram_table[held].mean(axis=0)
         return np.zeros(len(self.languages))
 
 
@@ -133,28 +138,28 @@ def train(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, model_rows: int = MOD
     sizes = {r.lang: r.n for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     languages = sorted(sizes)
     if not languages:
-        return Model([], {}, {})
+        return Model([], {}, np.zeros((0, 0)), {}, np.zeros((0, 0)))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     limits = F.create_map(*[F.lit(x) for lang in languages
                             for x in (lang, sample_docs / sizes[lang])])
     some = known.where(share < limits[F.col("lang")]).select("lang", "text")
-    per_item = (_counts(some).groupBy((F.col("kind") > 0).alias("gram"), "kind", "item")
-                .agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"),
-                     F.sum("n").alias("n")).where("n > 1"))
-    words, grams = {}, {}
-    for is_gram, out in ((False, words), (True, grams)):
-        rows = (per_item.where(F.col("gram") == is_gram)
-                .orderBy(F.desc("n"), "kind", "item").limit(model_rows).collect())
+    by = [F.sum(F.when(F.col("lang") == lang, F.col("n")).otherwise(0)).cast("double")
+          for lang in languages]
+    per_item = materialise(_counts(some).groupBy("kind", "item").agg(
+        F.array(*by).alias("by"), F.sum("n").alias("n")).where("n > 1"), "language-counts")
+    tables = []
+    for wanted in (F.col("kind") == 0, F.col("kind") > 0):
+        top = (per_item.where(wanted).orderBy(F.desc("n"), "kind", "item").limit(model_rows)
+               .select("item", "kind", "by").toArrow())
+        items, kind = top.column("item").to_pylist(), top.column("kind").to_numpy()
+        counts = np.array(top.column("by").combine_chunks().flatten()).reshape(-1, len(languages))
         # frequencies within words, and within the n-grams of each length
-        totals: dict[int, np.ndarray] = {}
-        for r in rows:
-            v = np.array([r.by.get(lang, 0) for lang in languages], dtype=np.float64)
-            out[r.item] = (r.kind, v)
-            totals[r.kind] = totals.get(r.kind, 0) + v
-        kinds = Counter(kind for kind, _ in out.values())
-        for item, (kind, v) in out.items():
-            out[item] = np.log((v + SMOOTHING) / (totals[kind] + SMOOTHING * kinds[kind]))
-    return Model(languages, words, grams)
+        for k in np.unique(kind):
+            at = kind == k
+            counts[at] = np.log((counts[at] + SMOOTHING)
+                                / (counts[at].sum(axis=0) + SMOOTHING * at.sum()))
+        tables += [{item: i for i, item in enumerate(items)}, counts]
+    return Model(languages, *tables)
 
 
 def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str = "score",

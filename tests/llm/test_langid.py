@@ -7,10 +7,9 @@ SF = "/root/testdata/sf0.01"
 
 
 def model():
-    words = {"the": np.array([-1.0, -9.0]), "der": np.array([-9.0, -1.0])}
-    grams = {"th": np.array([-2.0, -5.0]), "^sch": np.array([-9.0, -3.0]), "e": np.array([-1.0, -1.5]),
-             "sch": np.array([-7.0, -1.0]), "^th": np.array([-3.0, -8.0])}
-    return li.Model(["en", "de"], words, grams)
+    return li.Model(["en", "de"], {"the": 0, "der": 1}, np.array([[-1.0, -9.0], [-9.0, -1.0]]),
+                    {"th": 0, "^sch": 1, "e": 2, "sch": 3, "^th": 4},
+                    np.array([[-2.0, -5.0], [-9.0, -3.0], [-1.0, -1.5], [-7.0, -1.0], [-3.0, -8.0]]))
 
 
 def test_backoff_takes_the_longest_known_length():
