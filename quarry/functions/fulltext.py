@@ -15,12 +15,15 @@ from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from quarry import config
+from quarry.functions.stemmer import portuguese
 from quarry.functions.text import WORD_RE
 from quarry.functions.util import let
 
@@ -35,21 +38,44 @@ _LIGHT_STEM_RE = r"^([a-z]{3,}[^s])s$"
 # --------------------------------------------------------------------------
 # Dictionaries (L2)
 # --------------------------------------------------------------------------
+DICTIONARIES: dict[str, Callable[[str], str]] = {"portuguese": portuguese}
+
+
+def register_dictionary(name: str, stem: Callable[[str], str]) -> None:
+    """Make ``stem`` (lower-cased word to lexeme) a dictionary for texts and
+    queries alike."""
+    DICTIONARIES[name] = stem
+
+
+def _plugin(dictionary: str) -> Callable[[str], str]:
+    if dictionary not in DICTIONARIES:
+        raise ValueError(f"unknown dictionary {dictionary!r}")
+    return DICTIONARIES[dictionary]
+
+
 def apply_dictionary(w: Column, dictionary: str = "simple") -> Column:
     """Map a lower-cased word to its lexeme. ``simple``: the word itself.
     ``light``: ASCII words lose a plural ``s`` (a native stand-in for a
-    stemmer; words with other characters are only lower-cased)."""
+    stemmer; words with other characters are only lower-cased). Others
+    (``portuguese``, registered ones) run over Arrow batches."""
     if dictionary == "simple":
         return w
     if dictionary == "light":
         return F.when(w.rlike("^[a-z]+$"), F.regexp_replace(w, _LIGHT_STEM_RE, "$1")).otherwise(w)
-    raise ValueError(f"unknown dictionary {dictionary!r}")
+    stem = _plugin(dictionary)
+
+    @F.pandas_udf("string")
+    def lexeme(ws: pd.Series) -> pd.Series:
+        return ws.map(stem, na_action="ignore")
+    return lexeme(w)
 
 
 def py_dictionary(w: str, dictionary: str = "simple") -> str:
-    if dictionary == "light" and re.fullmatch(r"[a-z]+", w):
-        return re.sub(_LIGHT_STEM_RE, r"\1", w)
-    return w
+    if dictionary == "simple":
+        return w
+    if dictionary == "light":
+        return re.sub(_LIGHT_STEM_RE, r"\1", w) if re.fullmatch(r"[a-z]+", w) else w
+    return _plugin(dictionary)(w)
 
 
 def words(text: Column, dictionary: str = "simple") -> Column:
@@ -57,7 +83,14 @@ def words(text: Column, dictionary: str = "simple") -> Column:
     ws = F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD_RE), 0)
     if dictionary == "simple":
         return ws
-    return F.transform(ws, lambda w: apply_dictionary(w, dictionary))
+    if dictionary == "light":
+        return F.transform(ws, lambda w: apply_dictionary(w, dictionary))
+    stem = _plugin(dictionary)
+
+    @F.pandas_udf("array<string>")
+    def lexemes(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: [stem(w) for w in t])
+    return lexemes(ws)
 
 
 def py_words(text: str, dictionary: str = "simple") -> list[str]:
