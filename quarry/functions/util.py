@@ -17,6 +17,31 @@ def let(bindings: dict[str, Column], body: Callable[[Column], Column]) -> Column
     return F.transform(F.array(s), body)[0]
 
 
+def scan(items: Column, init: Column, step: Callable[[Column, Column], tuple[Column, Column]],
+         out_type: str) -> Column:
+    """What ``step(state, item)`` puts out for every item, in order; it returns
+    the next state (a struct like ``init``) and the output. The fold runs in
+    blocks of about the square root of the length, so that appending copies
+    one block's outputs, not all of them."""
+    def fold(state, block):
+        def add(acc, x):
+            state, out = step(acc["st"], x)
+            return F.struct(state.alias("st"), F.concat(acc["out"], F.array(out)).alias("out"))
+        return F.aggregate(block, F.struct(state.alias("st"), F.array().cast(
+            f"array<{out_type}>").alias("out")), add)
+
+    def blocks(s):
+        n = F.size(s["items"])
+        width = F.greatest(F.ceil(F.sqrt(n.cast("double"))).cast("int"), F.lit(1))
+        parts = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), width),
+                            lambda at: F.slice(s["items"], at + 1, width))
+        start = F.struct(init.alias("st"), F.array().cast(f"array<array<{out_type}>>").alias("out"))
+        return F.flatten(F.aggregate(parts, start, lambda acc, b: let(
+            {"i": fold(acc["st"], b)}, lambda z: F.struct(
+                z["i"]["st"].alias("st"), F.concat(acc["out"], F.array(z["i"]["out"])).alias("out"))))["out"])
+    return let({"items": items}, blocks)
+
+
 def spread(df: DataFrame, factor: int = 1) -> DataFrame:
     """Round-robin repartition when a CPU-heavy per-row stage would otherwise
     run on fewer tasks than the cluster has cores (one small file gives one

@@ -2,20 +2,22 @@
 
 Everything runs inside the row of its document with higher-order functions:
 no shuffle, no Python. The greedy packing is a fold over the paragraph token
-counts that assigns a group number to each paragraph; the chunk texts are
-then sliced out of the paragraph array group by group (linear).
+counts that assigns a group number to each paragraph (``util.scan``); the chunk
+texts are then sliced out of the paragraph array group by group. With a
+model's own tokenizer, ``tokenizer_chunks`` does the same over Arrow batches.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry import config
 from quarry.functions import text as tx
-from quarry.functions.util import let
+from quarry.functions.util import let, scan
 
 TokenCounter = Callable[[Column], Column]
 
@@ -36,17 +38,15 @@ def group_ids(ntoks: Column, max_tokens: int) -> Column:
     open group while the group's count plus its own stays within the limit;
     a paragraph over the limit gets a group of its own and closes it."""
     m = F.lit(int(max_tokens))
-    init = F.struct(F.lit(-1).alias("g"), F.lit(0).alias("cur"), F.lit(False).alias("open"),
-                    F.array().cast("array<int>").alias("ids"))
+    init = F.struct(F.lit(-1).alias("g"), F.lit(0).alias("cur"), F.lit(False).alias("open"))
 
-    def merge(acc, n):
+    def step(st, n):
         long = n > m
-        fits = acc.open & (acc.cur + n <= m)
-        g2 = F.when(fits, acc.g).otherwise(acc.g + 1)
-        cur2 = F.when(long, F.lit(0)).when(fits, acc.cur + n).otherwise(n)
-        return F.struct(g2.alias("g"), cur2.alias("cur"), (~long).alias("open"),
-                        F.concat(acc.ids, F.array(g2)).alias("ids"))
-    return F.aggregate(ntoks, init, merge, lambda acc: acc.ids)
+        fits = st["open"] & (st["cur"] + n <= m)
+        g2 = F.when(fits, st["g"]).otherwise(st["g"] + 1)
+        cur2 = F.when(long, F.lit(0)).when(fits, st["cur"] + n).otherwise(n)
+        return F.struct(g2.alias("g"), cur2.alias("cur"), (~long).alias("open")), g2
+    return scan(ntoks, init, step, "int")
 
 
 def token_windows(p: Column, size: int, overlap: int) -> Column:
@@ -98,12 +98,59 @@ def pack_chunks(paras: Column, max_tokens: int = config.MAX_TOKENS,
     return let({"p": paras, "n": F.transform(paras, token_count)}, outer)
 
 
+Offsets = Callable[[str], list[tuple[int, int]]]
+
+
+def tokenizer_chunks(load: Callable[[], Offsets], max_tokens: int = config.MAX_TOKENS,
+                     overlap_ratio: float = config.WINDOW_OVERLAP_RATIO,
+                     joiner: str = config.CHUNK_JOINER) -> Callable[[Column], Column]:
+    """T6 + T8 + T9 in a model's own tokens: a function from paragraphs
+    (``ARRAY<STRING>``) to chunks. ``load()`` runs once per Python worker and
+    returns ``offsets(text)``, the (start, end) of each token. Paragraphs are
+    counted once; one over the limit is cut into windows at its own token
+    bounds, so no window holds more than ``max_tokens`` of its tokens."""
+    size = int(max_tokens)
+    step = size - int(size * overlap_ratio)
+    if step <= 0:
+        raise ValueError("overlap must be smaller than the window")
+
+    def of(paras, offsets):
+        out, held, room = [], [], 0
+        for p in paras:
+            spans = offsets(p)
+            n = len(spans)
+            if held and (n > size or n > room):
+                out.append(joiner.join(held))
+                held = []
+            if n > size:
+                for at in range(0, n, step):
+                    window = spans[at:at + size]
+                    out.append(p[window[0][0]:window[-1][1]])
+                    if at + size >= n:
+                        break
+                continue
+            room = (room if held else size) - n
+            held.append(p)
+        return out + [joiner.join(held)] if held else out
+
+    @F.pandas_udf("array<string>")
+    def chunks(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        offsets = load()
+        for b in batches:
+            yield b.map(lambda paras: None if paras is None else of(paras, offsets))
+    return chunks
+
+
 def document_chunks(text: Column, sep: str = config.PARAGRAPH_SEPARATOR,
                     max_tokens: int = config.MAX_TOKENS,
                     overlap_ratio: float = config.WINDOW_OVERLAP_RATIO,
                     min_chars: int = config.MIN_PARAGRAPH_CHARS,
-                    token_count: TokenCounter = tx.regex_token_count) -> Column:
-    """T5 -> T6 -> T8/T9 for one text."""
+                    token_count: TokenCounter = tx.regex_token_count,
+                    chunker: Callable[[Column], Column] | None = None) -> Column:
+    """T5 -> T6 -> T8/T9 for one text; ``chunker`` (``tokenizer_chunks``) packs
+    in a model's tokens instead."""
+    if chunker is not None:
+        return chunker(tx.filter_paragraphs(text, sep, min_chars))
     return pack_chunks(tx.filter_paragraphs(text, sep, min_chars), max_tokens, overlap_ratio,
                        token_count)
 
@@ -114,10 +161,11 @@ def hierarchical_chunks(df: DataFrame, text_col: str, keys: list[str],
                         overlap_ratio: float = config.WINDOW_OVERLAP_RATIO,
                         min_chars: int = config.MIN_PARAGRAPH_CHARS,
                         token_count: TokenCounter = tx.regex_token_count,
-                        strip_nul: bool = True) -> DataFrame:
+                        strip_nul: bool = True,
+                        chunker: Callable[[Column], Column] | None = None) -> DataFrame:
     """T10 (+ T11): one row per chunk, ``chunk_index`` from 0 per document."""
     chunks = document_chunks(F.col(text_col), sep, max_tokens, overlap_ratio, min_chars,
-                             token_count)
+                             token_count, chunker)
     out = df.select(*keys, F.posexplode(chunks).alias("chunk_index", "content"))
     if strip_nul:
         out = out.withColumn("content", tx.strip_nul(F.col("content")))
@@ -138,13 +186,12 @@ HEADING_RE = rf"^\p{{Nd}}+(?:\.\p{{Nd}}+)*\.?{tx.WS}+\p{{Lu}}"
 def heading_sections(paras: Column) -> Column:
     """For each paragraph, the last heading at or before it (or NULL),
     by a fold inside the row (no window, no shuffle)."""
-    init = F.struct(F.lit(None).cast("string").alias("h"),
-                    F.array().cast("array<string>").alias("out"))
+    init = F.struct(F.lit(None).cast("string").alias("h"))
 
-    def merge(acc, p):
-        h2 = F.when(p.rlike(HEADING_RE), p).otherwise(acc.h)
-        return F.struct(h2.alias("h"), F.concat(acc.out, F.array(h2)).alias("out"))
-    return F.aggregate(paras, init, merge, lambda acc: acc.out)
+    def step(st, p):
+        h = F.when(p.rlike(HEADING_RE), p).otherwise(st["h"])
+        return F.struct(h.alias("h")), h
+    return scan(paras, init, step, "string")
 
 
 def char_windows(text: Column, size: int, overlap: int) -> Column:

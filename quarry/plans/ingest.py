@@ -115,9 +115,10 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
             min_chars: int = config.MIN_PARAGRAPH_CHARS, token_count=None,
             first_id: int = 1, dictionary: str = "simple", drop_failed: bool = False,
             query_col: str | None = None, synonyms: DataFrame | None = None,
-            name_col: str | None = None) -> IngestResult:
+            name_col: str | None = None, chunker=None) -> IngestResult:
     """F3/F4 as a plan over all documents at once. With ``query_col`` the
     file's query and its expansion (T12, T13) go into every chunk's metadata.
+    ``chunker`` packs in a model's own tokens (``chunking.tokenizer_chunks``).
     A chunk whose text cannot be embedded keeps its row, with a zero vector and
     ``embed_failed``, and its file's status counts it (``n_failed``)."""
     base = base_meta if base_meta is not None else F.lit("{}")
@@ -131,7 +132,7 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
     keys = ["parent", "_meta"] + (["_query"] if query_col else []) + (["_name"] if name_col else [])
     chunks = ch.hierarchical_chunks(ok, "_text", keys,
                                     sep=sep, max_tokens=max_tokens, overlap_ratio=overlap_ratio,
-                                    min_chars=min_chars, **kw)
+                                    min_chars=min_chars, chunker=chunker, **kw)
     # __parent: the file's original name where given (name_col), else the key
     extra = {"__parent": F.col("_name") if name_col else F.col("parent"),
              "__chunk_index": F.col("chunk_index")}

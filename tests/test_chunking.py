@@ -119,3 +119,30 @@ def test_token_limit():
     assert ch.token_limit(NS(max_seq_length=None, tokenizer=NS(model_max_length=512))) == 512
     assert ch.token_limit(None, NS(model_max_length=128)) == 128
     assert ch.token_limit(NS()) == ch.config.MAX_TOKENS
+
+
+def test_tokenizer_hook_packs_in_its_own_tokens(spark):
+    """Characters as tokens: packing, windows and limits follow the plug-in."""
+    def load():
+        return lambda text: [(i, i + 1) for i in range(len(text)) if not text[i].isspace()]
+    df = spark.createDataFrame([(1, ["abcd", "efg", "hij", "k"]), (2, ["ab cdefghijkl mnop", "q"]), (3, []),
+                                (4, None)], "k int, p array<string>")
+    chunk = ch.tokenizer_chunks(load, max_tokens=8, overlap_ratio=0.25, joiner="|")
+    got = {r.k: r.c for r in df.select("k", chunk(F.col("p")).alias("c")).collect()}
+    assert got == {1: ["abcd|efg", "hij|k"], 2: ["ab cdefgh", "ghijkl mn", "mnop", "q"], 3: [], 4: None}
+    text = spark.createDataFrame([("a long paragraph of text " * 30,)], "text string")
+    rows = ch.hierarchical_chunks(text, "text", [], chunker=ch.tokenizer_chunks(load, 64)).collect()
+    assert len(rows) > 5 and all(sum(not c.isspace() for c in r.content) <= 64 for r in rows)
+
+
+def test_a_hundred_thousand_paragraphs(spark):
+    df = spark.range(1).select(F.transform(F.sequence(F.lit(1), F.lit(100_000)), lambda i: i % 7 + 1).alias("n"))
+    got = df.select(ch.group_ids(F.col("n"), 20).alias("g")).first().g
+    want, g, cur = [], -1, 0
+    for i in range(1, 100_001):
+        n = i % 7 + 1
+        if g < 0 or cur + n > 20:
+            g, cur = g + 1, 0
+        cur += n
+        want.append(g)
+    assert got == want
