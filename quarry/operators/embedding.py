@@ -86,6 +86,20 @@ def embed(df: DataFrame, text_col: str, dim: int, embedder: Embedder | None = No
              .drop("_e"))
 
 
+def embed_lists(df: DataFrame, key: str, list_col: str, dim: int, embedder: Embedder | None = None,
+                out: str = "embeddings") -> DataFrame:
+    """V8: ``key`` and one vector per text of an ``ARRAY<STRING>``, in its order.
+    Texts are embedded one to a row, so a long list is spread over batches; an
+    empty list gives an empty array, a NULL one NULL. ``key`` is unique."""
+    items = df.select(key, F.posexplode(list_col).alias("_pos", "_text"))
+    rows = embed(items, "_text", dim, embedder, out="_v").groupBy(F.col(key).alias("_key")).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct("_pos", "_v"))), lambda x: x["_v"]).alias("_vs"))
+    joined = df.select(key, F.col(list_col).isNull().alias("_null")).join(
+        rows, F.col(key) == F.col("_key"), "left")
+    empty = F.array().cast("array<array<float>>")
+    return joined.select(key, F.when(~F.col("_null"), F.coalesce("_vs", empty)).alias(out))
+
+
 # FIXED: menu keys, embedding models and their output dimensions.
 MODEL_REGISTRY = (
     ("1", "mixedbread-ai/mxbai-embed-large-v1", 1024),

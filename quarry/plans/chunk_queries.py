@@ -168,6 +168,72 @@ def heading_sections(spark, sf):
         "doc_id", "pos", F.col("e.section").alias("section"))
 
 
+# The documents hold no contents heading, numbered heading or NUL: the rules for
+# those run on the documents with such lines added, the same on both sides.
+MARKED_SQL = """
+marked AS (SELECT doc_id, CASE doc_id % 5
+  WHEN 0 THEN text || chr(10) || 'Table of Contents' || chr(10) || 'Table of contents and more words after it'
+  WHEN 1 THEN '1.2 Title text 15' || chr(10) || text || chr(10) || '3 A 4'
+  WHEN 2 THEN text || chr(10) || '1.2 Heading of a part' || chr(10) || 'Its body' || chr(10) || '2 Next'
+  WHEN 3 THEN chr(0) || text || 'x' || chr(0)
+  ELSE text END AS text FROM documents),"""
+
+
+def _marked(spark, sf):
+    d, t, k = _docs(spark, sf), F.col("text"), F.pmod(F.col("doc_id"), F.lit(5))
+    text = (F.when(k == 0, F.concat(t, F.lit("\nTable of Contents\nTable of contents and more words after it")))
+             .when(k == 1, F.concat(F.lit("1.2 Title text 15\n"), t, F.lit("\n3 A 4")))
+             .when(k == 2, F.concat(t, F.lit("\n1.2 Heading of a part\nIts body\n2 Next")))
+             .when(k == 3, F.concat(F.lit("\0"), t, F.lit("x\0"))).otherwise(t))
+    return d.select("doc_id", text.alias("text"))
+
+
+def _of_marked(sql: str) -> str:
+    return MARKED_SQL + sql.replace("FROM documents", "FROM marked")
+
+
+@register("drop_toc_keywords_marked", "WITH " + _of_marked(PARAS_SQL)
+          + f"\nSELECT doc_id, pos FROM p1 WHERE NOT regexp_matches(lower(para), {TOC_KEY_SQL})")
+def drop_toc_keywords_marked(spark, sf):
+    p = ch.paragraph_rows(_marked(spark, sf), "text", ["doc_id"], sep=SEP)
+    return p.where(~tx.is_toc_keyword(F.col("para"))).select("doc_id", "pos")
+
+
+@register("drop_toc_lines_marked", "WITH " + _of_marked(PARAS_SQL)
+          + f"\nSELECT doc_id, pos FROM p1 WHERE NOT regexp_matches(para, {TOC_LINE_SQL})")
+def drop_toc_lines_marked(spark, sf):
+    p = ch.paragraph_rows(_marked(spark, sf), "text", ["doc_id"], sep=SEP)
+    return p.where(~tx.is_toc_line(F.col("para"))).select("doc_id", "pos")
+
+
+@register("filter_paragraphs_marked", "WITH " + _of_marked(FILTERED_SQL)
+          + "\nSELECT doc_id, pos, para FROM f1")
+def filter_paragraphs_marked(spark, sf):
+    return ch.paragraph_rows(_marked(spark, sf), "text", ["doc_id"],
+                             paras=tx.filter_paragraphs(F.col("text"), SEP))
+
+
+@register("strip_nul_marked", "WITH " + MARKED_SQL + """
+c AS (SELECT doc_id, length(text) AS n FROM marked)
+SELECT doc_id, length(replace(text, chr(0), '')) AS n_clean, c.n FROM marked JOIN c USING (doc_id)""")
+def strip_nul_marked(spark, sf):
+    t = F.col("text")
+    return _marked(spark, sf).select("doc_id", F.length(tx.strip_nul(t)).alias("n_clean"), F.length(t).alias("n"))
+
+
+@register("heading_sections_marked", "WITH " + _of_marked(PARAS_SQL) + f"""
+SELECT doc_id, pos,
+       last_value(CASE WHEN regexp_matches(para, {q(ch.HEADING_RE)}) THEN para END IGNORE NULLS)
+         OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS section
+FROM p1""")
+def heading_sections_marked(spark, sf):
+    paras = tx.paragraphs(F.col("text"), SEP)
+    x = _marked(spark, sf).select("doc_id", F.arrays_zip(
+        paras.alias("para"), ch.heading_sections(paras).alias("section")).alias("z"))
+    return x.select("doc_id", F.posexplode("z").alias("pos", "e")).select(
+        "doc_id", "pos", F.col("e.section").alias("section"))
+
+
 @register("char_windows", """
 WITH c AS (SELECT doc_id, text, length(text) AS n FROM documents WHERE length(text) > 0),
 s AS (SELECT doc_id, text, unnest(list_filter(range(0, n, 324), lambda s: s = 0 OR s + 700 < n)) AS st FROM c)

@@ -78,3 +78,11 @@ def test_hash_embedding_unit_and_model_hook(spark):
     out = emb.embed(df2, "t", 4, emb.model_embedder(load, 4), ).collect()
     assert [(r.embed_failed, r.embedding) for r in out] == [
         (False, [2.0, 2.0, 2.0, 0.0]), (True, [0.0] * 4)]  # only the text that fails
+
+
+def test_embedding_of_text_lists(spark):
+    df = spark.createDataFrame([(1, ["a b", "", "c"]), (2, []), (3, None), (4, ["c"])], "k int, ts array<string>")
+    got = {r.k: r.embeddings for r in emb.embed_lists(df, "k", "ts", 8).collect()}
+    one = {r.t: r.embedding for r in emb.embed(spark.createDataFrame(
+        [("a b",), ("",), ("c",)], "t string"), "t", 8).collect()}
+    assert got == {1: [one["a b"], one[""], one["c"]], 2: [], 3: None, 4: [one["c"]]}
