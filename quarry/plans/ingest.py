@@ -154,6 +154,8 @@ def prepare(docs: DataFrame, parent_col: str, text_col: str, base_meta: Column |
     # only what the table needs is numbered (and so checkpointed): the
     # optimizer cannot prune columns through the checkpoint
     kept = embedded.select("parent", "chunk_index", "content", "metadata", "embedding", "embed_failed")
+    # written before the range partitioning samples it: every chunk is embedded once
+    kept = cut_lineage(kept)
     numbered = number_within(kept, [], [F.col("parent"), F.col("chunk_index")], out="_rn")
     out = numbered.select(
         (F.col("_rn") + F.lit(int(first_id) - 1)).cast("long").alias("id"),

@@ -65,7 +65,7 @@ def start(spark: SparkSession, source_dir: str, schema: T.StructType | None, tab
         done = ingest.ledger(spark, table_path, status_path)
         docs = spread(df)
         if extract is not None:
-            docs = extract(docs, done)
+            docs = cut_lineage(extract(docs, done))  # each file is decoded once
         docs = ingest.new_inputs(docs.withColumnRenamed(parent_col, "parent"), done) \
             .withColumnRenamed("parent", parent_col)
         stopped = ingest.recovered(spark, table_path, status_path)

@@ -130,6 +130,44 @@ def test_only_a_missing_table_counts_as_none(spark, scratch):
         ingest._read(spark, scratch + "/bad")
 
 
+def test_every_chunk_is_embedded_and_every_file_decoded_once(spark, scratch):
+    import os
+    import uuid
+
+    import numpy as np
+    from quarry.operators import embedding as emb
+    from quarry.sources import files
+    calls = scratch + "/calls"
+    os.makedirs(calls)
+
+    def note(kind, n):
+        for _ in range(n):
+            open(f"{calls}/{kind}-{uuid.uuid4().hex}", "w").close()
+
+    def load():
+        def encode(texts):
+            note("embed", len(texts))
+            return np.ones((len(texts), 4), dtype=np.float32)
+        return encode
+
+    def decode(data, path):
+        note("decode", 1)
+        return data.decode()
+
+    root = scratch + "/in"
+    os.makedirs(root)
+    for i in range(5):
+        with open(f"{root}/f{i}.pdf", "w") as f:
+            f.write((f"Paragraph number {i} is long enough for the gate and for the chunker to keep it. " * 2
+                     + "\n") * (i + 1))
+    file_ingest.run_once(spark, root, None, scratch + "/c", scratch + "/s", scratch + "/k", "parent", "text",
+                         fmt="binaryFile", extract=lambda df, done: files.file_documents(df, root, decode, done),
+                         name_col="name", dim=4, sep="\n", max_tokens=16, embedder=emb.model_embedder(load, 4))
+    n = ingest.read_chunks(spark, scratch + "/c").count()
+    made = [x.split("-")[0] for x in os.listdir(calls)]
+    assert n > 5 and made.count("embed") == n and made.count("decode") == 5
+
+
 def test_one_failing_text_costs_one_vector(spark, scratch):
     import numpy as np
     from quarry.operators import embedding as emb
