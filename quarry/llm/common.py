@@ -43,6 +43,14 @@ def bounded(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size <= most else df
 
 
+def slices(batches, rows: int = 500):
+    """Arrow batches of at most ``rows`` rows, without copying: only so many
+    texts are Python objects at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 

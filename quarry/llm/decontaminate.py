@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import free_name, materialise
+from quarry.llm.common import free_name, materialise, slices
 
 WINDOW = 10
 MAX_BROADCAST_BYTES = 64 << 20
@@ -192,7 +192,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, keep_text: bool
 def _scanner(shared, name, columns):
     def run(batches):
         grams = shared.value
-        for b in batches:
+        for b in slices(batches):
             n_words, all_runs, all_items = [], [], []
             texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
             had = zip(b.column(b.schema.get_field_index(name["runs"])).to_pylist(),

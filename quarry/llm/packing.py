@@ -30,13 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialise, text_or_empty
+from quarry.llm.common import materialise, slices, text_or_empty
 
 SEQUENCE = 4096
 CLOSING_ID = 1
 GROUP_PIECES = 10_000
 VOCABULARY = "word_bpe_49k.json"
-_CACHE_WORDS = 800_000
+_CACHE_WORDS = 300_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
@@ -115,22 +115,25 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = SEQUENCE,
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def cut(batches):
-        for b in batches:
-            rows, piece, start, size, crc, ids = [], [], [], [], [], []
-            for k, data in enumerate(encoder(path).encode(b.column(1).to_pylist())):
-                data += end
-                for p, at in enumerate(range(0, len(data), 4 * length)):
-                    part = data[at:at + 4 * length]
-                    rows.append(k)
-                    piece.append(p)
-                    start.append(at // 4)
-                    size.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
-                    ids.append(part if with_ids else b"")
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()),
-                 pa.array(start, pa.int64()), pa.array(size, pa.int64()),
-                 pa.array(crc, pa.int64())] + [pa.array(ids, pa.binary())] * with_ids, names=names)
+        for b in slices(batches):
+            yield cut_slice(b)
+
+    def cut_slice(b):
+        rows, piece, start, size, crc, ids = [], [], [], [], [], []
+        for k, data in enumerate(encoder(path).encode(b.column(1).to_pylist())):
+            data += end
+            for p, at in enumerate(range(0, len(data), 4 * length)):
+                part = data[at:at + 4 * length]
+                rows.append(k)
+                piece.append(p)
+                start.append(at // 4)
+                size.append(len(part) // 4)
+                crc.append(zlib.crc32(part))
+                ids.append(part if with_ids else b"")
+        return pa.RecordBatch.from_arrays(
+            [b.column(0).take(pa.array(rows, pa.int64())), pa.array(piece, pa.int32()),
+             pa.array(start, pa.int64()), pa.array(size, pa.int64()),
+             pa.array(crc, pa.int64())] + [pa.array(ids, pa.binary())] * with_ids, names=names)
 
     return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
         cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long"

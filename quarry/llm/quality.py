@@ -25,14 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import free_name
+from quarry.llm.common import free_name, slices
 
 SAMPLE_DOCS = 4_000
 SAMPLE_LINES = 400
 STEPS = 300
 RATE = 0.1
 DECAY = 1e-3
-_PIECE = 4 << 20  # bytes of text whose characters are counted at once
+_PIECE = 1 << 20  # bytes of text whose characters are counted at once
 
 # character classes of a byte
 _CLASSES = 16
@@ -231,7 +231,7 @@ def score(docs: DataFrame, model: Model, out: str = "score", keep_text: bool = T
     keep = [f for f in docs.schema.fields if keep_text or f.name != "text"]
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             texts = b.column(b.schema.get_field_index("text")).cast(pa.binary()).to_pylist()
             got = []
             at = 0

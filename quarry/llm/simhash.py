@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialise
+from quarry.llm.common import materialise, slices
 from quarry.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -64,7 +64,7 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
 def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
     """doc_id and fp (the fingerprint's bits as a signed long) per document."""
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             fps = [fingerprint(t or b"", words) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))],
