@@ -15,6 +15,7 @@ search goes down from the root, adds up the differences to the shared bits of
 each node that its ancestors don't hold already, and leaves a whole group as
 soon as the sum is over the limit. The index over blocks tells which later
 blocks a fingerprint has to visit; each block's own index then finds its links.
+This is done in two orders of the bits, either half first (see ``links``).
 A block gives out a spanning forest of its links rather than the links, which
 loses no connection, and grows with its members only.
 
@@ -158,9 +159,25 @@ def _block_forest(members: np.ndarray, visitors: np.ndarray, bits: int) -> tuple
     return every[linked], every[forest.up[linked]]
 
 
+def _turn(fp: Column) -> Column:
+    """The two halves of the fingerprint, exchanged."""
+    return F.shiftleft(fp, 32).bitwiseOR(F.shiftrightunsigned(fp, 32))
+
+
 def links(fps: DataFrame, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Edges (a, b) between distinct fingerprints whose components are those of
-    all links. ``fps``: one row per distinct fp, read from files."""
+    all links. ``fps``: one row per distinct fp, read from files.
+
+    Of two fingerprints within ``bits``, one half of the bits differs in at most
+    ``bits // 2``. Two orders, with either half first, each look for such pairs:
+    a fingerprint visits the blocks whose shared bits in the first half are
+    that near, which grows with the logarithm of the blocks, not its square."""
+    plain = _links_in_order(fps.select("fp"), bits, block_rows)
+    turned = _links_in_order(fps.select(_turn(F.col("fp")).alias("fp")), bits, block_rows)
+    return plain.unionByName(turned.select(_turn(F.col("a")).alias("a"), _turn(F.col("b")).alias("b")))
+
+
+def _links_in_order(fps: DataFrame, bits: int, block_rows: int) -> DataFrame:
     spark = fps.sparkSession
     blocks = max(1, -(-fps.count() // block_rows))
     rank = gray_rank(F.col("fp"))
@@ -173,7 +190,8 @@ def links(fps: DataFrame, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> Dat
     ids = shape["block"].to_numpy()
     ones = shape["ones"].to_numpy(dtype=np.int64).view(np.uint64)
     some = shape["any"].to_numpy(dtype=np.int64).view(np.uint64)
-    shared = spark.sparkContext.broadcast((ids, ~(ones ^ some), ones))
+    first_half = np.uint64(0xFFFFFFFF00000000)
+    shared = spark.sparkContext.broadcast((ids, ~(ones ^ some) & first_half, ones))
 
     def visits(batches):
         ids, masks, values = shared.value
@@ -182,7 +200,7 @@ def links(fps: DataFrame, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> Dat
             fp = b.column(0).to_numpy().view(np.uint64)
             own = b.column(1).to_numpy()
             for at in range(0, len(fp), _CHUNK):
-                q, leaf = index.search(fp[at:at + _CHUNK], bits)
+                q, leaf = index.search(fp[at:at + _CHUNK], bits // 2)
                 q += at
                 later = ids[leaf] >= own[q]  # every pair meets in its later block
                 q, leaf = q[later], leaf[later]
