@@ -43,6 +43,21 @@ def bounded(df: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
     return F.broadcast(df) if size <= most else df
 
 
+BATCH_ROWS = 1_000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def text_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose whole texts are about to go to Python: the session sends at
+    most ``BATCH_ROWS`` rows at a time, unless it has a setting of its own
+    (Spark's default of 10,000 suits narrow rows; both sides of the pipe hold
+    a whole batch)."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_KEY, "10000") == "10000":
+        conf.set(_BATCH_KEY, str(BATCH_ROWS))
+    return df
+
+
 def slices(batches, rows: int = 500):
     """Arrow batches of at most ``rows`` rows, without copying: only so many
     texts are Python objects at a time."""

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import free_name, materialise, slices
+from quarry.llm.common import free_name, materialise, slices, text_batches
 
 WINDOW = 10
 MAX_BROADCAST_BYTES = 64 << 20
@@ -183,7 +183,7 @@ def scan(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, keep_text: bool
         out = out if first else materialise(out, "hits")
         schema = T.StructType([f for f in full.fields
                                if keep_text or not last or f.name != "text"])
-        out = out.mapInArrow(_scanner(spark.sparkContext.broadcast(grams), name, schema.names),
+        out = text_batches(out).mapInArrow(_scanner(spark.sparkContext.broadcast(grams), name, schema.names),
                              schema)
         first = False
     return out, name

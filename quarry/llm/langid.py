@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import materialise
+from quarry.llm.common import materialise, text_batches
 
 SAMPLE_DOCS = 1_500
 MODEL_ROWS = 150_000
@@ -179,5 +179,5 @@ def identify(docs: DataFrame, model: Model, lang: str = "lang_pred", score: str
                    pa.array([g[1] for g in got], pa.float64())],
                 names=[f.name for f in keep] + [lang, score])
 
-    return docs.mapInArrow(run, T.StructType(
+    return text_batches(docs).mapInArrow(run, T.StructType(
         [*keep, T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]))

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialise, slices, text_or_empty
+from quarry.llm.common import materialise, slices, text_batches, text_or_empty
 
 SEQUENCE = 4096
 CLOSING_ID = 1
@@ -135,7 +135,7 @@ def pieces(docs: DataFrame, path: str | None = None, length: int = SEQUENCE,
              pa.array(start, pa.int64()), pa.array(size, pa.int64()),
              pa.array(crc, pa.int64())] + [pa.array(ids, pa.binary())] * with_ids, names=names)
 
-    return docs.select("doc_id", text_or_empty().alias("text")).mapInArrow(
+    return text_batches(docs).select("doc_id", text_or_empty().alias("text")).mapInArrow(
         cut, f"doc_id {id_type}, piece int, start long, length long, ids_crc32 long"
              + ", ids binary" * with_ids)
 

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quarry.llm.common import free_name, slices
+from quarry.llm.common import free_name, slices, text_batches
 
 SAMPLE_DOCS = 4_000
 SAMPLE_LINES = 400
@@ -247,7 +247,7 @@ def score(docs: DataFrame, model: Model, out: str = "score", keep_text: bool = T
                 [b.column(b.schema.get_field_index(f.name)) for f in keep] + [pa.array(scores)],
                 names=[f.name for f in keep] + [out])
 
-    return docs.mapInArrow(run, T.StructType([*keep, T.StructField(out, T.DoubleType())]))
+    return text_batches(docs).mapInArrow(run, T.StructType([*keep, T.StructField(out, T.DoubleType())]))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialise, slices
+from quarry.llm.common import materialise, slices, text_batches
 from quarry.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
                 names=["doc_id", "fp"])
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return (docs.select("doc_id", F.col("text").cast("binary").alias("text"))
+    return (text_batches(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
             .mapInArrow(run, f"doc_id {kind}, fp long"))
 
 

@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import bounded, materialise
+from quarry.llm.common import bounded, materialise, text_batches
 from quarry.session import scratch_path
 
 BLOCK_LINES = 1_000
@@ -143,7 +143,7 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
         if out is not None:
             out.close()
 
-    return materialise(page.mapInArrow(
+    return materialise(text_batches(page).mapInArrow(
         run, "key string, page_id long, file string, offset long, length long"), "warc-captures")
 
 
