@@ -36,7 +36,7 @@ SEQUENCE = 4096
 CLOSING_ID = 1
 GROUP_PIECES = 10_000
 VOCABULARY = "word_bpe_49k.json"
-_CACHE_WORDS = 300_000
+_CACHE_WORDS = 400_000
 
 
 def vocabulary_path(name: str = VOCABULARY) -> str:
