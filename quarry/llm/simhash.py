@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import materialise, slices, text_batches
+from quarry.llm.common import free_name, materialise, slices, text_batches
 from quarry.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -62,18 +62,20 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a signed long) per document."""
+def fingerprints(docs: DataFrame, words: int = SHINGLE_WORDS, also: tuple = ()) -> DataFrame:
+    """doc_id, fp (the fingerprint's bits as a signed long) and the columns
+    ``also`` per document."""
     def run(batches):
         for b in slices(batches):
             fps = [fingerprint(t or b"", words) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64))],
-                names=["doc_id", "fp"])
+                [b.column(0), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)),
+                 *b.columns[2:]], names=["doc_id", "fp", *also])
 
+    kinds = "".join(f", {c} {docs.schema[c].dataType.simpleString()}" for c in also)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return (text_batches(docs).select("doc_id", F.col("text").cast("binary").alias("text"))
-            .mapInArrow(run, f"doc_id {kind}, fp long"))
+    return (text_batches(docs).select("doc_id", F.col("text").cast("binary").alias("text"), *also)
+            .mapInArrow(run, f"doc_id {kind}, fp long{kinds}"))
 
 
 def gray_rank(fp: Column) -> Column:
@@ -223,37 +225,58 @@ def _links_in_order(fps: DataFrame, bits: int, block_rows: int) -> DataFrame:
     return at.groupBy("block").applyInArrow(forest, "a long, b long")
 
 
+def _named(prints: DataFrame, key: Column, bits: int, block_rows: int) -> DataFrame:
+    """fp and first (the smallest ``key`` of its group) per distinct fingerprint.
+    ``prints``: read from files."""
+    classes = materialise(prints.groupBy("fp").agg(F.min(key).alias("first")), "classes")
+    roots = components(links(classes, bits, block_rows))
+    rooted = materialise(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
+                         .select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return materialise(rooted.join(least, "root").select("fp", F.col("least").alias("first")), "named")
+
+
 def groups(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BITS,
            block_rows: int = BLOCK_ROWS) -> DataFrame:
     """doc_id, fp and component_id (the smallest doc_id of its group) per
     document."""
     prints = materialise(fingerprints(docs, words), "fingerprints")
-    classes = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), "classes")
-    roots = components(links(classes, bits, block_rows))
-    rooted = materialise(classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-                         .select("fp", "first", F.coalesce("root", "fp").alias("root")), "rooted")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = materialise(rooted.join(least, "root").select("fp", "component_id"), "named")
+    named = _named(prints, F.col("doc_id"), bits, block_rows)
     # from files on both sides: a fingerprint of very many documents is split
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp").select("doc_id", "fp", F.col("first").alias("component_id"))
 
 
 def fp_hex(fp: Column) -> Column:
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BITS) -> DataFrame:
+def keep_first(docs: DataFrame, words: int = SHINGLE_WORDS, bits: int = BITS,
+               block_rows: int = BLOCK_ROWS) -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest
-    doc_id (one of them where that id is repeated; groups without any doc_id
-    stay whole)."""
-    found = groups(docs, words, bits)
-    gone = found.where("doc_id IS NOT NULL AND doc_id <> component_id").select("doc_id")
-    gone = materialise(gone.distinct(), "near-copies")
-    seen = docs.groupBy("doc_id").count().where("count > 1 AND doc_id IS NOT NULL")
-    repeated = materialise(seen.select("doc_id"), "repeated-ids")
-    kept = docs.join(gone, "doc_id", "left_anti")
-    if repeated.isEmpty():
-        return kept.select(*docs.columns)
-    twice = kept.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return (kept.join(repeated, "doc_id", "left_anti").select(*docs.columns)
-            .unionByName(twice.select(*docs.columns)))
+    doc_id. A row is known by its doc_id and two hashes of its text, so a doc_id
+    may stand for several texts: of those in one group the least hashes stay,
+    and of rows equal in doc_id and text one of them. Documents without a doc_id
+    go where their group has one; groups without any doc_id stay whole."""
+    names = [free_name(docs, n) for n in ("_h1", "_h2")]
+    id_, k1, k2 = (free_name(docs, n) for n in ("_id", "_k1", "_k2"))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    keyed = docs.withColumns({names[0]: F.xxhash64(text), names[1]: F.xxhash64(F.lit(1), text)})
+    plain = keyed.select("doc_id", "text", F.col(names[0]).alias("h1"), F.col(names[1]).alias("h2"))
+    prints = materialise(fingerprints(plain, words, ("h1", "h2")), "fingerprints")
+    row = F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h1", "h2"))
+    named = _named(prints, row, bits, block_rows)
+    # of each key: is it not the first of its group, or does it come twice
+    rows = (prints.join(named, "fp").where("first IS NOT NULL")
+            .groupBy("doc_id", "h1", "h2")
+            .agg(F.count("*").alias("n"), F.max(~row.eqNullSafe(F.col("first"))).alias("gone")))
+    odd = materialise(rows.where("gone OR n > 1").select(
+        F.col("doc_id").alias(id_), F.col("h1").alias(k1), F.col("h2").alias(k2), "gone"),
+        "near-copies")
+    same = (keyed["doc_id"].eqNullSafe(odd[id_]) & (keyed[names[0]] == odd[k1])
+            & (keyed[names[1]] == odd[k2]))
+    kept = keyed.join(odd, same, "left_anti").select(*docs.columns)
+    twice = odd.where("NOT gone")
+    if twice.isEmpty():
+        return kept
+    once = keyed.join(twice, same, "left_semi").dropDuplicates(["doc_id", *names])
+    return kept.unionByName(once.select(*docs.columns))

@@ -126,3 +126,16 @@ def test_null_ids_and_empty_table(spark, make_docs):
     assert sorted(str(x.component_id) for x in sh.groups(docs).collect()) == ["2", "None", "None"]
     assert sh.keep_first(docs).count() == 3
     assert sh.groups(make_docs([])).count() == 0
+
+
+def test_the_row_decides_not_its_id(spark):
+    r = random.Random(5)
+    x, y, z, v = (" ".join(r.choices([f"w{i}" for i in range(500)], k=300)) for _ in range(4))
+    assert len(set(brute_groups([1, 2, 3, 4], [brute_fp(t) for t in (x, y, z, v)]))) == 4
+    many = [(9, " ".join(r.choices([f"v{i}" for i in range(500)], k=300))) for _ in range(20)]
+    rows = [(3, x), (7, x), (7, y), (7, z), (None, v), (5, v), (None, v), (7, z), (7, x),
+            *many, (8, None), (8, ""), (None, "p q r s"), (None, "p q r s")]
+    docs = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, _id string")
+    kept = sorted(((d.doc_id, d.text or "") for d in sh.keep_first(docs).collect()), key=str)
+    want = [(3, x), (7, y), (7, z), (5, v), *many, (8, ""), *[(None, "p q r s")] * 2]
+    assert kept == sorted(want, key=str)
