@@ -6,11 +6,14 @@ bootstrap: the words around a seed make lexical patterns ("w2 w1 _" from the two
 words before it, "w1 _ w" from the word before and after). Every other token
 that looks like an identifier is an instance of the patterns around it. Patterns
 and instances form a graph on which Spark passes scores back and forth for
-``ROUNDS`` rounds: a pattern's confidence in a kind is the sum of its distinct
-instances' scores over their number plus one, an instance's score is ``DAMPING``
-times its best pattern's confidence, and seeds stay at 1 for their own kind.
-Patterns with ``SUPPORT`` distinct seeds or more and confidence of ``CONFIDENT``
-or more mark the unseen identifiers that they surround.
+``ROUNDS`` rounds. A pattern's confidence in a kind is the sum of its distinct
+instances' scores over the number of its seeds of every kind, plus one, plus
+``DAMPING`` for each unseen instance that has a score. An instance's score is
+``DAMPING`` times its best pattern's confidence, and seeds stay at 1 for their
+own kind. So seeds of other kinds speak against a pattern; unseen instances
+alone leave its confidence as it is, and raise it where surer patterns back
+them. Patterns with ``SUPPORT`` distinct seeds or more and confidence of
+``CONFIDENT`` or more mark the unseen identifiers that they surround.
 
 Positions count code points; ends are exclusive. Only DataFrame functions are
 used. Base patterns are written for a backtracking engine: possessive, and
@@ -176,12 +179,14 @@ def _confident(marks: DataFrame, rounds: int, support: int, confident: float) ->
     edges = materialise(marks.select(F.explode("m.around").alias("pattern"),
                                      F.lower("m.value").alias("value"), F.col("m.kind").alias("kind"))
                         .groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-edges")
-    size = edges.groupBy("pattern").agg(F.count("*").alias("n"))
     seeds = edges.where("kind >= 0").groupBy("value").agg(F.max("kind").alias("kind"))
-    seeds = materialise(seeds.select("value", "kind", F.lit(1.0).alias("s")), "pii-seeds")
-    held = (edges.select("pattern", "value").join(seeds, "value")
-            .groupBy("pattern", "kind").agg(F.count("*").alias("held"))
-            .where(F.col("held") >= support))
+    seeds = materialise(seeds.select("value", "kind", F.lit(1.0).alias("s"), F.lit(0.0).alias("w")),
+                        "pii-seeds")
+    kinds = (edges.select("pattern", "value").join(seeds, "value")
+             .groupBy("pattern", "kind").agg(F.count("*").alias("held")))
+    kinds = materialise(kinds, "pii-held")
+    size = kinds.groupBy("pattern").agg(F.sum("held").alias("n"))  # seeds of every kind
+    held = kinds.where(F.col("held") >= support)
     # only patterns with enough seeds ever speak; few among all patterns
     speaking = materialise(held.join(size, "pattern").select("pattern", "kind", "n"), "pii-speaking")
     edges = materialise(edges.select("pattern", "value").join(
@@ -190,10 +195,11 @@ def _confident(marks: DataFrame, rounds: int, support: int, confident: float) ->
     score = seeds
     for _ in range(rounds):
         conf = (edges.join(score, "value").join(speaking, ["pattern", "kind"])
-                .groupBy("pattern", "kind").agg((F.sum("s") / (F.max("n") + 1)).alias("conf")))
+                .groupBy("pattern", "kind")
+                .agg((F.sum("s") / (F.max("n") + 1 + F.sum("w"))).alias("conf")))
         conf = materialise(conf, "pii-confidence")
         reached = (unseen.join(conf, "pattern").groupBy("value", "kind")
-                   .agg((F.max("conf") * DAMPING).alias("s")))
+                   .agg((F.max("conf") * DAMPING).alias("s"), F.lit(DAMPING).alias("w")))
         score = materialise(seeds.unionByName(reached), "pii-scores")
     return conf.where(F.col("conf") >= confident)
 

@@ -62,6 +62,20 @@ def test_context_finds_unseen_identifiers(spark, make_docs):
     assert all(r.spans == r.base for r in few)
 
 
+def test_unseen_values_do_not_silence_a_context(spark, make_docs):
+    seeds = [f"ring our clerk at desk{i}@mail.example.org until noon" for i in range(3)]
+    unseen = [f"ring our clerk at desk{i}(at)mail1234 until noon" for i in range(12)]
+    mixed = [t for i in range(3) for t in (f"now write to x{i}@example.org please",
+                                           f"now write to 10.0.0.{i} please")]
+    doubtful = [f"now write to 9988776{i} please" for i in range(9)]
+    docs = make_docs([*seeds, *unseen, *mixed, *doubtful])
+    got = {r.doc_id: r for r in pii.find(docs).collect()}
+    at = unseen[0].index("desk")
+    for i, t in enumerate(unseen, 3):
+        assert [tuple(s) for s in got[i].spans] == [(0, at, t.index(" until"))]
+    assert all(got[i].spans == [] for i in range(21, 30))
+
+
 def test_redaction(spark, make_docs):
     texts = ["mail a@b.org or +1 (017) 555-7713.", None, "", "é 10.0.0.1", "none"]
     docs = make_docs(texts).selectExpr("*", "1 AS spans", "2 AS _spans", "3 AS kind")
