@@ -3,8 +3,12 @@
 Base spans are the leftmost non-overlapping matches of one pattern per kind
 (``KINDS``), less those that fail the kind's test. They are the seeds of a
 bootstrap: the words around a seed make lexical patterns ("w2 w1 _" from the two
-words before it, "w1 _ w" from the word before and after). Every other token
-that looks like an identifier is an instance of the patterns around it. Patterns
+words before it, "w1 _ w" from the word before and after); words end at blanks,
+double quotes, commas, semicolons, square and curly brackets and the signs
+< > & ? = |. Everything else that looks like an identifier is an instance of
+the patterns around it: tokens between blanks, runs of digit groups joined by
+single blanks, dots, hyphens or round brackets (of at most 19 digits, the most
+of any kind), and the parts of a token of over ``LONGEST`` characters. Patterns
 and instances form a graph on which Spark passes scores back and forth for
 ``ROUNDS`` rounds. A pattern's confidence in a kind is the sum of its distinct
 instances' scores over the number of its seeds of every kind, plus one, plus
@@ -22,7 +26,8 @@ they match is the same. Contexts look at most ``REACH`` characters far, which
 defines a pattern's words; whole texts are searched.
 
 Defined cases: a null text counts as empty and has no spans; rows equal in
-doc_id and text get the same result; discovered spans never overlap base spans;
+doc_id and text get the same result; discovered spans never overlap base spans,
+but may hold one another (a run of digit groups and one of its tokens);
 an empty table gives no rows; other columns pass through unread."""
 
 from __future__ import annotations
@@ -53,6 +58,13 @@ _PATTERN = {
 # a text without this cannot hold the kind
 _NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]"}
 _TOKEN = r"(?<!\S)[^\s0-9@]*+[0-9@]\S*+"
+# digit groups, at least two; not begun inside a run
+_RUN = (r"(?<![\p{L}\p{N}])(?<![0-9][\x20.-])(?<![0-9]\))(?<![0-9]\)[\x20-])[+(]{0,2}[0-9]++"
+        r"(?:(?:\)[\x20-]?|[\x20.-]?\(|[\x20.-])[0-9]++(?![\p{L}\p{N}]))++")
+# what an identifier in unspaced text is made of
+_PART = (r"(?<![\p{L}\p{N}@._%+-])[\p{L}\p{N}._%+\-&&[^0-9]]*+[0-9@]"
+         r"[\p{L}\p{N}@._%+-]*+")
+_WORD_END = r'[\s"{}\[\]<>&?=|,;]+'
 
 
 def _digits(value: Column) -> Column:
@@ -100,7 +112,7 @@ def _matches(text: Column, pattern: str, needs: str) -> Column:
 def _around(text: Column, start: Column, end: Column) -> Column:
     """The lexical patterns around a span."""
     def words(part):
-        return F.filter(F.split(F.lower(part), r"\s+"), lambda w: w != "")
+        return F.filter(F.split(F.lower(part), _WORD_END), lambda w: w != "")
 
     before = words(F.substring(text, F.greatest(start - REACH, F.lit(0)).cast("int") + 1,
                                F.least(start, F.lit(REACH)).cast("int")))
@@ -129,16 +141,25 @@ def _spans(text: Column) -> Column:
 
 
 def _tokens(text: Column) -> Column:
-    """Tokens that look like identifiers, without the punctuation around them:
-    six letters or digits or more, and four digits or an @."""
+    """What looks like an identifier, without the punctuation around it: six
+    letters or digits or more, and four digits or an @."""
     def core(x):
         head = F.length(F.regexp_extract(x["value"], r"^([^\p{L}\p{N}+]*)", 1))
-        value = F.regexp_extract(x["value"], r"^[^\p{L}\p{N}+]*(.*?)[^\p{L}\p{N}]*$", 1)
+        value = F.regexp_replace(F.regexp_replace(x["value"], r"^[^\p{L}\p{N}+]++", ""),
+                                 r"(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
         return F.struct((x["start"] + head).alias("start"), value.alias("value"))
 
-    short = F.filter(_matches(text, _TOKEN, "[0-9@]"), lambda x: F.length(x["value"]) <= LONGEST)
-    return F.filter(F.transform(short, core), lambda x: x["value"].rlike(
+    def pieces(x):
+        inside = F.transform(_matches(x["value"], _PART, "[0-9@]"), lambda y: F.struct(
+            y["value"].alias("value"), (x["start"] + y["start"]).alias("start")))
+        return F.when(F.length(x["value"]) <= LONGEST, F.array(x)).otherwise(inside)
+
+    found = F.flatten(F.transform(_matches(text, _TOKEN, "[0-9@]"), pieces))
+    tokens = F.filter(F.transform(found, core), lambda x: x["value"].rlike(
         r"^(?=(?:.*[\p{L}\p{N}]){6})(?:(?:.*[0-9]){4}|.*@)"))
+    runs = F.filter(F.transform(_matches(text, _RUN, r"[0-9][\x20().-]"), core), lambda x: F.length(
+        _digits(x["value"])).between(6, 19))
+    return F.concat(tokens, runs)
 
 
 def scan(docs: DataFrame) -> DataFrame:

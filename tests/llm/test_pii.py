@@ -76,6 +76,24 @@ def test_unseen_values_do_not_silence_a_context(spark, make_docs):
     assert all(got[i].spans == [] for i in range(21, 30))
 
 
+def test_candidates_of_digit_groups_and_in_unspaced_text(spark, make_docs):
+    spaced = [f"my new tel: +49 30 55512{i:02} at work" for i in range(4)]
+    groups = ["030 123 4567", "0171 2345678", "030) 123-45.67", "0171 2345679 (old)"]
+    groups = [f"my new tel: {g} at work" for g in groups]
+    groups.append("my new tel: 030 123 4567 2nd floor")
+    pad = "x" * 150
+    packed = [f'{{"pad":"{pad}","mail":"u{i}@example.org","city":"B"}}' for i in range(4)]
+    hidden = f'{{"pad":"{pad}","mail":"u77%40mail1234","city":"B"}}'
+    docs = make_docs([*spaced, *groups, *packed, hidden])
+    got = {r.doc_id: [(s.kind, s.start, s.end) for s in r.spans] for r in pii.find(docs).collect()}
+    phone = pii.KINDS.index("phone")
+    for i, (t, v) in enumerate(zip(groups, ["030 123 4567", "0171 2345678", "030) 123-45.67", "0171 2345679",
+                                            "030 123 4567"]), 4):
+        assert (phone, t.index(v), t.index(v) + len(v)) in got[i], t
+    at = hidden.index("u77")
+    assert got[13] == [(0, at, at + len("u77%40mail1234"))]
+
+
 def test_redaction(spark, make_docs):
     texts = ["mail a@b.org or +1 (017) 555-7713.", None, "", "é 10.0.0.1", "none"]
     docs = make_docs(texts).selectExpr("*", "1 AS spans", "2 AS _spans", "3 AS kind")
