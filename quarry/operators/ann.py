@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -33,7 +33,7 @@ MAX_QUERY_BYTES = 64 << 20       # the query set broadcast to every task
 
 
 def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
-                max_dist: float | None = None, block: int = 1024):
+                max_dist: float | None = None, block: int = 1024, reach=None):
     """Per task: the best ``k`` rows of every query over the task's rows, kept
     across Arrow batches; yields at most ``queries x k`` rows. Each batch's
     vectors are read as one matrix (``vector_scan.vector_matrix``) and
@@ -42,13 +42,17 @@ def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
     Rows sort by (tier, distance, id) with tier 0 for a number, 1 for NaN (a
     zero vector's cosine), 2 for a NULL distance (a NULL vector or one of
     another length): Spark's ascending order with NULL last. With
-    ``max_dist``, only tier-0 rows within it are kept."""
-    def merge(best, m, valid, ids, qmat):
+    ``max_dist``, only tier-0 rows within it are kept. ``reach``: a column and
+    a function of its values and of a slice of the queries, which says (queries
+    x rows) what an approximate search reaches; other rows don't count."""
+    def merge(best, m, valid, ids, qmat, near):
         d, zero = vector_scan.distance_block(m, qmat, metric)
         tier = np.where(~valid[None, :], 2, np.where(zero, 1, 0))
         d = np.where(tier == 0, d, 0.0)
         if max_dist is not None:
             tier = np.where((tier == 0) & (d <= max_dist), 0, 3)
+        if near is not None:
+            tier = np.where(near, tier, 3)
         cur = (tier, d, np.broadcast_to(ids, d.shape))
         if best is not None:
             cur = tuple(np.concatenate([x, c], axis=1) for x, c in zip(best, cur))
@@ -67,7 +71,9 @@ def _topk_block(bq, k: int, metric: str, id_col: str, vec_col: str,
             ids = b.column(b.schema.get_field_index(id_col)).to_numpy(zero_copy_only=False) \
                 .astype(np.int64)
             for n, s0 in enumerate(starts):
-                best[n] = merge(best[n], m, valid, ids, qmat[s0:s0 + block])
+                near = None if reach is None else reach[1](
+                    b.column(b.schema.get_field_index(reach[0])), slice(s0, s0 + block))
+                best[n] = merge(best[n], m, valid, ids, qmat[s0:s0 + block], near)
         for n, s0 in enumerate(starts):
             if best[n] is None:
                 continue
@@ -99,7 +105,7 @@ def query_blocks(queries: DataFrame, cols: Sequence[str], qid_col: str, qvec_col
 
 def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
                    vec_col: str = "embedding", metric: str = "cosine",
-                   max_dist: float | None = None) -> DataFrame:
+                   max_dist: float | None = None, reach=None) -> DataFrame:
     """``qid, id, dist``: the best ``k`` rows of every task for every query of
     ``qrows`` (``(qid, vector)`` pairs on the driver, one block): one broadcast,
     one pass over the table, whose splits stay as they are, so a lost task
@@ -110,8 +116,8 @@ def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
     qids = np.array([int(r[0]) for r in qrows], dtype=np.int64)
     qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in qrows])
     bq = spark.sparkContext.broadcast((qids, qmat))
-    fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist)
-    cand = table.select(id_col, vec_col).mapInArrow(fn, "qid long, id long, dist double, tier int")
+    fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist, reach=reach)
+    cand = table.select(id_col, vec_col, *([reach[0]] if reach else [])).mapInArrow(fn, "qid long, id long, dist double, tier int")
     # Arrow turns NaN into NULL; the tier says which one it was
     dist = F.when(F.col("tier") == 1, F.lit(float("nan"))).when(F.col("tier") == 2, F.lit(None)) \
             .otherwise(F.col("dist"))
@@ -170,31 +176,84 @@ def ivf_build(vectors: DataFrame, path: str, lists: int = config.IVF_LISTS, id_c
     return [np.asarray(c, dtype=np.float64) for c in model.clusterCenters()]
 
 
+def _nearest_lists(centroids: Sequence[np.ndarray], query: Sequence[float], probes: int) -> list[int]:
+    q = np.asarray(query, dtype=np.float64)
+    cm = np.stack(centroids)
+    sims = (cm @ q) / (np.linalg.norm(cm, axis=1) * (np.linalg.norm(q) or 1.0) + 1e-300)
+    return [int(i) for i in np.argsort(-sims, kind="stable")[:int(probes)]]
+
+
+def ivf_batch(spark: SparkSession, path: str, centroids: Sequence[np.ndarray], queries: DataFrame,
+              k: int, probes: int = config.IVF_PROBES) -> DataFrame:
+    """``ivf_search`` of every query (qid, embedding): qid, id, dist, rank."""
+    t = spark.read.parquet(path)
+    cand = knn_candidates(t, [], k)
+    for rows in query_blocks(queries, ["qid", "embedding"], "qid"):
+        probed = np.zeros((len(rows), len(centroids)), dtype=bool)
+        for i, r in enumerate(rows):
+            probed[i, _nearest_lists(centroids, r[1], probes)] = True
+
+        def near(lists, part, probed=probed):
+            return probed[part][:, lists.to_numpy(zero_copy_only=False)]
+
+        cand = cand.unionByName(knn_candidates(t, rows, k, reach=("list_id", near)))
+    return top_per_query(cand, k)
+
+
 def ivf_search(spark: SparkSession, path: str, centroids: Sequence[np.ndarray],
                query: Sequence[float], k: int, probes: int = config.IVF_PROBES,
                id_col: str = "id") -> DataFrame:
     """Q10 search: the ``probes`` lists nearest to the query, then the exact
     pool inside them."""
-    q = np.asarray(query, dtype=np.float64)
-    cm = np.stack(centroids)
-    sims = (cm @ q) / (np.linalg.norm(cm, axis=1) * (np.linalg.norm(q) or 1.0) + 1e-300)
-    near = [int(i) for i in np.argsort(-sims, kind="stable")[:int(probes)]]
+    near = _nearest_lists(centroids, query, probes)
     t = spark.read.parquet(path).where(F.col("list_id").isin(near))
     return S.vector_pool(t, list(map(float, query)), int(k)).select(
         F.col("id").alias(id_col) if id_col != "id" else "id", "dist")
 
 
 # --- LSH ---------------------------------------------------------------------
+def _lsh(vectors: DataFrame, id_col: str, vec_col: str, bucket_length: float, tables: int, seed: int):
+    """The LSH model over unit vectors, and those as feature rows."""
+    unit = vec.l2_normalize(F.col(vec_col))
+    feats = vectors.select(id_col, vec_col, array_to_vector(unit).alias("_f"))
+    lsh = BucketedRandomProjectionLSH(inputCol="_f", outputCol="_h", bucketLength=bucket_length,
+                                      numHashTables=tables, seed=seed)
+    return lsh.fit(feats), feats
+
+
+def lsh_batch(vectors: DataFrame, queries: DataFrame, k: int, bucket_length: float = 0.5,
+              tables: int = 8, seed: int = 7) -> DataFrame:
+    """``lsh_knn`` of every query (qid, embedding) over (id, embedding), by cosine
+    distance: a query reaches the rows that share a bucket with it in any table.
+    qid, id, dist, rank."""
+    model, feats = _lsh(vectors, "id", "embedding", bucket_length, tables, seed)
+    buckets = F.array(*[vector_to_array(F.element_at("_h", i + 1))[0] for i in range(tables)])
+    t = model.transform(feats).select("id", "embedding", buckets.alias("_b"))
+    asked = queries.select("qid", "embedding",
+                           array_to_vector(vec.l2_normalize(F.col("embedding"))).alias("_f"))
+    asked = model.transform(asked).select("qid", "embedding", buckets.alias("_b"))
+    cand = knn_candidates(vectors, [], k)
+    for rows in query_blocks(asked, ["qid", "embedding", "_b"], "qid"):
+        own = np.array([r[2] for r in rows])
+
+        def near(col, part, own=own):
+            b = col.flatten().to_numpy(zero_copy_only=False).reshape(len(col), -1)
+            mine = own[part]
+            out = np.zeros((len(mine), len(b)), dtype=bool)
+            for i in range(b.shape[1]):
+                out |= mine[:, i, None] == b[None, :, i]
+            return out
+
+        cand = cand.unionByName(knn_candidates(t, rows, k, reach=("_b", near)))
+    return top_per_query(cand, k)
+
+
 def lsh_knn(vectors: DataFrame, query: Sequence[float], k: int, id_col: str = "id",
             vec_col: str = "embedding", bucket_length: float = 0.5, tables: int = 8,
             seed: int = 7) -> DataFrame:
     """Q11: MLlib random-projection LSH over vectors scaled to unit length, where
     the Euclidean order equals the cosine order. Approximate: checked by recall, not equality."""
-    unit = vec.l2_normalize(F.col(vec_col))
-    feats = vectors.select(id_col, array_to_vector(unit).alias("_f"))
-    lsh = BucketedRandomProjectionLSH(inputCol="_f", outputCol="_h", bucketLength=bucket_length,
-                                      numHashTables=tables, seed=seed)
-    model = lsh.fit(feats)
+    model, feats = _lsh(vectors, id_col, vec_col, bucket_length, tables, seed)
     q = np.asarray(query, dtype=np.float64)
     key = Vectors.dense((q / (np.linalg.norm(q) or 1.0)).tolist())
     return model.approxNearestNeighbors(feats, key, int(k), distCol="l2").select(id_col, "l2")
