@@ -48,11 +48,14 @@ def expand_query(spark, sf):
 
 # --- rerank: every document whose id is a benchmark item carries that item
 # as its query (the query key in the file's metadata)
-def _reranked(spark, sf):
+def _reranked(spark, sf, every=False):
+    """``every``: all documents, each with the item at its id modulo the number
+    of items."""
     d = spread(spark.read.parquet(f"{sf}/documents.parquet"))
     b = spark.read.parquet(f"{sf}/benchmark.parquet").select(
-        F.col("item_id").alias("doc_id"), F.col("text").alias("query"))
-    chunks = ch.hierarchical_chunks(d.join(b, "doc_id"), "text", ["doc_id", "query"], sep="\n")
+        F.col("item_id").alias("_item"), F.col("text").alias("query"))
+    item = F.pmod("doc_id", F.lit(max(1, b.count()))) if every else F.col("doc_id")
+    chunks = ch.hierarchical_chunks(d.join(b, item == F.col("_item")), "text", ["doc_id", "query"], sep="\n")
     return rerank.rerank(chunks, "doc_id", F.col("query"), F.col("content"))
 
 
@@ -81,6 +84,17 @@ def rerank_top3(spark, sf):
                     F.format_number(F.round("rerank_score", 4), 4).alias("score_4"))
 
 
+_RERANK_ALL_CTES = _RERANK_CTES.replace(
+    "ON b.item_id = c.doc_id", "ON b.item_id = c.doc_id % (SELECT count(*) FROM benchmark)")
+
+
+@register("rerank_all", _RERANK_ALL_CTES + "\nSELECT doc_id, chunk_index, round(score, 6) AS score, pos FROM rk")
+def rerank_all(spark, sf):
+    r = _reranked(spark, sf, every=True)
+    return r.select("doc_id", "chunk_index", F.round("rerank_score", 6).alias("score"),
+                    F.col("rerank_pos").alias("pos"))
+
+
 # --- batch search: every benchmark item against every document, both as
 # hashed bag-of-words vectors
 @register("batch_knn", "WITH " + hash_embed_sql("documents", "doc_id", "text", prefix="hd") + ","
