@@ -30,6 +30,13 @@ def metadata_json(spark, sf):
                     .alias("metadata"))
 
 
+@register("metadata_json_whole", """
+SELECT doc_id, json_object('lang', lang, 'text', text)::VARCHAR AS metadata FROM documents""")
+def metadata_json_whole(spark, sf):
+    d = spark.read.parquet(f"{sf}/documents.parquet")
+    return d.select("doc_id", F.to_json(F.struct("lang", "text")).alias("metadata"))
+
+
 @register("json_field", "SELECT event_id, props->>'k' AS k FROM events")
 def json_field(spark, sf):
     e = spark.read.parquet(f"{sf}/events.parquet")

@@ -1,5 +1,7 @@
 """Queries that take every document and every text whole."""
 
+import json
+
 from quarry.operators import chunking as ch
 from quarry.plans import catalog  # noqa: F401  (registers every query)
 from quarry.plans.registry import QUERIES
@@ -14,3 +16,11 @@ def test_every_document_is_reranked(spark):
     assert got == docs and len(docs) > 100
     some = QUERIES["rerank"](spark, SF).collect()
     assert set(some) <= set(QUERIES["rerank_all"](spark, SF).collect())
+
+
+def test_whole_texts_as_json(spark, tmp_path):
+    texts = ["x" * 70 + '"quoted" \\ \n\r\t\x01 \U0001f600 \u00e9', "", None]
+    rows = [(i, t, "en") for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: json.loads(r.metadata) for r in QUERIES["metadata_json_whole"](spark, str(tmp_path)).collect()}
+    assert [got[i].get("text") for i in range(3)] == texts
