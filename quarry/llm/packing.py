@@ -21,6 +21,7 @@ columns are not read.
 from __future__ import annotations
 
 import functools
+import json
 import os
 import zlib
 from array import array
@@ -44,19 +45,42 @@ def vocabulary_path(name: str = VOCABULARY) -> str:
     return public_tokenizers.path(name)
 
 
+def _by_words(path: str) -> bool:
+    """Whether the tokenizer normalises and splits as ``VOCABULARY`` does, with
+    added tokens that no blank, comma or full stop is part of or acts on."""
+    if path == vocabulary_path():
+        return True
+
+    def head(name):
+        with open(name, encoding="utf-8") as f:
+            t = json.load(f)
+        model = {k: v for k, v in t["model"].items() if k not in ("vocab", "merges")}
+        return (t["normalizer"], t["pre_tokenizer"], model), t.get("added_tokens") or []
+
+    ours, added = head(path)
+    return ours == head(vocabulary_path())[0] and not any(
+        t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"]
+        or any(c in ".," or c.isspace() for c in t["content"]) for t in added)
+
+
 class Encoder:
     """Token ids of whole texts, as little-endian unsigned 32-bit bytes.
 
     The tokenizer never joins anything across a blank or a line end, so each
     blank-separated part is encoded once and remembered by the worker process.
     A final comma or full stop after a letter is always a token of its own and
-    case never matters, so only the bare lower-case part is encoded. The memory
-    is bounded: of two halves the older one is dropped when the newer is full."""
+    case never matters but in an added token, so only the bare lower-case part is
+    encoded. The memory is bounded: of two halves the older one is dropped when
+    the newer is full. A tokenizer of another form encodes whole texts."""
 
     def __init__(self, path: str):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # a task is one core
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        self.by_words = _by_words(path)
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
@@ -77,7 +101,9 @@ class Encoder:
             mark = p[-1:] if p[-1:] in (".", ",") and p[-2:-1].lower().isalpha() else ""
             bare = p[:-1] if mark else p
             # up to U+00FF lower case is one character for one and nothing composes
-            bare = bare.lower() if bare and max(bare) < "\u0100" else bare
+            low = bare.lower() if bare and max(bare) < "\u0100" else bare
+            # added tokens are found in the text as it is
+            bare = bare if any(t in bare or t in low for t in self.added) else low
             split.append((p, bare, mark))
             if bare in older:
                 known[bare] = older[bare]
@@ -88,6 +114,9 @@ class Encoder:
             known[p] = known[bare] + known[mark] if mark else known[bare]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        if not self.by_words:
+            return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(
+                texts, add_special_tokens=False)]
         out = []
         for text in texts:
             parts = text.replace("\n", " ").split(" ")

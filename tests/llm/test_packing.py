@@ -1,3 +1,4 @@
+import json
 import random
 import zlib
 
@@ -102,3 +103,22 @@ def test_ids_come_back(spark, make_docs):
 
 def test_empty_table(spark, make_docs):
     assert packing.pack_documents(make_docs([])).count() == 0
+
+
+def test_added_tokens_and_other_tokenizers(tmp_path):
+    texts = ["a <|EndOfText|> B", "<|ENDOFTEXT|>.", "x<|endoftext|>Y, <|startoftext|> Z", "The  CAT, sat.\n"]
+    path = packing.vocabulary_path()
+
+    def plain(name):
+        return [Tokenizer.from_file(name).encode(t, add_special_tokens=False).ids for t in texts]
+
+    def ours(name):
+        return [np.frombuffer(b, "<u4").tolist() for b in packing.Encoder(name).encode(texts)]
+
+    assert ours(path) == plain(path)
+    with open(path, encoding="utf-8") as f:
+        other = json.load(f)
+    other["normalizer"] = None
+    cased = tmp_path / "cased.json"
+    cased.write_text(json.dumps(other), encoding="utf-8")
+    assert ours(str(cased)) == plain(str(cased)) != plain(path)
