@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from quarry.llm import ann
 from quarry.llm import decontaminate as dc
-from quarry.llm import langid
+from quarry.llm import filteraudit, htmltext, langid, lexical
 from quarry.llm import linededup as ld
 from quarry.llm import packing, pii
 from quarry.llm import quality, sharding
@@ -217,3 +217,97 @@ def op3_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page, archived, found through the index and read back."""
     return warc.round_trip(table(spark, sf_dir, "pages")).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+_OP11_SQL = r"""
+WITH raw AS (
+  SELECT 'd' AS side, row_number() OVER () AS r, doc_id AS id, text FROM documents
+  UNION ALL SELECT 'q', row_number() OVER (), item_id, text FROM benchmark),
+w AS (
+  SELECT side, r, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM raw),
+tf AS (SELECT side, r, id, term, count(*) AS tf
+       FROM (SELECT side, r, id, unnest(w) AS term FROM w) GROUP BY ALL),
+size AS (SELECT count(*) AS n_docs, sum(len(w))::BIGINT AS n_terms FROM w WHERE side = 'd' AND len(w) > 0),
+wt AS (SELECT term, floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS weight
+       FROM tf, size WHERE side = 'd' GROUP BY term, n_docs),
+m AS (SELECT r, 100 - 90 + (90 * len(w) * n_docs) // n_terms AS m
+      FROM w, size WHERE side = 'd' AND len(w) > 0),
+scored AS (
+  SELECT q.r AS item, q.id AS item_id, d.r, d.id AS doc_id,
+         sum(weight * ((1000000000 * d.tf) // (1000 * d.tf + 8 * m)))::BIGINT AS score
+  FROM tf q JOIN tf d ON q.term = d.term AND q.side = 'q' AND d.side = 'd'
+  JOIN wt ON wt.term = d.term JOIN m ON m.r = d.r GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS rank
+           FROM scored WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10"""
+
+
+@register("op11_block_search", _OP11_SQL)
+def op11_block_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 documents that score highest for every benchmark item."""
+    return lexical.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), 10)
+
+
+# Every document under every order, from the definition: no lattice.
+_OP12_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w FROM d),
+f AS (
+  SELECT doc_id, part,
+         [len(w) < 100, 100 * len(list_distinct(w)) < 80 * len(w),
+          100 * len(regexp_extract_all(t, '[A-Z]')) > 10 * length(t),
+          regexp_matches(t, '[#$%&*|]'),
+          coalesce(doc_id > min(doc_id) OVER (PARTITION BY t), false)] AS f FROM w),
+l AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+             max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+x AS (SELECT part, f, len(list_filter(f, lambda v: v)) AS n_fails, coalesce(good, 0) AS good,
+             coalesce(toxic, 0) AS toxic FROM f LEFT JOIN l USING (doc_id)),
+n AS (SELECT unnest(range(1, 6)) AS i),
+o AS (SELECT [a.i, b.i, c.i, e.i, g.i] AS o FROM n a, n b, n c, n e, n g
+      WHERE len(list_distinct([a.i, b.i, c.i, e.i, g.i])) = 5),
+gone AS (
+  SELECT part, f, n_fails, good, toxic, o, coalesce(
+         list_position(list_transform(o, lambda i: f[i]), true), 6) AS fell FROM x, o),
+s AS (
+  SELECT part, array_to_string(list_transform(o, lambda i: 'ABCDE'[i]), '') AS filter_order, i AS step,
+         'ABCDE'[o[i]] AS letter, count(*) FILTER (fell > i) AS kept, count(*) FILTER (fell = i) AS removed,
+         count(*) FILTER (f[o[i]] AND fell < i) AS redundant,
+         count(*) FILTER (f[o[i]] AND n_fails = 1) AS unique_fails,
+         (sum(good) FILTER (fell = i)) AS good_lost, (sum(toxic) FILTER (fell = i)) AS toxic_lost
+  FROM gone, n GROUP BY part, o, i)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, kept, removed, redundant, unique_fails,
+       coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+       (sum(removed) OVER (PARTITION BY part, letter))::BIGINT AS shapley
+FROM s"""
+
+
+@register("op12_filter_audit", _OP12_SQL)
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters take from each part, in every order of them."""
+    filters = filteraudit.text_filters()
+    marked = filteraudit.masks(table(spark, sf_dir, "documents"), filters)
+    counts = filteraudit.count_masks(marked, table(spark, sf_dir, "labels"))
+    return filteraudit.audit(counts, "".join(filters) + filteraudit.COPY)
+
+
+# What lies in the article element, by its tags: no line blocks.
+_OP13_SQL = r"""
+WITH a AS (SELECT page_id, url, regexp_extract(coalesce(html, ''),
+                  '(?is)<article[^>]*>(.*)</article>', 1) AS t FROM pages),
+b AS (SELECT page_id, url, regexp_replace(regexp_replace(t,
+             '(?is)<!--.*?-->|<script.*?</script>|<style.*?</style>|<nav.*?</nav>|<aside.*?</aside>|<form.*?</form>|<footer.*?</footer>', '', 'g'),
+             '(?i)</?(p|br|h[1-6]|li|ul|ol|div|section|tr|td|th|table|blockquote|pre)\b[^>]*>', ' ', 'g') AS t FROM a),
+c AS (SELECT page_id, url, replace(replace(replace(replace(replace(replace(
+             regexp_replace(t, '<[^>]*>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)),
+             '&nbsp;', chr(160)), '&amp;', '&') AS t FROM b),
+d AS (SELECT page_id, url, trim(regexp_replace(t, '[\s\x{A0}]+', ' ', 'g')) AS text FROM c)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM d"""
+
+
+@register("op13_html_text", _OP13_SQL)
+def op13_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    found, name = htmltext.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return found.select("page_id", "url", F.col(name).alias("text"),
+                        F.length(name).cast("long").alias("n_chars"))
