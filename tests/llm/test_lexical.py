@@ -74,11 +74,11 @@ def test_query_and_empty_tables(spark, write_tables, make_docs):
 
 def test_blocks_are_skipped_and_bounds_hold():
     rng = np.random.default_rng(1)
-    topics = rng.random((20, 200)) < 0.15
+    topics = rng.random((100, 200)) < 0.06
     matrix = np.zeros((2_000, 200), np.float32)
     for i in range(2_000):
-        own = np.flatnonzero(topics[i % 20])
-        matrix[i, rng.choice(own, 8)] = rng.integers(100_000, 999_999, 8)
+        own = np.flatnonzero(topics[i % 100])
+        matrix[i, own] = rng.integers(500_000, 999_999, len(own)) * (rng.random(len(own)) < 0.8)
     weights = rng.integers(1, 9_000, 200)
     blocks = list(lexical.block_lists(matrix, weights, 16))
     lists = {}
@@ -95,7 +95,7 @@ def test_blocks_are_skipped_and_bounds_hold():
     segment = lexical.Segment(list(range(2_000)), matrix, np.array([b[0] for b in blocks]),
                               [b[1] for b in blocks], summaries)
     scored = 0
-    for topic in range(20):
+    for topic in range(100):
         of = np.flatnonzero(topics[topic])
         for w in (weights[of].astype(np.float64), weights[of]):
             got, scores, n = segment.search(of, w, 10, 0)
