@@ -10,7 +10,9 @@ posting list is clustered by document similarity: some of its documents lead,
 each other one joins the leader it is most similar to (cosine of a random
 projection of the weighted vectors), and runs of at most ``BLOCK`` members of one
 leader are a block. A block stores its members and a summary, the greatest
-impact of every term among its members, rounded up to one of ``LEVELS`` steps.
+impact of every term among its members, rounded up to one of ``LEVELS`` steps. Of
+the terms, a summary keeps those that some query asks for together with the
+list's own; no other can count in a bound.
 
 A search takes the blocks of a query's terms, best bound first. A block's bound
 is the query's score of its summary, which no member exceeds; so the blocks left
@@ -43,7 +45,7 @@ from pyspark.sql import functions as F
 from quarry.llm.common import materialise, slices, text_batches
 
 TERMS = 4096
-CELLS = 1 << 24
+CELLS = 1 << 23
 BLOCK = 512
 LEVELS = 255
 SKETCH = 32
@@ -162,7 +164,16 @@ def _cluster(sketch: np.ndarray, block: int) -> list[np.ndarray]:
     return [run[i:i + block] for run in np.split(order, cuts) for i in range(0, len(run), block)]
 
 
-def block_lists(matrix: np.ndarray, weights: np.ndarray, block: int = BLOCK):
+def together(queries: list[np.ndarray]) -> dict[int, np.ndarray]:
+    """For each term the terms that queries ask for together with it."""
+    asked: dict[int, list[np.ndarray]] = {}
+    for of in queries:
+        for t in of.tolist():
+            asked.setdefault(t, []).append(of)
+    return {t: np.unique(np.concatenate(of)) for t, of in asked.items()}
+
+
+def block_lists(matrix: np.ndarray, weights: np.ndarray, asked: dict[int, np.ndarray], block: int = BLOCK):
     """(term, members, coordinates, steps) of every block of a segment's lists."""
     rng = np.random.default_rng(5)
     plane = rng.standard_normal((matrix.shape[1], SKETCH)).astype(np.float32)
@@ -175,12 +186,11 @@ def block_lists(matrix: np.ndarray, weights: np.ndarray, block: int = BLOCK):
     docs, terms = docs[order], terms[order]
     starts = np.flatnonzero(np.diff(terms, prepend=-1))
     for a, b in zip(starts, [*starts[1:], len(terms)]):
-        posting = docs[a:b]
+        posting, wanted = docs[a:b], asked[int(terms[a])]
         for part in _cluster(sketch[posting], block):
             members = posting[part]
-            most = steps[members].max(axis=0)
-            at = np.flatnonzero(most)
-            yield int(terms[a]), members, at, most[at]
+            most = steps[np.ix_(members, wanted)].max(axis=0)
+            yield int(terms[a]), members, wanted[most > 0], most[most > 0]
 
 
 def _dense(n, terms, counts, n_docs: int, n_terms: int, width: int) -> np.ndarray:
@@ -194,18 +204,19 @@ _INDEX = ("segment long, wave int, term int, place int, ids array<{key}>, member
           "at array<int>, steps array<short>")
 
 
-def index(rows: DataFrame, weights: np.ndarray, n_docs: int, n_terms: int, cells: int = CELLS,
-          block: int = BLOCK) -> DataFrame:
-    """The index of vectors written by ``vectors``. One row a block: term, members
+def index(rows: DataFrame, queries: list[np.ndarray], weights: np.ndarray, n_docs: int, n_terms: int,
+          cells: int = CELLS, block: int = BLOCK) -> DataFrame:
+    """The index of vectors written by ``vectors`` for queries of these terms. One row a block: term, members
     (places in the segment) and summary (terms ``at``, ``steps``); and one row a
     document, with term -1: its place and id, and its impacts (``at``, ``members``)."""
     key = rows.schema["doc_id"].dataType.simpleString()
     width = max(1, len(weights))
     per_segment = max(1, cells // width)
-    floats = np.asarray(weights, np.float32)
+    shared = rows.sparkSession.sparkContext.broadcast((np.asarray(weights, np.float32), together(queries)))
 
     def build(batches):
         task, made, held = TaskContext.get().partitionId(), 0, []
+        floats, asked = shared.value
 
         def finish():
             nonlocal made
@@ -216,7 +227,7 @@ def index(rows: DataFrame, weights: np.ndarray, n_docs: int, n_terms: int, cells
             none = np.empty(0, np.int16)
             out = [(-1, i, [r[0]], matrix[i, r[2]], r[2], none) for i, r in enumerate(held)]
             out += [(t, i, [], m, at, most) for i, (t, m, at, most) in
-                    enumerate(block_lists(matrix, floats, block))]
+                    enumerate(block_lists(matrix, floats, asked, block))]
             held.clear()
             wave = int(task % FIRST_WAVE > 0)
             for i in range(0, len(out), 2_000):
@@ -346,8 +357,9 @@ def rank(docs: DataFrame, queries: DataFrame, k: int = 10, most_terms: int = TER
         if not n_docs:
             return out
         weights = _weights(rows, len(number), n_docs)
-        blocks = materialise(index(rows, weights, n_docs, n_terms, cells, block), "term-blocks")
         asked = [(q, np.array(sorted(number[t] for t in terms), np.int64)) for q, _, terms in group]
+        blocks = materialise(index(rows, [of for _, of in asked], weights, n_docs, n_terms, cells, block),
+                             "term-blocks")
         first = materialise(best(search(blocks.where("wave = 0"), asked, weights, k), k), "first-wave")
         floor = {q: s for q, s in first.where(F.col("rank") == k).select("query", "score").collect()}
         others = search(blocks.where("wave = 1"), asked, weights, k, [floor.get(q, 0) for q, _ in asked])

@@ -80,12 +80,14 @@ def test_blocks_are_skipped_and_bounds_hold():
         own = np.flatnonzero(topics[i % 100])
         matrix[i, own] = rng.integers(500_000, 999_999, len(own)) * (rng.random(len(own)) < 0.8)
     weights = rng.integers(1, 9_000, 200)
-    blocks = list(lexical.block_lists(matrix, weights, 16))
+    asked = lexical.together([np.flatnonzero(t) for t in topics])
+    matrix[:, [t for t in range(200) if t not in asked]] = 0
+    blocks = list(lexical.block_lists(matrix, weights, asked, 16))
     lists = {}
     for term, members, at, steps in blocks:
         assert 0 < len(members) <= 16
         most = matrix[members].max(axis=0)
-        assert set(at) == set(np.flatnonzero(most)) and (most[at] <= steps * 3922.0).all()
+        assert set(at) == set(np.flatnonzero(most)) & set(asked[term]) and (most[at] <= steps * 3922.0).all()
         lists.setdefault(term, []).extend(members.tolist())
     for term in range(200):
         assert sorted(lists.get(term, [])) == np.flatnonzero(matrix[:, term]).tolist()
