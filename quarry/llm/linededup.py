@@ -4,20 +4,23 @@ A document's lines are the parts of its text between line feeds; a line's words
 are its parts between single blanks. The edit distance is counted in words
 (one word put in, taken out or replaced), and the bound is one. An occurrence of
 a line goes if an equal line occurs earlier, or if an earlier line is within the
-bound and the longer of the two has ``MIN_WORDS`` words or more; earlier means
+bound and the longer of the two has ``min_words`` words or more; earlier means
 smaller (doc_id, hash of the text, line number), and it does not matter whether
 the earlier line goes itself. Blank lines always stay.
 
 Every distinct line would emit itself and each variant with one word deleted,
 as hashed keys. Two lines within the bound share their first or their last few
 words, so lines that share neither with any other line are set aside first;
-that loses nothing. Equal keys of the others are joined, not pair by pair but
-each with the earliest line of its key (and of the place of its deletion),
-which is enough to know whether an earlier neighbour exists. Each such pair is
-verified on the words. Keys carry 61 bits and the variant's length.
+that loses nothing. The others are numbered in their order, and a variant is a
+key, the place of its deletion and its line's number. Keys that occur once are
+dropped by a count of the bare keys; equal keys of the rest are joined, not pair
+by pair but each with the earliest line of its key (and of the place of its
+deletion), which is enough to know whether an earlier neighbour exists. Each
+such pair is verified on the words. Keys have 64 bits, the length mixed in.
 
 Only DataFrame functions are used. A side is broadcast only after its size was
-measured (see ``bounded``); larger ones are shuffled.
+measured (see ``bounded``); larger ones are shuffled. Variants are shuffled at
+every size.
 
 Defined cases: a null text has no lines and stays null; an empty text is one
 blank line; rows equal in doc_id and text are one document written twice and
@@ -55,7 +58,7 @@ def _identity(line: Column) -> list[Column]:
     return [F.xxhash64(line).alias("h1"), F.xxhash64(F.lit(1), line).alias("h2")]
 
 
-def _end_keys(line: Column) -> Column:
+def _end_keys(line: Column, min_words: int) -> Column:
     """Keys of the first and last words: how many, depends on the power of two
     below the word count, so that lines whose counts differ by one share it. A
     count that is a power of two also uses the power below."""
@@ -68,14 +71,14 @@ def _end_keys(line: Column) -> Column:
                                                            h if side else -h)) for side in (0, 1)]
 
     at_power = F.call_function("shiftleft", F.lit(1), power) == n
-    return (F.when(n < MIN_WORDS - 1, F.array().cast("array<bigint>"))
-            .when(at_power & (n >= MIN_WORDS), F.array(*ends(power), *ends(power - 1)))
+    return (F.when(n < min_words - 1, F.array().cast("array<bigint>"))
+            .when(at_power & (n >= min_words), F.array(*ends(power), *ends(power - 1)))
             .otherwise(F.array(*ends(power))))
 
 
-def _variants(words: Column) -> Column:
+def _variants(words: Column, min_words: int = MIN_WORDS) -> Column:
     """(pos, key) of a line's words: pos -1 is the line itself, pos i the line
-    without word i. A sequence's key is the sum of the hashes of (word, place);
+    without word i; lines of fewer than ``min_words`` give themselves only. A sequence's key is the sum of the hashes of (word, place);
     deleting word i moves the later ones by one place, so each key is a prefix
     sum away from the sum of all moved hashes. Prefix sums are taken in pieces
     of about the square root of the length."""
@@ -113,12 +116,12 @@ def _variants(words: Column) -> Column:
               + total(F.slice(s["d"], F.floor(i / s["step"]).cast("int") * s["step"] + 1,
                               i % s["step"])) + s["all_moved"] + (_P - m)) % _P).alias("key")))
         itself = F.array(F.struct(F.lit(-1).alias("pos"), s["all"].alias("key")))
-        return F.when(F.size(s["d"]) >= MIN_WORDS, F.concat(itself, one)).otherwise(itself)
+        return F.when(F.size(s["d"]) >= min_words, F.concat(itself, one)).otherwise(itself)
 
     return let({"here": hashes(0), "moved": hashes(1)}, prefix)
 
 
-def _within_one(a: Column, b: Column) -> Column:
+def _within_one(a: Column, b: Column, min_words: int) -> Column:
     """Word sequences at most one edit apart: common start and common end cover
     all but one word of the longer."""
     def common(x, y):
@@ -127,66 +130,80 @@ def _within_one(a: Column, b: Column) -> Column:
         return F.when(at == 0, F.least(F.size(x), F.size(y))).otherwise(at - 1)
 
     longer = F.greatest(F.size(a), F.size(b))
-    return ((F.abs(F.size(a) - F.size(b)) <= 1) & (longer >= MIN_WORDS)
+    return ((F.abs(F.size(a) - F.size(b)) <= 1) & (longer >= min_words)
             & (common(a, b) + common(F.reverse(a), F.reverse(b)) >= longer - 1))
 
 
-def repeated_lines(docs: DataFrame) -> DataFrame:
+_PLACE = ("doc_id", "dk", "no")
+
+
+def repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """(doc_id, dk, no, near) of every line occurrence that goes."""
-    place = F.struct("doc_id", "dk", "no")
-    lines = _lines(docs).select("doc_id", "dk", "no", *_identity(F.col("line")),
-                                _end_keys(F.col("line")).alias("ends"))
+    place = F.struct(*_PLACE)
+    lines = _lines(docs).select(*_PLACE, *_identity(F.col("line")),
+                                _end_keys(F.col("line"), min_words).alias("ends"))
     firsts = materialise(lines.groupBy("h1", "h2").agg(
         F.min(place).alias("first"), F.count("*").alias("n"), F.first("ends").alias("ends")),
         "first-lines")
     again = bounded(materialise(firsts.where("n > 1").select("h1", "h2", "first"), "repeated"))
-    exact = (lines.select("doc_id", "dk", "no", "h1", "h2").join(again, ["h1", "h2"])
+    exact = (lines.select(*_PLACE, "h1", "h2").join(again, ["h1", "h2"])
              .where(place != F.col("first"))
-             .select("doc_id", "dk", "no", F.lit(False).alias("near")))
-    near = _near_lines(docs, firsts).select("first.*", F.lit(True).alias("near"))
+             .select(*_PLACE, F.lit(False).alias("near")))
+    near = _near_lines(docs, firsts, min_words).withColumn("near", F.lit(True))
     return exact.unionByName(near)
 
 
-def _near_lines(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """First occurrences that have an earlier line within one edit."""
-    ends = firsts.select("first", F.explode("ends").alias("end"))
-    shared = bounded(materialise(ends.groupBy("end").count().where("count > 1").select("end"),
-                                  "shared-ends"))
-    some = materialise(ends.join(shared, "end").select("first").distinct(), "candidates")
-    place = F.struct("doc_id", "dk", "no")
-    lines = _lines(docs).select(place.alias("first"), "line")
-    cand = materialise(lines.join(bounded(some), "first").dropDuplicates(["first"]),
+def _candidates(docs: DataFrame, firsts: DataFrame) -> DataFrame:
+    """(line, doc_id, dk, no, text): the distinct lines that share an end with
+    another, numbered in the order of their first places."""
+    ends = firsts.select("h1", F.explode("ends").alias("end"))
+    shared = (ends.groupBy("end").agg(F.min("h1").alias("a"), F.max("h1").alias("b"))
+              .where("a <> b").select("end"))
+    some = ends.join(bounded(materialise(shared, "shared-ends")), "end").select("h1").distinct()
+    some = firsts.select("h1", "first.*").join(bounded(materialise(some, "candidate-hashes")),
+                                               "h1", "left_semi").select(*_PLACE)
+    lines = _lines(docs).withColumnRenamed("line", "text").alias("l")
+    wanted = bounded(materialise(some, "candidates")).alias("w")
+    same = F.col("l.doc_id").eqNullSafe(F.col("w.doc_id"))
+    for c in _PLACE[1:]:
+        same &= F.col(f"l.{c}") == F.col(f"w.{c}")
+    found = (lines.join(wanted, same, "left_semi").dropDuplicates([*_PLACE])
+             .repartitionByRange(*_PLACE).sortWithinPartitions(*_PLACE))
+    return materialise(found.select(F.monotonically_increasing_id().alias("line"), *_PLACE, "text"),
                        "candidate-lines")
-    words = F.col("words")
+
+
+def _near_lines(docs: DataFrame, firsts: DataFrame, min_words: int) -> DataFrame:
+    """First places of the lines that have an earlier line within one edit."""
+    cand = _candidates(docs, firsts)
+    v, words = F.col("v"), F.col("words")
+    length = F.size(words) - F.when(v["pos"] < 0, 0).otherwise(1)
     variants = materialise(
-        cand.select("first", _words(F.col("line")).alias("words"))
-        .select("first", F.size(words).alias("n"), F.explode(_variants(words)).alias("v"))
-        .select("first", "v.pos", "v.key",
-                (F.col("n") - F.when(F.col("v.pos") < 0, 0).otherwise(1)).alias("len")), "variants")
-    same_place = variants.groupBy("key", "len", "pos").agg(F.min("first").alias("least"),
-                                                           F.count("*").alias("n"))
-    same_place = materialise(same_place, "variant-places")
-    by_key = (same_place.groupBy("key", "len")
-              .agg(F.min(F.when(F.col("pos") < 0, F.col("least"))).alias("whole"),
-                   F.min("least").alias("any"), F.sum("n").alias("n"))
-              .where("n > 1").drop("n"))
-    groups = bounded(materialise(same_place.join(by_key, ["key", "len"]).drop("n"), "variant-keys"))
+        cand.select("line", _words(F.col("text")).alias("words"))
+        .select("line", "words", F.explode(_variants(words, min_words)).alias("v"))
+        .select(F.xxhash64(v["key"], length).alias("key"), v["pos"].alias("pos"), "line"), "variants")
+    repeated = variants.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    met = materialise(variants.join(repeated.hint("merge"), "key", "left_semi"), "met-variants")
+    least = met.groupBy("key", "pos").agg(F.min("line").alias("least"))
+    least = materialise(least, "variant-places")
+    of_key = least.groupBy("key").agg(F.min(F.when(F.col("pos") < 0, F.col("least"))).alias("whole"),
+                                      F.min("least").alias("any"))
+    groups = bounded(materialise(least.join(of_key, "key"), "variant-keys"))
     partners = F.when(F.col("pos") < 0, F.array("any")).otherwise(F.array("least", "whole"))
-    pairs = (variants.join(groups, ["key", "len", "pos"])
-             .select("first", F.explode(partners).alias("other"))
-             .where(F.col("other") < F.col("first")).distinct())
-    left = cand.select("first", F.col("line").alias("a"))
-    right = cand.select(F.col("first").alias("other"), F.col("line").alias("b"))
-    found = pairs.join(left, "first").join(right, "other")
-    return (found.where(_within_one(_words(F.col("a")), _words(F.col("b"))))
-            .select("first").distinct())
+    pairs = (met.join(groups, ["key", "pos"]).select("line", F.explode(partners).alias("other"))
+             .where(F.col("other") < F.col("line")).distinct())
+    left = cand.select("line", *_PLACE, F.col("text").alias("a"))
+    right = cand.select(F.col("line").alias("other"), F.col("text").alias("b"))
+    found = pairs.join(left, "line").join(right, "other")
+    return (found.where(_within_one(_words(F.col("a")), _words(F.col("b")), min_words))
+            .select(*_PLACE).distinct())
 
 
-def line_report(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+def line_report(docs: DataFrame, min_words: int = MIN_WORDS) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with ``gone`` (numbers of the lines that go, in order, or null)
     and ``near`` (how many of them are near, not equal), and those names."""
     gone, near, dk = (free_name(docs, x) for x in ("_gone", "_near", "_dk"))
-    per_doc = materialise(repeated_lines(docs).groupBy(F.col("doc_id").alias("_id"), "dk").agg(
+    per_doc = materialise(repeated_lines(docs, min_words).groupBy(F.col("doc_id").alias("_id"), "dk").agg(
         F.sort_array(F.collect_set("no")).alias(gone),
         F.count_distinct(F.when(F.col("near"), F.col("no"))).alias(near)), "gone-lines")
     keyed = docs.withColumn(dk, F.xxhash64("text"))
@@ -205,11 +222,11 @@ def kept_text(gone: Column, text: Column) -> Column:
     return F.when(gone.isNull(), text).otherwise(let({"lines": _split_lines(text), "gone": gone}, rest))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` without repeated lines. A document all of whose lines (blank
+def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """``docs`` without repeated lines, near ones of ``min_words`` words or more. A document all of whose lines (blank
     ones aside) go is a copy and goes too; ``n_chars`` follows the text where
     there is such a column."""
-    found, name = line_report(docs)
+    found, name = line_report(docs, min_words)
     out = found.withColumn("text", kept_text(F.col(name["gone"]), F.col("text")))
     out = out.where(F.col(name["gone"]).isNull() | (F.trim(F.col("text"), F.lit(" \t\r\n")) != ""))
     if "n_chars" in docs.columns:
