@@ -38,7 +38,15 @@ _LIGHT_STEM_RE = r"^([a-z]{3,}[^s])s$"
 # --------------------------------------------------------------------------
 # Dictionaries (L2)
 # --------------------------------------------------------------------------
-DICTIONARIES: dict[str, Callable[[str], str]] = {"portuguese": portuguese}
+def ascii_stem(word: str) -> str:
+    """ASCII words are stemmed; words of other letters, and tokens that are no
+    words, are lexemes as they are."""
+    return portuguese(word) if word.isascii() else word
+
+
+# "portuguese" is the bare stemmer; "pt_en" the search configuration, which maps
+# only the ASCII word classes to it
+DICTIONARIES: dict[str, Callable[[str], str]] = {"portuguese": portuguese, "pt_en": ascii_stem}
 
 
 def register_dictionary(name: str, stem: Callable[[str], str]) -> None:

@@ -60,29 +60,52 @@ def fuzzy_match(a: Column, literal: str, threshold: float = config.TRIGRAM_THRES
     return similarity_to(a, literal) >= F.lit(float(threshold))
 
 
-MAX_LOOKUP_ROWS = 1_000_000     # lookup terms broadcast to every task
-MAX_LOOKUP_GRAMS = 20_000_000   # and their (term, gram) rows
+def _ranked(values: DataFrame, name: str, freq: DataFrame) -> DataFrame:
+    """(name, n, g): each distinct string with its grams, rarest in the lookup first."""
+    held = values.select(F.col(name), F.explode(grams(F.col(name))).alias("gram"))
+    rare = F.struct(F.coalesce("df", F.lit(0)).alias("df"), "gram")
+    g = F.transform(F.sort_array(F.collect_list(rare)), lambda x: x["gram"])
+    return (held.join(freq, "gram", "left").groupBy(name).agg(g.alias("g"))
+            .select(name, F.size("g").alias("n"), "g"))
+
+
+def _prefixes(ranked: DataFrame, name: str, n: str, pos: str, threshold: float) -> DataFrame:
+    """(name, n, gram, pos): the grams of which a similar string must have one."""
+    length = F.col("n") - F.ceil(F.lit(threshold) * F.col("n") - 1e-9) + 1
+    return ranked.select(name, F.col("n").alias(n), F.posexplode(
+        F.slice("g", 1, length.cast("int"))).alias(pos, "gram"))
+
+
+def join_candidates(left: DataFrame, a: str, right: DataFrame, b: str, threshold: float) -> DataFrame:
+    """Pairs (a, b) of ranked strings that pass the prefix, length and position
+    filters: both prefixes hold a gram, neither has less than ``threshold`` of the
+    other's grams, and at that gram enough may still follow."""
+    t = F.lit(float(threshold))
+    p = (_prefixes(left, a, "na", "i", threshold).join(_prefixes(right, b, "nb", "j", threshold), "gram"))
+    needed = F.ceil(t / (1 + t) * (F.col("na") + F.col("nb")) - 1e-9)
+    left_over = F.least(F.col("na") - F.col("i"), F.col("nb") - F.col("j"))  # this gram and later ones
+    return (p.where((F.col("nb") >= t * F.col("na") - 1e-9) & (F.col("na") >= t * F.col("nb") - 1e-9)
+                    & (left_over >= needed)).select(a, b).distinct())
 
 
 def fuzzy_join(table: DataFrame, key: str, col: str, lookup: DataFrame, term: str,
                threshold: float = config.TRIGRAM_THRESHOLD) -> DataFrame:
     """Rows of ``table`` whose ``col`` is similar (>= threshold) to a term of
-    ``lookup``: ``key, term, sim``. The join form of the trigram index: grams
-    of both sides are exploded and equi-joined on the gram, shared grams are
-    counted per pair (partial aggregation before the shuffle), and the
-    similarity is ``shared / (|A| + |B| - shared)``. Only pairs that share a
-    gram are formed, at most one per lookup term for a row; the lookup side is
-    broadcast after its size is checked, otherwise both sides shuffle on the
-    gram and AQE splits hot grams."""
+    ``lookup``: ``key, term, sim``. The join form of the trigram index, on distinct
+    strings: grams are ordered by their frequency in the lookup, and only the rarest
+    grams of each string, of which a similar one must share one, are joined
+    (``join_candidates``); the pairs left are compared on all their grams. Every
+    step is a shuffled join or aggregation of bounded rows; AQE splits hot grams."""
+    if threshold <= 0:
+        raise ValueError("the threshold must be above 0")
     terms = lookup.select(F.col(term).alias("term")).where(F.col("term").isNotNull()).distinct()
-    tg = terms.select("term", grams(F.col("term")).alias("g"))
-    tg = tg.select("term", F.size("g").alias("nb"), F.explode("g").alias("gram"))
-    st = tg.agg(F.countDistinct("term").alias("t"), F.count("*").alias("n")).collect()[0]
-    if int(st["t"]) <= MAX_LOOKUP_ROWS and int(st["n"]) <= MAX_LOOKUP_GRAMS:
-        tg = F.broadcast(tg)
-    rows = table.select(F.col(key).alias("_k"), grams(F.col(col)).alias("g"))
-    rg = rows.select("_k", F.size("g").alias("na"), F.explode("g").alias("gram"))
-    shared = rg.join(tg, "gram").groupBy("_k", "term", "na", "nb").agg(F.count("*").alias("s"))
-    sim = F.col("s") / (F.col("na") + F.col("nb") - F.col("s"))
-    return shared.select(F.col("_k").alias(key), "term", sim.alias("sim")) \
-                 .where(F.col("sim") >= F.lit(float(threshold)))
+    values = table.select(F.col(col).alias("_v")).where(F.col("_v").isNotNull()).distinct()
+    freq = terms.select(F.explode(grams(F.col("term"))).alias("gram")).groupBy("gram").agg(F.count("*").alias("df"))
+    left, right = _ranked(values, "_v", freq), _ranked(terms, "term", freq)
+    pairs = join_candidates(left, "_v", right, "term", threshold)
+    both = (pairs.join(left.select("_v", F.col("g").alias("a"), F.col("n").alias("na")), "_v")
+            .join(right.select("term", F.col("g").alias("b"), F.col("n").alias("nb")), "term"))
+    s = F.size(F.array_intersect("a", "b"))
+    sim = let({"s": s, "n": F.col("na") + F.col("nb")}, lambda x: x.s / (x.n - x.s))
+    found = both.select("_v", "term", sim.alias("sim")).where(F.col("sim") >= F.lit(float(threshold)))
+    return table.select(F.col(key), F.col(col).alias("_v")).join(found, "_v").select(key, "term", "sim")

@@ -14,6 +14,7 @@ lists (partition pruning). Probing every list gives the exact answer.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -119,9 +120,7 @@ def knn_candidates(table: DataFrame, qrows: list, k: int, id_col: str = "id",
     fn = _topk_block(bq, int(k), metric, id_col, vec_col, max_dist, reach=reach)
     cand = table.select(id_col, vec_col, *([reach[0]] if reach else [])).mapInArrow(fn, "qid long, id long, dist double, tier int")
     # Arrow turns NaN into NULL; the tier says which one it was
-    dist = F.when(F.col("tier") == 1, F.lit(float("nan"))).when(F.col("tier") == 2, F.lit(None)) \
-            .otherwise(F.col("dist"))
-    return cand.select("qid", "id", dist.cast("double").alias("dist"))
+    return _told(cand)
 
 
 MERGE_FAN = 64  # groups of a query's candidates in the first merge
@@ -157,6 +156,50 @@ def batch_knn(table: DataFrame, queries: DataFrame, k: int, qid_col: str = "qid"
     return top_per_query(cand, k)
 
 
+CELL_ROWS = 65_536      # table rows of one cell of the grid, about
+CELL_QUERIES = 4_096    # and queries
+
+
+def grid_knn(table: DataFrame, queries: DataFrame, k: int, qid_col: str = "qid", qvec_col: str = "embedding",
+             id_col: str = "id", vec_col: str = "embedding", metric: str = "cosine", max_dist: float | None = None,
+             cell_rows: int = CELL_ROWS, cell_queries: int = CELL_QUERIES) -> DataFrame:
+    """``batch_knn`` as a grid join, for query sets that grow with the table: blocks
+    of queries x blocks of rows, each cell a group of its own. Rows and queries are
+    sent to the cells they belong to in one shuffle, all cells run at once, and
+    nothing but two counts reaches the driver. ``qid, id, dist, rank``."""
+    down = max(1, -(-queries.count() // int(cell_queries)))
+    across = max(1, -(-table.count() // int(cell_rows)))
+
+    def dealt(df, key, vector, own, blocks, other, others):
+        return df.select(F.pmod(F.xxhash64(key, F.lit(11)), F.lit(blocks)).alias(own),
+                         F.explode(F.sequence(F.lit(0), F.lit(others - 1))).alias(other),
+                         F.col(key).cast("long").alias("id"), F.col(vector).alias("v"))
+
+    rows = dealt(table, id_col, vec_col, "c", across, "r", down)
+    asked = dealt(queries.where(F.col(qvec_col).isNotNull()), qid_col, qvec_col, "r", down, "c", across)
+    out = pa.schema([("qid", pa.int64()), ("id", pa.int64()), ("dist", pa.float64()), ("tier", pa.int32())])
+
+    def cell(left: pa.Table, right: pa.Table) -> pa.Table:
+        found = []
+        if left.num_rows and right.num_rows:
+            qids = right.column("id").to_numpy()
+            qmat = np.array(right.column("v").to_pylist(), dtype=np.float64)
+            best = _topk_block(SimpleNamespace(value=(qids, qmat)), int(k), metric, "id", "v", max_dist)
+            found = [b.cast(out) for b in best(left.select(["id", "v"]).to_batches(CELL_ROWS))]
+        return pa.Table.from_batches(found, out)
+
+    cand = rows.groupBy("r", "c").cogroup(asked.groupBy("r", "c")).applyInArrow(
+        cell, "qid long, id long, dist double, tier int")
+    return top_per_query(_told(cand), k)
+
+
+def _told(cand: DataFrame) -> DataFrame:
+    """Candidates with their distance: NaN in tier 1, NULL in tier 2."""
+    dist = F.when(F.col("tier") == 1, F.lit(float("nan"))).when(F.col("tier") == 2, F.lit(None)) \
+            .otherwise(F.col("dist"))
+    return cand.select("qid", "id", dist.cast("double").alias("dist"))
+
+
 # --- IVF ---------------------------------------------------------------------
 def ivf_build(vectors: DataFrame, path: str, lists: int = config.IVF_LISTS, id_col: str = "id",
               vec_col: str = "embedding", seed: int = 7, max_iter: int = 20,
@@ -189,15 +232,49 @@ def ivf_batch(spark: SparkSession, path: str, centroids: Sequence[np.ndarray], q
     t = spark.read.parquet(path)
     cand = knn_candidates(t, [], k)
     for rows in query_blocks(queries, ["qid", "embedding"], "qid"):
-        probed = np.zeros((len(rows), len(centroids)), dtype=bool)
+        want: dict[int, list[int]] = {}
         for i, r in enumerate(rows):
-            probed[i, _nearest_lists(centroids, r[1], probes)] = True
+            for one in _nearest_lists(centroids, r[1], probes):
+                want.setdefault(one, []).append(i)
+        qmat = np.array([np.asarray(r[1], dtype=np.float64) for r in rows])
+        cand = cand.unionByName(list_candidates(
+            t, {a: np.array(b) for a, b in want.items()}, qmat, np.array([int(r[0]) for r in rows]), k))
+    return top_per_query(cand, k)
 
-        def near(lists, part, probed=probed):
-            return probed[part][:, lists.to_numpy(zero_copy_only=False)]
 
-        cand = cand.unionByName(knn_candidates(t, rows, k, reach=("list_id", near)))
-    return top_per_query(cand, k)
+def list_candidates(table: DataFrame, want: dict[int, np.ndarray], qmat: np.ndarray, qids: np.ndarray,
+                    k: int, vec_col: str = "embedding") -> DataFrame:
+    """``qid, id, dist``: per task the best ``k`` of each query among the members of
+    its wanted lists (``want``: list to rows of ``qmat``), of a table (id, vector,
+    ``list_id``). Other lists are not read, and a member is multiplied by the
+    queries that want its list alone. A vector without direction is no member."""
+    shared = table.sparkSession.sparkContext.broadcast((want, qmat, qids))
+
+    def run(batches):
+        wanted, q, names = shared.value
+        best: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        for b in batches:
+            m, valid = vector_scan.vector_matrix(b.column(1), q.shape[1])
+            ids, at = (b.column(i).to_numpy(zero_copy_only=False) for i in (0, 2))
+            for one in np.unique(at):
+                asked, rows = wanted.get(int(one)), (at == one) & valid
+                if asked is None or not rows.any():
+                    continue
+                far, zero = vector_scan.distance_block(m[rows], q[asked], "cosine")
+                far = np.where(zero, np.nan, far)
+                for i, d in zip(asked.tolist(), far):
+                    w = ids[rows]
+                    d, w = d[~np.isnan(d)], w[~np.isnan(d)]
+                    if i in best:
+                        d, w = np.concatenate([best[i][0], d]), np.concatenate([best[i][1], w])
+                    keep = np.lexsort((w, d))[:k]
+                    best[i] = d[keep], w[keep]
+        for i, (d, w) in best.items():
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(d), names[i])), pa.array(w), pa.array(d)], ["qid", "id", "dist"])
+
+    return (table.where(F.col("list_id").isin(sorted(want))).select("id", vec_col, "list_id")
+            .mapInArrow(run, "qid long, id long, dist double"))
 
 
 def ivf_search(spark: SparkSession, path: str, centroids: Sequence[np.ndarray],

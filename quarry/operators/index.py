@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,12 +20,28 @@ from quarry.functions.util import let
 
 
 def postings(docs: DataFrame, key: str, text_col: str, dictionary: str = "simple") -> DataFrame:
-    """``lexeme, key, n, positions`` with all positions, from 1."""
-    occ = docs.select(key, F.posexplode(ft.words(F.col(text_col), dictionary)).alias("i", "lexeme"))
-    occ = occ.withColumn("pos", F.col("i") + 1)
-    # (lexeme, doc) groups: a document's own occurrences, partially aggregated
-    return occ.groupBy("lexeme", key).agg(F.count("*").alias("n"),
-                                          F.array_sort(F.collect_list("pos")).alias("positions"))
+    """``lexeme, key, n, positions`` with all positions, from 1. ``key`` is the
+    table's key: a document's occurrences are gathered within its own row, and
+    nothing is shuffled before the index is written."""
+    kind = docs.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for b in batches:
+            at, words, where = [], [], []
+            for i, ws in enumerate(b.column(1).to_pylist()):
+                held: dict[str, list[int]] = {}
+                for pos, w in enumerate(ws, 1):
+                    held.setdefault(w, []).append(pos)
+                at += [i] * len(held)
+                words += held
+                where += held.values()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(words, pa.string()), b.column(0).take(pa.array(at, pa.int64())),
+                 pa.array(map(len, where), pa.int64()), pa.array(where, pa.list_(pa.int32()))],
+                ["lexeme", key, "n", "positions"])
+
+    return docs.select(key, ft.words(F.col(text_col), dictionary).alias("ws")).mapInArrow(
+        run, f"lexeme string, {key} {kind}, n long, positions array<int>")
 
 
 def write_index(post: DataFrame, path: str, key: str, num_partitions: int | None = None) -> None:

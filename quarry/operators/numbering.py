@@ -6,7 +6,9 @@ task. Here the rows are range-partitioned on ``(g, o)`` (sampled bounds split
 a hot group over many tasks), numbered inside each sorted partition, and the
 counts of the groups that continue from one partition into the next are
 carried forward. Only one row per partition reaches the driver. The numbered
-rows are checkpointed once, so offsets and rows always agree.
+rows are checkpointed once, so offsets and rows always agree. Without groups the
+place in a sorted partition is the low part of Spark's own row id, and nothing
+leaves the JVM.
 """
 
 from __future__ import annotations
@@ -39,6 +41,8 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
     base = df.select("*", *[k.alias(nm) for k, nm in zip(okeys, onames)])
     keys = group_cols + onames
     ranged = base.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+    if not group_cols:
+        return _number_all(ranged, out).drop(*onames)
     schema = T.StructType(ranged.schema.fields + [T.StructField("_pid", T.IntegerType()),
                                                   T.StructField("_lrn", T.LongType())])
 
@@ -97,3 +101,23 @@ def number_within(df: DataFrame, group_cols: Sequence[str], order_cols: Sequence
         result = j.select(numbered["*"], (numbered["_lrn"] + F.coalesce(ofs["_ofs"], F.lit(0)))
                           .alias(out))
     return result.drop("_pid", "_lrn", *onames)
+
+
+_PLACE_BITS = 33  # FIXED: the low bits of monotonically_increasing_id count a partition's rows
+
+
+def _number_all(ranged: DataFrame, out: str) -> DataFrame:
+    """Number rows that are sorted within ranges: the rows of the partitions before,
+    and the place in the own one."""
+    numbered = cut_lineage(ranged.withColumn("_mid", F.monotonically_increasing_id()))
+    pid = F.shiftright("_mid", _PLACE_BITS)
+    counts = numbered.groupBy(pid.alias("_pid")).count().collect()
+    before, offsets = 0, []
+    for r in sorted(counts, key=lambda r: r["_pid"]):
+        offsets.append((r["_pid"], before))
+        before += r["count"]
+    spark = ranged.sparkSession
+    ofs = spark.createDataFrame(offsets, "_pid long, _ofs long")
+    place = F.col("_mid").bitwiseAND(F.lit((1 << _PLACE_BITS) - 1))
+    return (numbered.withColumn("_pid", pid).join(F.broadcast(ofs), "_pid")
+            .withColumn(out, place + F.col("_ofs") + 1).drop("_pid", "_ofs", "_mid"))

@@ -22,12 +22,11 @@ def metadata_merge(spark, sf):
 
 
 @register("metadata_json", """
-SELECT doc_id, json_object('lang', lang, 'head', substring(text, 1, 60))::VARCHAR AS metadata
+SELECT doc_id, json_object('lang', lang, 'source', source, 'text', text, 'n_chars', n_chars)::VARCHAR AS metadata
 FROM documents""")
 def metadata_json(spark, sf):
     d = spark.read.parquet(f"{sf}/documents.parquet")
-    return d.select("doc_id", F.to_json(F.struct("lang", F.substring("text", 1, 60).alias("head")))
-                    .alias("metadata"))
+    return d.select("doc_id", F.to_json(F.struct("lang", "source", "text", "n_chars")).alias("metadata"))
 
 
 @register("metadata_json_whole", """

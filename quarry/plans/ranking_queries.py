@@ -15,7 +15,7 @@ from quarry.operators import embedding as emb
 from quarry.operators.search import vector_pool
 from quarry.plans.chunk_queries import WS_SQL, chunks_ctes
 from quarry.plans.oracle_fulltext import dist_sql, q
-from quarry.plans.registry import register
+from quarry.plans.registry import ORACLES, register
 from quarry.plans.vector_queries import DIM, hash_embed_sql
 from quarry.session import scratch_path
 from quarry.sources.testdata import query_vector, query_vector_sql
@@ -46,15 +46,13 @@ def expand_query(spark, sf):
     return expansion.expand_queries(bench, "item_id", "text", syn).select("item_id", "expanded")
 
 
-# --- rerank: every document whose id is a benchmark item carries that item
-# as its query (the query key in the file's metadata)
-def _reranked(spark, sf, every=False):
-    """``every``: all documents, each with the item at its id modulo the number
-    of items."""
+# --- rerank: every document carries the item at its id modulo the number of
+# items as its query (the query key in the file's metadata)
+def _reranked(spark, sf):
     d = spread(spark.read.parquet(f"{sf}/documents.parquet"))
     b = spark.read.parquet(f"{sf}/benchmark.parquet").select(
         F.col("item_id").alias("_item"), F.col("text").alias("query"))
-    item = F.pmod("doc_id", F.lit(max(1, b.count()))) if every else F.col("doc_id")
+    item = F.pmod("doc_id", F.lit(max(1, b.count())))
     chunks = ch.hierarchical_chunks(d.join(b, item == F.col("_item")), "text", ["doc_id", "query"], sep="\n")
     return rerank.rerank(chunks, "doc_id", F.col("query"), F.col("content"))
 
@@ -63,7 +61,8 @@ _RERANK_CTES = chunks_ctes(256, 0.25) + f""",
 qs AS (SELECT c.doc_id, c.chunk_index, b.text AS query,
               list_distinct(regexp_extract_all(lower(b.text), '{WORD_RE}')) AS qw,
               regexp_extract_all(lower(c.content), '{WORD_RE}') AS cw
-       FROM chunks c JOIN benchmark b ON b.item_id = c.doc_id WHERE length(b.text) > 0),
+       FROM chunks c JOIN benchmark b ON b.item_id = c.doc_id % (SELECT count(*) FROM benchmark)
+       WHERE length(b.text) > 0),
 sc AS (SELECT doc_id, chunk_index,
               CASE WHEN len(qw) = 0 THEN 0.0 ELSE len(list_intersect(qw, cw)) / len(qw) END AS score FROM qs),
 rk AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, chunk_index) AS pos FROM sc)"""
@@ -84,15 +83,7 @@ def rerank_top3(spark, sf):
                     F.format_number(F.round("rerank_score", 4), 4).alias("score_4"))
 
 
-_RERANK_ALL_CTES = _RERANK_CTES.replace(
-    "ON b.item_id = c.doc_id", "ON b.item_id = c.doc_id % (SELECT count(*) FROM benchmark)")
-
-
-@register("rerank_all", _RERANK_ALL_CTES + "\nSELECT doc_id, chunk_index, round(score, 6) AS score, pos FROM rk")
-def rerank_all(spark, sf):
-    r = _reranked(spark, sf, every=True)
-    return r.select("doc_id", "chunk_index", F.round("rerank_score", 6).alias("score"),
-                    F.col("rerank_pos").alias("pos"))
+register("rerank_all", _RERANK_CTES + "\nSELECT doc_id, chunk_index, round(score, 6) AS score, pos FROM rk")(rerank_q)
 
 
 # --- batch search: every benchmark item against every document, both as
@@ -112,6 +103,17 @@ def batch_knn(spark, sf):
     return r.select("qid", "id", (F.round("dist", 6) + 0.0).alias("dist"), "rank")
 
 
+@register("batch_knn_grid", ORACLES["batch_knn"])
+def batch_knn_grid(spark, sf):
+    """Q9 as a grid join: blocks of queries x blocks of documents in one shuffle."""
+    d = spread(spark.read.parquet(f"{sf}/documents.parquet"))
+    table = emb.embed(d, "text", DIM).select(F.col("doc_id").alias("id"), "embedding")
+    qs = emb.embed(spark.read.parquet(f"{sf}/benchmark.parquet"), "text", DIM).select(
+        F.col("item_id").alias("qid"), "embedding")
+    r = ann.grid_knn(table, qs, 10)
+    return r.select("qid", "id", (F.round("dist", 6) + 0.0).alias("dist"), "rank")
+
+
 # --- IVF over the stored vectors --------------------------------------------
 PROBES = 14  # of 16; the random vectors of the test tables hardly form lists
 

@@ -80,8 +80,10 @@ def test_search_result_properties(spark, rows, q, text, k, m, min_score):
 
 def test_dimension_is_partition_pruned(spark, scratch):
     """Reading one dimension prunes the other partitions of the table."""
-    rows = [(i, f"p{i}", 0, "text", "{}", None, None, [1.0] * d, None, None, d)
-            for i, d in enumerate([384, 768, 384, 1536])]
+    rows = [dict.fromkeys(ingest.CHUNK_SCHEMA.names) | {
+        "id": i, "parent": f"p{i}", "chunk_index": 0, "content": "text", "metadata": "{}",
+        "embedding": [1.0] * d, "embed_failed": False, "dim": d}
+        for i, d in enumerate([384, 768, 384, 1536])]
     df = spark.createDataFrame(rows, ingest.CHUNK_SCHEMA)
     path = scratch + "/chunks"
     ingest.write_chunks(df, path)
