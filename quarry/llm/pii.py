@@ -8,7 +8,7 @@ double quotes, commas, semicolons, square and curly brackets and the signs
 < > & ? = |. Everything else that looks like an identifier is an instance of
 the patterns around it: tokens between blanks, runs of digit groups joined by
 single blanks, dots, hyphens or round brackets (of at most 19 digits, the most
-of any kind), and the parts of a token of over ``LONGEST`` characters. Patterns
+of any kind), and the parts of every token. Patterns
 and instances form a graph on which Spark passes scores back and forth for
 ``ROUNDS`` rounds. A pattern's confidence in a kind is the sum of its distinct
 instances' scores over the number of its seeds of every kind, plus one, plus
@@ -23,7 +23,9 @@ Positions count code points; ends are exclusive. Only DataFrame functions are
 used. Base patterns are written for a backtracking engine: possessive, and
 tried only where a match can begin, so that long runs take linear time; what
 they match is the same. Contexts look at most ``REACH`` characters far, which
-defines a pattern's words; whole texts are searched.
+defines a pattern's words; whole texts are searched. Places are running sums over
+a text's matches, spans and tokens are compared in one merge, and contexts are cut
+from pieces of ``PIECE`` characters, so the work grows with the number of matches.
 
 Defined cases: a null text counts as empty and has no spans; rows equal in
 doc_id and text get the same result; discovered spans never overlap base spans,
@@ -36,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.util import let
+from quarry.functions.util import scan as fold
 from quarry.llm.common import bounded, free_name, materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -44,7 +47,7 @@ DAMPING = 0.5
 SUPPORT = 3
 CONFIDENT = 0.7
 REACH = 80
-LONGEST = 100
+PIECE = 1_024
 
 # A match of the first begins where no address character precedes it, or where
 # the last match ended; of the second, not inside digits; the third holds 13 to
@@ -93,15 +96,18 @@ def _passes(kind: str, value: Column) -> Column:
 
 
 def _matches(text: Column, pattern: str, needs: str) -> Column:
-    """(value, start) of all matches: what stands before a match is the text
-    between the earlier ones, and those themselves."""
-    def total(parts):
-        return F.aggregate(parts, F.lit(0).cast("bigint"), lambda acc, x: acc + F.length(x))
+    """(value, start) of all matches: a match begins where the one before ended,
+    and the text between them."""
+    def step(at, x):
+        start = at["end"] + F.length(x["gap"])
+        return (F.struct((start + F.length(x["value"])).alias("end")),
+                F.struct(x["value"].alias("value"), start.alias("start")))
 
     def place(s):
-        return F.transform(s["m"], lambda x, i: F.struct(
-            x.alias("value"), (total(F.slice(s["gaps"], 1, i + 1))
-                               + total(F.slice(s["m"], 1, i))).alias("start")))
+        pairs = F.zip_with(s["m"], F.slice(s["gaps"], 1, F.size(s["m"])),
+                           lambda x, gap: F.struct(x.alias("value"), gap.alias("gap")))
+        return fold(pairs, F.struct(F.lit(0).cast("bigint").alias("end")), step,
+                    "struct<value:string,start:bigint>")
 
     found = let({"m": F.regexp_extract_all(text, F.lit(pattern), 0),
                  "gaps": F.split(text, pattern, -1)}, place)
@@ -109,14 +115,24 @@ def _matches(text: Column, pattern: str, needs: str) -> Column:
         F.array().cast("array<struct<value:string,start:bigint>>"))
 
 
-def _around(text: Column, start: Column, end: Column) -> Column:
-    """The lexical patterns around a span."""
+def _pieces(text: Column) -> Column:
+    """``text`` in parts of ``PIECE`` characters."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}"), 0)
+
+
+def _around(pieces: Column, start: Column, end: Column) -> Column:
+    """The lexical patterns around a span of the text that ``_pieces`` cut."""
+    def near(at, length):
+        """``length`` characters from ``at`` on; they lie in two pieces at most."""
+        i = F.floor(at / PIECE).cast("int")
+        two = F.concat(F.coalesce(F.get(pieces, i), F.lit("")), F.coalesce(F.get(pieces, i + 1), F.lit("")))
+        return F.substring(two, (at - i * PIECE + 1).cast("int"), length.cast("int"))
+
     def words(part):
         return F.filter(F.split(F.lower(part), _WORD_END), lambda w: w != "")
 
-    before = words(F.substring(text, F.greatest(start - REACH, F.lit(0)).cast("int") + 1,
-                               F.least(start, F.lit(REACH)).cast("int")))
-    after = words(F.substring(text, end.cast("int") + 1, F.lit(REACH)))
+    before = words(near(F.greatest(start - REACH, F.lit(0)), F.least(start, F.lit(REACH))))
+    after = words(near(end, F.lit(REACH)))
 
     def lexical(s):
         w1 = F.get(s["b"], F.size(s["b"]) - 1)
@@ -149,14 +165,17 @@ def _tokens(text: Column) -> Column:
                                  r"(?<![^\p{L}\p{N}])[^\p{L}\p{N}]++$", "")
         return F.struct((x["start"] + head).alias("start"), value.alias("value"))
 
-    def pieces(x):
+    def parts(x):
         inside = F.transform(_matches(x["value"], _PART, "[0-9@]"), lambda y: F.struct(
             y["value"].alias("value"), (x["start"] + y["start"]).alias("start")))
-        return F.when(F.length(x["value"]) <= LONGEST, F.array(x)).otherwise(inside)
-
-    found = F.flatten(F.transform(_matches(text, _TOKEN, "[0-9@]"), pieces))
-    tokens = F.filter(F.transform(found, core), lambda x: x["value"].rlike(
-        r"^(?=(?:.*[\p{L}\p{N}]){6})(?:(?:.*[0-9]){4}|.*@)"))
+        return F.concat(F.array(x), inside)
+
+    found = F.flatten(F.transform(_matches(text, _TOKEN, "[0-9@]"), parts))
+    # a token may be one of its own parts: equal ones are neighbours in order
+    once = let({"c": F.sort_array(F.transform(found, core))}, lambda s: F.filter(
+        s["c"], lambda x, i: (i == 0) | (F.get(s["c"], i - 1) != x)))
+    tokens = F.filter(once, lambda x: x["value"].rlike(
+        r"^(?s)(?=(?:[^\p{L}\p{N}]*+[\p{L}\p{N}]){6})(?:(?:[^0-9]*+[0-9]){4}|[^@]*+@)"))
     runs = F.filter(F.transform(_matches(text, _RUN, r"[0-9][\x20().-]"), core), lambda x: F.length(
         _digits(x["value"])).between(6, 19))
     return F.concat(tokens, runs)
@@ -173,24 +192,50 @@ def scan(docs: DataFrame) -> DataFrame:
             _spans(s["t"]).cast(kind).alias("spans"), _tokens(s["t"]).alias("tokens"),
             s["t"].alias("text")))).alias("f"))
 
-    def inside(token, span):
-        return ((token["start"] < span["end"])
-                & (span["start"] < token["start"] + F.length(token["value"])))
+    def free(spans, tokens):
+        """The tokens that no span overlaps: of the spans that begin no later, none
+        reaches into the token, and the next one begins after it."""
+        def mark(x, is_token, end):
+            return F.struct(x["start"].alias("start"), F.lit(is_token).alias("is_token"), end.alias("end"),
+                            x["value"].alias("value"))
+
+        kind = "array<struct<start:bigint,is_token:int,end:bigint,value:string>>"
+        inf = F.lit(1 << 60).cast("bigint")
+        marks = F.sort_array(F.concat(
+            F.transform(spans, lambda x: mark(x, 0, x["end"])).cast(kind),
+            F.transform(tokens, lambda x: mark(x, 1, x["start"] + F.length(x["value"]))).cast(kind)))
+
+        def reach(st, x):
+            at = F.when(x["is_token"] == 0, F.greatest(st["at"], x["end"])).otherwise(st["at"])
+            return F.struct(at.alias("at")), F.struct(
+                x["start"].alias("start"), x["is_token"].alias("is_token"), x["end"].alias("end"),
+                x["value"].alias("value"), ((x["is_token"] == 1) & (st["at"] <= x["start"])).alias("ok"))
+
+        def following(st, x):
+            at = F.when(x["is_token"] == 0, x["start"]).otherwise(st["at"])
+            return F.struct(at.alias("at")), F.struct(
+                x["start"].alias("start"), x["end"].alias("end"), x["value"].alias("value"),
+                (x["ok"] & (st["at"] >= x["end"])).alias("ok"))
+
+        ahead = fold(marks, F.struct(F.lit(-1).cast("bigint").alias("at")), reach,
+                     "struct<start:bigint,is_token:int,end:bigint,value:string,ok:boolean>")
+        back = let({"r": F.reverse(ahead)}, lambda z: fold(
+            z["r"], F.struct(inf.alias("at")), following, "struct<start:bigint,end:bigint,value:string,ok:boolean>"))
+        return F.filter(F.reverse(back), lambda x: x["ok"])
 
     def with_patterns(f):
-        spans = F.transform(f["spans"], lambda x: F.struct(
-            x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
-            x["value"].alias("value"), _around(f["text"], x["start"], x["end"]).alias("around")))
-        free = F.filter(f["tokens"], lambda t: ~F.exists(f["spans"], lambda s: inside(t, s)))
-        tokens = F.transform(free, lambda x: F.struct(
-            F.lit(-1).alias("kind"), x["start"].alias("start"),
-            (x["start"] + F.length(x["value"])).alias("end"), x["value"].alias("value"),
-            _around(f["text"], x["start"], x["start"] + F.length(x["value"])).alias("around")))
-        return F.concat(spans, tokens)
+        def marked(x, kind):
+            return F.struct(kind.cast("int").alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
+                            x["value"].alias("value"), _around(f["pieces"], x["start"], x["end"]).alias("around"))
+
+        spans = F.transform(f["spans"], lambda x: marked(x, x["kind"]))
+        return F.concat(spans, F.transform(f["free"], lambda x: marked(x, F.lit(-1))))
 
     full = "array<struct<kind:int,start:bigint,end:bigint,value:string,around:array<string>>>"
-    out = found.select("doc_id", "dk", F.when(F.col("f").isNotNull(), let(
-        {"f": F.col("f")}, lambda s: with_patterns(s["f"])).cast(full))
+    f = F.col("f")
+    out = found.select("doc_id", "dk", F.when(f.isNotNull(), let(
+        {"spans": f["spans"], "free": free(f["spans"], f["tokens"]), "pieces": _pieces(f["text"])},
+        with_patterns).cast(full))
         .otherwise(F.array().cast(full)).alias("marks"))
     return materialise(out, "pii-marks")
 
@@ -254,7 +299,7 @@ def find(docs: DataFrame) -> DataFrame:
     joined = base.join(bounded(more), F.col("doc_id").eqNullSafe(F.col("_id"))
                        & (F.col("dk") == F.col("_dk")), "left")
     every = F.when(F.col("more").isNull(), F.col("base")).otherwise(
-        F.sort_array(F.array_union("base", "more")))
+        F.sort_array(F.concat("base", "more")))  # discovered spans overlap no base span
     return joined.select("doc_id", "dk", "base", every.alias("spans"))
 
 

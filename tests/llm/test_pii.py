@@ -107,3 +107,105 @@ def test_repeated_rows_and_empty_table(spark, make_docs):
     docs = make_docs(["x@y.zz"])
     assert [len(r.spans) for r in pii.find(docs.unionByName(docs)).collect()] == [1, 1]
     assert pii.find(make_docs([])).count() == 0
+
+
+def test_work_grows_with_the_number_of_identifiers(spark, make_docs):
+    import time
+
+    def took(n):
+        text = " ".join(f"on 10.{i % 250}.{i // 250 % 250}.7 or mail u{i}@mail{i % 7}.org" for i in range(n // 2))
+        start = time.time()
+        row = pii.find(make_docs([text])).collect()[0]
+        assert len(row.base) == 2 * (n // 2)
+        return time.time() - start
+
+    took(100)
+    few, many = took(10_000), took(40_000)
+    assert many < 60 and many < 8 * max(few, 3)
+
+
+def around(text, start, end):
+    """The lexical patterns of a span, from the definition."""
+    words = lambda part: [w for w in re.split(r'[\s"{}\[\]<>&?=|,;]+', part.lower()) if w]
+    b, a = words(text[max(0, start - pii.REACH):start]), words(text[end:end + pii.REACH])
+    out = []
+    if len(b) > 1:
+        out.append(f"{b[-2]} {b[-1]} _")
+    if b and a:
+        out.append(f"{b[-1]} _ {a[0]}")
+    return out
+
+
+def graph(marks):
+    """Confident patterns by the definition; ``marks``: (patterns, value, kind)."""
+    edges = {}
+    for patterns, value, kind in marks:
+        for p in patterns:
+            edges[p, value] = max(kind, edges.get((p, value), -1))
+    seeds = {}
+    for (_, v), kind in edges.items():
+        if kind >= 0:
+            seeds[v] = max(kind, seeds.get(v, -1))
+    held = {}
+    for p, v in edges:
+        if v in seeds:
+            held.setdefault(p, {}).setdefault(seeds[v], set()).add(v)
+    speak = {(p, k): sum(map(len, by.values())) for p, by in held.items() for k, vs in by.items()
+             if len(vs) >= pii.SUPPORT}
+    score = {v: {k: (1.0, 0.0)} for v, k in seeds.items()}
+    for _ in range(pii.ROUNDS):
+        conf = {}
+        for (p, k), n in speak.items():
+            got = [score[v][k] for q, v in edges if q == p and k in score.get(v, {})]
+            conf[p, k] = sum(s for s, _ in got) / (n + 1 + sum(w for _, w in got))
+        score = {v: {k: (1.0, 0.0)} for v, k in seeds.items()}
+        for p, v in edges:
+            if v not in seeds:
+                for (q, k), c in conf.items():
+                    if q == p:
+                        old = score.setdefault(v, {}).get(k, (0, 0))[0]
+                        score[v][k] = (max(old, c * pii.DAMPING), pii.DAMPING)
+    return {pk: c for pk, c in conf.items() if c >= pii.CONFIDENT}
+
+
+def test_pattern_graph_against_brute_force(spark, make_docs):
+    r = random.Random(8)
+    verbs = ["call", "write", "ping", "pay"]
+    texts = []
+    for i in range(300):
+        verb, name = r.choice(verbs), r.choice(["anna", "bob", "our clerk"])
+        what = {"call": f"+49 30 {r.randrange(10**6, 10**7)}", "write": f"u{r.randrange(60)}@mail.org",
+                "ping": f"10.0.{r.randrange(9)}.{r.randrange(99)}", "pay": "4111 1111 1111 1111"}
+        kind = verb if r.random() < 0.97 else r.choice(verbs)
+        value = what[kind] if r.random() < 0.6 else f"id{r.randrange(10**4, 10**5)}x{r.randrange(9)}"
+        texts.append(f"then {name} {verb} on {value} {r.choice(['today', 'soon', 'x'])}")
+    found = pii.scan(make_docs(texts)).collect()
+    marks = [(m.around, m.value.lower(), m.kind) for row in found for m in row.marks]
+    for row in found:
+        for m in row.marks:
+            assert m.around == around(texts[row.doc_id], m.start, m.end)
+            assert texts[row.doc_id][m.start:m.end] == m.value
+            free = all(m.end <= o.start or o.end <= m.start for o in row.marks if o.kind >= 0 and o is not m)
+            assert m.kind >= 0 or free
+    patterns = graph(marks)
+    assert patterns and any(k >= 0 for _, k in patterns)
+    want = set()
+    for row in found:
+        for m in row.marks:
+            told = [(c, -k) for p in m.around for (q, k), c in patterns.items() if q == p]
+            if m.kind < 0 and told:
+                want.add((row.doc_id, -max(told)[1], m.start, m.end))
+    got = {(x.doc_id, x.kind, x.start, x.end) for x in pii.discover(pii.scan(make_docs(texts))).collect()}
+    assert got == want and len(want) > 10
+
+
+def test_tokens_of_any_length_are_searched_alike(spark, make_docs):
+    def text(pad, value):
+        return f'see "{"x" * pad}","mail":"{value}","city":"B" now'
+
+    known = [text(pad, f"u{i}@example.org") for i, pad in enumerate((5, 60, 70, 300))]
+    hidden = [text(pad, "u77%40mail1234") for pad in (5, 60, 63, 64, 65, 66, 300)]  # tokens around 100 characters
+    got = {r.doc_id: r for r in pii.find(make_docs([*known, *hidden])).collect()}
+    for i, t in enumerate(hidden, 4):
+        at = t.index("u77")
+        assert (0, at, at + len("u77%40mail1234")) in [tuple(s) for s in got[i].spans], t
