@@ -19,8 +19,11 @@ This is done in two orders of the bits, either half first (see ``links``).
 A block gives out a spanning forest of its links rather than the links, which
 loses no connection, and grows with its members only.
 
-Only the blocks' patterns (16 bytes for each ``block_rows`` fingerprints) reach
-the driver. Defined cases: null text counts as empty; all texts without words
+At most ``TOP_NODES`` patterns (16 bytes each) reach the driver and are broadcast.
+Where there are more blocks, those are of runs of blocks, and a fingerprint that
+visits a run is sent to the patterns of its blocks. What visits a block or a run
+is split into parts of about ``VISITORS`` fingerprints, each with all members or
+patterns, so no task takes more however many come. Defined cases: null text counts as empty; all texts without words
 are one group; repeated documents share their fingerprint and group; a group
 whose doc_ids are all null has a null component_id; an empty table gives no
 rows; other columns are not read."""
@@ -33,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import free_name, materialise, slices, text_batches
+from quarry.llm.common import bounded, free_name, materialise, slices, text_batches
 from quarry.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -41,6 +44,8 @@ BITS = 2
 SEED = 42
 BLOCK_ROWS = 2_048
 FAN_OUT = 16
+TOP_NODES = 65_536
+VISITORS = 200_000
 _CHUNK = 4_096
 
 
@@ -179,6 +184,36 @@ def links(fps: DataFrame, bits: int = BITS, block_rows: int = BLOCK_ROWS) -> Dat
     return plain.unionByName(turned.select(_turn(F.col("a")).alias("a"), _turn(F.col("b")).alias("b")))
 
 
+def _nodes(ids: np.ndarray, ones: np.ndarray, some: np.ndarray):
+    """Ids and index of the patterns of blocks, by the bits that all of a block's
+    members share in the first half."""
+    ones, some = ones.view(np.uint64), some.view(np.uint64)
+    return ids, GrayIndex(~(ones ^ some) & np.uint64(0xFFFFFFFF00000000), ones) if len(ids) else None
+
+
+def _visited(nodes, fp: np.ndarray, own: np.ndarray, bits: int):
+    """(places in ``fp``, ids of the nodes to visit); every pair meets in its later block."""
+    ids, index = nodes
+    for at in range(0, len(fp), _CHUNK):
+        q, leaf = index.search(fp[at:at + _CHUNK], bits // 2)
+        q += at
+        later = ids[leaf] >= own[q]
+        yield q[later], ids[leaf[later]]
+
+
+def _parts(visitors: DataFrame, hosts: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """Both with a column ``part``: the visitors of one ``key`` are dealt over parts of
+    about ``VISITORS`` rows, and its hosts are there in each part. From files."""
+    many = visitors.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > VISITORS)
+    many = materialise(many.select(key, F.ceil(F.col("n") / VISITORS).cast("int").alias("parts")), "crowded")
+    if many.isEmpty():
+        return visitors.withColumn("part", F.lit(0)), hosts.withColumn("part", F.lit(0))
+    parts = F.coalesce("parts", F.lit(1))
+    many = bounded(many)
+    return (visitors.join(many, key, "left").withColumn("part", F.pmod(F.xxhash64("fp"), parts).cast("int")).drop("parts"),
+            hosts.join(many, key, "left").withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts"))
+
+
 def _links_in_order(fps: DataFrame, bits: int, block_rows: int) -> DataFrame:
     spark = fps.sparkSession
     blocks = max(1, -(-fps.count() // block_rows))
@@ -187,28 +222,43 @@ def _links_in_order(fps: DataFrame, bits: int, block_rows: int) -> DataFrame:
               .sortWithinPartitions("rank")
               .select("fp", F.spark_partition_id().alias("block")))
     ranged = materialise(ranged, "gray-blocks")
-    shape = (ranged.groupBy("block").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("any"))
-             .orderBy("block").toPandas())  # one row per block
-    ids = shape["block"].to_numpy()
-    ones = shape["ones"].to_numpy(dtype=np.int64).view(np.uint64)
-    some = shape["any"].to_numpy(dtype=np.int64).view(np.uint64)
-    first_half = np.uint64(0xFFFFFFFF00000000)
-    shared = spark.sparkContext.broadcast((ids, ~(ones ^ some) & first_half, ones))
+    shapes = materialise(ranged.groupBy("block").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("any")),
+                         "block-shapes")
+    run = max(1, -(-shapes.count() // TOP_NODES))  # blocks of one top node
+    run_of = F.floor(F.col("block") / run).cast("int")
+    tops = (shapes.groupBy(run_of.alias("top")).agg(F.bit_and("ones").alias("ones"), F.bit_or("any").alias("any"))
+            .orderBy("top").toPandas())  # at most TOP_NODES rows
+    shared = spark.sparkContext.broadcast(_nodes(
+        tops["top"].to_numpy(), tops["ones"].to_numpy(dtype=np.int64), tops["any"].to_numpy(dtype=np.int64)))
 
     def visits(batches):
-        ids, masks, values = shared.value
-        index = GrayIndex(masks, values) if len(ids) else None
         for b in batches:
-            fp = b.column(0).to_numpy().view(np.uint64)
-            own = b.column(1).to_numpy()
-            for at in range(0, len(fp), _CHUNK):
-                q, leaf = index.search(fp[at:at + _CHUNK], bits // 2)
-                q += at
-                later = ids[leaf] >= own[q]  # every pair meets in its later block
-                q, leaf = q[later], leaf[later]
+            fp, own = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
+            for q, to in _visited(shared.value, fp, own // run, bits):
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[leaf], pa.int32()), pa.array(fp[q].view(np.int64)),
-                     pa.array(ids[leaf] == own[q])], names=["block", "fp", "member"])
+                    [pa.array(to, pa.int32()), pa.array(fp[q].view(np.int64)), pa.array(own[q], pa.int32())],
+                    names=["top", "fp", "own"])
+
+    def inside(key: tuple, visitors: pa.Table, blocks: pa.Table) -> pa.Table:
+        blocks = blocks.sort_by("block")
+        nodes = _nodes(*(blocks.column(c).to_numpy() for c in ("block", "ones", "any")))
+        fp = visitors.column("fp").to_numpy().view(np.uint64)
+        own = visitors.column("own").to_numpy()
+        found = [(to, fp[q], to == own[q]) for q, to in _visited(nodes, fp, own, bits)]
+        to, f, m = map(np.concatenate, zip(*found)) if found else (np.empty(0, int), np.empty(0, np.uint64), np.empty(0, bool))
+        return pa.table({"block": pa.array(to, pa.int32()), "fp": pa.array(f.view(np.int64)), "member": pa.array(m, pa.bool_())})
+
+    at = ranged.mapInArrow(visits, "top int, fp long, own int")
+    if run == 1:
+        at = at.select(F.col("top").alias("block"), "fp", (F.col("top") == F.col("own")).alias("member"))
+    else:
+        at = materialise(at, "run-visits")
+        at, nodes = _parts(at, shapes.withColumn("top", run_of), "top")
+        at = at.groupBy("top", "part").cogroup(nodes.groupBy("top", "part")).applyInArrow(
+            inside, "block int, fp long, member boolean")
+    at = materialise(at, "block-visits")
+    visitors, members = _parts(at.where("NOT member"), at.where("member"), "block")
+    at = visitors.unionByName(members)
 
     def forest(table: pa.Table) -> pa.Table:
         fp = table.column("fp").to_numpy()
@@ -221,8 +271,7 @@ def _links_in_order(fps: DataFrame, bits: int, block_rows: int) -> DataFrame:
                              fp[~member].view(np.uint64), bits)
         return pa.table({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    at = ranged.mapInArrow(visits, "block int, fp long, member boolean")
-    return at.groupBy("block").applyInArrow(forest, "a long, b long")
+    return at.groupBy("block", "part").applyInArrow(forest, "a long, b long")
 
 
 def _named(prints: DataFrame, key: Column, bits: int, block_rows: int) -> DataFrame:

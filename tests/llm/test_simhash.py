@@ -73,8 +73,12 @@ def test_index_finds_all_pairs(bits):
     assert set(zip(q.tolist(), leaf.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(near))))
 
 
-@pytest.mark.parametrize("block_rows", [16, 100_000])
-def test_links_join_the_same_groups(spark, block_rows):
+@pytest.mark.parametrize("block_rows, top, visitors", [
+    (16, 65_536, 200_000), (100_000, 65_536, 200_000), (16, 3, 200_000), (16, 2, 9), (16, 65_536, 5)])
+def test_links_join_the_same_groups(spark, monkeypatch, block_rows, top, visitors):
+    """Also with few top nodes and with visitors in many parts."""
+    monkeypatch.setattr(sh, "TOP_NODES", top)
+    monkeypatch.setattr(sh, "VISITORS", visitors)
     fps = planted(11)
     signed = [int(np.uint64(f).view(np.int64)) for f in set(fps)]
     df = spark.createDataFrame([(x,) for x in signed], "fp long")
