@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ MAX_GRAM = 5
 SMOOTHING = 0.1
 UNKNOWN = "und"
 PIECE = 1 << 20
-_KNOWN_WORDS = 400_000
+_KNOWN_WORDS = 600_000
+_GROUP_WORDS = 100_000
 _ITEM_BYTES = 150  # a word or n-gram in a worker, beside its characters
 _WORD = re.compile(r"[^\W\d_]+")
 _BREAK = re.compile(r"[\W\d_]")
@@ -104,28 +106,35 @@ class Model:
         if known:
             at, rows = zip(*known)
             out[list(at)] = self.word_table[list(rows)]
-        flat, owner, starts = [], [], []
+        flat, owner, sizes, get = [], [], [], self.grams.get
 
         def add():
-            part = np.add.reduceat(self.gram_table[flat], starts, axis=0)
-            np.add.at(out, owner, part)
+            if flat:
+                starts = np.cumsum(sizes) - sizes
+                np.add.at(out, owner, np.add.reduceat(self.gram_table[flat], starts, axis=0))
+            flat.clear(), owner.clear(), sizes.clear()
 
         counts = np.ones(len(words))
         for i, w in enumerate(words):
             if w in self.words:
                 continue
-            n = 0
-            for held in self._held(w):
-                starts.append(len(flat))
-                owner.append(i)
+            framed = f"^{w}$"
+            if len(w) > PIECE:
+                parts = list(self._held(w))
+            else:
+                for n in range(MAX_GRAM, 0, -1):
+                    held = [g for k in range(len(framed) - n + 1) if (g := get(framed[k:k + n])) is not None]
+                    if held:
+                        break
+                parts = [held] if held else []
+            for held in parts:
                 flat += held
-                n += len(held)
-                if len(flat) > PIECE:
-                    add()
-                    flat, owner, starts = [], [], []
-            counts[i] = n or 1
-        if flat:
-            add()
+                owner.append(i)
+                sizes.append(len(held))
+            counts[i] = sum(map(len, parts)) or 1
+            if len(flat) > PIECE:
+                add()
+        add()
         return out / counts[:, None]
 
 
@@ -145,32 +154,53 @@ class Scorer:
         if len(self.place) + len(new) > _KNOWN_WORDS:
             self.forget()
             new = list(dict.fromkeys(words))
-        need = len(self.place) + len(new)
+        first, need = len(self.place), len(self.place) + len(new)
         if need > len(self.table):
             grown = np.zeros((max(need, 2 * len(self.table)), self.table.shape[1]))
             grown[:len(self.table)] = self.table
             self.table = grown
-        first = len(self.place)
         self.table[first:need] = self.model.vectors(new)
         self.place.update(zip(new, range(first, need)))
 
+    def _totals(self, counters: list[Counter]) -> np.ndarray:
+        """Sums of the words' vectors of each of some texts, none of them empty."""
+        words = list(chain.from_iterable(counters))
+        try:
+            at = list(map(self.place.__getitem__, words))
+        except KeyError:
+            self._learn(words)
+            at = list(map(self.place.__getitem__, words))
+        n = np.fromiter(chain.from_iterable(c.values() for c in counters), np.float64, len(words))
+        sizes = [len(c) for c in counters]
+        return np.add.reduceat(self.table[at] * n[:, None], np.cumsum(sizes) - sizes, axis=0)
+
     def predict(self, text: str | None) -> tuple[str, float]:
-        total, met = np.zeros(len(self.model.languages)), False
-        for piece in pieces(text):
-            words = Counter(words_of(piece))
-            if not words or not self.model.languages:
-                continue
-            try:
-                at = list(map(self.place.__getitem__, words))
-            except KeyError:
-                self._learn(list(words))
-                at = list(map(self.place.__getitem__, words))
-            total += np.fromiter(words.values(), np.float64, len(words)) @ self.table[at]
-            met = True
-        if not met:
-            return UNKNOWN, 0.0
-        best = int(total.argmax())
-        return self.model.languages[best], float(1 / np.exp(total - total[best]).sum())
+        return self.predict_all([text])[0]
+
+    def predict_all(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """Language and score of each text; words of many texts are looked up at once."""
+        total = np.zeros((len(texts), len(self.model.languages)))
+        met, group, owner, size = np.zeros(len(texts), bool), [], [], 0
+        for i, text in enumerate(texts if self.model.languages else ()):
+            for piece in pieces(text):
+                words = Counter(words_of(piece))
+                if words:
+                    group.append(words)
+                    owner.append(i)
+                    size += len(words)
+                if size > _GROUP_WORDS:
+                    np.add.at(total, owner, self._totals(group))
+                    met[owner] = True
+                    group, owner, size = [], [], 0
+        if group:
+            np.add.at(total, owner, self._totals(group))
+            met[owner] = True
+        out = [(UNKNOWN, 0.0)] * len(texts)
+        best = total.argmax(axis=1) if total.size else np.zeros(len(texts), int)
+        for i in np.flatnonzero(met).tolist():
+            share = 1 / np.exp(total[i] - total[i, best[i]]).sum()
+            out[i] = self.model.languages[best[i]], float(share)
+        return out
 
 
 def _counts(docs: DataFrame) -> DataFrame:
@@ -338,8 +368,7 @@ def identify(docs: DataFrame, model: Model | TableModel, lang: str = "lang_pred"
     def run(batches):
         scorer = Scorer(shared.value)
         for b in slices(batches):
-            got = [scorer.predict(t)
-                   for t in b.column(b.schema.get_field_index("text")).to_pylist()]
+            got = scorer.predict_all(b.column(b.schema.get_field_index("text")).to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [b.column(b.schema.get_field_index(f.name)) for f in keep]
                 + [pa.array([g[0] for g in got], pa.string()),
