@@ -7,9 +7,10 @@ every document, documents dealt into blocks, and per lexeme and block the greate
 impact and the number of postings.
 
 A query's bound in a block is the sum of its lexemes' greatest impacts there. The
-blocks with the best bounds are scored first; then, of the others, those whose
-bound reaches the k-th best score so far. The rest hold nothing better and their
-postings are not read: the answer equals a full scan.
+blocks with the best bounds are scored first, then four times as many, and so on,
+of each wave those whose bound reaches the k-th best score so far. Where a wave
+has none left, no later block holds anything better and its postings are not
+read: the answer equals a full scan.
 
 A frequent lexeme is many rows of many blocks, sorted into ranges of (lexeme,
 block); nothing of a lexeme's size meets in one task."""
@@ -93,13 +94,23 @@ def search(spark: SparkSession, path: str, queries: DataFrame, key: str, k: int,
         hits = terms.join(chosen.select("qid", "block"), "qid").join(postings, ["lexeme", "block"])
         return hits.groupBy("qid", key).agg(F.round(F.sum("impact") / F.max("of"), DECIMALS).alias("score"))
 
-    first = bounds.where(F.col("place") <= first_blocks)
-    found = scored(first).withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).checkpoint()
-    least = found.where(F.col("rank") == k).select("qid", F.col("score").alias("least"))
-    rest = bounds.where(F.col("place") > first_blocks).join(least, "qid", "left")
-    rest = rest.where(F.col("bound") + 10.0 ** -DECIMALS >= F.coalesce("least", F.lit(0.0)))
-    top = (found.drop("rank").unionByName(scored(rest)).withColumn("rank", F.row_number().over(best))
-           .where((F.col("rank") <= k) & (F.col("score") > 0)))
-    read = (first.select("qid", "n").unionByName(rest.select("qid", "n")).groupBy("qid").agg(F.sum("n").alias("read")))
+    none = spark.createDataFrame([], queries.select("qid").schema)
+    found = none.select("qid", F.lit(None).cast(postings.schema[key].dataType).alias(key), F.lit(0.0).alias("score"))
+    read = none.select("qid", F.lit(0).cast("long").alias("n"))
+    done, width = 0, first_blocks
+    while True:
+        least = (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
+                 .select("qid", F.col("score").alias("least")))
+        wave = bounds.where((F.col("place") > done) & (F.col("place") <= done + width)).join(least, "qid", "left")
+        wave = wave.where(F.col("bound") + 10.0 ** -DECIMALS >= F.coalesce("least", F.lit(0.0)))
+        wave = wave.select("qid", "block", "n").checkpoint()
+        if wave.isEmpty():  # bounds only fall from here on
+            break
+        found = (found.unionByName(scored(wave)).withColumn("rank", F.row_number().over(best))
+                 .where(F.col("rank") <= k).drop("rank").checkpoint())
+        read = read.unionByName(wave.select("qid", "n"))
+        done, width = done + width, 4 * width
+    top = found.withColumn("rank", F.row_number().over(best)).where(F.col("score") > 0)
+    read = read.groupBy("qid").agg(F.sum("n").alias("read"))
     told = bounds.groupBy("qid").agg(F.sum("n").alias("postings")).join(read, "qid")
     return top.select("qid", key, "score", "rank"), told
