@@ -37,6 +37,12 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType())])
 
 
+def table_files(path: str) -> str:
+    """``path`` as a pattern that only it matches: a stream over a pattern takes
+    one file as well as a folder of them, over a plain path folders alone."""
+    return f"{path[:-1]}[{path[-1]}]"
+
+
 def start(spark: SparkSession, source_dir: str, schema: T.StructType | None, table_path: str,
           status_path: str, checkpoint: str, parent_col: str, text_col: str,
           fmt: str = "parquet", glob: str | None = None, available_now: bool = True,
