@@ -11,10 +11,11 @@
    nothing a dive. A stretch between a surge and the next dive is kept if one of
    its windows reaches ``LEVEL`` characters (or half the page's highest sum,
    where that is less).
-3. Where the page marks its text (article, main or their roles), lines outside
-   count nothing and containers inside take no line, so what is kept runs from
-   the first line of the mark to its last, however short the paragraphs are.
-   Articles within a main go before the rest of it unless they hold less than
+3. Where the page marks its text (article, main or their roles), the same sums
+   over all its lines decide, but lines outside the mark count nothing, those
+   inside count whole, links too, and containers inside take no line. So the
+   surge is at the first line of the mark and the dive after its last, however
+   short the paragraphs between are. Articles within a main go before the rest of it unless they hold less than
    half of its text; of several articles those go that hold less than a quarter
    of the longest (cards that point to other pages).
 
@@ -379,23 +380,30 @@ def _of_mark(lines: _Lines) -> list[int]:
     return [i for i in at if size.get(lines.marked[i], -1) >= least]
 
 
+def _weights(lines: _Lines) -> tuple[list[int], list[int]]:
+    """Numbers of the lines that the sums run over, and what each counts: the text
+    outside links or, where the page marks its text, all of it within the mark."""
+    at = [i for i, h in enumerate(lines.hidden) if not h]
+    if not lines.has_mark:
+        return at, [lines.weight[i] for i in at]
+    marked = set(_of_mark(lines))
+    return at, [len(lines.text[i]) if i in marked else 0 for i in at]
+
+
 def main_text(page: str | None) -> str:
     """The main text of one page."""
     if not page:
         return ""
     lines = _Reader(page).read()
 
-    def between(at, weights, level=LEVEL):
-        return " ".join(lines.text[at[i]] for first, last in stretches(weights, level=level)
-                        for i in range(first, last + 1) if lines.text[at[i]])
+    def between(at, weights):
+        return " ".join(lines.text[at[i]] for first, last in stretches(weights)
+                        for i in range(first, last + 1)
+                        if lines.text[at[i]] and (weights[i] or not lines.has_mark))
 
-    if lines.has_mark:
-        # what is marked counts whole, links too: one line each, no gaps
-        at = _of_mark(lines)
-        return between(at, [len(lines.text[i]) for i in at], level=0)
-    at = [i for i, h in enumerate(lines.hidden) if not h]
-    found = between(at, [lines.weight[i] for i in at])
-    if not found and sum(lines.weight) >= RESCUE:
+    at, weights = _weights(lines)
+    found = between(at, weights)
+    if not found and not lines.has_mark and sum(lines.weight) >= RESCUE:
         found = between(range(len(lines.text)), lines.weight)
     return found
 

@@ -39,6 +39,23 @@ def test_marked_pages():
     assert main("<article></article><p>" + NOISE) == ""
 
 
+def test_block_sums_decide_on_marked_pages(monkeypatch):
+    """The sums run over all lines of a marked page, and a stretch of the mark is
+    held to the same level as any other."""
+    asked, own = [], htmltext.stretches
+    monkeypatch.setattr(htmltext, "stretches", lambda *a, **kw: asked.append((a, kw)) or own(*a, **kw))
+    page = f"<p>{PARA}</p><ul>{LINKS}</ul><article><h1>Name</h1>{BODY}</article><div>{NOISE}</div>"
+    assert htmltext.main_text(page) == f"Name {TEXT}"
+    (weights,), kw = asked.pop()
+    inside = [len(t) for t in ("Name", *(PARA.format(i) for i in range(4)), "End.")]
+    assert not kw and [w for w in weights if w] == inside and len(weights) >= 6 + 1 + 9 + 1
+    first = next(i for i, w in enumerate(weights) if w)
+    assert own(weights) == [(first, first + 5)]
+    beside = "<article><p>Forty letters of some other short text.</p><p>And as many once more.</p></article>"
+    far = f"<article><p>{PARA}</p><p>{PARA}</p></article><p>a</p><p>b</p><p>c</p>{beside}"
+    assert htmltext.main_text(far) == f"{PARA} {PARA}"
+
+
 def test_references_space_and_broken_markup():
     main = htmltext.main_text
     assert main("<article><p>a &lt;b&gt; &amp;amp; &eacute;&#233;&#x41; &nbsp;\t\n x&copy<br>y<p>un<i>clos</i>ed") == (
