@@ -95,7 +95,8 @@ def pack_chunks(paras: Column, max_tokens: int = config.MAX_TOKENS,
             return let({"st": starts}, per_group)
         return F.when(nparas == 0, F.array().cast("array<string>")).otherwise(
             let({"g": group_ids(s.n, max_tokens)}, with_groups))
-    return let({"p": paras, "n": F.transform(paras, token_count)}, outer)
+    # the paragraphs are bound before they are counted: they are filtered once
+    return let({"p": paras}, lambda b: let({"p": b.p, "n": F.transform(b.p, token_count)}, outer))
 
 
 Offsets = Callable[[str], list[tuple[int, int]]]

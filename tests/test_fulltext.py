@@ -127,3 +127,14 @@ def test_lexical_score_cases(spark):
             assert 0 < got < 1
         else:
             assert got == want, q
+
+
+def test_text_vector_splits_a_text_once(spark):
+    """The metadata's positions do not split the content again for each word."""
+    import time
+    df = spark.createDataFrame([("word " * 200_000, "m " * 2_000)], "c string, m string")
+    start = time.time()
+    row = df.select(ft.text_vector(F.col("c"), F.col("m")).alias("v")).select(
+        F.size("v").alias("n"), F.element_at("v", -1).alias("last")).first()
+    assert (row.n, row.last.pos, row.last.weight) == (202_000, 202_000, "B")
+    assert time.time() - start < 20
