@@ -58,6 +58,16 @@ PATTERNS = {
     "numword": rf"{_LN}++",
 }
 TOKEN_RE = "|".join(f"(?:{p})" for p in PATTERNS.values())
+# What the JVM scans with finds the same tokens: a run of letters and digits that
+# nothing compound can follow is taken first, the rest is tried only where the
+# character it needs stands after the run, and runs give nothing back.
+_SCAN = {
+    "email": PATTERNS["email"].replace("{0,63}@", "{0,63}+@"),
+    "protocol": PATTERNS["protocol"].replace("{0,31}:", "{0,31}+:"),
+    "host": rf"(?=[\p{{L}}\p{{N}}-]++\.)(?:{PATTERNS['url']}|{PATTERNS['host']})",
+    **{c: PATTERNS[c] for c in ("version", "float", "numhword", "numword")},
+}
+SCAN_RE = rf"{_LN}++(?![\p{{L}}\p{{N}}._+@:/-])|" + "|".join(f"(?:{p})" for p in _SCAN.values())
 ASCII_CLASSES = ("asciiword", "asciihword", "hword_asciipart")
 _TYPE = "array<struct<class:string,token:string>>"
 
@@ -99,12 +109,13 @@ def _parts(t: Column) -> Column:
                   F.struct(F.lit("url_path").alias("class"),
                            F.substring(token, at, F.length(token)).alias("token"))).cast(_TYPE))
               .otherwise(F.array().cast(_TYPE)))
-    return F.concat(F.array(F.struct(kind.alias("class"), token.alias("token"))).cast(_TYPE), pieces)
+    whole = F.array(F.struct(kind.alias("class"), token.alias("token"))).cast(_TYPE)
+    return F.when(kind.isin("asciihword", "hword", "numhword", "url"), F.concat(whole, pieces)).otherwise(whole)
 
 
 def scan(text: Column) -> Column:
     """All tokens of a text: array of (class, token), in order. Null is empty."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(TOKEN_RE), 0)
+    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SCAN_RE), 0)
     return let({"t": F.transform(found, lambda x: F.struct(token_class(x).alias("class"), x.alias("token")))},
                lambda s: F.flatten(F.transform(s["t"], _parts)))
 

@@ -53,3 +53,19 @@ def test_dictionary_chain_and_lexemes(spark):
         (1, 1, "document"), (1, 2, "da"), (1, 3, "ação"), (1, 4, "document"), (1, 5, "pós-guerra"), (1, 6, "pós"),
         (1, 7, "guerr"), (1, 8, "x.org/abc"), (1, 9, "x.org"), (1, 10, "/abc")]
     assert [x[1:] for x in got if x[0] == 2] == [(i, "document") for i in range(1, 51)]
+
+
+def test_the_jvm_scan_finds_the_same_tokens(spark):
+    """``SCAN_RE`` tries less at each place than ``TOKEN_RE`` and finds as much."""
+    import random
+    rng = random.Random(5)
+    bits = ["ab", "Zé", "9", "12", ".", "-", "_", "+", "@", ":", "/", "://", " ", ",", "x.de", "a-b", "1.2", "é-9",
+            "a" * 70, "http://", "@x.org", "a.b@c.de", "w.x.org/p?q=1", "1.2.3", "-4.5", "\n", "日本", "_a", "x" * 64 + "."]
+    rows = [("".join(rng.choice(bits) for _ in range(rng.randint(1, 14))),) for _ in range(4_000)]
+    df = spark.createDataFrame(rows, "t string")
+    found = df.select("t", *(F.regexp_extract_all("t", F.lit(r), 0).alias(n)
+                             for n, r in (("plain", tk.TOKEN_RE), ("quick", tk.SCAN_RE))))
+    assert found.where("plain <> quick").limit(3).collect() == []
+    words = spark.createDataFrame([("some plain words of a text and 12 numbers é " * 20_000,)], "t string")
+    assert tk.SCAN_RE != tk.TOKEN_RE
+    assert words.select(F.size(F.regexp_extract_all("t", F.lit(tk.SCAN_RE), 0))).first()[0] == 180_000
