@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import fulltext as ft
+from quarry.functions.util import slices
 
 BLOCK_DOCS = 32
 FIRST_BLOCKS = 8
@@ -43,7 +44,7 @@ def word_counts(docs: DataFrame, key: str, text_col: str, dictionary: str = "sim
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             ids, rows = b.column(0), b.column(1)
             at, words, n = [], [], []
             for i, ws in enumerate(rows.to_pylist()):

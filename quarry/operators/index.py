@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import fulltext as ft
-from quarry.functions.util import let
+from quarry.functions.util import let, slices
 
 
 def postings(docs: DataFrame, key: str, text_col: str, dictionary: str = "simple") -> DataFrame:
@@ -26,7 +26,7 @@ def postings(docs: DataFrame, key: str, text_col: str, dictionary: str = "simple
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
-        for b in batches:
+        for b in slices(batches):
             at, words, where = [], [], []
             for i, ws in enumerate(b.column(1).to_pylist()):
                 held: dict[str, list[int]] = {}
