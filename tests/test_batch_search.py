@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from quarry.functions import fulltext as ft
+from quarry.operators import ann
 from quarry.operators import batch_search as BS
 from quarry.operators import search as S
 
@@ -160,3 +161,37 @@ def test_batch_search_in_blocks(spark):
     one = sorted(map(tuple, B.batch_search(t, q, dims=(2,)).collect()))
     assert one == sorted(map(tuple, B.batch_search(t, q, dims=(2,), max_query_bytes=40).collect()))
     assert len(one) == 30
+
+
+def test_few_distances_at_a_time(monkeypatch):
+    """The distances in memory are bounded whatever the queries and the size of an
+    Arrow batch; the result equals a plain sort, ties, null and zero vectors included."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+    from quarry.operators import vector_scan
+    rng = np.random.default_rng(4)
+    m = rng.integers(-2, 3, (3_000, 4)).astype(np.float64)
+    vectors = [None if i % 97 == 0 else x.tolist() for i, x in enumerate(m)]
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(3_000)), pa.array(vectors, pa.list_(pa.float32()))],
+                                       ["id", "v"])
+    q = rng.integers(-2, 3, (50, 4)).astype(np.float64)
+    seen, own = [], vector_scan.distance_block
+    monkeypatch.setattr(ann, "CELLS", 2_000)
+    monkeypatch.setattr(vector_scan, "distance_block", lambda a, b, c: seen.append(len(a) * len(b)) or own(a, b, c))
+    for metric, most in (("cosine", None), ("inner", None), ("cosine", 0.3)):
+        run = ann._topk_block(SimpleNamespace(value=(np.arange(50) * 10, q)), 40, metric, "id", "v", most)
+        got = {}
+        for b in run([batch.slice(0, 2_500), batch.slice(2_500)]):
+            for r in b.to_pylist():
+                got.setdefault(r["qid"], []).append((r["tier"], r["id"]))
+        d, zero = own(m, q, metric)
+        tier = np.where(np.arange(3_000) % 97 == 0, 2, np.where(zero, 1, 0))
+        for i in range(50):
+            key = np.round(np.where(tier[i] == 0, d[i], 0), 12)
+            order = [j for j in np.lexsort((np.arange(3_000), key, tier[i]))
+                     if most is None or tier[i, j] == 0 and d[i, j] <= most][:40]
+            mine = got.get(i * 10, [])
+            assert len(mine) == len(order) and [t for t, _ in mine] == [tier[i, j] for j in order]
+            assert np.allclose([key[j] for _, j in mine], [key[j] for j in order])
+    assert max(seen) <= 2_000
