@@ -210,3 +210,33 @@ def test_cooccurrence_thesaurus(spark):
     assert {(r.token, r.lemma) for r in found.collect()} == {("cat", "feline"), ("hound", "dog")}
     expanded = expansion.expand_queries(spark.createDataFrame([(1, "cat")], "q long, t string"), "q", "t", found)
     assert expanded.first().expanded == "cat feline"
+
+
+def test_meetings_tell_only_what_is_new(spark):
+    """Two that met at a place before are not compared again, nor is told what is
+    farther than an id's list reaches."""
+    v = clustered(6, 1)
+    rows = [(1, i, v[i].tolist(), i == 5, 2.0) for i in range(6)] + [(2, i, v[i].tolist(), False, 2.0) for i in range(6)]
+    schema = "at long, id long, v array<float>, fresh boolean, far double"
+    met = {(r.id, r.nb) for r in graph._meetings(spark.createDataFrame(rows, schema), 16).collect()}
+    assert met == {(i, 5) for i in range(5)} | {(5, i) for i in range(5)}
+    near = [(1, i, v[i].tolist(), True, -1.0 if i else 2.0) for i in range(6)]
+    assert {r.id for r in graph._meetings(spark.createDataFrame(near, schema), 16).collect()} == {0}
+
+
+def test_words_of_few_documents_at_a_time():
+    """A batch of any size is read in slices: its words are not all Python objects
+    at once."""
+    import pyarrow as pa
+    from quarry.functions.util import slices
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1_201))], ["a"])
+    parts = list(slices([batch, batch.slice(0, 0)]))
+    assert [p.num_rows for p in parts] == [500, 500, 201]
+    assert [x for p in parts for x in p.column(0).to_pylist()] == list(range(1_201))
+
+
+def test_postings_of_a_large_batch(spark):
+    from quarry.operators import index as ix
+    df = spark.range(1_300).coalesce(1).select("id", F.concat(F.lit("a b a w"), F.col("id").cast("string")).alias("t"))
+    sizes = ix.postings(df, "id", "t").where("lexeme = 'a'")
+    assert sizes.count() == 1_300 and sizes.where("n <> 2 OR positions <> array(1, 3)").isEmpty()
