@@ -240,3 +240,53 @@ def test_postings_of_a_large_batch(spark):
     df = spark.range(1_300).coalesce(1).select("id", F.concat(F.lit("a b a w"), F.col("id").cast("string")).alias("t"))
     sizes = ix.postings(df, "id", "t").where("lexeme = 'a'")
     assert sizes.count() == 1_300 and sizes.where("n <> 2 OR positions <> array(1, 3)").isEmpty()
+
+
+def test_document_vectors_are_made_once(spark, scratch, monkeypatch):
+    from quarry.operators import embedding as emb
+    from quarry.plans import retrieval_queries as rq
+    rows = [(i, f"word{i % 7} and more") for i in range(60)] + [(60, ""), (61, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(scratch + "/documents.parquet")
+    made = spark.sparkContext.accumulator(0)
+
+    def counting(dim):
+        @F.udf("array<float>")
+        def one(text):
+            made.add(1)
+            return [float(bool(text))] + [0.0] * (dim - 1)
+        return one
+
+    monkeypatch.setattr(emb, "hash_embedder", counting)
+    e, queries = rq._stored_vectors(spark, scratch)
+    assert e.count() == 60 and queries.count() == 2 and made.value == 62
+
+
+def test_files_of_lists_follow_the_rows(spark, scratch):
+    df = frame(spark, clustered(4_000, 100))
+    lists = ivf.build(df, scratch + "/l", 100)
+    t = spark.read.parquet(scratch + "/l")
+    assert len(t.inputFiles()) <= 8 and t.count() == lists.sizes.sum() == 4_000  # the session's partitions
+    assert [lists.sizes[r.list_id] for r in t.groupBy("list_id").count().collect()] \
+        == [r["count"] for r in t.groupBy("list_id").count().collect()]
+
+
+def test_candidates_of_lists_beyond_the_kth_stay_in_the_task(spark, scratch):
+    from quarry.operators import ann
+    v = clustered(500, 5)
+    lists = ivf.build(frame(spark, v), scratch + "/l", 5)
+    t = spark.read.parquet(scratch + "/l")
+    kth = np.array([nearest(v, i, 10)[1][2] for i in (0, 1)])
+    for want in (np.array([0, 1]), ann.wanted_rows(np.ones(2, bool))):
+        found = ann.list_candidates(t, {i: want for i in range(5)}, v[:2].astype(float), np.array([0, 1]), 10,
+                                    vec_col="v", far=kth + 1e-9).collect()
+        assert sorted((r.qid, r.id) for r in found) == sorted((i, j) for i in (0, 1) for j in nearest(v, i, 3)[0])
+    mask = np.random.default_rng(3).random(100) < 0.5
+    assert ann.wanted_rows(mask).dtype == np.uint8
+    assert ann.asked_rows(ann.wanted_rows(mask), 100).tolist() == np.flatnonzero(mask).tolist()
+
+
+def test_lists_of_no_vectors(spark, scratch):
+    df = frame(spark, [], [(1, [0.0] * DIM), (2, None)])
+    queries = df.select(F.col("id").alias("qid"), "embedding")
+    lists = ivf.build(df, scratch + "/l", 4)
+    assert ivf.exact(spark, lists, queries, 3).count() == 0
