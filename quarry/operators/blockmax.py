@@ -17,14 +17,15 @@ block); nothing of a lexeme's size meets in one task."""
 
 from __future__ import annotations
 
-from collections import Counter
-
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions import fulltext as ft
 from quarry.functions.util import slices
+from quarry.session import scratch_path
 
 BLOCK_DOCS = 32
 FIRST_BLOCKS = 8
@@ -32,32 +33,32 @@ FIRST_BLOCKS = 8
 DECIMALS = 9
 
 
-def impact(n: F.Column) -> F.Column:
-    """Contribution of ``n`` occurrences of weight A to an or-query's rank."""
-    return F.aggregate(F.sequence(F.lit(1), n.cast("int")), F.lit(0.0),
-                       lambda acc, j: acc + F.lit(1.0) / (j * j)) / ft.ZETA2
+def impacts(most: int) -> np.ndarray:
+    """Contributions of 0 to ``most`` occurrences of weight A to an or-query's rank."""
+    j = np.arange(1, most + 1, dtype=np.float64)
+    return np.concatenate([[0.0], np.cumsum(1.0 / (j * j)) / ft.ZETA2])
 
 
 def word_counts(docs: DataFrame, key: str, text_col: str, dictionary: str = "simple") -> DataFrame:
-    """(key, lexeme, n): occurrences counted within the document's row, so each
-    lexeme of a document is one row before anything is shuffled."""
+    """(key, lexeme, n, impact): occurrences counted within the document's row, so each
+    lexeme of a document is one row before anything is shuffled. A batch's words are
+    numbered once and counted as numbers."""
     kind = docs.schema[key].dataType.simpleString()
 
     def run(batches):
         for b in slices(batches):
             ids, rows = b.column(0), b.column(1)
-            at, words, n = [], [], []
-            for i, ws in enumerate(rows.to_pylist()):
-                c = Counter(ws)
-                at += [i] * len(c)
-                words += c.keys()
-                n += c.values()
+            words = rows.flatten().dictionary_encode()
+            width = max(1, len(words.dictionary))
+            doc = np.repeat(np.arange(len(rows), dtype=np.int64), pc.fill_null(pc.list_value_length(rows), 0))
+            seen, n = np.unique(doc * width + words.indices.to_numpy(zero_copy_only=False), return_counts=True)
+            at, word = np.divmod(seen, width)
             yield pa.RecordBatch.from_arrays(
-                [ids.take(pa.array(at, pa.int64())), pa.array(words, pa.string()), pa.array(n, pa.int64())],
-                [key, "lexeme", "n"])
+                [ids.take(pa.array(at)), words.dictionary.take(pa.array(word)), pa.array(n.astype(np.int64)),
+                 pa.array(impacts(int(n.max(initial=0)))[n])], [key, "lexeme", "n", "impact"])
 
     return docs.select(key, ft.words(F.col(text_col), dictionary).alias("ws")).mapInArrow(
-        run, f"{key} {kind}, lexeme string, n long")
+        run, f"{key} {kind}, lexeme string, n long, impact double")
 
 
 def build(docs: DataFrame, path: str, key: str, text_col: str, dictionary: str = "simple",
@@ -65,15 +66,18 @@ def build(docs: DataFrame, path: str, key: str, text_col: str, dictionary: str =
     """Write ``path``/postings (lexeme, block, key, n, impact) and ``path``/blocks
     (lexeme, block, most, n), sorted by lexeme and block."""
     n_blocks = max(1, -(-docs.count() // block_docs))
-    counts = word_counts(docs, key, text_col, dictionary)
-    # one impact for each count, not one for each posting
+    counts, spark = word_counts(docs, key, text_col, dictionary), docs.sparkSession
     block = F.pmod(F.xxhash64(key), F.lit(n_blocks))
-    postings = counts.select("lexeme", block.alias("block"), key, "n", impact(F.col("n")).alias("impact"))
-    (postings.repartitionByRange("lexeme", "block").sortWithinPartitions("lexeme", "block", key)
+    # ranges are drawn from rows: from written ones, or the texts are split for it once more
+    made = scratch_path(spark, "counted")
+    counts.select("lexeme", block.alias("block"), key, "n", "impact").write.parquet(made)
+    (spark.read.parquet(made).repartitionByRange("lexeme", "block").sortWithinPartitions("lexeme", "block", key)
      .write.mode("overwrite").parquet(f"{path}/postings"))
-    postings = docs.sparkSession.read.parquet(f"{path}/postings")
-    blocks = postings.groupBy("lexeme", "block").agg(F.max("impact").alias("most"), F.count("*").alias("n"))
-    (blocks.repartitionByRange("lexeme", "block").sortWithinPartitions("lexeme", "block")
+    postings = spark.read.parquet(f"{path}/postings")
+    made = scratch_path(spark, "blocks")
+    (postings.groupBy("lexeme", "block").agg(F.max("impact").alias("most"), F.count("*").alias("n"))
+     .write.parquet(made))
+    (spark.read.parquet(made).repartitionByRange("lexeme", "block").sortWithinPartitions("lexeme", "block")
      .write.mode("overwrite").parquet(f"{path}/blocks"))
 
 
@@ -87,6 +91,11 @@ def search(spark: SparkSession, path: str, queries: DataFrame, key: str, k: int,
                            F.size(F.array_distinct("lexemes")).alias("of"))
     bounds = (terms.join(blocks, "lexeme").groupBy("qid", "block")
               .agg((F.sum("most") / F.max("of")).alias("bound"), F.sum("n").alias("n")))
+    # waves join the postings of the queries' lexemes, which are picked once
+    wanted = scratch_path(spark, "asked-postings")
+    (postings.join(F.broadcast(terms.select("lexeme").distinct()), "lexeme", "left_semi")
+     .select("lexeme", "block", key, "impact").write.parquet(wanted))
+    postings = spark.read.parquet(wanted)
     order = Window.partitionBy("qid").orderBy(F.desc("bound"), "block")
     bounds = bounds.withColumn("place", F.row_number().over(order)).checkpoint()
     best = Window.partitionBy("qid").orderBy(F.desc("score"), key)

@@ -292,6 +292,24 @@ def test_lists_of_no_vectors(spark, scratch):
     assert ivf.exact(spark, lists, queries, 3).count() == 0
 
 
+def test_texts_of_the_block_index_are_counted_once(spark, scratch, monkeypatch):
+    docs = spark.createDataFrame([(i, f"w{i % 5} w{i % 3} w0") for i in range(90)] + [(90, None), (91, "")],
+                                 "doc long, t string")
+    read, plain = spark.sparkContext.accumulator(0), blockmax.slices
+
+    def counting(batches):
+        for b in plain(batches):
+            read.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(blockmax, "slices", counting)
+    blockmax.build(docs, scratch + "/b", "doc", "t")
+    assert read.value == 92
+    got = {(r.doc, r.lexeme): (r.n, r.impact) for r in spark.read.parquet(scratch + "/b/postings").collect()}
+    assert got[(0, "w0")] == (3, (1 + 1 / 4 + 1 / 9) / ft.ZETA2) and (90, "") not in got
+    assert sum(n for n, _ in got.values()) == 270
+
+
 def test_pairs_of_words_are_combined_in_the_batch():
     import collections
     import pyarrow as pa
