@@ -322,3 +322,36 @@ def test_pairs_of_words_are_combined_in_the_batch():
                                    for j in range(max(0, i - window), min(len(t), i + window + 1)) if j != i and t[j] in "gb")
         rows = [r for b in thesaurus._near(["g", "b", "z"], window)([batch]) for r in b.to_pylist()]
         assert {(r["word"], r["i"]): r["n"] for r in rows} == want and len(rows) == len(want)
+
+
+def test_graph_moves_no_vector_to_each_meeting(spark, scratch, monkeypatch):
+    """A vector comes to a cell once however many meet there, lists are rows, not
+    pairs, and a small cluster far from all others is found."""
+    v = np.concatenate([clustered(3_000, 3), clustered(30, 1, seed=9, spread=0.05) * -1])
+    told, plain = [], graph._met
+
+    def counting(around, points, lists, degree):
+        met = plain(around, points, lists, degree)
+        told.append((met.columns, met.groupBy("id").count().agg(F.max("count")).first()[0] or 0))
+        return met
+
+    monkeypatch.setattr(graph, "_met", counting)
+    df = frame(spark, v, [(9_000, [0.0] * DIM), (9_001, None)])
+    graph.build(df, scratch + "/g", degree=8, rounds=2)
+    cells = graph._centres(spark.read.parquet(scratch + "/g/points"), len(v)).shape[0]
+    assert told and all(c == ["id", "nb", "dist"] and most <= cells for c, most in told)
+    queries = df.where("id % 50 = 0 OR id >= 3000").select(F.col("id").alias("qid"), "embedding")
+    rows = graph.search(spark, scratch + "/g", queries, 10, beam=30, width=6).collect()
+    assert {r.qid for r in rows} == {*range(0, 3_000, 50), *range(3_000, 3_030)}
+    assert recall(v, rows, 10) >= 0.9
+
+
+def test_graph_search_keeps_more_than_its_beam_and_one_query_of_an_id(spark, scratch):
+    v = clustered(300, 2)
+    graph.build(frame(spark, v), scratch + "/g")
+    queries = frame(spark, v[:2], [(0, v[0].tolist()), (None, v[0].tolist())]).select(F.col("id").alias("qid"), "embedding")
+    rows = graph.search(spark, scratch + "/g", queries, 20, beam=16, width=3).collect()
+    assert sorted((r.qid, r["rank"]) for r in rows) == [(q, i) for q in (0, 1) for i in range(1, 21)]
+    empty = frame(spark, v[:0], [(1, [0.0] * DIM)])
+    graph.build(empty, scratch + "/e")
+    assert graph.search(spark, scratch + "/e", queries, 5).count() == 0
