@@ -113,9 +113,14 @@ def _parts(t: Column) -> Column:
     return F.when(kind.isin("asciihword", "hword", "numhword", "url"), F.concat(whole, pieces)).otherwise(whole)
 
 
+def _found(text: Column) -> Column:
+    """What the scanner finds, compounds whole."""
+    return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SCAN_RE), 0)
+
+
 def scan(text: Column) -> Column:
     """All tokens of a text: array of (class, token), in order. Null is empty."""
-    found = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(SCAN_RE), 0)
+    found = _found(text)
     return let({"t": F.transform(found, lambda x: F.struct(token_class(x).alias("class"), x.alias("token")))},
                lambda s: F.flatten(F.transform(s["t"], _parts)))
 
@@ -138,9 +143,12 @@ def lexeme(kind: Column, token: Column, stem: Callable[[str], str]) -> Column:
 
 def vocabulary(docs: DataFrame, text_col: str, stem: Callable[[str], str] = ft.portuguese) -> DataFrame:
     """(class, token, lexeme) of the distinct tokens of ``docs``, written once: the
-    dictionary sees a token once, however often it occurs. Distinct tokens are
-    found within each row first."""
-    found = docs.select(F.explode(F.array_distinct(scan(F.col(text_col)))).alias("t")).select("t.class", "t.token")
+    dictionary sees a token once, however often it occurs. What the scanner finds
+    is classified and taken apart once for the corpus; it is told apart within
+    each row first, as strings."""
+    found = docs.select(F.explode(F.array_distinct(_found(F.col(text_col)))).alias("x")).distinct()
+    whole = F.struct(token_class(F.col("x")).alias("class"), F.col("x").alias("token"))
+    found = found.select(F.explode(let({"t": whole}, lambda s: _parts(s["t"]))).alias("t")).select("t.class", "t.token")
     found = found.where(F.col("class") != "protocol").distinct()
     path = scratch_path(docs.sparkSession, "vocabulary")
     found.select("class", "token", lexeme(F.col("class"), F.col("token"), stem).alias("lexeme")).write.parquet(path)

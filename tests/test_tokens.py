@@ -69,3 +69,13 @@ def test_the_jvm_scan_finds_the_same_tokens(spark):
     words = spark.createDataFrame([("some plain words of a text and 12 numbers é " * 20_000,)], "t string")
     assert tk.SCAN_RE != tk.TOKEN_RE
     assert words.select(F.size(F.regexp_extract_all("t", F.lit(tk.SCAN_RE), 0))).first()[0] == 200_000
+
+
+def test_vocabulary_of_a_long_text_of_distinct_tokens(spark):
+    """Tokens are told apart as strings, not each compared with all others."""
+    text = " ".join(f"w{i}x a{i}-b{i}" for i in range(30_000)) + " http://x.org/Abc x.org/Abc w1x"
+    start = time.time()
+    words = tk.vocabulary(spark.createDataFrame([(text,), (text,), (None,)], "t string"), "t")
+    got = {r["class"]: r.n for r in words.groupBy("class").agg(F.count("*").alias("n")).collect()}
+    assert got == {"numword": 30_000, "numhword": 30_000, "hword_numpart": 60_000, "url": 1, "host": 1, "url_path": 1}
+    assert words.distinct().count() == words.count() and time.time() - start < 60
